@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from contrail.functions.features import date_from_parts
 from contrail.operators.ordered import medians
-from contrail.session import bounded_broadcast
+from contrail.session import bounded_broadcast, materialize_small
 
 DIM_BROADCAST_ROWS = 2_000_000
 
@@ -57,7 +57,7 @@ def join_holidays(fact: DataFrame, holidays: DataFrame, date_col: str | None = N
     out = fact if date_col else fact.withColumn("date", date_from_parts(*ymd))
     key = date_col or "date"
     h = holidays.select(F.col("date").alias("_hd"), "holiday_name", "is_holiday")
-    out = out.join(bounded_broadcast(h, DIM_BROADCAST_ROWS), out[key] == F.col("_hd"), "left").drop("_hd")
+    out = out.join(materialize_small(h), out[key] == F.col("_hd"), "left").drop("_hd")
     return out.withColumns({
         "is_holiday": F.coalesce(F.col("is_holiday"), F.lit(0)).cast("int"),
         "holiday_name": F.coalesce(F.col("holiday_name"), F.lit("None")),
@@ -71,7 +71,7 @@ def join_daily_and_fill(fact: DataFrame, daily: DataFrame, fact_date: str,
     drop).  The medians are exact and computed distributedly; they come back
     to the driver as a handful of scalars and are applied as literals."""
     d = daily.withColumnRenamed(daily_date, "_dd")
-    joined = fact.join(bounded_broadcast(d, DIM_BROADCAST_ROWS), fact[fact_date] == F.col("_dd"), "left") \
+    joined = fact.join(materialize_small(d), fact[fact_date] == F.col("_dd"), "left") \
                  .drop("_dd")
     med = medians(joined, fill_cols)
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(med[c]).cast("double"))
@@ -91,9 +91,9 @@ def clean_joined(df: DataFrame, target: str, fill: dict | None = None,
 def attach_group_stats(fact: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join aggregated group statistics back to the fact (left).
 
-    The stats table has one row per group; it is broadcast when small,
-    otherwise shuffled on the key."""
-    return fact.join(bounded_broadcast(stats, DIM_BROADCAST_ROWS), list(keys), "left")
+    The stats table has one row per group; it is computed once and
+    broadcast when small, otherwise shuffled on the key."""
+    return fact.join(materialize_small(stats), list(keys), "left")
 
 
 def outer_match_distributions(ref: DataFrame, cur: DataFrame, key: str,

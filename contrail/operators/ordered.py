@@ -23,14 +23,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.session import bounded_broadcast
+from contrail.session import cut_lineage, materialize_small
 
 DEFAULT_BUCKETS = 128
 # groups x buckets rows are broadcast; groups are column names or sides.
-MAX_BOUND_ROWS = 2_000_000
+MAX_BOUND_ROWS = 200_000
 
 
-def unpivot_values(df: DataFrame, columns: Sequence[str], name: str = "column",
+def unpivot_values(df: DataFrame, columns: Sequence[str], name: str = "col_name",
                    value: str = "v", keep: Sequence[str] = ()) -> DataFrame:
     """Wide -> long (column name, value as double), nulls and NaN dropped."""
     cast = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
@@ -48,7 +48,7 @@ def running_totals(counts: DataFrame, keys: Sequence[str], value: str,
     bounds = (counts.groupBy(*keys)
               .agg(F.array_distinct(F.percentile_approx(F.col(value).cast("double"), probs, 10 * n_buckets))
                    .alias("_bounds")))
-    bounds = bounded_broadcast(bounds, MAX_BOUND_ROWS)
+    bounds = materialize_small(bounds, MAX_BOUND_ROWS)
     tagged = (counts.join(bounds, keys, "left")
               .withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b <= F.col(value).cast("double"))))
               .drop("_bounds"))
@@ -60,7 +60,7 @@ def running_totals(counts: DataFrame, keys: Sequence[str], value: str,
     offsets = totals.select(*keys, "_bucket",
                             *[F.coalesce(F.sum(f"_tot_{w}").over(w_off), F.lit(0)).alias(f"_off_{w}")
                               for w in weights])
-    offsets = bounded_broadcast(offsets, MAX_BOUND_ROWS)
+    offsets = materialize_small(offsets, MAX_BOUND_ROWS)
     out = local.join(offsets, keys + ["_bucket"], "left")
     return out.select(*[c for c in counts.columns],
                       *[(F.col(f"_loc_{w}") + F.col(f"_off_{w}")).alias(f"cum_{w}") for w in weights])
@@ -79,7 +79,9 @@ def quantiles_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
     Returns (keys..., p, q).  Groups with no values produce no rows.
     """
     keys = list(keys)
-    counts = value_counts_long(long, keys, value)
+    # The collapsed counts feed four jobs; checkpoint them once (shared
+    # checkpoint folder) instead of recomputing the input four times.
+    counts = cut_lineage(value_counts_long(long, keys, value))
     cdf = running_totals(counts, keys, value, ["n"], n_buckets) \
         .withColumn("_prev", F.col("cum_n") - F.col("n"))
     sizes = counts.groupBy(*keys).agg(F.sum("n").alias("_N"))
@@ -91,7 +93,7 @@ def quantiles_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
                .withColumn("_hi", F.ceil("_h"))
                .withColumn("_side", F.explode(F.array(F.lit("lo"), F.lit("hi"))))
                .withColumn("_r", F.when(F.col("_side") == "lo", F.col("_lo")).otherwise(F.col("_hi"))))
-    targets = bounded_broadcast(targets, MAX_BOUND_ROWS)
+    targets = materialize_small(targets, MAX_BOUND_ROWS)
     hit = cdf.join(targets, keys).where((F.col("_prev") <= F.col("_r")) & (F.col("_r") < F.col("cum_n")))
     return (hit.groupBy(*keys, "p")
             .agg(F.max(F.when(F.col("_side") == "lo", F.col(value))).alias("_vlo"),
@@ -104,7 +106,7 @@ def quantiles_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                     n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Exact quantiles of several columns: (column, p, q)."""
-    return quantiles_long(unpivot_values(df, columns), ["column"], probs, "v", n_buckets)
+    return quantiles_long(unpivot_values(df, columns), ["col_name"], probs, "v", n_buckets)
 
 
 def quantile_array(quantiles: DataFrame, keys: Sequence[str], name: str = "qs") -> DataFrame:
@@ -117,7 +119,7 @@ def quantile_array(quantiles: DataFrame, keys: Sequence[str], name: str = "qs")
 def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """Exact median of each column as driver scalars (one small row per column)."""
     rows = exact_quantiles(df, columns, [0.5]).collect()
-    got = {r["column"]: r["q"] for r in rows}
+    got = {r["col_name"]: r["q"] for r in rows}
     return {c: got.get(c) for c in columns}
 
 

@@ -90,3 +90,18 @@ def scratch_dir(prefix: str = "contrail-") -> str:
     """Fresh local folder for tests and the local bench only."""
     base = os.environ.get("CONTRAIL_SCRATCH", "/tmp")
     return tempfile.mkdtemp(prefix=prefix, dir=base)
+
+
+def materialize_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """Compute a small derived table once and ship it as a broadcast.
+
+    ``bounded_broadcast`` counts and then recomputes; for a derived table
+    (an aggregate of the fact) that doubles the work.  Here the rows are
+    fetched once with ``limit(max_rows + 1)``: within the bound they become
+    a local relation that is broadcast; beyond it the original DataFrame is
+    returned for a shuffle join.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
