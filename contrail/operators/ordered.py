@@ -135,12 +135,26 @@ def rank_threshold(df: DataFrame, order_col: str, rank: int,
     return row[0]["v"] if row else None
 
 
+def _orderable(df: DataFrame, order_col: str):
+    """Numeric stand-in for an order column (dates and timestamps become
+    day / microsecond numbers) so approximate quantiles can bucket it."""
+    from pyspark.sql import types as T
+    dt = df.schema[order_col].dataType
+    if isinstance(dt, T.DateType):
+        return F.unix_date(F.col(order_col))
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(order_col))
+    return F.col(order_col)
+
+
 def split_by_position(df: DataFrame, order_col: str, n_buckets: int = DEFAULT_BUCKETS):
     """First half / second half by position in ``order_col`` order (G4):
-    reference = the first ``n // 2`` rows, current = the rest."""
+    reference = the first ``n // 2`` rows, current = the rest.
+    ``order_col`` must be unique (an event id, a date of a daily table)."""
     n = df.count()
     mid = n // 2
     if mid == 0:
         return df.limit(0), df
-    cut = rank_threshold(df, order_col, mid, n_buckets)
-    return df.filter(F.col(order_col) < F.lit(cut)), df.filter(F.col(order_col) >= F.lit(cut))
+    key = _orderable(df, order_col)
+    cut = rank_threshold(df.select(key.alias("_ord")), "_ord", mid, n_buckets)
+    return df.filter(key < F.lit(cut)), df.filter(key >= F.lit(cut))
