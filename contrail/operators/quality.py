@@ -212,3 +212,25 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "col_name", "value")
     return (long.where(F.col("value").isNotNull()).groupBy("col_name", "value").agg(F.lit(1).alias("_o"))
             .groupBy("col_name").agg(F.count(F.lit(1)).cast("bigint").alias("distinct_count")))
+
+
+def validation_status(presence: DataFrame, nulls: DataFrame, fk: DataFrame,
+                      dates: DataFrame, ranges: DataFrame) -> DataFrame:
+    """One (check_name, passed) row per check plus ``overall`` =
+    every check passed.  The status is data; gating on it is the caller's
+    choice (the reference only logs it)."""
+    rows = (presence.select(F.concat(F.lit("required_columns:"), "dataset").alias("check_name"),
+                            F.col("all_required_present").alias("passed"))
+            .unionByName(nulls.select(F.concat(F.lit("critical_nulls:"), "col_name").alias("check_name"),
+                                      (F.col("missing_count") == 0).alias("passed")))
+            .unionByName(fk.select(F.concat(F.lit("fk:"), "fk_column").alias("check_name"),
+                                   (F.col("invalid_count") == 0).alias("passed")))
+            .unionByName(dates.select(F.explode(F.array(
+                F.struct(F.lit("date_range:year").alias("check_name"), F.col("valid_year_range").alias("passed")),
+                F.struct(F.lit("date_range:month").alias("check_name"), F.col("valid_month_range").alias("passed")),
+                F.struct(F.lit("date_range:day").alias("check_name"), F.col("valid_day_range").alias("passed"))))
+                .alias("s")).select("s.*"))
+            .unionByName(ranges.select(F.concat(F.lit("range:"), "col_name").alias("check_name"),
+                                       (F.col("invalid_count") == 0).alias("passed"))))
+    overall = rows.agg(F.lit("overall").alias("check_name"), F.bool_and("passed").alias("passed"))
+    return rows.unionByName(overall)
