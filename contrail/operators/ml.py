@@ -111,8 +111,10 @@ def preprocessing_stages(spec: FeatureSpec, scale: bool = True):
                                     handleInvalid="keep"))
         cat_vecs.append(f"{c}__ohe")
     if spec.categorical:
+        # The indexer puts unknown / null at index numLabels, the last slot;
+        # dropLast removes exactly that slot, so they encode as all zeros.
         stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in spec.categorical], outputCols=cat_vecs,
-                                    dropLast=True, handleInvalid="keep"))
+                                    dropLast=True))
     parts = (["_num_scaled" if scale else "_num_vec"] if num_in else []) + cat_vecs
     stages.append(VectorAssembler(inputCols=parts, outputCol="features"))
     return stages

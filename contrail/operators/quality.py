@@ -143,7 +143,7 @@ def quality_score(current: DataFrame, baseline: DataFrame, features: Sequence[st
     An empty ``current`` scores 0.  Baseline moments are driver scalars.
     """
     b = baseline.agg(*[F.avg(c).alias(f"m_{c}") for c in features],
-                     *[F.stddev_pop(c).alias(f"s_{c}") for c in features]).first()
+                     *[F.stddev_pop(c).alias(f"s_{c}") for c in features]).first() if features else {}
     cols = current.columns
     aggs = [F.count(F.lit(1)).alias("_N"),
             F.try_divide(sum((F.count(c) for c in cols), F.lit(0)).cast("double"), F.count(F.lit(1)) * len(cols)).alias("_complete")]

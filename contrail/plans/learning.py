@@ -106,7 +106,9 @@ SELECT ROUND(b, 6) AS slope, ROUND(my - b * mx, 6) AS intercept,
 def ridge_fit(t):
     """Ridge (alpha = 1, intercept not penalised) of net amount on distance."""
     tr, _ = split(t)
-    s = tr.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("net_amount").alias("sd")).first()
+    # The normal-equation solver scales the label by its population std
+    # (l-bfgs by the sample std); either way regParam = alpha * std / n.
+    s = tr.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("net_amount").alias("sd")).first()
     reg = LinearRegression(labelCol="net_amount", regParam=1.0 * s["sd"] / s["n"], elasticNetParam=0.0,
                            standardization=False, solver="normal")
     return _single_feature_fit(t, reg)

@@ -3,10 +3,9 @@
 * S1: stateless scoring of a stream with a fitted ``PipelineModel``.
 * S2: stream-stream left outer join of predictions and late labels, with
   watermarks on both sides and a time bound so join state is dropped.
-* S7: "condition held for N windows" alerts.  The stream is first reduced
-  by a windowed aggregation (one row per series and window), then a
-  ``applyInPandasWithState`` operator keeps O(1) state per series: the
-  current run of breaching windows and whether it already fired.
+* S7: "condition held for N windows" alerts with ``applyInPandasWithState``:
+  per series the open window counts (bounded by the watermark delay) and
+  the current run of breaching windows.
 * S8: ``foreachBatch`` monitoring -- drift and quality of every
   micro-batch, appended idempotently by batch id.
 """
@@ -35,8 +34,10 @@ def join_labels(predictions: DataFrame, labels: DataFrame, max_delay: str = "1 d
     prediction; predictions without a label are emitted with nulls once the
     watermark passes prediction time + max_delay.  Labels later than that
     are dropped (the reference accepts them for ever)."""
-    p = predictions.withWatermark("timestamp", prediction_watermark)
+    p = predictions.withColumn("timestamp", F.col("timestamp").cast("timestamp")) \
+        .withWatermark("timestamp", prediction_watermark)
     lab = (labels.withColumnRenamed("request_id", "label_request_id")
+           .withColumn("label_timestamp", F.col("label_timestamp").cast("timestamp"))
            .withWatermark("label_timestamp", label_watermark))
     cond = ((F.col("request_id") == F.col("label_request_id"))
             & (F.col("label_timestamp") >= F.col("timestamp"))
@@ -45,19 +46,33 @@ def join_labels(predictions: DataFrame, labels: DataFrame, max_delay: str = "1 d
 
 
 ALERT_SCHEMA = "series string, episode_start timestamp, fires_at timestamp, breach_windows long"
-ALERT_STATE = "run_start long, run_len long, last_idx long, fired boolean"
+ALERT_STATE = ("open_idx array<long>, open_cnt array<long>, run_start long, run_len long, "
+               "last_idx long, fired boolean")
+_NO_WINDOW = -(2 ** 62)
 
 
 def _alert_fn(threshold: float, width_s: int, min_windows: int):
+    width_ms = width_s * 1000
+
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-        run_start, run_len, last_idx, fired = state.get if state.exists else (-1, 0, -2, False)
+        if state.exists:
+            open_idx, open_cnt, run_start, run_len, last_idx, fired = state.get
+            counts = dict(zip(open_idx, open_cnt))
+        else:
+            counts, run_start, run_len, last_idx, fired = {}, -1, 0, _NO_WINDOW, False
+        if not state.hasTimedOut:
+            # Arrow chunks are folded one at a time into per-window counts,
+            # so a hot series never has to sit in memory as raw rows.
+            for pdf in pdfs:
+                for idx, c in (pdf["_t"] // width_ms).value_counts().items():
+                    if idx > last_idx:                      # older windows are closed: late rows drop
+                        counts[int(idx)] = counts.get(int(idx), 0) + int(c)
+        wm = state.getCurrentWatermarkMs()
         out = []
-        rows = pd.concat(list(pdfs)).sort_values("_idx")
-        for idx, metric in zip(rows["_idx"].tolist(), rows["metric"].tolist()):
-            if idx <= last_idx:
-                continue  # window already seen (late duplicate)
-            if metric > threshold:
-                if run_len > 0 and idx == last_idx + 1 and last_idx >= run_start:
+        for idx in sorted(k for k in counts if (k + 1) * width_ms <= wm):
+            c = counts.pop(idx)
+            if c > threshold:
+                if run_len > 0 and idx == last_idx + 1:
                     run_len += 1
                 else:
                     run_start, run_len, fired = idx, 1, False
@@ -68,25 +83,30 @@ def _alert_fn(threshold: float, width_s: int, min_windows: int):
             else:
                 run_start, run_len, fired = -1, 0, False
             last_idx = idx
-        state.update((int(run_start), int(run_len), int(last_idx), bool(fired)))
+        state.update((list(counts), [counts[k] for k in counts], int(run_start), int(run_len),
+                      int(last_idx), bool(fired)))
+        if counts:
+            state.setTimeoutTimestamp(max((k + 1) * width_ms for k in counts))
         if out:
             yield pd.DataFrame(out, columns=["series", "episode_start", "fires_at", "breach_windows"])
     return fn
 
 
-def breach_alerts(per_window: DataFrame, series: str, start: str, metric: str,
-                  threshold: float, window_seconds: int, min_windows: int) -> DataFrame:
-    """S7 (stream): one alert row when a series breaches for
-    ``min_windows`` consecutive windows.  ``per_window`` is the output of a
-    windowed aggregation (e.g. ``windows.event_rate``); only breaching
-    windows need to arrive, gaps reset the run.  Each group is one series'
-    windows of one micro-batch -- already reduced, never raw events."""
-    prepared = per_window.select(F.col(series).cast("string").alias("series"),
-                                 (F.unix_seconds(F.col(start).cast("timestamp")) / window_seconds).cast("long").alias("_idx"),
-                                 F.col(metric).cast("double").alias("metric"))
+def breach_alerts(events: DataFrame, series: str, ts: str, threshold: float, window_seconds: int,
+                  min_windows: int, watermark: str = "1 hour") -> DataFrame:
+    """S7 (stream): one alert row when a series has more than ``threshold``
+    events in each of ``min_windows`` consecutive tumbling windows.
+
+    ``applyInPandasWithState`` keeps per series only the still-open window
+    counts and the current run; windows close when the watermark passes
+    their end (event-time timeout), so quiet series still close windows.
+    Equivalent to ``windows.breach_episodes`` over ``windows.event_rate``."""
+    ev = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
+    prepared = ev.select(F.col(series).cast("string").alias("series"), F.col(ts),
+                         F.floor(F.unix_micros(F.col(ts)) / 1000).cast("long").alias("_t"))
     return prepared.groupBy("series").applyInPandasWithState(
         _alert_fn(threshold, window_seconds, min_windows), ALERT_SCHEMA, ALERT_STATE,
-        "append", GroupStateTimeout.NoTimeout)
+        "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def monitor_batches(baseline: DataFrame, features, sink_path: str,

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contrail.functions.features import DELAY_THRESHOLD, delay_flag
 
@@ -20,7 +21,13 @@ LATENCY_BUCKETS = (0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0)
 
 
 def _wm(df: DataFrame, ts: str, watermark: str | None) -> DataFrame:
-    return df.withWatermark(ts, watermark) if watermark else df
+    """Watermarks need a zone-aware TIMESTAMP; a TIMESTAMP_NTZ event time is
+    read as session-time-zone (UTC) time first."""
+    if not watermark:
+        return df
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        df = df.withColumn(ts, F.col(ts).cast("timestamp"))
+    return df.withWatermark(ts, watermark)
 
 
 def volume(df: DataFrame, ts: str, window: str = "1 minute", watermark: str | None = None,
