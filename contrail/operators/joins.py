@@ -68,14 +68,23 @@ def join_daily_and_fill(fact: DataFrame, daily: DataFrame, fact_date: str,
                         daily_date: str, fill_cols: Sequence[str]) -> DataFrame:
     """Left join a daily table, then fill nulls of ``fill_cols`` with
     the median over the *joined* rows (flight-weighted, before any target
-    drop).  The medians are exact and computed distributedly; they come back
-    to the driver as a handful of scalars and are applied as literals."""
+    drop).
+
+    The joined value of a column is the daily value of the row's date, so
+    the median over joined rows is the median of the daily values weighted
+    by the number of fact rows per date.  Only ``groupBy(date).count()``
+    touches the fact (map-side combined); the exact weighted medians run on
+    the date-sized table and come back as a few scalars."""
+    from contrail.operators.ordered import quantiles_long, unpivot_values
+
+    per_date = fact.groupBy(F.col(fact_date).alias("_dd")).agg(F.count(F.lit(1)).alias("_w"))
     d = daily.withColumnRenamed(daily_date, "_dd")
-    joined = fact.join(materialize_small(d), fact[fact_date] == F.col("_dd"), "left") \
-                 .drop("_dd")
-    med = medians(joined, fill_cols)
+    weighted = per_date.join(d, "_dd", "left")
+    long = unpivot_values(weighted, fill_cols, keep=["_w"])
+    med = {r["col_name"]: r["q"] for r in quantiles_long(long, ["col_name"], [0.5], weight="_w").collect()}
+    joined = fact.join(d, fact[fact_date] == F.col("_dd"), "left").drop("_dd")
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(med[c]).cast("double"))
-                               for c in fill_cols if med[c] is not None})
+                               for c in fill_cols if med.get(c) is not None})
 
 
 def clean_joined(df: DataFrame, target: str, fill: dict | None = None,

@@ -66,22 +66,28 @@ def running_totals(counts: DataFrame, keys: Sequence[str], value: str,
                       *[(F.col(f"_loc_{w}") + F.col(f"_off_{w}")).alias(f"cum_{w}") for w in weights])
 
 
-def value_counts_long(long: DataFrame, keys: Sequence[str], value: str = "v") -> DataFrame:
-    """One row per (keys, value) with its multiplicity ``n``."""
-    return long.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+def value_counts_long(long: DataFrame, keys: Sequence[str], value: str = "v",
+                      weight: str | None = None) -> DataFrame:
+    """One row per (keys, value) with its multiplicity ``n`` (or the sum of
+    an integer ``weight`` column: a row standing for ``weight`` rows)."""
+    n = F.sum(weight).cast("bigint") if weight else F.count(F.lit(1))
+    return long.groupBy(*keys, value).agg(n.alias("n"))
 
 
 def quantiles_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
-                   value: str = "v", n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                   value: str = "v", n_buckets: int = DEFAULT_BUCKETS,
+                   weight: str | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles (numpy / R type 7 / Spark
     ``percentile`` / DuckDB ``quantile_cont``) per group of ``keys``.
 
-    Returns (keys..., p, q).  Groups with no values produce no rows.
+    ``weight`` (integer) makes each row count as that many rows, which lets
+    a caller pre-aggregate.  Returns (keys..., p, q); groups with no values
+    produce no rows.
     """
     keys = list(keys)
     # The collapsed counts feed four jobs; checkpoint them once (shared
     # checkpoint folder) instead of recomputing the input four times.
-    counts = cut_lineage(value_counts_long(long, keys, value))
+    counts = cut_lineage(value_counts_long(long, keys, value, weight))
     cdf = running_totals(counts, keys, value, ["n"], n_buckets) \
         .withColumn("_prev", F.col("cum_n") - F.col("n"))
     sizes = counts.groupBy(*keys).agg(F.sum("n").alias("_N"))

@@ -34,6 +34,29 @@ class Tables(dict):
         self[name] = df
         return df
 
+    def fact(self, name: str) -> DataFrame:
+        """Scan of a fact-sized table with a parallelism guard.
+
+        A file with one row group is one scan task however large it is, and
+        everything pipelined after the scan (broadcast joins, projections,
+        partial aggregates) would run in that task.  When the scan yields
+        fewer partitions than the cluster's default parallelism it is
+        round-robin repartitioned to it; a real dataset of many files
+        already has more splits and is left alone (no extra shuffle).
+        """
+        def build(t):
+            df = t[name]
+            target = t.spark.sparkContext.defaultParallelism
+            return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+        return self.derived(f"fact:{name}", build)
+
+    def derived(self, name: str, build) -> DataFrame:
+        """A DataFrame derived from these tables, built once and reused."""
+        key = f"__{name}"
+        if key not in self:
+            self[key] = build(self)
+        return self[key]
+
 
 def nan_to_null(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """pandas reads blank and the text ``NaN`` as one missing marker; Spark
