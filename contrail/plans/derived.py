@@ -125,3 +125,17 @@ def validation_status(t):
         dates=quality.date_part_ranges(s),
         ranges=quality.range_violations(t["customer"], RANGE_BOUNDS))
     return checks
+
+
+HEAD_ORDER = ["order_key", "line_number", "carrier", "distance", "discount", "tax", "sched_time"]
+
+
+@query("shipments_head_sample", with_ctes(f"""
+SELECT order_key, line_number, carrier, ship_date, ROUND(delay, 6) AS delay, ROUND(distance, 6) AS distance
+FROM shipments ORDER BY {", ".join(HEAD_ORDER)} LIMIT 100""", shipments=SHIPMENTS_SQL))
+def shipments_head_sample(t):
+    """The first 100 rows by an explicit order key (the sample is
+    the feature; TakeOrderedAndProject keeps only 100 rows per task)."""
+    from contrail.sources.tables import head_sample
+    return head_sample(shipments(t), 100, HEAD_ORDER).select(
+        "order_key", "line_number", "carrier", "ship_date", "delay", "distance")

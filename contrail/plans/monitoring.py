@@ -341,3 +341,12 @@ def monitor_full_check(t):
     acc = metrics.accuracy_check(feedback_store(t), "actual_delay", "prediction", BASELINE_R2, BASELINE_MAE)
     return acc.select(F.lit(score).cast("double").alias("drift_score"), "accuracy_drop",
                       ((F.lit(score) > drift.PSI_ALERT) | F.col("accuracy_drop")).alias("should_retrain"))
+
+
+@query("feedback_confusion", FEEDBACK_SQL + """
+SELECT CASE WHEN actual_delay > 15 THEN 1 ELSE 0 END AS actual, CASE WHEN prediction > 15 THEN 1 ELSE 0 END AS predicted,
+       count(*) AS n
+FROM fb WHERE actual_delay IS NOT NULL AND prediction IS NOT NULL GROUP BY 1, 2""")
+def feedback_confusion(t):
+    """Confusion matrix of the delayed flag on labelled feedback."""
+    return metrics.confusion_matrix(feedback_store(t), "actual_delay", "prediction")

@@ -110,3 +110,20 @@ def test_foreach_batch_monitoring(spark):
     _drain(q)
     rows = spark.read.parquet(sink).collect()
     assert len(rows) == 3 and all(0.0 <= r["quality_score"] <= 1.0 for r in rows)
+
+
+def test_score_stream_equals_batch(spark):
+    from pyspark.ml.regression import LinearRegression
+
+    from contrail.operators import ml
+    ev = spark.read.parquet(f"{SMOKE}/events.parquet").select("event_id", "user_id", "value")
+    model = ml.fit_pipeline(ev, ml.FeatureSpec(["user_id"], [], "value"),
+                            LinearRegression(labelCol="value", solver="normal"))
+    src = _scratch()
+    ev.write.mode("overwrite").parquet(src)
+    q = (stateful.score_stream(model, spark.readStream.schema(ev.schema).parquet(src))
+         .writeStream.format("memory").queryName("scored").start())
+    _drain(q)
+    got = {r["event_id"]: r["PREDICTED_DELAY"] for r in spark.table("scored").collect()}
+    want = {r["event_id"]: r["PREDICTED_DELAY"] for r in ml.score(model, ev).collect()}
+    assert got == want
