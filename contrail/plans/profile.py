@@ -86,7 +86,7 @@ def q_daily_feed_wide(t):
 @query("event_daily_wide", f"SELECT date, {r6(EVENT_COLS)} FROM ({EVENT_WIDE_SQL})")
 def q_event_daily_wide(t):
     """E5 on the events feed: (date(ts), event_type, value) -> wide by date."""
-    return explore.pivot_daily(t["events"], "ts", "event_type", "value", EVENT_TYPES, "ev_")
+    return explore.pivot_daily(t.fact("events"), "ts", "event_type", "value", EVENT_TYPES, "ev_")
 
 
 def shipments_weather(t):
@@ -168,7 +168,7 @@ SELECT fk_column, code FROM (
 WHERE code IS NULL OR code NOT IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier)""")
 def q_invalid_codes(t):
     """C3 detail: event users with no matching supplier account, one row per code."""
-    return quality.invalid_codes(t["events"], ["user_id"], t["supplier"], "s_suppkey")
+    return quality.invalid_codes(t.fact("events"), ["user_id"], t["supplier"], "s_suppkey")
 
 
 @query("date_part_ranges", with_ctes("""
@@ -198,7 +198,7 @@ def range_violations(t):
 
 
 def _event_halves(t):
-    return split_by_position(t["events"], "event_id")
+    return split_by_position(t.fact("events"), "event_id")
 
 
 EVENT_HALVES_SQL = """
@@ -474,7 +474,7 @@ SELECT event_type, count(*) AS n, ROUND(count(*) * 1.0 / sum(count(*)) OVER (),
 FROM events WHERE event_type IS NOT NULL GROUP BY event_type""")
 def category_shares(t):
     """Relative frequency of each event type."""
-    return grouping.relative_frequency(t["events"], "event_type")
+    return grouping.relative_frequency(t.fact("events"), "event_type")
 
 
 @query("target_summary", with_ctes("""

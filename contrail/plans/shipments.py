@@ -97,7 +97,8 @@ def carriers(t) -> DataFrame:
 
 def daily_feed_long(t) -> DataFrame:
     """Long daily feed (the weather role): one reading per order."""
-    return t["orders"].select(F.col("o_orderdate").alias("obs_ts"),
+    scan = t.fact if hasattr(t, "fact") else t.__getitem__
+    return scan("orders").select(F.col("o_orderdate").alias("obs_ts"),
                               F.col("o_orderpriority").alias("datatype"),
                               F.col("o_totalprice").alias("value"))
 

@@ -18,7 +18,7 @@ ALERT_MIN_WINDOWS = 2    # consecutive hours ("for: 2h")
 
 
 def latency_events(t):
-    return t["events"].withColumn("latency_s", F.col("value") / 100.0)
+    return t.fact("events").withColumn("latency_s", F.col("value") / 100.0)
 
 
 @query("prediction_volume_per_minute", """
@@ -82,7 +82,7 @@ SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, event_type, count(*)
 FROM events GROUP BY 1, 2""")
 def event_rate_5min(t):
     """Events per second by type over 5-minute windows."""
-    return W.event_rate(t["events"], "ts", "event_type", "5 minutes", 300.0)
+    return W.event_rate(t.fact("events"), "ts", "event_type", "5 minutes", 300.0)
 
 
 @query("alert_episodes", f"""
@@ -97,5 +97,5 @@ FROM r GROUP BY event_type, island HAVING count(*) >= {ALERT_MIN_WINDOWS}""")
 def alert_episodes(t):
     """Episodes where one event type exceeds 4 events per hour for at
     least 2 consecutive hours, and when the alert fires."""
-    per = W.event_rate(t["events"], "ts", "event_type", "1 hour", 3600.0)
+    per = W.event_rate(t.fact("events"), "ts", "event_type", "1 hour", 3600.0)
     return W.breach_episodes(per, ["event_type"], "window_start", "n", ALERT_THRESHOLD, 3600, ALERT_MIN_WINDOWS)
