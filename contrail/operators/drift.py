@@ -60,12 +60,12 @@ def ks_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str],
     long = _two_sided_long(ref, cur, columns)
     counts = cut_lineage(long.groupBy("col_name", "v").agg(
         F.count_if(F.col("side") == 0).alias("n1"), F.count_if(F.col("side") == 1).alias("n2")))
-    sizes = materialize_small(counts.groupBy("col_name").agg(F.sum("n1").alias("tot1"), F.sum("n2").alias("tot2")))
+    sizes = counts.groupBy("col_name").agg(F.sum("n1").alias("tot1"), F.sum("n2").alias("tot2"))
     cdf = running_totals(counts, ["col_name"], "v", ["n1", "n2"])
     stat = (cdf.join(sizes, "col_name")
             .groupBy("col_name", "tot1", "tot2")
             .agg(F.max(F.abs(F.col("cum_n1") / F.col("tot1") - F.col("cum_n2") / F.col("tot2"))).alias("ks_statistic")))
-    moments = materialize_small(long.groupBy("col_name").agg(
+    moments = (long.groupBy("col_name").agg(
         F.avg(F.when(F.col("side") == 0, F.col("v"))).alias("reference_mean"),
         F.avg(F.when(F.col("side") == 1, F.col("v"))).alias("current_mean"),
         F.stddev_samp(F.when(F.col("side") == 0, F.col("v"))).alias("reference_std"),
@@ -89,8 +89,7 @@ def _category_counts(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) ->
     both = long(ref, 0).unionByName(long(cur, 1))
     counts = both.groupBy("col_name", "category").agg(
         F.count_if(F.col("side") == 0).alias("n_ref"), F.count_if(F.col("side") == 1).alias("n_cur"))
-    sizes = materialize_small(counts.groupBy("col_name").agg(F.sum("n_ref").alias("tot_ref"),
-                                                             F.sum("n_cur").alias("tot_cur")))
+    sizes = counts.groupBy("col_name").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
     return (counts.join(sizes, "col_name")
             .withColumn("p_ref", F.when(F.col("tot_ref") > 0, F.col("n_ref") / F.col("tot_ref")).otherwise(0.0))
             .withColumn("p_cur", F.when(F.col("tot_cur") > 0, F.col("n_cur") / F.col("tot_cur")).otherwise(0.0)))
@@ -200,8 +199,8 @@ def psi(baseline: DataFrame, production: DataFrame, features: Sequence[str],
     both = (base.withColumn("side", F.lit(0)).unionByName(prod.withColumn("side", F.lit(1)))
             .join(stats.select("col_name", "edges"), "col_name")
             .withColumn("bin", _bin_index(F.col("v"), F.col("edges"))))
-    sizes = materialize_small(both.groupBy("col_name").agg(
-        F.count_if(F.col("side") == 0).alias("N_e"), F.count_if(F.col("side") == 1).alias("N_a")))
+    sizes = both.groupBy("col_name").agg(
+        F.count_if(F.col("side") == 0).alias("N_e"), F.count_if(F.col("side") == 1).alias("N_a"))
     per_bin = (both.where(F.col("bin").isNotNull()).groupBy("col_name", "bin")
                .agg(F.count_if(F.col("side") == 0).alias("c_e"), F.count_if(F.col("side") == 1).alias("c_a")))
     spine = stats.select("col_name", F.explode(F.sequence(F.lit(0), F.greatest(F.size("edges") - 2, F.lit(0))))

@@ -11,7 +11,12 @@ so the running totals are computed in two levels instead:
    quantiles (a bounded sketch per group);
 3. running totals inside (group, bucket) with a window, bucket totals with
    an aggregate, bucket offsets with a small window over the bucket totals;
-4. add the broadcast offsets back.
+4. add the offsets back.
+
+The bucket bounds, offsets and quantile targets are tiny aggregates (groups
+x buckets rows) joined without hints inside one plan: AQE sees their real
+size when their shuffle stage finishes and turns the join into a broadcast
+join (its runtime size check), with no extra driver round trip.
 
 The result is exact; only the work split uses the approximation.
 """
@@ -23,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.session import cut_lineage, materialize_small
+from contrail.session import cut_lineage
 
 DEFAULT_BUCKETS = 128
 # groups x buckets rows are broadcast; groups are column names or sides.
@@ -48,7 +53,6 @@ def running_totals(counts: DataFrame, keys: Sequence[str], value: str,
     bounds = (counts.groupBy(*keys)
               .agg(F.array_distinct(F.percentile_approx(F.col(value).cast("double"), probs, 10 * n_buckets))
                    .alias("_bounds")))
-    bounds = materialize_small(bounds, MAX_BOUND_ROWS)
     tagged = (counts.join(bounds, keys, "left")
               .withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b <= F.col(value).cast("double"))))
               .drop("_bounds"))
@@ -60,7 +64,6 @@ def running_totals(counts: DataFrame, keys: Sequence[str], value: str,
     offsets = totals.select(*keys, "_bucket",
                             *[F.coalesce(F.sum(f"_tot_{w}").over(w_off), F.lit(0)).alias(f"_off_{w}")
                               for w in weights])
-    offsets = materialize_small(offsets, MAX_BOUND_ROWS)
     out = local.join(offsets, keys + ["_bucket"], "left")
     return out.select(*[c for c in counts.columns],
                       *[(F.col(f"_loc_{w}") + F.col(f"_off_{w}")).alias(f"cum_{w}") for w in weights])
@@ -99,7 +102,6 @@ def quantiles_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
                .withColumn("_hi", F.ceil("_h"))
                .withColumn("_side", F.explode(F.array(F.lit("lo"), F.lit("hi"))))
                .withColumn("_r", F.when(F.col("_side") == "lo", F.col("_lo")).otherwise(F.col("_hi"))))
-    targets = materialize_small(targets, MAX_BOUND_ROWS)
     hit = cdf.join(targets, keys).where((F.col("_prev") <= F.col("_r")) & (F.col("_r") < F.col("cum_n")))
     return (hit.groupBy(*keys, "p")
             .agg(F.max(F.when(F.col("_side") == "lo", F.col(value))).alias("_vlo"),
