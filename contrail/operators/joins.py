@@ -100,9 +100,11 @@ def clean_joined(df: DataFrame, target: str, fill: dict | None = None,
 def attach_group_stats(fact: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join aggregated group statistics back to the fact (left).
 
-    The stats table has one row per group; it is computed once and
-    broadcast when small, otherwise shuffled on the key."""
-    return fact.join(materialize_small(stats), list(keys), "left")
+    The stats table has one row per group.  No hint: when its shuffle stage
+    finishes AQE sees the real size and broadcasts it if it is under
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``; a high-cardinality
+    key (routes at scale) stays a shuffle join."""
+    return fact.join(stats, list(keys), "left")
 
 
 def outer_match_distributions(ref: DataFrame, cur: DataFrame, key: str,

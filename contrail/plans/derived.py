@@ -10,7 +10,7 @@ from contrail.operators.feature_set import Roles, Thresholds, engineer
 from contrail.plans.catalog import query
 from contrail.plans.profile import (CRITICAL, DAILY_WIDE_SQL, HOLIDAYS_SQL, PRESENCE_SQL, RANGE_BOUNDS,
                                     TABLE_CONTRACTS, _FK_SQL, daily_feed_wide, shipments_weather)
-from contrail.plans.shipments import SHIPMENTS_SQL, shipments, with_ctes
+from contrail.plans.shipments import SHIPMENTS_SQL, shipments, shipments_materialized, with_ctes
 from contrail.sources.calendar import holiday_calendar
 
 # Cuts and thresholds rescaled to the driver's measures (price, not miles /
@@ -57,7 +57,7 @@ LEFT JOIN daily w ON s.ship_date = w.date""", shipments=SHIPMENTS_SQL, daily=DAI
 def engineered_features(t):
     """Every feature whose inputs exist, on the fact joined
     to the holiday calendar and the daily feed (weather role)."""
-    s = shipments(t)
+    s = shipments_materialized(t)
     s = joins.join_holidays(s, holiday_calendar(s.select("year")), date_col="ship_date")
     w = daily_feed_wide(t).withColumnRenamed("date", "_d")
     s = s.join(F.broadcast(w), s.ship_date == w._d, "left")
@@ -117,10 +117,10 @@ SELECT 'overall', bool_and(passed) FROM (
                           f"FROM customer" for c, (lo, hi) in RANGE_BOUNDS.items())))
 def validation_status(t):
     """One pass/fail row per check and the overall status (no error)."""
-    s = shipments(t)
+    s = shipments_materialized(t)
     checks = quality.validation_status(
         presence=contracts.column_presence(t.spark, {n: t[n] for n in TABLE_CONTRACTS}, TABLE_CONTRACTS),
-        nulls=quality.null_counts(shipments_weather(t), columns=list(CRITICAL), only_missing=False),
+        nulls=quality.null_counts(shipments_weather(t, s), columns=list(CRITICAL), only_missing=False),
         fk=quality.referential_check(s, ["origin", "dest"], t["nation"], "n_nationkey"),
         dates=quality.date_part_ranges(s),
         ranges=quality.range_violations(t["customer"], RANGE_BOUNDS))

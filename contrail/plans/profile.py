@@ -10,7 +10,7 @@ from contrail.operators import contracts, explore, grouping, joins, quality
 from contrail.operators.ordered import split_by_position
 from contrail.plans.catalog import query
 from contrail.plans.shipments import (SHIPMENTS_SQL, daily_feed_long, locations,
-                                      LOCATIONS_SQL, shipments, with_ctes)
+                                      LOCATIONS_SQL, shipments, shipments_materialized, with_ctes)
 from contrail.sources.calendar import holiday_calendar
 
 
@@ -89,8 +89,8 @@ def q_event_daily_wide(t):
     return explore.pivot_daily(t.fact("events"), "ts", "event_type", "value", EVENT_TYPES, "ev_")
 
 
-def shipments_weather(t):
-    s = shipments(t).select("order_key", "line_number", "ship_date", "carrier", "origin", "dest", "delay")
+def shipments_weather(t, fact=None):
+    s = (fact if fact is not None else shipments(t)).select("order_key", "line_number", "ship_date", "carrier", "origin", "dest", "delay")
     w = daily_feed_wide(t).withColumnRenamed("date", "_d")
     return s.join(w, s.ship_date == w._d, "left").drop("_d")
 
@@ -315,7 +315,7 @@ SELECT s.order_key, s.line_number, s.ship_date, COALESCE(h.holiday_name, 'None')
 FROM shipments s LEFT JOIN ({HOLIDAYS_SQL}) h ON s.ship_date = h.date""", shipments=SHIPMENTS_SQL))
 def shipments_holidays(t):
     """Fact LEFT JOIN the holiday calendar on the service date."""
-    s = shipments(t)
+    s = shipments_materialized(t)
     cal = holiday_calendar(s.select("year"))
     return joins.join_holidays(s, cal, date_col="ship_date") \
         .select("order_key", "line_number", "ship_date", "holiday_name", "is_holiday")
@@ -332,7 +332,8 @@ FROM j, m""")
 def weather_fill(t):
     """Fact LEFT JOIN daily feed, nulls filled with the median over the
     joined rows (before any target drop)."""
-    s = shipments(t).select("order_key", "line_number", "ship_date", "carrier", "origin", "dest", "delay")
+    s = shipments_materialized(t).select("order_key", "line_number", "ship_date", "carrier", "origin", "dest",
+                                         "delay")
     return joins.join_daily_and_fill(s, daily_feed_wide(t), "ship_date", "date", FEED_COLS)
 
 
@@ -462,7 +463,7 @@ SELECT ROUND(avg(CASE WHEN day_of_week IN (6, 7) THEN 1 ELSE 0 END) * 100.0, 4)
 FROM shipments s LEFT JOIN ({HOLIDAYS_SQL}) h ON s.ship_date = h.date""", shipments=SHIPMENTS_SQL))
 def feature_shares(t):
     """Weekend, delayed and holiday shares of the fact in one aggregate."""
-    s = shipments(t)
+    s = shipments_materialized(t)
     j = joins.join_holidays(s, holiday_calendar(s.select("year")), date_col="ship_date")
     return explore.flag_shares(j, {"weekend_pct": is_weekend("day_of_week"),
                                    "delayed_pct": delay_flag("delay"),

@@ -36,6 +36,18 @@ def shipments(t) -> DataFrame:
     return _build_shipments(t)
 
 
+def shipments_materialized(t) -> DataFrame:
+    """The fact written once to the shared checkpoint folder, for plans that
+    read it in several branches (an aggregate plus the rows it is joined
+    back to, a calendar built from its years ...).  Column pruning makes
+    every branch's exchanges different, so Spark would otherwise recompute
+    the lineitem x orders join -- a full shuffle at scale -- per branch."""
+    from contrail.session import cut_lineage
+    if hasattr(t, "derived"):
+        return t.derived("shipments_ckpt", lambda tt: cut_lineage(shipments(tt)))
+    return cut_lineage(shipments(t))
+
+
 def _build_shipments(t) -> DataFrame:
     """The fact table.  ``t`` maps table names to DataFrames.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from contrail.operators import grouping, joins
 from contrail.plans.catalog import query
 from contrail.plans.shipments import (CARRIERS_SQL, LOCATIONS_SQL, SHIPMENTS_SQL,
-                                      carriers, locations, shipments, with_ctes)
+                                      carriers, locations, shipments, shipments_materialized, with_ctes)
 
 
 def r6(cols):
@@ -84,7 +84,7 @@ FROM (
 )""", shipments=SHIPMENTS_SQL))
 def shipments_with_group_stats(t):
     """D7 + E1-E3: the three group statistics joined back to every row."""
-    return grouping.with_group_stats(shipments(t), "origin", "carrier", "dest", "delay")
+    return grouping.with_group_stats(shipments_materialized(t), "origin", "carrier", "dest", "delay")
 
 
 @query("origin_prior_stats", with_ctes(f"""

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from contrail.operators import grouping, joins, ml, quality
 from contrail.plans.learning import SPEC, SPLIT_KEYS
-from contrail.plans.shipments import carriers, locations, shipments
+from contrail.plans.shipments import carriers, locations, shipments_materialized as shipments
 from contrail.session import cut_lineage
 from contrail.sources.calendar import holiday_calendar
 from contrail.sources.tables import Tables, report_sink, route_dataset, write_table
