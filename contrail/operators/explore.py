@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions.features import DELAY_THRESHOLD, delay_flag
-from contrail.operators.ordered import exact_quantiles, quantiles_long, unpivot_values
-from contrail.session import bounded_broadcast, materialize_small
+from contrail.operators.ordered import (column_value_counts, quantiles_from_counts, quantiles_long,
+                                        unpivot_values)
+from contrail.session import bounded_broadcast
 
 
 def safe_name(value: str, prefix: str = "") -> str:
@@ -71,17 +72,18 @@ SUMMARY_PROBS = (0.0, 0.25, 0.5, 0.75, 1.0)
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """E10 (R ``summary``): min, Q1, median, mean, Q3, max and NA count per column."""
-    q = exact_quantiles(df, columns, SUMMARY_PROBS)
+    """E10 (R ``summary``): min, Q1, median, mean, Q3, max and NA count per
+    column -- all from one checkpointed pass of (column, value) counts."""
+    counts = column_value_counts(df, columns)
+    q = quantiles_from_counts(counts, SUMMARY_PROBS)
     wide = (q.groupBy("col_name")
             .agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n)
                    for p, n in zip(SUMMARY_PROBS, ("min", "q1", "median", "q3", "max"))]))
-    one = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"mean__{c}") for c in columns],
-                 *[F.count_if(F.col(c).isNull()).alias(f"na__{c}") for c in columns])
-    means = one.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("col_name"), F.col(f"mean__{c}").alias("mean"),
-                 F.col(f"na__{c}").cast("bigint").alias("na_count")) for c in columns])).alias("s")).select("s.*")
-    return means.join(wide, "col_name", "left").select("col_name", "min", "q1", "median", "mean", "q3", "max", "na_count")
+    moments = counts.groupBy("col_name").agg(
+        (F.sum(F.col("v") * F.col("n")) / F.sum(F.when(F.col("v").isNotNull(), F.col("n")))).alias("mean"),
+        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("na_count"))
+    return moments.join(wide, "col_name", "left").select("col_name", "min", "q1", "median", "mean", "q3", "max",
+                                                         "na_count")
 
 
 # The reference's tail grid, 0..0.9 by 0.1 and 0.9..1.0 by 0.01.
@@ -99,10 +101,12 @@ def positive_quantiles(df: DataFrame, columns: Sequence[str],
 def boxplot_stats(df: DataFrame, columns: Sequence[str], whisker: float = 1.5) -> DataFrame:
     """Interpolated quartiles, whiskers = most extreme values inside
     Q1 - 1.5 IQR / Q3 + 1.5 IQR, and the number of values outside them.
+    Quartiles, whiskers and outlier counts all come from one checkpointed
+    pass of (column, value) counts.
 
     (R's boxplot uses Tukey hinges; interpolated quartiles are used here.)"""
-    long = unpivot_values(df, columns)
-    q = quantiles_long(long, ["col_name"], (0.25, 0.5, 0.75))
+    counts = column_value_counts(df, columns).where(F.col("v").isNotNull())
+    q = quantiles_from_counts(counts, (0.25, 0.5, 0.75))
     quart = (q.groupBy("col_name")
              .agg(F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),
                   F.max(F.when(F.col("p") == 0.5, F.col("q"))).alias("median"),
@@ -110,13 +114,12 @@ def boxplot_stats(df: DataFrame, columns: Sequence[str], whisker: float = 1.5) -
              .withColumn("iqr", F.col("q3") - F.col("q1"))
              .withColumn("_lo", F.col("q1") - whisker * F.col("iqr"))
              .withColumn("_hi", F.col("q3") + whisker * F.col("iqr")))
-    fences = materialize_small(quart)
-    tagged = long.join(fences, "col_name")
+    tagged = counts.join(quart, "col_name")
     inside = (F.col("v") >= F.col("_lo")) & (F.col("v") <= F.col("_hi"))
     return (tagged.groupBy("col_name", "q1", "median", "q3", "iqr")
             .agg(F.min(F.when(inside, F.col("v"))).alias("lower_whisker"),
                  F.max(F.when(inside, F.col("v"))).alias("upper_whisker"),
-                 F.count_if(~inside).cast("bigint").alias("outliers")))
+                 F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).cast("bigint").alias("outliers")))
 
 
 def score_summary(scored: DataFrame, prediction: str, threshold: float = DELAY_THRESHOLD) -> DataFrame:

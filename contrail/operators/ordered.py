@@ -79,7 +79,7 @@ def value_counts_long(long: DataFrame, keys: Sequence[str], value: str = "v",
 
 def quantiles_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
                    value: str = "v", n_buckets: int = DEFAULT_BUCKETS,
-                   weight: str | None = None) -> DataFrame:
+                   weight: str | None = None, counted: bool = False) -> DataFrame:
     """Exact linear-interpolated quantiles (numpy / R type 7 / Spark
     ``percentile`` / DuckDB ``quantile_cont``) per group of ``keys``.
 
@@ -90,7 +90,10 @@ def quantiles_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
     keys = list(keys)
     # The collapsed counts feed four jobs; checkpoint them once (shared
     # checkpoint folder) instead of recomputing the input four times.
-    counts = cut_lineage(value_counts_long(long, keys, value, weight))
+    if counted:   # already one row per (keys, value) with weight ``n``, checkpointed
+        counts = long.select(*keys, value, F.col(weight).alias("n"))
+    else:
+        counts = cut_lineage(value_counts_long(long, keys, value, weight))
     cdf = running_totals(counts, keys, value, ["n"], n_buckets) \
         .withColumn("_prev", F.col("cum_n") - F.col("n"))
     sizes = counts.groupBy(*keys).agg(F.sum("n").alias("_N"))
@@ -111,6 +114,24 @@ def quantiles_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
                     (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("q")))
 
 
+def column_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One pass over ``df``: (col_name, v, n) per distinct value of every
+    column, the null value included as its own row (NaN counts as null).
+    Checkpointed, so quantiles, moments, NA counts and fence counts can
+    all be derived from it without touching ``df`` again."""
+    cast = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    long = cast.unpivot([], list(columns), "col_name", "v") \
+               .withColumn("v", F.when(~F.isnan("v"), F.col("v")))
+    return cut_lineage(long.groupBy("col_name", "v").agg(F.count(F.lit(1)).alias("n")))
+
+
+def quantiles_from_counts(counts: DataFrame, probs: Sequence[float],
+                          n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Exact quantiles per col_name from ``column_value_counts`` output."""
+    return quantiles_long(counts.where(F.col("v").isNotNull()), ["col_name"], probs, "v", n_buckets,
+                          weight="n", counted=True)
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                     n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Exact quantiles of several columns: (column, p, q)."""

@@ -33,8 +33,10 @@ def prepared_split(t):
     """Train / test with the columns the pipelines use, checkpointed to the
     shared folder and cached: every pipeline stage is a pass over the
     training rows, and without this each pass would recompute the fact join."""
-    cols = SPLIT_KEYS + SPEC.numeric + SPEC.categorical + [SPEC.label]
-    base = cut_lineage(shipments(t).select(*cols, ml.hash_bucket(SPLIT_KEYS).alias("_b")))
+    def build(tt):
+        cols = SPLIT_KEYS + SPEC.numeric + SPEC.categorical + [SPEC.label]
+        return cut_lineage(shipments(tt).select(*cols, ml.hash_bucket(SPLIT_KEYS).alias("_b")))
+    base = t.derived("train_test_base", build)
     cut = int(round(ml.TRAIN_FRACTION * 10000))
     return (base.where(F.col("_b") < cut).drop("_b").cache(),
             base.where(F.col("_b") >= cut).drop("_b").cache())
@@ -89,7 +91,7 @@ def category_index(t):
 
 
 def _single_feature_fit(t, reg):
-    tr, _ = split(t)
+    tr, _ = prepared_split(t)
     data = VectorAssembler(inputCols=["distance"], outputCol="features").transform(tr)
     m = reg.fit(data)
     r2 = m.summary.r2
@@ -116,7 +118,7 @@ SELECT ROUND(b, 6) AS slope, ROUND(my - b * mx, 6) AS intercept,
   GROUP BY b, mx, my)""", shipments=SHIPMENTS_SQL, tr=f"SELECT * FROM shipments WHERE {BUCKET_SQL} < 8000"))
 def ridge_fit(t):
     """Ridge (alpha = 1, intercept not penalised) of net amount on distance."""
-    tr, _ = split(t)
+    tr, _ = prepared_split(t)
     # The normal-equation solver scales the label by its population std
     # (l-bfgs by the sample std); either way regParam = alpha * std / n.
     s = tr.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("net_amount").alias("sd")).first()
