@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.operators.ordered import quantiles_long, running_totals, unpivot_values
+from contrail.operators.ordered import quantiles_long, running_totals, spread, unpivot_values
 from contrail.session import cut_lineage, materialize_small
 
 # The reference's drift thresholds.
@@ -58,11 +58,13 @@ def ks_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str],
     n_ref, n_cur, reference_mean, current_mean, reference_std, current_std).
     """
     long = _two_sided_long(ref, cur, columns)
-    counts = cut_lineage(long.groupBy("col_name", "v").agg(
-        F.count_if(F.col("side") == 0).alias("n1"), F.count_if(F.col("side") == 1).alias("n2")))
+    counts = cut_lineage(spread(long.groupBy("col_name", "v").agg(
+        F.count_if(F.col("side") == 0).alias("n1"), F.count_if(F.col("side") == 1).alias("n2")), ["col_name", "v"]))
     sizes = counts.groupBy("col_name").agg(F.sum("n1").alias("tot1"), F.sum("n2").alias("tot2"))
-    cdf = running_totals(counts, ["col_name"], "v", ["n1", "n2"])
-    stat = (cdf.join(sizes, "col_name")
+    cdf = running_totals(counts, ["col_name"], "v", ["n1", "n2"], max_groups=len(columns))
+    # sizes / moments hold one row per requested column: broadcast (a join
+    # on the column name alone would shuffle a whole column into one task)
+    stat = (cdf.join(F.broadcast(sizes), "col_name")
             .groupBy("col_name", "tot1", "tot2")
             .agg(F.max(F.abs(F.col("cum_n1") / F.col("tot1") - F.col("cum_n2") / F.col("tot2"))).alias("ks_statistic")))
     moments = (long.groupBy("col_name").agg(
@@ -73,7 +75,7 @@ def ks_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str],
     p = kolmogorov_pvalue(F.col("ks_statistic"), F.col("tot1").cast("double"), F.col("tot2").cast("double"))
     return (stat.where((F.col("tot1") > 0) & (F.col("tot2") > 0))
             .withColumn("p_value", p)
-            .join(moments, "col_name", "left")
+            .join(F.broadcast(moments), "col_name", "left")
             .select("col_name", "ks_statistic", "p_value",
                     (F.col("p_value") < threshold).alias("drift_detected"),
                     F.lit(threshold).alias("threshold"),
@@ -90,7 +92,7 @@ def _category_counts(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) ->
     counts = both.groupBy("col_name", "category").agg(
         F.count_if(F.col("side") == 0).alias("n_ref"), F.count_if(F.col("side") == 1).alias("n_cur"))
     sizes = counts.groupBy("col_name").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
-    return (counts.join(sizes, "col_name")
+    return (counts.join(F.broadcast(sizes), "col_name")   # one row per requested column
             .withColumn("p_ref", F.when(F.col("tot_ref") > 0, F.col("n_ref") / F.col("tot_ref")).otherwise(0.0))
             .withColumn("p_cur", F.when(F.col("tot_cur") > 0, F.col("n_cur") / F.col("tot_cur")).otherwise(0.0)))
 
@@ -166,13 +168,13 @@ def baseline_stats(df: DataFrame, features: Sequence[str], bins: int = PSI_BINS)
     distribution is summarised instead of keeping its first 5,000 values."""
     probs = tuple(i / bins for i in range(bins + 1))
     long = unpivot_values(df, features)
-    edges = (quantiles_long(long, ["col_name"], probs)
+    edges = (quantiles_long(long, ["col_name"], probs, max_groups=len(features))
              .groupBy("col_name").agg(F.array_distinct(F.transform(
                  F.sort_array(F.collect_list(F.struct("p", "q"))), lambda s: s["q"])).alias("edges")))
     moments = long.groupBy("col_name").agg(
         F.count(F.lit(1)).cast("bigint").alias("n"), F.avg("v").alias("mean"),
         F.stddev_pop("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
-    return moments.join(edges, "col_name", "left")
+    return moments.join(F.broadcast(edges), "col_name", "left")
 
 
 def _bin_index(v: Column, edges: Column) -> Column:
@@ -205,7 +207,7 @@ def psi(baseline: DataFrame, production: DataFrame, features: Sequence[str],
                .agg(F.count_if(F.col("side") == 0).alias("c_e"), F.count_if(F.col("side") == 1).alias("c_a")))
     spine = stats.select("col_name", F.explode(F.sequence(F.lit(0), F.greatest(F.size("edges") - 2, F.lit(0))))
                          .alias("bin"), F.size("edges").alias("n_edges"))
-    filled = (spine.join(per_bin, ["col_name", "bin"], "left").join(sizes, "col_name")
+    filled = (spine.join(per_bin, ["col_name", "bin"], "left").join(F.broadcast(sizes), "col_name")
               .withColumn("e", F.greatest(F.coalesce(F.col("c_e"), F.lit(0)) / F.col("N_e"), F.lit(PSI_EPS)))
               .withColumn("a", F.greatest(F.coalesce(F.col("c_a"), F.lit(0)) / F.col("N_a"), F.lit(PSI_EPS))))
     out = (filled.groupBy("col_name", "n_edges", "N_a")

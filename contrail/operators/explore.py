@@ -75,14 +75,14 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """E10 (R ``summary``): min, Q1, median, mean, Q3, max and NA count per
     column -- all from one checkpointed pass of (column, value) counts."""
     counts = column_value_counts(df, columns)
-    q = quantiles_from_counts(counts, SUMMARY_PROBS)
+    q = quantiles_from_counts(counts, SUMMARY_PROBS, len(columns))
     wide = (q.groupBy("col_name")
             .agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n)
                    for p, n in zip(SUMMARY_PROBS, ("min", "q1", "median", "q3", "max"))]))
     moments = counts.groupBy("col_name").agg(
         (F.sum(F.col("v") * F.col("n")) / F.sum(F.when(F.col("v").isNotNull(), F.col("n")))).alias("mean"),
         F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("na_count"))
-    return moments.join(wide, "col_name", "left").select("col_name", "min", "q1", "median", "mean", "q3", "max",
+    return moments.join(F.broadcast(wide), "col_name", "left").select("col_name", "min", "q1", "median", "mean", "q3", "max",
                                                          "na_count")
 
 
@@ -95,7 +95,7 @@ def positive_quantiles(df: DataFrame, columns: Sequence[str],
                        probs: Sequence[float] = BODY_PROBS + TAIL_PROBS[1:]) -> DataFrame:
     """Quantiles (type 7) of the strictly positive values of each column."""
     long = unpivot_values(df, columns).where(F.col("v") > 0)
-    return quantiles_long(long, ["col_name"], probs)
+    return quantiles_long(long, ["col_name"], probs, max_groups=len(columns))
 
 
 def boxplot_stats(df: DataFrame, columns: Sequence[str], whisker: float = 1.5) -> DataFrame:
@@ -106,7 +106,7 @@ def boxplot_stats(df: DataFrame, columns: Sequence[str], whisker: float = 1.5) -
 
     (R's boxplot uses Tukey hinges; interpolated quartiles are used here.)"""
     counts = column_value_counts(df, columns).where(F.col("v").isNotNull())
-    q = quantiles_from_counts(counts, (0.25, 0.5, 0.75))
+    q = quantiles_from_counts(counts, (0.25, 0.5, 0.75), len(columns))
     quart = (q.groupBy("col_name")
              .agg(F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),
                   F.max(F.when(F.col("p") == 0.5, F.col("q"))).alias("median"),
@@ -114,7 +114,7 @@ def boxplot_stats(df: DataFrame, columns: Sequence[str], whisker: float = 1.5) -
              .withColumn("iqr", F.col("q3") - F.col("q1"))
              .withColumn("_lo", F.col("q1") - whisker * F.col("iqr"))
              .withColumn("_hi", F.col("q3") + whisker * F.col("iqr")))
-    tagged = counts.join(quart, "col_name")
+    tagged = counts.join(F.broadcast(quart), "col_name")   # one row per column
     inside = (F.col("v") >= F.col("_lo")) & (F.col("v") <= F.col("_hi"))
     return (tagged.groupBy("col_name", "q1", "median", "q3", "iqr")
             .agg(F.min(F.when(inside, F.col("v"))).alias("lower_whisker"),

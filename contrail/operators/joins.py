@@ -81,7 +81,8 @@ def join_daily_and_fill(fact: DataFrame, daily: DataFrame, fact_date: str,
     d = daily.withColumnRenamed(daily_date, "_dd")
     weighted = per_date.join(d, "_dd", "left")
     long = unpivot_values(weighted, fill_cols, keep=["_w"])
-    med = {r["col_name"]: r["q"] for r in quantiles_long(long, ["col_name"], [0.5], weight="_w").collect()}
+    med = {r["col_name"]: r["q"] for r in
+           quantiles_long(long, ["col_name"], [0.5], weight="_w", max_groups=len(fill_cols)).collect()}
     joined = fact.join(d, fact[fact_date] == F.col("_dd"), "left").drop("_dd")
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(med[c]).cast("double"))
                                for c in fill_cols if med.get(c) is not None})

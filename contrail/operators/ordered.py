@@ -28,13 +28,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.session import cut_lineage
+from contrail.session import cut_lineage, materialize_small
 
 DEFAULT_BUCKETS = 128
 # groups x buckets rows are broadcast; groups are column names or sides.
 MAX_BOUND_ROWS = 200_000
 
 
+def spread(counts: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Hash-spread collapsed (group, value) rows over the shuffle partitions
+    before they are checkpointed.  The collapse is an aggregate whose small
+    output AQE would coalesce into one partition, and everything read back
+    from the checkpoint (bucket assignment, windows) would then run in a
+    single task.  A repartition with an explicit count is not coalesced."""
+    n = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return counts.repartition(n, *cols)
+
+
 def unpivot_values(df: DataFrame, columns: Sequence[str], name: str = "col_name",
                    value: str = "v", keep: Sequence[str] = ()) -> DataFrame:
     """Wide -> long (column name, value as double), nulls and NaN dropped."""
@@ -43,27 +53,43 @@ def unpivot_values(df: DataFrame, columns: Sequence[str], name: str = "col_name"
     return long.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
 
 
+def small_side(df: DataFrame, max_rows: int | None) -> DataFrame:
+    """Broadcast a per-group side table.  Joins keyed only by a few group
+    keys (column names) must not shuffle: every row of the largest column
+    would hash to one task.  ``max_rows`` is the structural bound (groups x
+    rows per group, known from the caller's column list); without one the
+    table is fetched under a row-count check instead."""
+    if max_rows is not None and max_rows <= MAX_BOUND_ROWS:
+        return F.broadcast(df)
+    return materialize_small(df, MAX_BOUND_ROWS)
+
+
 def running_totals(counts: DataFrame, keys: Sequence[str], value: str,
-                   weights: Sequence[str], n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                   weights: Sequence[str], n_buckets: int = DEFAULT_BUCKETS,
+                   max_groups: int | None = None) -> DataFrame:
     """Add ``cum_<w>`` (inclusive running sum in ``value`` order within
     ``keys``) for every weight column.  ``counts`` must hold one row per
-    (keys, value)."""
+    (keys, value); ``max_groups`` bounds the number of distinct ``keys``."""
     keys = list(keys)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = (counts.groupBy(*keys)
               .agg(F.array_distinct(F.percentile_approx(F.col(value).cast("double"), probs, 10 * n_buckets))
                    .alias("_bounds")))
+    bounds = small_side(bounds, max_groups)
     tagged = (counts.join(bounds, keys, "left")
               .withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b <= F.col(value).cast("double"))))
               .drop("_bounds"))
     w_in = (Window.partitionBy(*keys, "_bucket").orderBy(value)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = tagged.select("*", *[F.sum(w).over(w_in).alias(f"_loc_{w}") for w in weights])
-    totals = tagged.groupBy(*keys, "_bucket").agg(*[F.sum(w).alias(f"_tot_{w}") for w in weights])
+    # bucket totals = the last running sum of each bucket; taken from the
+    # window output so the bucket expression is evaluated once
+    totals = local.groupBy(*keys, "_bucket").agg(*[F.max(f"_loc_{w}").alias(f"_tot_{w}") for w in weights])
     w_off = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "_bucket",
                             *[F.coalesce(F.sum(f"_tot_{w}").over(w_off), F.lit(0)).alias(f"_off_{w}")
                               for w in weights])
+    offsets = small_side(offsets, None if max_groups is None else max_groups * n_buckets)
     out = local.join(offsets, keys + ["_bucket"], "left")
     return out.select(*[c for c in counts.columns],
                       *[(F.col(f"_loc_{w}") + F.col(f"_off_{w}")).alias(f"cum_{w}") for w in weights])
@@ -79,7 +105,8 @@ def value_counts_long(long: DataFrame, keys: Sequence[str], value: str = "v",
 
 def quantiles_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
                    value: str = "v", n_buckets: int = DEFAULT_BUCKETS,
-                   weight: str | None = None, counted: bool = False) -> DataFrame:
+                   weight: str | None = None, counted: bool = False,
+                   max_groups: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles (numpy / R type 7 / Spark
     ``percentile`` / DuckDB ``quantile_cont``) per group of ``keys``.
 
@@ -93,8 +120,8 @@ def quantiles_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
     if counted:   # already one row per (keys, value) with weight ``n``, checkpointed
         counts = long.select(*keys, value, F.col(weight).alias("n"))
     else:
-        counts = cut_lineage(value_counts_long(long, keys, value, weight))
-    cdf = running_totals(counts, keys, value, ["n"], n_buckets) \
+        counts = cut_lineage(spread(value_counts_long(long, keys, value, weight), [*keys, value]))
+    cdf = running_totals(counts, keys, value, ["n"], n_buckets, max_groups) \
         .withColumn("_prev", F.col("cum_n") - F.col("n"))
     sizes = counts.groupBy(*keys).agg(F.sum("n").alias("_N"))
     targets = (sizes
@@ -105,6 +132,7 @@ def quantiles_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
                .withColumn("_hi", F.ceil("_h"))
                .withColumn("_side", F.explode(F.array(F.lit("lo"), F.lit("hi"))))
                .withColumn("_r", F.when(F.col("_side") == "lo", F.col("_lo")).otherwise(F.col("_hi"))))
+    targets = small_side(targets, None if max_groups is None else max_groups * len(probs) * 2)
     hit = cdf.join(targets, keys).where((F.col("_prev") <= F.col("_r")) & (F.col("_r") < F.col("cum_n")))
     return (hit.groupBy(*keys, "p")
             .agg(F.max(F.when(F.col("_side") == "lo", F.col(value))).alias("_vlo"),
@@ -122,20 +150,21 @@ def column_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     cast = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     long = cast.unpivot([], list(columns), "col_name", "v") \
                .withColumn("v", F.when(~F.isnan("v"), F.col("v")))
-    return cut_lineage(long.groupBy("col_name", "v").agg(F.count(F.lit(1)).alias("n")))
+    return cut_lineage(spread(long.groupBy("col_name", "v").agg(F.count(F.lit(1)).alias("n")), ["col_name", "v"]))
 
 
-def quantiles_from_counts(counts: DataFrame, probs: Sequence[float],
+def quantiles_from_counts(counts: DataFrame, probs: Sequence[float], max_groups: int,
                           n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Exact quantiles per col_name from ``column_value_counts`` output."""
     return quantiles_long(counts.where(F.col("v").isNotNull()), ["col_name"], probs, "v", n_buckets,
-                          weight="n", counted=True)
+                          weight="n", counted=True, max_groups=max_groups)
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                     n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Exact quantiles of several columns: (column, p, q)."""
-    return quantiles_long(unpivot_values(df, columns), ["col_name"], probs, "v", n_buckets)
+    return quantiles_long(unpivot_values(df, columns), ["col_name"], probs, "v", n_buckets,
+                          max_groups=len(columns))
 
 
 def quantile_array(quantiles: DataFrame, keys: Sequence[str], name: str = "qs") -> DataFrame:
@@ -158,7 +187,7 @@ def rank_threshold(df: DataFrame, order_col: str, rank: int,
     (``order_col`` should be unique).  None when rank is out of range."""
     counts = df.select(F.col(order_col).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n")) \
         .withColumn("_g", F.lit(0))
-    cdf = running_totals(counts, ["_g"], "v", ["n"], n_buckets)
+    cdf = running_totals(counts, ["_g"], "v", ["n"], n_buckets, max_groups=1)
     row = (cdf.where((F.col("cum_n") - F.col("n") <= rank) & (F.lit(rank) < F.col("cum_n")))
            .select("v").limit(1).collect())
     return row[0]["v"] if row else None
