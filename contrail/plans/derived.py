@@ -10,7 +10,7 @@ from contrail.operators.feature_set import Roles, Thresholds, engineer
 from contrail.plans.catalog import query
 from contrail.plans.profile import (CRITICAL, DAILY_WIDE_SQL, HOLIDAYS_SQL, PRESENCE_SQL, RANGE_BOUNDS,
                                     TABLE_CONTRACTS, _FK_SQL, daily_feed_wide, shipments_weather)
-from contrail.plans.shipments import SHIPMENTS_SQL, shipments, shipments_materialized, with_ctes
+from contrail.plans.shipments import SHIPMENTS_SQL, calendar_years, shipments, shipments_materialized, with_ctes
 from contrail.sources.calendar import holiday_calendar
 
 # Cuts and thresholds rescaled to the driver's measures (price, not miles /
@@ -57,8 +57,8 @@ LEFT JOIN daily w ON s.ship_date = w.date""", shipments=SHIPMENTS_SQL, daily=DAI
 def engineered_features(t):
     """Every feature whose inputs exist, on the fact joined
     to the holiday calendar and the daily feed (weather role)."""
-    s = shipments_materialized(t)
-    s = joins.join_holidays(s, holiday_calendar(s.select("year")), date_col="ship_date")
+    s = shipments(t)
+    s = joins.join_holidays(s, holiday_calendar(calendar_years(t)), date_col="ship_date")
     w = daily_feed_wide(t).withColumnRenamed("date", "_d")
     s = s.join(F.broadcast(w), s.ship_date == w._d, "left")
     return engineer(s, SHIP_ROLES, SHIP_THRESHOLDS).select(*FEATURE_OUT)

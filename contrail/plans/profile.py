@@ -9,7 +9,7 @@ from contrail.functions.features import delay_flag, is_weekend
 from contrail.operators import contracts, explore, grouping, joins, quality
 from contrail.operators.ordered import split_by_position
 from contrail.plans.catalog import query
-from contrail.plans.shipments import (SHIPMENTS_SQL, daily_feed_long, locations,
+from contrail.plans.shipments import (SHIPMENTS_SQL, calendar_years, daily_feed_long, locations,
                                       LOCATIONS_SQL, shipments, shipments_materialized, with_ctes)
 from contrail.sources.calendar import holiday_calendar
 
@@ -315,8 +315,8 @@ SELECT s.order_key, s.line_number, s.ship_date, COALESCE(h.holiday_name, 'None')
 FROM shipments s LEFT JOIN ({HOLIDAYS_SQL}) h ON s.ship_date = h.date""", shipments=SHIPMENTS_SQL))
 def shipments_holidays(t):
     """Fact LEFT JOIN the holiday calendar on the service date."""
-    s = shipments_materialized(t)
-    cal = holiday_calendar(s.select("year"))
+    s = shipments(t)
+    cal = holiday_calendar(calendar_years(t))
     return joins.join_holidays(s, cal, date_col="ship_date") \
         .select("order_key", "line_number", "ship_date", "holiday_name", "is_holiday")
 
@@ -463,8 +463,8 @@ SELECT ROUND(avg(CASE WHEN day_of_week IN (6, 7) THEN 1 ELSE 0 END) * 100.0, 4)
 FROM shipments s LEFT JOIN ({HOLIDAYS_SQL}) h ON s.ship_date = h.date""", shipments=SHIPMENTS_SQL))
 def feature_shares(t):
     """Weekend, delayed and holiday shares of the fact in one aggregate."""
-    s = shipments_materialized(t)
-    j = joins.join_holidays(s, holiday_calendar(s.select("year")), date_col="ship_date")
+    s = shipments(t)
+    j = joins.join_holidays(s, holiday_calendar(calendar_years(t)), date_col="ship_date")
     return explore.flag_shares(j, {"weekend_pct": is_weekend("day_of_week"),
                                    "delayed_pct": delay_flag("delay"),
                                    "holiday_pct": "is_holiday"})

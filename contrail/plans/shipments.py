@@ -92,6 +92,14 @@ def _build_shipments(t) -> DataFrame:
     )
 
 
+def calendar_years(t) -> DataFrame:
+    """Distinct service years from a one-column scan of lineitem: a superset
+    of the fact's years (the fact is an inner join of lineitem), enough to
+    build a calendar that is only left-joined -- no second pass over the
+    joined fact."""
+    return t["lineitem"].select(F.year(F.to_date("l_shipdate")).alias("year")).distinct()
+
+
 def locations(t) -> DataFrame:
     """Location dimension: nation JOIN region (25 rows by construction)."""
     n, r = t["nation"], t["region"]

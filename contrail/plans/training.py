@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from contrail.operators import grouping, joins, ml, quality
 from contrail.plans.learning import SPEC, SPLIT_KEYS
-from contrail.plans.shipments import carriers, locations, shipments_materialized as shipments
+from contrail.plans.shipments import calendar_years, carriers, locations, shipments_materialized as shipments
 from contrail.session import cut_lineage
 from contrail.sources.calendar import holiday_calendar
 from contrail.sources.tables import Tables, report_sink, route_dataset, write_table
@@ -37,7 +37,7 @@ def build_features(t: Tables) -> DataFrame:
     """Fact + carrier and both location roles + holidays + leakage-safe
     origin statistics (E4), the feature table of the run."""
     s = joins.enrich_star(shipments(t), carriers(t), locations(t))
-    s = joins.join_holidays(s, holiday_calendar(s.select("year")), date_col="ship_date")
+    s = joins.join_holidays(s, holiday_calendar(calendar_years(t)), date_col="ship_date")
     prior = grouping.leakage_safe_stats(shipments(t), "origin", "ship_date", "delay", "origin")
     return s.join(prior, ["origin", "ship_date"], "left")
 
