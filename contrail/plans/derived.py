@@ -139,3 +139,30 @@ def shipments_head_sample(t):
     from contrail.sources.tables import head_sample
     return head_sample(shipments(t), 100, HEAD_ORDER).select(
         "order_key", "line_number", "carrier", "ship_date", "delay", "distance")
+
+
+@query("freq_day_of_month", with_ctes(
+    "SELECT day, count(*) AS n FROM shipments GROUP BY day", shipments=SHIPMENTS_SQL))
+def freq_day_of_month(t):
+    """One-way frequency table of the day of month."""
+    from contrail.operators.explore import frequency
+    return frequency(shipments(t), ["day"])
+
+
+@query("distance_bin_counts", with_ctes(f"""
+SELECT {_bins_sql('distance')} AS DISTANCE_BIN, count(*) AS n FROM shipments GROUP BY 1""",
+    shipments=SHIPMENTS_SQL))
+def distance_bin_counts(t):
+    """Rows per right-closed distance bin (null = outside every bin)."""
+    from contrail.operators.explore import frequency
+    s = shipments(t).withColumn("DISTANCE_BIN", fx.distance_bin("distance", SHIP_THRESHOLDS.distance_bins))
+    return frequency(s, ["DISTANCE_BIN"])
+
+
+@query("service_date_range", with_ctes("""
+SELECT min(ship_date) AS first_date, max(ship_date) AS last_date, count(DISTINCT ship_date) AS service_days
+FROM shipments""", shipments=SHIPMENTS_SQL))
+def service_date_range(t):
+    """First / last service date and the number of service days."""
+    return shipments(t).agg(F.min("ship_date").alias("first_date"), F.max("ship_date").alias("last_date"),
+                            F.count_distinct("ship_date").alias("service_days"))
