@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions.features import date_from_parts
-from contrail.operators.ordered import medians
 from contrail.session import bounded_broadcast, materialize_small
 
 DIM_BROADCAST_ROWS = 2_000_000

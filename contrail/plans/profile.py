@@ -3,8 +3,6 @@ and exploratory summaries (B5, C1-C10, A10, D4-D6, E5-E12, E15, E16)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from contrail.functions.features import delay_flag, is_weekend
 from contrail.operators import contracts, explore, grouping, joins, quality
 from contrail.operators.ordered import split_by_position

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from contrail.operators import grouping, joins
 from contrail.plans.catalog import query

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from contrail.operators import explore, grouping, joins, quality
 
