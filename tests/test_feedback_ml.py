@@ -95,3 +95,14 @@ def test_gates(spark):
     assert ml.accept(0.9, 0.85)["accepted"]
     assert not ml.accept(0.9, 0.55)["accepted"]
     assert not ml.accept(0.99, 0.85)["accepted"]
+
+
+def test_feedback_store_has_no_join_and_handles_hot_id(spark):
+    preds = spark.createDataFrame([("hot", "{}", float(i), "v1", i) for i in range(300)]
+                                  + [("cold", "{}", 1.0, "v1", 5)], P)
+    labels = spark.createDataFrame([("hot", float(i), "x", i) for i in range(150, 400)], L)
+    fb = feedback.feedback_table(preds, labels)
+    plan = fb._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    got = {r["request_id"]: (r["prediction"], r["actual_delay"]) for r in fb.collect()}
+    assert got == {"hot": (299.0, 399.0), "cold": (1.0, None)}
