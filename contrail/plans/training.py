@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.operators import grouping, joins, ml, quality
+from contrail.operators import drift, grouping, joins, ml, quality
 from contrail.plans.learning import SPEC, SPLIT_KEYS
 from contrail.plans.shipments import calendar_years, carriers, locations, shipments_materialized as shipments
 from contrail.session import cut_lineage
@@ -42,9 +42,13 @@ def build_features(t: Tables) -> DataFrame:
     return s.join(prior, ["origin", "ship_date"], "left")
 
 
+class ModelRejected(RuntimeError):
+    pass
+
+
 def run_training(spark: SparkSession, sf_dir: str, out_dir: str,
                  champion_path: str | None = None, fail_on_invalid: bool = False,
-                 models: dict | None = None) -> RunResult:
+                 models: dict | None = None, fail_on_rejection: bool = False) -> RunResult:
     t = Tables(spark, sf_dir)
     out = out_dir.rstrip("/")
 
@@ -79,6 +83,8 @@ def run_training(spark: SparkSession, sf_dir: str, out_dir: str,
     report_sink(report, f"{out}/reports/training")
     best_row = next((r for r in rows if r["model"] == best), None)
     accepted = bool(best_row and best_row["accepted"])
+    if fail_on_rejection and not accepted:      # H14: the reference fails the run
+        raise ModelRejected(f"best model {best} failed the acceptance gates")
     promoted, model_path = False, None
     if accepted:
         champion = ml.load_model(champion_path) if champion_path and os.path.exists(champion_path) else None
@@ -86,6 +92,11 @@ def run_training(spark: SparkSession, sf_dir: str, out_dir: str,
         promoted = decision["accepted"]
         if promoted:
             model_path = ml.save_model(fitted[best], f"{out}/final_model")
+            # Drift baseline of the training rows with the model's scores
+            base = drift.baseline_stats(tr, SPEC.numeric).withColumns({
+                "baseline_r2": F.lit(best_row["test_r2"]).cast("double"),
+                "baseline_mae": F.lit(best_row["test_mae"]).cast("double")})
+            write_table(base, f"{out}/baseline")
     # A4: route the validated fact
     route_dataset(s.select(*SPLIT_KEYS, "delay"), passed, out, "shipments")
     return RunResult(passed, best, accepted, promoted, model_path, f"{out}/reports")

@@ -19,6 +19,8 @@ def test_run_training_end_to_end(spark):
     res = run_training(spark, SMOKE, out, models=zoo)
     assert res.best_model == "linear_regression" and res.accepted and res.promoted
     assert os.path.isdir(res.model_path)
+    base = {r["col_name"]: r for r in spark.read.parquet(f"{out}/baseline").collect()}
+    assert set(base) == set(SPEC.numeric) and base["distance"]["baseline_r2"] > 0.6
     assert spark.read.json(f"{out}/reports/training").count() == 1
     assert spark.read.parquet(f"{out}/features").count() == shipments(Tables(spark, SMOKE)).count()
     # second run: the first model is now the champion; an equal model is not promoted
@@ -27,3 +29,14 @@ def test_run_training_end_to_end(spark):
     raw = shipments(Tables(spark, SMOKE)).limit(50)
     scored = score_with_feature_tables(spark, res.model_path, raw, f"{out}/feature_stats")
     assert scored.count() == 50 and "origin_avg_delay" in scored.columns
+
+
+def test_run_training_fails_on_rejection(spark):
+    import pytest
+    from pyspark.ml.regression import LinearRegression as LR
+
+    from contrail.plans.training import ModelRejected
+    out = tempfile.mkdtemp(prefix="contrail-run-")
+    weak = {"intercept_only": LR(labelCol=SPEC.label, solver="normal", regParam=1e9, elasticNetParam=0.0)}
+    with pytest.raises(ModelRejected):
+        run_training(spark, SMOKE, out, models=weak, fail_on_rejection=True)
