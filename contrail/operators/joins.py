@@ -72,16 +72,16 @@ def join_daily_and_fill(fact: DataFrame, daily: DataFrame, fact_date: str,
     The joined value of a column is the daily value of the row's date, so
     the median over joined rows is the median of the daily values weighted
     by the number of fact rows per date.  Only ``groupBy(date).count()``
-    touches the fact (map-side combined); the exact weighted medians run on
-    the date-sized table and come back as a few scalars."""
-    from contrail.operators.ordered import quantiles_long, unpivot_values
-
+    touches the fact (map-side combined).  The weighted medians then run on
+    a table with one row per calendar day -- bounded by the time span, not
+    by the data volume -- so Spark's exact ``percentile`` with a frequency
+    column is safe there; the medians come back as a few scalars."""
     per_date = fact.groupBy(F.col(fact_date).alias("_dd")).agg(F.count(F.lit(1)).alias("_w"))
     d = daily.withColumnRenamed(daily_date, "_dd")
     weighted = per_date.join(d, "_dd", "left")
-    long = unpivot_values(weighted, fill_cols, keep=["_w"])
-    med = {r["col_name"]: r["q"] for r in
-           quantiles_long(long, ["col_name"], [0.5], weight="_w", max_groups=len(fill_cols)).collect()}
+    row = weighted.agg(*[F.percentile(F.col(c).cast("double"), F.lit(0.5), F.col("_w")).alias(c)
+                         for c in fill_cols]).first()
+    med = {c: row[c] for c in fill_cols}
     joined = fact.join(d, fact[fact_date] == F.col("_dd"), "left").drop("_dd")
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(med[c]).cast("double"))
                                for c in fill_cols if med.get(c) is not None})
