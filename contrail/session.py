@@ -54,12 +54,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A cluster must name a shared (HDFS/S3/ABFS) folder there.  Only when the
     setting is absent -- local tests -- do we create a scratch folder.
     """
-    sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext; the conf is enough
+        sc = None
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and sc is not None:
+        path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="contrail-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
 

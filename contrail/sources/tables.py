@@ -46,8 +46,12 @@ class Tables(dict):
         """
         def build(t):
             df = t[name]
-            target = t.spark.sparkContext.defaultParallelism
-            return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+            try:
+                target = t.spark.sparkContext.defaultParallelism
+                splits = df.rdd.getNumPartitions()       # planning only, no job
+            except Exception:  # Spark Connect: no RDD view, leave the scan as is
+                return df
+            return df.repartition(target) if splits < target else df
         return self.derived(f"fact:{name}", build)
 
     def derived(self, name: str, build) -> DataFrame:
