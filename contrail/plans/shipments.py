@@ -58,11 +58,14 @@ def _build_shipments(t) -> DataFrame:
     ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks with the
     real sizes at runtime; beyond that they are sort-merge joined.
     """
-    scan = t.fact if hasattr(t, "fact") else t.__getitem__
-    li = scan("lineitem").select(
+    if hasattr(t, "fact"):
+        li_scan, o_scan = t.fact("lineitem", "l_orderkey"), t.fact("orders", "o_orderkey")
+    else:
+        li_scan, o_scan = t["lineitem"], t["orders"]
+    li = li_scan.select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
-    o = scan("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    o = o_scan.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = t["customer"].select("c_custkey", "c_nationkey")
     s = t["supplier"].select("s_suppkey", "s_nationkey")
     fact = (li.join(o, li.l_orderkey == o.o_orderkey)
