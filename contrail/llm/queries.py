@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-MODULES = ("q_substring", "q_mixture")
+MODULES = ("q_substring", "q_mixture", "q_quality_rules")
 
 
 def register(name: str, sql: str | None = None):
