@@ -85,7 +85,10 @@ class Words:
 
 
 def split_words(arr: pa.Array) -> Words:
-    data, off = text_buffer(arr)
+    return split_buffer(*text_buffer(arr))
+
+
+def split_buffer(data: np.ndarray, off: np.ndarray) -> Words:
     body = ~_SPACE[data]
     begins, ends = body.copy(), body.copy()
     begins[1:] &= ~body[:-1]
