@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.words import Words, slices, split_buffer, text_buffer, window_hashes
+from contrail.llm.words import Words, ranges, slices, split_buffer, text_buffer, window_hashes
 
 CHUNK = 64       # words; a passage has two chunks
 SEGMENT = 48     # words of an indexed segment at most: each lies within one passage
@@ -69,12 +69,6 @@ def _grams(texts: list[str]) -> list[np.ndarray]:
     return out
 
 
-def _expand(start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions start..start+count of every entry, and the entry of each."""
-    of = np.repeat(np.arange(len(count)), count)
-    return np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(start, count), of
-
-
 @dataclass
 class Index:
     item_ids: list
@@ -139,7 +133,7 @@ def retrieve(ix: Index, w: Words, h: np.ndarray, threshold: float) -> tuple[np.n
     pair = np.unique(chunk * len(ix.terms) + at[known])
     chunk, term = pair // len(ix.terms), pair % len(ix.terms)
     # upper bounds of (chunk, block), then of passages of two chunks of one row
-    where, of = _expand(ix.block_at[term], ix.block_at[term + 1] - ix.block_at[term])
+    where, of = ranges(ix.block_at[term], ix.block_at[term + 1] - ix.block_at[term])
     bound = np.bincount(chunk[of] * ix.blocks + ix.block_no[where], ix.block_max[where], minlength=n_chunks * ix.blocks).reshape(n_chunks, ix.blocks)
     chunk_row = np.repeat(np.arange(len(lengths)), chunks)
     has_next = np.zeros(n_chunks, dtype=bool)
@@ -152,10 +146,10 @@ def retrieve(ix: Index, w: Words, h: np.ndarray, threshold: float) -> tuple[np.n
         return none
     # exact scores of the open blocks: distinct terms of both chunks
     start, end = np.searchsorted(chunk, alive), np.searchsorted(chunk, alive + 1 + has_next[alive])
-    got, of = _expand(start, end - start)
+    got, of = ranges(start, end - start)
     pair = np.unique(of * len(ix.terms) + term[got])
     of, term = pair // len(ix.terms), pair % len(ix.terms)
-    where, back = _expand(ix.post_at[term], ix.post_at[term + 1] - ix.post_at[term])
+    where, back = ranges(ix.post_at[term], ix.post_at[term + 1] - ix.post_at[term])
     of, segment = of[back], ix.post_segment[where]
     keep = open_blocks[alive[of], segment // BLOCK]
     cell = of[keep] * len(ix.item_of) + segment[keep]

@@ -136,7 +136,35 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iter
         at = end
 
 
-def segment_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sum of ``values`` between consecutive entries of ``first``."""
-    total = np.concatenate(([0], np.cumsum(values)))
-    return total[first[1:]] - total[first[:-1]]
+def pack_gaps(sorted_cells: np.ndarray) -> bytes:
+    """Gap code: runs of 255 plus a remainder byte per cell; a gap of 0 is a second count."""
+    gaps = np.diff(sorted_cells, prepend=0)
+    long = gaps // 255
+    out = np.full(int(long.sum()) + len(gaps), 255, dtype=np.uint8)
+    out[np.cumsum(long + 1) - 1] = gaps % 255
+    return out.tobytes()
+
+
+def unpack_gaps(blob: bytes) -> np.ndarray:
+    raw = np.frombuffer(blob, dtype=np.uint8)
+    return np.cumsum(raw.astype(np.int64))[raw != 255]
+
+
+def pack_small(values: np.ndarray) -> bytes:
+    """Two bytes for a value below 65535; larger ones repeat 65535 first."""
+    long = values // 65535
+    out = np.full(int(long.sum()) + len(values), 65535, dtype=np.uint16)
+    out[np.cumsum(long + 1) - 1] = values % 65535
+    return out.tobytes()
+
+
+def unpack_small(blob: bytes) -> np.ndarray:
+    raw = np.frombuffer(blob, dtype=np.uint16)
+    ends = raw != 65535
+    return np.diff(np.cumsum(raw.astype(np.int64))[ends], prepend=0)
+
+
+def ranges(start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions start..start+count of every entry, and the entry of each."""
+    of = np.repeat(np.arange(len(count)), count)
+    return np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(start, count), of
