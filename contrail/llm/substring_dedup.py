@@ -17,7 +17,7 @@ How it runs:
    lost.  Each flush of a task resolves its own repeats and sends a window
    only with its smallest document, hence a passage shared by a third of all
    documents reaches the exact grouping once per flush, not once per document.
-3. Shards of the window hash space group the rest exactly on 128 bits.
+3. Shards of the window hash space group the rest exactly, on 96 bits of hash.
 4. Removal marks are gathered per document and joined to the texts.
 
 Defined results: a null or empty text has no words and stays as it is.  A row
@@ -33,13 +33,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.words import U64, Words, mix, slices, split_words, window_hashes, window_starts
+from contrail.llm.words import (U64, Words, mix, pack_gaps, pack_small, slices, split_words, text_buffer, unpack_gaps, unpack_small,
+                                 window_hashes, window_starts)
 
 CHUNK_BITS = 22          # cells of one merged chunk
 FLUSH = 1_200_000        # windows a task holds before it resolves and emits them
+SLICE = 1 << 20          # text bytes hashed at a time
 _ROW_SEED = (0x8CB92BA72F3D8DD7, 0xABA9E4F8D3C1F5B7, 0xD1B54A32D192ED03)
 
 
@@ -47,20 +50,6 @@ def _cells(h: np.ndarray, row: int, bits: int) -> np.ndarray:
     return mix(h ^ U64(_ROW_SEED[row])) >> U64(64 - bits)
 
 
-def _pack_gaps(sorted_cells: np.ndarray) -> bytes:
-    """Gap code: runs of 255 plus a remainder byte per cell; a gap of 0 is a second count."""
-    gaps = np.diff(sorted_cells, prepend=0)
-    long = gaps // 255
-    out = np.full(int(long.sum()) + len(gaps), 255, dtype=np.uint8)
-    out[np.cumsum(long + 1) - 1] = gaps % 255
-    return out.tobytes()
-
-
-def _unpack_gaps(blob: bytes) -> np.ndarray:
-    raw = np.frombuffer(blob, dtype=np.uint8)
-    return np.cumsum(raw.astype(np.int64))[raw != 255]
-
-
 def _sketch_partition(n: int, bits: int, depth: int):
     chunk_bits = min(CHUNK_BITS, bits)
 
@@ -74,13 +63,13 @@ def _sketch_partition(n: int, bits: int, depth: int):
             for part in np.split(cells, np.flatnonzero(np.diff(chunk)) + 1):
                 if len(part):
                     c = int(part[0] >> chunk_bits)
-                    rows.append(r), chunks.append(c), blobs.append(_pack_gaps(part - (c << chunk_bits)))
+                    rows.append(r), chunks.append(c), blobs.append(pack_gaps(part - (c << chunk_bits)))
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array(chunks, pa.int32()), pa.array(blobs, pa.binary())], ["row", "chunk", "cells"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 w = split_words(part.column("text"))
                 at = window_starts(w, n)
                 if len(at):
@@ -101,7 +90,7 @@ def _merge_chunk(bits: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         counts = np.zeros(size, dtype=np.uint8)
         for blob in frame["cells"]:
-            cells, n = np.unique(_unpack_gaps(blob), return_counts=True)
+            cells, n = np.unique(unpack_gaps(blob), return_counts=True)
             counts[cells] = np.minimum(2, counts[cells] + np.minimum(n, 2).astype(np.uint8))
         bitmap = np.packbits(counts >= 2, bitorder="little").tobytes()
         return pd.DataFrame({"row": frame["row"].iloc[:1], "chunk": frame["chunk"].iloc[:1], "bitmap": [bitmap]})
@@ -161,37 +150,53 @@ def _marks(doc, key, pos) -> tuple[np.ndarray, np.ndarray, list]:
     return doc[at], key[at], [x.astype(np.int32).tobytes() for x in np.split(pos, cut)] if len(doc) else []
 
 
-_SENT = "shard int, doc_id long, text_key long, h1 binary, h2 binary, doc binary, key binary, pos binary"
+_SENT = "shard int, h1 binary, h2 binary, ids binary, keys binary, counts binary, pos binary"
+
+
+def _pack_windows(h1, h2, row, pos, ids, keys) -> tuple:
+    """Windows in order of row and position: each row's id and key once, positions as gaps."""
+    heads = np.flatnonzero(np.diff(row, prepend=-1))
+    gaps = np.diff(pos, prepend=0)
+    gaps[heads] = pos[heads]
+    rows = row[heads]
+    return (h1.tobytes(), h2.tobytes(), np.diff(ids[rows], prepend=0).tobytes(), keys[rows].tobytes(),
+            pack_small(np.diff(np.append(heads, len(row)))), pack_small(gaps))
+
+
+def _unpack_windows(r) -> tuple:
+    ids, keys = np.cumsum(np.frombuffer(r.ids, dtype=np.int64)), np.frombuffer(r.keys, dtype=np.int64)
+    counts, gaps = unpack_small(r.counts), unpack_small(r.pos)
+    walked = np.cumsum(gaps)
+    heads = np.cumsum(counts) - counts
+    pos = walked - np.repeat(walked[heads] - gaps[heads], counts)
+    return np.frombuffer(r.h1, dtype=U64), np.frombuffer(r.h2, dtype=np.uint32), np.repeat(ids, counts), np.repeat(keys, counts), pos
 
 
 def _repeats_partition(n: int, bits: int, maps, shards: int):
     names = [x.split()[0] for x in _SENT.split(", ")]
-    kinds = [pa.int32(), pa.int64(), pa.int64()] + [pa.binary()] * 5
-
-    def emit(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], names)
-
-    def flush(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        h1, h2, doc, key, pos = (np.concatenate(x) for x in zip(*held))
-        later, first = _later(h1, h2, doc)
-        d, k, p = _marks(doc[later], key[later], pos[later])
-        rows = [(x % shards, x, y, None, None, None, None, z) for x, y, z in zip(d.tolist(), k.tolist(), p)]
-        h1, h2, doc, key, pos = h1[first], h2[first], doc[first], key[first], pos[first]
-        shard = (h1 >> U64(40)) % U64(shards)
+    kinds = [pa.int32()] + [pa.binary()] * 6
+
+    def flush(held: list[tuple], ids: list[np.ndarray], keys: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        h1, h2, row, pos = (np.concatenate(x) for x in zip(*held))
+        ids, keys = np.concatenate(ids), np.concatenate(keys)
+        later, first = _later(h1, h2, ids[row])
+        rows = []
+        for s in np.unique(ids[row[later]] % shards).tolist():  # resolved here: these only pass through the shards
+            of = np.flatnonzero(later)[ids[row[later]] % shards == s]
+            rows.append((s, None, None, ids[row[of]].tobytes(), keys[row[of]].tobytes(), None, pos[of].astype(np.int32).tobytes()))
+        h1, h2, row, pos = h1[first], h2[first], row[first], pos[first]
+        shard = ((h1 >> U64(40)) % U64(shards)).astype(np.int32)
         order = np.argsort(shard, kind="stable")
         for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
             if len(part):
-                # documents stand once in the blob; windows refer to them by rank
-                heads = np.unique(np.stack([doc[part], key[part]]), axis=1, return_inverse=True)
-                rows.append((int(shard[part[0]]), 0, 0, h1[part].tobytes(), h2[part].tobytes(),
-                             heads[0].astype(np.int64).tobytes(), heads[1].reshape(-1).astype(np.uint32).tobytes(), pos[part].astype(np.int32).tobytes()))
+                rows.append((int(shard[part[0]]), *_pack_windows(h1[part], h2[part], row[part], pos[part], ids, keys)))
         if rows:
-            yield emit(rows)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, count, sketch = [], 0, maps.value
+        held, ids, keys, rows, count, sketch = [], [], [], 0, 0, maps.value
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 w = split_words(part.column("text"))
                 at = window_starts(w, n)
                 if not len(at):
@@ -200,57 +205,97 @@ def _repeats_partition(n: int, bits: int, maps, shards: int):
                 keep = _estimated_twice(h1, sketch, bits)
                 if not keep.any():
                     continue
-                h2 = window_hashes(w.hashes(1), n)[at][keep]
+                h2 = (window_hashes(w.hashes(1), n)[at][keep] >> U64(32)).astype(np.uint32)
                 at = at[keep]
                 row = w.rows[at]
-                ids = part.column("doc_id").to_numpy(zero_copy_only=False)
-                keys = part.column("text_key").to_numpy(zero_copy_only=False)
-                held.append((h1[keep], h2, ids[row], keys[row], at - w.first[row]))
+                held.append((h1[keep], h2, row + rows, at - w.first[row]))
+                ids.append(part.column("doc_id").to_numpy()), keys.append(part.column("text_key").to_numpy())
+                rows += part.num_rows
                 count += len(at)
                 if count >= FLUSH:
-                    yield from flush(held)
-                    held, count = [], 0
+                    yield from flush(held, ids, keys)
+                    held, ids, keys, rows, count = [], [], [], 0, 0
         if held:
-            yield from flush(held)
+            yield from flush(held, ids, keys)
 
     return run
 
 
-def _resolve_shard(frame: pd.DataFrame) -> pd.DataFrame:
+def _pack_marks(doc, key, pos, buckets: int) -> pd.DataFrame:
+    """One row per bucket of documents: ids and keys once, positions as gaps."""
+    order = np.lexsort((pos, key, doc, doc % buckets))
+    doc, key, pos = doc[order], key[order], pos[order]
+    bucket = doc % buckets
+    cut = np.flatnonzero(np.diff(bucket)) + 1
+    rows = []
+    for d, k, p in zip(np.split(doc, cut), np.split(key, cut), np.split(pos, cut)):
+        if len(d):
+            heads = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (k[1:] != k[:-1])))
+            gaps = np.diff(p, prepend=0)
+            gaps[heads] = p[heads]
+            rows.append((int(d[0] % buckets), d[heads].tobytes(), k[heads].tobytes(), pack_small(np.diff(np.append(heads, len(d)))), pack_small(gaps)))
+    return pd.DataFrame(rows, columns=["bucket", "ids", "keys", "counts", "pos"])
+
+
+def _unpack_marks(r) -> tuple:
+    counts, gaps = unpack_small(r.counts), unpack_small(r.pos)
+    walked, heads = np.cumsum(gaps), np.cumsum(counts) - counts
+    pos = walked - np.repeat(walked[heads] - gaps[heads], counts)
+    return np.repeat(np.frombuffer(r.ids, dtype=np.int64), counts), np.repeat(np.frombuffer(r.keys, dtype=np.int64), counts), pos
+
+
+def _resolve_shard(buckets: int):
     """Exact grouping of one shard; passes on the marks made by the tasks."""
-    local = frame["h1"].isna()
-    out = [frame.loc[local, ["doc_id", "text_key", "pos"]]]  # integers stay integers: no null ids here
-    sent = frame.loc[~local]
-    if len(sent):
-        h1, h2, doc, key, pos = [], [], [], [], []
-        for r in sent.itertuples():
-            heads = np.frombuffer(r.doc, dtype=np.int64).reshape(2, -1)
-            rank = np.frombuffer(r.key, dtype=np.uint32)
-            h1.append(np.frombuffer(r.h1, dtype=U64)), h2.append(np.frombuffer(r.h2, dtype=U64))
-            doc.append(heads[0][rank]), key.append(heads[1][rank]), pos.append(np.frombuffer(r.pos, dtype=np.int32))
-        h1, h2, doc, key, pos = (np.concatenate(x) for x in (h1, h2, doc, key, pos))
-        later, _ = _later(h1, h2, doc)
-        d, k, p = _marks(doc[later], key[later], pos[later])
-        out.append(pd.DataFrame({"doc_id": d, "text_key": k, "pos": p}))
-    return pd.concat(out, ignore_index=True)
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        local = frame["h1"].isna()
+        made = [tuple(np.frombuffer(x, dtype=t) for x, t in ((r.ids, np.int64), (r.keys, np.int64), (r.pos, np.int32))) for r in frame.loc[local].itertuples()]
+        sent = frame.loc[~local]
+        if len(sent):
+            h1, h2, doc, key, pos = (np.concatenate(x) for x in zip(*[_unpack_windows(r) for r in sent.itertuples()]))
+            later, _ = _later(h1, h2, doc)
+            made.append((doc[later], key[later], pos[later]))
+        return _pack_marks(*(np.concatenate(x).astype(np.int64) for x in zip(*made)), buckets)
+
+    return run
+
+
+def _marks_by_document(frame: pd.DataFrame) -> pd.DataFrame:
+    doc, key, pos = (np.concatenate(x) for x in zip(*[_unpack_marks(r) for r in frame.itertuples()]))
+    d, k, p = _marks(doc, key, pos)
+    return pd.DataFrame({"doc_id": d, "text_key": k, "marks": p})
 
 
 def _cover(w: Words, marks: list, n: int) -> np.ndarray:
     """Words covered by a marked window."""
     edge = np.zeros(len(w.starts) + n + 1, dtype=np.int32)
-    for row, blobs in enumerate(marks):
-        if blobs:
-            at = np.unique(np.concatenate([np.frombuffer(b, dtype=np.int32) for b in blobs])).astype(np.int64) + w.first[row]
+    for row, blob in enumerate(marks):
+        if blob:
+            at = np.unique(np.frombuffer(blob, dtype=np.int32)).astype(np.int64) + w.first[row]
             edge[at] += 1
             edge[at + n] -= 1
     return np.cumsum(edge)[: len(w.starts)] > 0
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as Zstandard frames: they take two thirds of the room in the shuffle."""
+    codec = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        for part in slices(batch, "text", SLICE):
+            data, off = text_buffer(part.column("text"))
+            raw = data.tobytes()
+            frames = [codec.compress(raw[a:b]) for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
+            yield part.set_column(part.schema.get_field_index("text"), "text", pa.array(frames, pa.binary()))
+
+
 def _kept_partition(n: int, single_spaced: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = zstandard.ZstdDecompressor()
         for batch in batches:
-            for part in slices(batch, "text"):
-                w = split_words(part.column("text"))
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                docs = pa.array([codec.decompress(x) for x in part.column("text").to_pylist()], pa.binary()).cast(pa.string())
+                w = split_words(docs)
                 gone = _cover(w, part.column("marks").to_pylist(), n)
                 raw = w.data.tobytes()
                 texts, removed = [], np.diff(np.concatenate(([0], np.cumsum(gone)))[w.first])
@@ -266,9 +311,9 @@ def _kept_partition(n: int, single_spaced: bool):
                     else:
                         runs = [x for x in np.split(keep, np.flatnonzero(np.diff(keep) > 1) + 1) if len(x)]
                         texts.append(b" ".join([raw[w.starts[x[0]]: w.ends[x[-1]]] for x in runs]))
-                cols = [part.column(c) for c in ("doc_id", "text_key")]
-                cols += [pa.array(np.diff(w.first), pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())]
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "text_key", "n_words", "n_removed", "kept_text"])
+                cols = [part.column("doc_id"), part.column("rest"), pa.array(np.diff(w.first), pa.int64()), pa.array(removed, pa.int64()),
+                        pa.array(texts, pa.binary()).cast(pa.string())]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "rest", "n_words", "n_removed", "kept_text"])
 
     return run
 
@@ -279,9 +324,9 @@ def sketch_bits(texts: DataFrame, load: float, least: int = 20, most: int = 30)
     return int(min(most, max(least, np.ceil(np.log2(max(1.0, size / 6 / load))))))
 
 
-def repeated_passages(docs: DataFrame, n: int = 13, depth: int = 2, load: float = 0.5, max_bits: int = 30,
+def repeated_passages(docs: DataFrame, n: int = 13, depth: int = 2, load: float = 0.6, max_bits: int = 30,
                       shards: int | None = None) -> DataFrame:
-    """Removal marks: (doc_id, text_key, marks), positions of repeated windows as int32 blobs.
+    """Removal marks: (doc_id, text_key, marks), the positions of repeated windows as int32 blob.
 
     ``text_key`` is ``xxhash64(text)``; it tells rows with one id but different texts apart.
     """
@@ -289,20 +334,23 @@ def repeated_passages(docs: DataFrame, n: int = 13, depth: int = 2, load: float
     texts = docs.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     bits = sketch_bits(texts, load, most=max_bits)
     maps = spark.sparkContext.broadcast(merged_sketch(texts, n, bits, depth))
-    shards = shards or max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << max(0, bits - 20))
+    shards = shards or max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << max(0, bits - 22))
     sent = texts.mapInArrow(_repeats_partition(n, bits, maps, shards), _SENT)
-    marks = sent.groupBy("shard").applyInPandas(_resolve_shard, "doc_id long, text_key long, pos binary")
-    return marks.groupBy("doc_id", "text_key").agg(F.collect_list("pos").alias("marks"))
+    packed = sent.groupBy("shard").applyInPandas(_resolve_shard(shards), "bucket int, ids binary, keys binary, counts binary, pos binary")
+    return packed.groupBy("bucket").applyInPandas(_marks_by_document, "doc_id long, text_key long, marks binary")
 
 
 def remove_repeated_passages(docs: DataFrame, n: int = 13, single_spaced: bool = True, **sizes) -> DataFrame:
-    """``doc_id, n_words, n_removed, kept_text`` for every row of ``docs`` (doc_id, text).
+    """``doc_id, rest, n_words, n_removed, kept_text`` for every row of ``docs``.
 
-    ``single_spaced`` joins all kept words by one space; otherwise an untouched
-    text stays as it is and the kept runs of others are joined by one space.
+    ``rest`` is a struct of all other columns but ``text``.  ``single_spaced``
+    joins all kept words by one space; otherwise an untouched text stays as it
+    is and the kept runs of others are joined by one space.
     """
     marks = repeated_passages(docs, n, **sizes)
-    texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    joined = texts.join(marks.hint("shuffle_hash"), ["doc_id", "text_key"], "left")
-    kept = joined.mapInArrow(_kept_partition(n, single_spaced), "doc_id long, text_key long, n_words long, n_removed long, kept_text string")
-    return kept.drop("text_key")
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")] or [F.lit(None).cast("int").alias("nothing")]
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text", F.struct(*others).alias("rest"))
+    rest = rows.schema["rest"].dataType.simpleString()
+    rows = rows.mapInArrow(_packed, f"doc_id long, text_key long, text binary, rest {rest}")
+    joined = rows.join(marks.hint("shuffle_hash"), ["doc_id", "text_key"], "left")
+    return joined.mapInArrow(_kept_partition(n, single_spaced), f"doc_id long, rest {rest}, n_words long, n_removed long, kept_text string")
