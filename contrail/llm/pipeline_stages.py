@@ -1,16 +1,55 @@
-"""Stages of the corpus pipeline over tables shaped like ``documents``."""
+"""Stages of the corpus pipeline over tables shaped like ``documents``.
+
+All stages but the last return the columns of their input.  Rows that repeat
+an id stay or go together.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contrail.llm.dart_minhash import near_duplicate_classes
+from contrail.llm.decontamination import drop_leaks
+from contrail.llm.mixture import mix_sources
+from contrail.llm.quality_rules import judge
+from contrail.llm.queries import table
 from contrail.llm.substring_dedup import remove_repeated_passages
 
 
+def _without(docs: DataFrame, gone: DataFrame, **keys) -> DataFrame:
+    """Rows of docs whose keys (name: column of docs) aren't in ``gone``; only the keys of the few are built into tables."""
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(k) for k, c in keys.items()])
+    kept = d.join(gone.select(*keys).distinct().hint("shuffle_hash"), list(keys), "left_anti")
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop what the base rules or the robust outlier test reject; rows equal in id, text, language and source share a verdict."""
+    judged = ("doc_id", "text", "lang", "source")
+    key = F.xxhash64(*judged)
+    verdict = judge(docs.select(*judged, key.alias("row_key")))
+    return _without(docs, verdict.where(~F.col("kept")), row_key=key)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each class."""
+    classes = near_duplicate_classes(docs)
+    return _without(docs, classes.where("doc_id <> class_id"), doc_id=F.col("doc_id"))
+
+
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut passages that start in an earlier document; untouched texts stay byte for byte."""
     kept = remove_repeated_passages(docs, n=13, single_spaced=False)
-    texts = kept.select("doc_id", F.col("kept_text").alias("text"))
-    return texts.join(docs.drop("text", "n_chars"), "doc_id").select(*[
-        F.length("text").cast("long").alias("n_chars") if c == "n_chars" else F.col(c) for c in docs.columns])
+    columns = {"doc_id": F.col("doc_id"), "text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return kept.select(*[(columns[c] if c in columns else F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a benchmark item."""
+    return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How many words of each document the mixture takes, repeats included."""
+    return mix_sources(docs)

@@ -15,15 +15,18 @@ from contrail.llm import pipeline_stages as P
 from contrail.session import ensure_checkpoint_dir
 
 STAGES = [
-
+    ("quality_rules", P.quality_rules),
+    ("near_duplicates", P.near_duplicates),
     ("substring_dedup", P.substring_dedup),
-
+    ("benchmark_decontamination", P.benchmark_decontamination),
+    ("mixture", P.mixture),
 ]
 
 # Robust covariance iterations, verified MinHash candidates and BM25 retrieval are not SQL;
 # tests/llm compare the stages with brute-force versions.
 ORACLE_SQL = None
 
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
