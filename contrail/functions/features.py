@@ -85,12 +85,12 @@ def temp_range(tmax, tmin) -> Column:
 
 
 def above(x, threshold: float) -> Column:
-    """F10 helper: 1 when strictly above, null -> 0."""
-    return F.when(_c(x) > threshold, 1).otherwise(0)
+    """F10 helper: 1 when strictly above, null and NaN -> 0."""
+    return F.when((_c(x) > threshold) & ~F.isnan(_c(x).cast("double")), 1).otherwise(0)
 
 
 def below(x, threshold: float) -> Column:
-    """F10 helper: 1 when strictly below, null -> 0."""
+    """F10 helper: 1 when strictly below, null and NaN -> 0 (NaN is the largest value)."""
     return F.when(_c(x) < threshold, 1).otherwise(0)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail.operators.ordered import quantiles_long, running_totals, spread, unpivot_values
-from contrail.session import cut_lineage, materialize_small
+from contrail.session import cut_lineage
 
 # The reference's drift thresholds.
 KS_P_THRESHOLD = 0.05
@@ -195,7 +195,7 @@ def psi(baseline: DataFrame, production: DataFrame, features: Sequence[str],
     Fewer than 2 unique edges -> 0.  Features with fewer than
     ``min_values`` production values are skipped (G7).
     """
-    stats = materialize_small(baseline_stats(baseline, features, bins).select("col_name", "edges", "n"))
+    stats = cut_lineage(baseline_stats(baseline, features, bins).select("col_name", "edges", "n"))
     prod = unpivot_values(production, features)
     base = unpivot_values(baseline, features)
     both = (base.withColumn("side", F.lit(0)).unionByName(prod.withColumn("side", F.lit(1)))

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from contrail.functions.features import DELAY_THRESHOLD, delay_flag
 from contrail.operators.ordered import (column_value_counts, quantiles_from_counts, quantiles_long,
                                         unpivot_values)
-from contrail.session import bounded_broadcast
 
 
 def safe_name(value: str, prefix: str = "") -> str:
@@ -23,17 +22,23 @@ def safe_name(value: str, prefix: str = "") -> str:
 
 
 def pivot_daily(long: DataFrame, ts: str, key: str, value: str,
-                values: Sequence[str], prefix: str = "") -> DataFrame:
-    """E5: long feed -> one row per date, one column per ``values`` entry
-    holding the mean reading (timestamp -> date first).
+                values: Sequence[str] | None = None, prefix: str = "") -> DataFrame:
+    """E5: long feed -> one row per date, one column per reading type with
+    the mean reading (timestamp -> date first).
 
-    The pivot values are given, so Spark does not run a distinct job first
-    and the output width is fixed."""
+    The types come from the data, so none is left out; a caller may name
+    them instead to keep the output width fixed."""
+    values = pivot_values(long, key) if values is None else values
     wide = (long.groupBy(F.to_date(F.col(ts)).alias("date"))
             .pivot(key, list(values)).agg(F.avg(value)))
     return wide.select("date", *[F.col(f"`{v}`").alias(safe_name(v, prefix)) for v in values])
 
 
+def pivot_values(df: DataFrame, key: str) -> list:
+    """Distinct non-null values of a column that becomes columns, in order."""
+    return [r[0] for r in df.select(key).where(F.col(key).isNotNull()).distinct().orderBy(key).collect()]
+
+
 def class_balance(df: DataFrame, target: str, threshold: float = DELAY_THRESHOLD,
                   name: str = "delayed") -> DataFrame:
     """Rows per delay flag; a null target counts as on time."""
@@ -45,7 +50,7 @@ def named_group_means(df: DataFrame, key: str, target: str, dim: DataFrame,
     """E7 (+ D8): mean target per group (nulls ignored), left-joined to the
     dimension names, sorted ascending by the mean."""
     means = df.groupBy(key).agg(F.avg(target).alias("mean_value"))
-    names = bounded_broadcast(dim.select(F.col(dim_key).alias(key), F.col(dim_name).alias("name")), 2_000_000)
+    names = dim.select(F.col(dim_key).alias(key), F.col(dim_name).alias("name"))
     return means.join(names, key, "left").select("name", key, "mean_value").orderBy("mean_value", key)
 
 
@@ -54,9 +59,10 @@ def frequency(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
 
 
-def crosstab_wide(df: DataFrame, row: str, col: str, col_values: Sequence) -> DataFrame:
+def crosstab_wide(df: DataFrame, row: str, col: str, col_values: Sequence | None = None) -> DataFrame:
     """E8 wide form (R ``table(a, b)``): one row per ``row`` value, one
-    column per ``col`` value, absent cells 0.  Pivot with given values."""
+    column per ``col`` value, absent cells 0.  The values come from the data unless given."""
+    col_values = pivot_values(df, col) if col_values is None else col_values
     wide = df.groupBy(row).pivot(col, list(col_values)).agg(F.count(F.lit(1)))
     return wide.na.fill(0)
 

@@ -22,16 +22,6 @@ from pyspark.sql import functions as F
 from contrail.functions.features import decode_json_map
 
 
-def latest_predictions(predictions: DataFrame, key: str = "request_id", ts: str = "timestamp",
-                       tiebreak: str | None = None) -> DataFrame:
-    """The latest prediction row per id (``tiebreak`` orders equal timestamps)."""
-    order = F.struct(F.col(ts), F.col(tiebreak)) if tiebreak else F.col(ts)
-    payload = [c for c in predictions.columns if c != key]
-    return (predictions.groupBy(key)
-            .agg(F.max_by(F.struct(*payload), order).alias("_p"))
-            .select(key, "_p.*"))
-
-
 def feedback_table(predictions: DataFrame, labels: DataFrame, key: str = "request_id",
                    ts: str = "timestamp", label_ts: str = "label_timestamp",
                    tiebreak: str | None = None, label_tiebreak: str | None = None) -> DataFrame:

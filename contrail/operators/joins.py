@@ -1,9 +1,9 @@
 """Star-schema joins and post-join cleaning (inventory D1-D10).
 
 All reference joins are equi left-outer joins of a large fact to small
-dimensions.  Dimensions go through ``bounded_broadcast``: broadcast when a
-row-count check proves them small, otherwise a shuffle join that AQE may
-still convert.  Fact rows are never dropped by a join.
+dimensions.  No join carries a hint: Catalyst broadcasts a dimension whose
+size is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE decides again
+with the real sizes.  Fact rows are never dropped by a join.
 """
 
 from __future__ import annotations
@@ -14,20 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions.features import date_from_parts
-from contrail.session import bounded_broadcast, materialize_small
-
-DIM_BROADCAST_ROWS = 2_000_000
-
-
-def dim_key_is_unique(dim: DataFrame, key: str) -> bool:
-    """Row-count invariant of a left join: the dimension key is unique."""
-    r = dim.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("d")).first()
-    return r["n"] == r["d"]
 
 
 def enrich(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-           prefix: str = "", keep: Sequence[str] | None = None,
-           max_broadcast_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
+           prefix: str = "", keep: Sequence[str] | None = None) -> DataFrame:
     """Left join one dimension.
 
     ``prefix`` renames the dimension's columns, which is how one dimension
@@ -36,7 +26,6 @@ def enrich(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     """
     cols = [c for c in (keep or dim.columns) if c != dim_key]
     d = dim.select(F.col(dim_key).alias("_dk"), *[F.col(c).alias(prefix + c) for c in cols])
-    d = bounded_broadcast(d, max_broadcast_rows)
     return fact.join(d, fact[fact_key] == d["_dk"], "left").drop("_dk")
 
 
@@ -56,7 +45,7 @@ def join_holidays(fact: DataFrame, holidays: DataFrame, date_col: str | None = N
     out = fact if date_col else fact.withColumn("date", date_from_parts(*ymd))
     key = date_col or "date"
     h = holidays.select(F.col("date").alias("_hd"), "holiday_name", "is_holiday")
-    out = out.join(materialize_small(h), out[key] == F.col("_hd"), "left").drop("_hd")
+    out = out.join(h, out[key] == F.col("_hd"), "left").drop("_hd")
     return out.withColumns({
         "is_holiday": F.coalesce(F.col("is_holiday"), F.lit(0)).cast("int"),
         "holiday_name": F.coalesce(F.col("holiday_name"), F.lit("None")),
@@ -105,13 +94,3 @@ def attach_group_stats(fact: DataFrame, stats: DataFrame, keys: Sequence[str]) -
     ``spark.sql.adaptive.autoBroadcastJoinThreshold``; a high-cardinality
     key (routes at scale) stays a shuffle join."""
     return fact.join(stats, list(keys), "left")
-
-
-def outer_match_distributions(ref: DataFrame, cur: DataFrame, key: str,
-                              ref_col: str = "p_ref", cur_col: str = "p_cur") -> DataFrame:
-    """Full outer match of two category distributions; absent -> 0."""
-    return (ref.join(cur, key, "full")
-            .select(key, F.coalesce(F.col(ref_col), F.lit(0.0)).alias(ref_col),
-                    F.coalesce(F.col(cur_col), F.lit(0.0)).alias(cur_col),
-                    F.col(ref_col).isNotNull().alias("in_ref"),
-                    F.col(cur_col).isNotNull().alias("in_cur")))

@@ -28,11 +28,11 @@ TRAIN_FRACTION = 0.8
 
 
 def hash_bucket(keys: Sequence[str], seed: int = SPLIT_SEED, sep: str = "_") -> F.Column:
-    """0..9999 from the first 8 hex digits of md5(key parts + seed).
+    """0..9999 from the first 8 hex digits of md5(key parts + seed); a null part is empty.
     Repeatable across runs, partitionings and engines."""
     parts = []
     for k in keys:
-        parts += [F.col(k).cast("string"), F.lit(sep)]
+        parts += [F.coalesce(F.col(k).cast("string"), F.lit("")), F.lit(sep)]
     digest = F.md5(F.concat(*parts, F.lit(str(seed))))
     return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 10000).cast("int")
 
@@ -76,12 +76,6 @@ def category_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                               (-F.col("_m.neg_n")).cast("bigint").alias("mode_count"))
 
 
-def impute_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """H4 applied: fill nulls of categorical columns with their modes."""
-    modes = {r["col_name"]: r["mode_value"] for r in category_modes(df, cols).collect()}
-    return df.na.fill({c: v for c, v in modes.items() if v is not None})
-
-
 @dataclass
 class FeatureSpec:
     numeric: list[str]
@@ -134,7 +128,7 @@ def model_zoo(label: str, seed: int = SPLIT_SEED, n_rows: int | None = None, lab
                                           subsamplingRate=0.8, featureSubsetStrategy="sqrt", seed=seed),
         "boosted_colsample": GBTRegressor(labelCol=label, maxIter=50, maxDepth=5, stepSize=0.1,
                                           subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed),
-        "linear_regression": LinearRegression(labelCol=label, regParam=0.0, solver="normal"),
+        "linear_regression": LinearRegression(labelCol=label, regParam=0.0, solver="auto"),
     }
     if n_rows and label_std is not None:
         zoo["ridge"] = LinearRegression(labelCol=label, regParam=1.0 * label_std / n_rows, elasticNetParam=0.0,

@@ -28,11 +28,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.session import cut_lineage, materialize_small
+from contrail.session import cut_lineage
 
-DEFAULT_BUCKETS = 128
-# groups x buckets rows are broadcast; groups are column names or sides.
-MAX_BOUND_ROWS = 200_000
+LEAST_BUCKETS = 128
+ROWS_PER_BUCKET = 100_000
+
+
+def bucket_count(counts: DataFrame) -> int:
+    """Buckets per group: as many as keep one at about ``ROWS_PER_BUCKET``
+    collapsed rows, so a window's task does not grow with the data."""
+    return max(LEAST_BUCKETS, counts.count() // ROWS_PER_BUCKET)
 
 
 def spread(counts: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -57,20 +62,19 @@ def small_side(df: DataFrame, max_rows: int | None) -> DataFrame:
     """Broadcast a per-group side table.  Joins keyed only by a few group
     keys (column names) must not shuffle: every row of the largest column
     would hash to one task.  ``max_rows`` is the structural bound (groups x
-    rows per group, known from the caller's column list); without one the
-    table is fetched under a row-count check instead."""
-    if max_rows is not None and max_rows <= MAX_BOUND_ROWS:
-        return F.broadcast(df)
-    return materialize_small(df, MAX_BOUND_ROWS)
+    rows per group, known from the caller's column list); without one
+    Catalyst and AQE choose the join."""
+    return F.broadcast(df) if max_rows is not None else df
 
 
 def running_totals(counts: DataFrame, keys: Sequence[str], value: str,
-                   weights: Sequence[str], n_buckets: int = DEFAULT_BUCKETS,
+                   weights: Sequence[str], n_buckets: int | None = None,
                    max_groups: int | None = None) -> DataFrame:
     """Add ``cum_<w>`` (inclusive running sum in ``value`` order within
     ``keys``) for every weight column.  ``counts`` must hold one row per
     (keys, value); ``max_groups`` bounds the number of distinct ``keys``."""
     keys = list(keys)
+    n_buckets = n_buckets or bucket_count(counts)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = (counts.groupBy(*keys)
               .agg(F.array_distinct(F.percentile_approx(F.col(value).cast("double"), probs, 10 * n_buckets))
@@ -104,7 +108,7 @@ def value_counts_long(long: DataFrame, keys: Sequence[str], value: str = "v",
 
 
 def quantiles_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
-                   value: str = "v", n_buckets: int = DEFAULT_BUCKETS,
+                   value: str = "v", n_buckets: int | None = None,
                    weight: str | None = None, counted: bool = False,
                    max_groups: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles (numpy / R type 7 / Spark
@@ -154,14 +158,14 @@ def column_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def quantiles_from_counts(counts: DataFrame, probs: Sequence[float], max_groups: int,
-                          n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                          n_buckets: int | None = None) -> DataFrame:
     """Exact quantiles per col_name from ``column_value_counts`` output."""
     return quantiles_long(counts.where(F.col("v").isNotNull()), ["col_name"], probs, "v", n_buckets,
                           weight="n", counted=True, max_groups=max_groups)
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    n_buckets: int | None = None) -> DataFrame:
     """Exact quantiles of several columns: (column, p, q)."""
     return quantiles_long(unpivot_values(df, columns), ["col_name"], probs, "v", n_buckets,
                           max_groups=len(columns))
@@ -182,7 +186,7 @@ def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
 
 
 def rank_threshold(df: DataFrame, order_col: str, rank: int,
-                   n_buckets: int = DEFAULT_BUCKETS):
+                   n_buckets: int | None = None):
     """Value of the row at 0-based position ``rank`` in ``order_col`` order
     (``order_col`` should be unique).  None when rank is out of range."""
     counts = df.select(F.col(order_col).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n")) \
@@ -205,7 +209,7 @@ def _orderable(df: DataFrame, order_col: str):
     return F.col(order_col)
 
 
-def split_by_position(df: DataFrame, order_col: str, n_buckets: int = DEFAULT_BUCKETS):
+def split_by_position(df: DataFrame, order_col: str, n_buckets: int | None = None):
     """First half / second half by position in ``order_col`` order (G4):
     reference = the first ``n // 2`` rows, current = the rest.
     ``order_col`` must be unique (an event id, a date of a daily table)."""

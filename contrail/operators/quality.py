@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.session import bounded_broadcast
 
 # The reference's plausibility bounds for date parts.
 YEAR_BOUNDS = (2000, 2030)
@@ -61,7 +60,7 @@ def duplicate_profile(df: DataFrame) -> DataFrame:
 
 def _fk_codes(fact: DataFrame, fks: Sequence[str], dim: DataFrame, dim_key: str) -> DataFrame:
     """Distinct (fk_column, code) pairs of the fact with a validity flag."""
-    keys = bounded_broadcast(dim.select(F.col(dim_key).cast("string").alias("_k")).distinct(), 5_000_000)
+    keys = dim.select(F.col(dim_key).cast("string").alias("_k")).distinct()
     codes = (fact.select(*[F.col(c).cast("string").alias(c) for c in fks])
              .unpivot([], list(fks), "fk_column", "code").distinct())
     return codes.join(keys, codes.code == keys._k, "left") \
@@ -73,7 +72,7 @@ def referential_check(fact: DataFrame, fks: Sequence[str], dim: DataFrame, dim_k
     absent from the dimension (a null code counts as invalid, as the pandas
     set difference keeps NaN), plus the size of the valid key set.
 
-    Codes are made distinct per column before the (broadcast) key lookup,
+    Codes are made distinct per column before the key lookup,
     so the join sees distinct codes, not fact rows."""
     n_valid = dim.select(dim_key).distinct().count()
     return (_fk_codes(fact, fks, dim, dim_key).groupBy("fk_column")
@@ -115,23 +114,18 @@ def calendar_violations(df: DataFrame, year: str = "year", month: str = "month",
 
 
 def range_violations(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
-    """Per column the count outside [lo, hi] and a "min to max" string at 2 dp."""
+    """Per column the count outside [lo, hi] and a "min to max" string at 2 dp, in one scan."""
     aggs = [F.count(F.lit(1)).alias("_N")]
     for c, (lo, hi) in bounds.items():
         aggs += [F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias(f"_bad_{c}"),
                  F.min(c).alias(f"_min_{c}"), F.max(c).alias(f"_max_{c}")]
     one = df.agg(*aggs)
-    parts = []
-    for c in bounds:
-        parts.append(one.select(
-            F.lit(c).alias("col_name"), F.col("_N").cast("bigint").alias("total_rows"),
-            F.col(f"_bad_{c}").cast("bigint").alias("invalid_count"),
-            F.concat(F.format_string("%.2f", F.col(f"_min_{c}").cast("double")), F.lit(" to "),
-                     F.format_string("%.2f", F.col(f"_max_{c}").cast("double"))).alias("value_range")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rows = [F.struct(
+        F.lit(c).alias("col_name"), F.col("_N").cast("bigint").alias("total_rows"),
+        F.col(f"_bad_{c}").cast("bigint").alias("invalid_count"),
+        F.concat(F.format_string("%.2f", F.col(f"_min_{c}").cast("double")), F.lit(" to "),
+                 F.format_string("%.2f", F.col(f"_max_{c}").cast("double"))).alias("value_range")) for c in bounds]
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def quality_score(current: DataFrame, baseline: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -60,7 +60,7 @@ def engineered_features(t):
     s = shipments(t)
     s = joins.join_holidays(s, holiday_calendar(calendar_years(t)), date_col="ship_date")
     w = daily_feed_wide(t).withColumnRenamed("date", "_d")
-    s = s.join(F.broadcast(w), s.ship_date == w._d, "left")
+    s = s.join(w, s.ship_date == w._d, "left")
     return engineer(s, SHIP_ROLES, SHIP_THRESHOLDS).select(*FEATURE_OUT)
 
 
@@ -75,7 +75,7 @@ SELECT event_id,
 FROM events""")
 def event_time_features(t):
     """F1 (HHMM -> hour, floor division), F2, F3, F5, F12 on the events."""
-    e = t.fact("events").withColumn("hhmm", (F.hour("ts") * 100 + F.minute("ts")).cast("int")) \
+    e = t["events"].withColumn("hhmm", (F.hour("ts") * 100 + F.minute("ts")).cast("int")) \
                    .withColumn("dow", fx.iso_day_of_week(F.col("ts")))
     e = engineer(e, Roles(hhmm="hhmm", day_of_week="dow", delay="value"))
     return e.select("event_id", "hhmm", "HOUR", "IS_WEEKEND",

@@ -105,7 +105,7 @@ SELECT ROUND(regr_slope(net_amount, distance), 6) AS slope, ROUND(regr_intercept
 FROM shipments WHERE {BUCKET_SQL} < 8000""", shipments=SHIPMENTS_SQL))
 def ols_fit(t):
     """Ordinary least squares of net amount on distance (train split)."""
-    return _single_feature_fit(t, LinearRegression(labelCol="net_amount", regParam=0.0, solver="normal"))
+    return _single_feature_fit(t, LinearRegression(labelCol="net_amount", regParam=0.0, solver="auto"))
 
 
 @query("ridge_fit", with_ctes(f"""
@@ -150,9 +150,9 @@ def champion_challenger(t):
     """Challenger (numeric + categorical linear model) against the
     champion (numeric-only linear model) on the same raw test rows."""
     tr, te = prepared_split(t)
-    lr = ml.LinearRegression(labelCol=SPEC.label, regParam=0.0, solver="normal")
+    lr = ml.LinearRegression(labelCol=SPEC.label, regParam=0.0, solver="auto")
     champ = ml.fit_pipeline(tr, ml.FeatureSpec(SPEC.numeric, [], SPEC.label), lr)
-    chall = ml.fit_pipeline(tr, SPEC, ml.LinearRegression(labelCol=SPEC.label, regParam=0.0, solver="normal"))
+    chall = ml.fit_pipeline(tr, SPEC, ml.LinearRegression(labelCol=SPEC.label, regParam=0.0, solver="auto"))
     first = ml.champion_challenger(te, SPEC.label, chall, None)
     vs = ml.champion_challenger(te, SPEC.label, chall, champ)
     schema = "round string, challenger_r2 double, champion_r2 double, improvement double, accepted boolean"
@@ -166,7 +166,7 @@ def batch_scoring(t):
     """H16 + H17: fit, save the whole pipeline to the shared checkpoint
     folder, load it back and score the test rows."""
     tr, te = prepared_split(t)
-    model = ml.fit_pipeline(tr, SPEC, ml.LinearRegression(labelCol=SPEC.label, regParam=0.0, solver="normal"))
+    model = ml.fit_pipeline(tr, SPEC, ml.LinearRegression(labelCol=SPEC.label, regParam=0.0, solver="auto"))
     path = ensure_checkpoint_dir(t.spark).rstrip("/") + "/models/batch_scoring"
     loaded = ml.load_model(ml.save_model(model, path))
     return ml.score(loaded, te, keep=SPLIT_KEYS + [SPEC.label])

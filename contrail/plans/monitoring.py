@@ -32,7 +32,7 @@ def r6(cols):
 
 
 def event_features(t):
-    return t.fact("events").withColumn("props_k", decode_json_map("props")["k"].try_cast("double"))
+    return t["events"].withColumn("props_k", decode_json_map("props")["k"].try_cast("double"))
 
 
 def event_halves(t):
@@ -222,7 +222,7 @@ def psi_drift_score(t):
 # --- feedback store -----------------------------------------------------------
 
 def prediction_log(t):
-    e = t.fact("events")
+    e = t["events"]
     return e.where(F.col("event_type") != "purchase").select(
         F.col("user_id").alias("request_id"), F.col("props").alias("features"),
         F.col("value").alias("prediction"), F.lit("v1").alias("model_version"),
@@ -230,7 +230,7 @@ def prediction_log(t):
 
 
 def label_log(t):
-    e = t.fact("events")
+    e = t["events"]
     return e.where(F.col("event_type") == "purchase").select(
         F.col("user_id").alias("request_id"), F.col("value").alias("actual_delay"),
         F.col("event_type").alias("user_feedback"), F.col("ts").alias("label_timestamp"),

@@ -63,7 +63,7 @@ EVENT_COLS = [explore.safe_name(e, "ev_") for e in EVENT_TYPES]
 
 
 def daily_feed_wide(t):
-    return explore.pivot_daily(daily_feed_long(t), "obs_ts", "datatype", "value", PRIORITIES, "p_")
+    return explore.pivot_daily(daily_feed_long(t), "obs_ts", "datatype", "value", prefix="p_")
 
 
 DAILY_WIDE_SQL = "SELECT CAST(o_orderdate AS DATE) AS date, " + ", ".join(
@@ -84,7 +84,7 @@ def q_daily_feed_wide(t):
 @query("event_daily_wide", f"SELECT date, {r6(EVENT_COLS)} FROM ({EVENT_WIDE_SQL})")
 def q_event_daily_wide(t):
     """E5 on the events feed: (date(ts), event_type, value) -> wide by date."""
-    return explore.pivot_daily(t.fact("events"), "ts", "event_type", "value", EVENT_TYPES, "ev_")
+    return explore.pivot_daily(t["events"], "ts", "event_type", "value", prefix="ev_")
 
 
 def shipments_weather(t, fact=None):
@@ -134,14 +134,13 @@ def null_counts_all(t):
 
 @query("duplicate_profile", """
 SELECT CAST(count(*) AS BIGINT) AS total_rows,
-       CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT o_custkey, o_orderstatus, o_orderpriority FROM orders)) AS BIGINT)
+       CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM orders)) AS BIGINT)
          AS duplicate_count,
-       CASE WHEN count(*) > 0 THEN ROUND((count(*) - (SELECT count(*) FROM (SELECT DISTINCT o_custkey, o_orderstatus,
-            o_orderpriority FROM orders))) * 100.0 / count(*), 2) ELSE 0.0 END AS duplicate_percentage
+       CASE WHEN count(*) > 0 THEN ROUND((count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM orders))) * 100.0 / count(*), 2) ELSE 0.0 END AS duplicate_percentage
 FROM orders""")
 def duplicate_profile(t):
-    """Repeated (customer, status, priority) rows in orders."""
-    return quality.duplicate_profile(t["orders"].select("o_custkey", "o_orderstatus", "o_orderpriority"))
+    """Rows of orders that repeat an earlier one in all columns."""
+    return quality.duplicate_profile(t["orders"])
 
 
 _FK_SQL = with_ctes("""
@@ -166,7 +165,7 @@ SELECT fk_column, code FROM (
 WHERE code IS NULL OR code NOT IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier)""")
 def q_invalid_codes(t):
     """C3 detail: event users with no matching supplier account, one row per code."""
-    return quality.invalid_codes(t.fact("events"), ["user_id"], t["supplier"], "s_suppkey")
+    return quality.invalid_codes(t["events"], ["user_id"], t["supplier"], "s_suppkey")
 
 
 @query("date_part_ranges", with_ctes("""
@@ -196,7 +195,7 @@ def range_violations(t):
 
 
 def _event_halves(t):
-    return split_by_position(t.fact("events"), "event_id")
+    return split_by_position(t["events"], "event_id")
 
 
 EVENT_HALVES_SQL = """
@@ -384,7 +383,7 @@ SELECT return_flag, """ + ", ".join(
     + " FROM shipments GROUP BY return_flag", shipments=SHIPMENTS_SQL))
 def crosstab_flag_priority(t):
     """E8 wide: return flag x priority with zero cells filled."""
-    return explore.crosstab_wide(shipments(t), "return_flag", "priority", PRIORITIES)
+    return explore.crosstab_wide(shipments(t), "return_flag", "priority")
 
 
 @query("freq_region", with_ctes("""
@@ -473,7 +472,7 @@ SELECT event_type, count(*) AS n, ROUND(count(*) * 1.0 / sum(count(*)) OVER (),
 FROM events WHERE event_type IS NOT NULL GROUP BY event_type""")
 def category_shares(t):
     """Relative frequency of each event type."""
-    return grouping.relative_frequency(t.fact("events"), "event_type")
+    return grouping.relative_frequency(t["events"], "event_type")
 
 
 @query("target_summary", with_ctes("""

@@ -6,7 +6,7 @@ small dimensions.  On the driver's TPC-H-like tables the roles are:
 =====================  ==============================================
 reference role         driver expression
 =====================  ==============================================
-fact row               lineitem JOIN orders JOIN customer JOIN supplier
+fact row               lineitem LEFT JOIN orders, customer, supplier
 carrier (AIRLINE)      l_suppkey; carrier dimension = supplier
 origin / destination   s_nationkey / c_nationkey; the location
                        dimension (nation JOIN region) is used twice
@@ -58,19 +58,15 @@ def _build_shipments(t) -> DataFrame:
     ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks with the
     real sizes at runtime; beyond that they are sort-merge joined.
     """
-    if hasattr(t, "fact"):
-        li_scan, o_scan = t.fact("lineitem", "l_orderkey"), t.fact("orders", "o_orderkey")
-    else:
-        li_scan, o_scan = t["lineitem"], t["orders"]
-    li = li_scan.select(
+    li = t["lineitem"].select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
-    o = o_scan.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    o = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = t["customer"].select("c_custkey", "c_nationkey")
     s = t["supplier"].select("s_suppkey", "s_nationkey")
-    fact = (li.join(o, li.l_orderkey == o.o_orderkey)
-            .join(c, F.col("o_custkey") == F.col("c_custkey"))
-            .join(s, F.col("l_suppkey") == F.col("s_suppkey")))
+    fact = (li.join(o, li.l_orderkey == o.o_orderkey, "left")
+            .join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
+            .join(s, F.col("l_suppkey") == F.col("s_suppkey"), "left"))
     ship_date = F.to_date("l_shipdate")
     return fact.select(
         F.col("l_orderkey").alias("order_key"),
@@ -96,17 +92,15 @@ def _build_shipments(t) -> DataFrame:
 
 
 def calendar_years(t) -> DataFrame:
-    """Distinct service years from a one-column scan of lineitem: a superset
-    of the fact's years (the fact is an inner join of lineitem), enough to
-    build a calendar that is only left-joined -- no second pass over the
-    joined fact."""
+    """Distinct service years from a one-column scan of lineitem, which holds
+    all rows of the fact -- no second pass over the joined fact."""
     return t["lineitem"].select(F.year(F.to_date("l_shipdate")).alias("year")).distinct()
 
 
 def locations(t) -> DataFrame:
     """Location dimension: nation JOIN region (25 rows by construction)."""
     n, r = t["nation"], t["region"]
-    return (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")
+    return (n.join(r, n.n_regionkey == r.r_regionkey, "left")
             .select(F.col("n_nationkey").cast("bigint").alias("loc_key"),
                     F.col("n_name").alias("loc_name"),
                     F.col("r_name").alias("loc_region")))
@@ -149,9 +143,9 @@ SELECT l.l_orderkey AS order_key,
        l.l_tax AS tax,
        l.l_extendedprice * (1 - l.l_discount) * (1 + l.l_tax) AS net_amount
 FROM lineitem l
-JOIN orders o ON l.l_orderkey = o.o_orderkey
-JOIN customer c ON o.o_custkey = c.c_custkey
-JOIN supplier s ON l.l_suppkey = s.s_suppkey
+LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
 """
 
 LOCATIONS_SQL = """

@@ -9,7 +9,6 @@ for the small reports and the model fits.  Outputs go under ``out_dir``
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 from contrail.operators import drift, grouping, joins, ml, quality
 from contrail.plans.learning import SPEC, SPLIT_KEYS
 from contrail.plans.shipments import calendar_years, carriers, locations, shipments_materialized as shipments
-from contrail.session import cut_lineage
+from contrail.session import cut_lineage, path_exists
 from contrail.sources.calendar import holiday_calendar
 from contrail.sources.tables import Tables, report_sink, route_dataset, write_table
 
@@ -87,7 +86,7 @@ def run_training(spark: SparkSession, sf_dir: str, out_dir: str,
         raise ModelRejected(f"best model {best} failed the acceptance gates")
     promoted, model_path = False, None
     if accepted:
-        champion = ml.load_model(champion_path) if champion_path and os.path.exists(champion_path) else None
+        champion = ml.load_model(champion_path) if champion_path and path_exists(spark, champion_path) else None
         decision = ml.champion_challenger(te, SPEC.label, fitted[best], champion)
         promoted = decision["accepted"]
         if promoted:

@@ -6,11 +6,10 @@ create a session themselves; they take the caller's session or DataFrames.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings every job in this package expects.  AQE re-plans joins and
 # coalesces shuffle partitions at runtime; skew-join splits hot partitions.
@@ -51,8 +50,8 @@ def get_spark(master: str | None = None, app: str = "contrail",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster must name a shared (HDFS/S3/ABFS) folder there.  Only when the
-    setting is absent -- local tests -- do we create a scratch folder.
+    A cluster must name a shared (HDFS/S3/ABFS) folder there; without one a
+    cluster session is an error.  Only a ``local`` master gets a scratch folder.
     """
     try:
         sc = spark.sparkContext
@@ -62,6 +61,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path and sc is not None:
         path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="contrail-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None and sc.getCheckpointDir() is None:
@@ -79,34 +81,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
-
-    The check is a ``limit(max_rows + 1).count()`` which stops reading as
-    soon as the bound is exceeded.  Beyond the bound the DataFrame is
-    returned unchanged and the join falls back to a shuffle join (AQE may
-    still convert it at runtime from real statistics).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def scratch_dir(prefix: str = "contrail-") -> str:
-    """Fresh local folder for tests and the local bench only."""
-    base = os.environ.get("CONTRAIL_SCRATCH", "/tmp")
-    return tempfile.mkdtemp(prefix=prefix, dir=base)
-
-
-def materialize_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Compute a small derived table once and ship it as a broadcast.
-
-    ``bounded_broadcast`` counts and then recomputes; for a derived table
-    (an aggregate of the fact) that doubles the work.  Here the rows are
-    fetched once with ``limit(max_rows + 1)``: within the bound they become
-    a local relation that is broadcast; beyond it the original DataFrame is
-    returned for a shuffle join.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, on whatever file system its scheme names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

@@ -17,8 +17,8 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
 
 
 def load_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """Parquet scan of one table (``{base}/{name}.parquet``)."""
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    """Parquet scan of one table (``{base}/{name}.parquet``), NaN read as missing."""
+    return nan_to_null(spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet"))
 
 
 class Tables(dict):
@@ -34,30 +34,6 @@ class Tables(dict):
         self[name] = df
         return df
 
-    def fact(self, name: str, key: str | None = None) -> DataFrame:
-        """Scan of a fact-sized table with a parallelism guard.
-
-        A file with one row group is one scan task however large it is, and
-        everything pipelined after the scan (broadcast joins, projections,
-        partial aggregates) would run in that task.  When the scan yields
-        fewer partitions than the cluster's default parallelism it is
-        repartitioned; a real dataset of many files already has more splits
-        and is left alone (no extra shuffle).  With ``key`` the repartition
-        hashes on the column the next join uses, so when that join is a
-        sort-merge join the guard's exchange is the join's exchange.
-        """
-        def build(t):
-            df = t[name]
-            try:
-                target = t.spark.sparkContext.defaultParallelism
-                splits = df.rdd.getNumPartitions()       # planning only, no job
-            except Exception:  # Spark Connect: no RDD view, leave the scan as is
-                return df
-            if splits >= target:
-                return df
-            return df.repartition(F.col(key)) if key else df.repartition(target)
-        return self.derived(f"fact:{name}:{key}", build)
-
     def derived(self, name: str, build) -> DataFrame:
         """A DataFrame derived from these tables, built once and reused."""
         key = f"__{name}"
