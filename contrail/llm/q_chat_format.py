@@ -28,6 +28,7 @@ FROM e GROUP BY conv_id
 
 @register("op3_chat_format", SQL)
 def op3(spark, sf_dir):
+    """Digests of all formatted conversations, read back, and of a planted one."""
     planted = spark.createDataFrame([(-7, 0, "user", PLANTED), (-7, 1, "assistant", PLANTED)], "conv_id long, turn long, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
     return read_back(format_conversations(turns))

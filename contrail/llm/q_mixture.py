@@ -1,5 +1,7 @@
 """Query of the source mixture."""
 
+from pyspark.sql import functions as F
+
 from contrail.llm.mixture import mix_sources
 from contrail.llm.queries import register, table
 
@@ -24,5 +26,5 @@ SELECT doc_id, source, size, source_size, round(target, 6) AS target,
 
 @register("op7_mixture", SQL)
 def op7(spark, sf_dir):
-    from pyspark.sql import functions as F
+    """Words the mixture takes of every document."""
     return mix_sources(table(spark, sf_dir, "documents")).withColumn("target", F.round("target", 6))

@@ -22,5 +22,6 @@ FROM d LEFT JOIN gone ON d.doc_id = gone.doc_id
 
 @register("op1_substring_dedup", SQL)
 def op1(spark, sf_dir):
+    """Words left of every document once passages of earlier ones are cut."""
     out = remove_repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"), n=13)
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
