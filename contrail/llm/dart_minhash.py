@@ -17,10 +17,12 @@ weighted Jaccard similarity.
 3. A pair is linked if the exact Jaccard similarity of its shingle sets
    reaches the threshold.  Links give classes (smallest label, repeated).
 4. Buckets whose members still belong to several classes are compared
-   across classes, but a text of which so many shingles occur in no other
-   text of these buckets that it cannot reach the threshold is left out.
-   So no pair of a bucket is lost, and a group of near copies of any size
-   costs one comparison per member.
+   across classes.  Shingles that occur in no other text of these buckets
+   bound what a text can share and leave out texts that cannot reach the
+   threshold.  The others meet by their differences to what their group has
+   in common (``_across``).  So no pair of a bucket is lost, while a large
+   group of near copies costs one comparison per member and those few that
+   the bounds leave open.
 
 Defined results: a text of one to four words has one shingle, the whole; a
 text without words (or null) is a class of its own, as is a null id (class
@@ -35,8 +37,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from contrail.llm.store import stored
 from contrail.llm.words import U64, Words, mix, slices, split_words, window_hashes, window_starts
 from contrail.session import cut_lineage
 
@@ -44,6 +48,7 @@ SLICE = 1 << 20
 _STEP, _REGION = U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93)
 _MASK = (1 << 64) - 1
 _UNIT = 2.0 ** -53
+_EPS = 1e-6  # rounding of the bounds; pairs let through are verified
 
 
 def shingle_sets(w: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -195,15 +200,15 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 def smallest_labels(edges: DataFrame) -> DataFrame:
     """(doc, label): the smallest node each node of the undirected edges reaches."""
-    both = cut_lineage(edges.select(F.col("a").alias("doc"), F.col("b").alias("near"))
-                       .unionByName(edges.select(F.col("b").alias("doc"), F.col("a").alias("near"))).distinct())
-    labels = cut_lineage(both.groupBy("doc").agg(F.least(F.min("near"), F.col("doc")).alias("label")))
+    both = stored(edges.select(F.col("a").alias("doc"), F.col("b").alias("near"))
+                  .unionByName(edges.select(F.col("b").alias("doc"), F.col("a").alias("near"))).distinct())
+    labels = stored(both.groupBy("doc").agg(F.least(F.min("near"), F.col("doc")).alias("label")))
     while True:
         near = labels.select(F.col("doc").alias("near"), F.col("label").alias("of_near"))
-        least = cut_lineage(both.join(near, "near").groupBy("doc").agg(F.min("of_near").alias("least")))
-        step = cut_lineage(labels.join(least, "doc").select("doc", F.col("label").alias("before"), F.least("label", "least").alias("label")))
+        least = both.join(near, "near").groupBy("doc").agg(F.min("of_near").alias("least"))
+        step = stored(labels.join(least, "doc").select("doc", F.col("label").alias("before"), F.least("label", "least").alias("label")))
         top = step.select(F.col("doc").alias("label"), F.col("label").alias("of_label"))
-        moved = cut_lineage(step.join(top, "label").select("doc", "before", F.col("of_label").alias("label")))
+        moved = stored(step.join(top, "label").select("doc", "before", F.col("of_label").alias("label")))
         labels = moved.select("doc", "label")
         if moved.where("label < before").isEmpty():
             return labels
@@ -224,7 +229,7 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = 0.8, size: int =
     pairs = ranked.join(pivots, "bucket").where("doc <> pivot").select(F.col("doc").alias("a"), F.col("pivot").alias("b")).distinct()
     sets = texts.join(degree.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi").mapInArrow(_set_partition(size), "doc long, grams array<long>")
     sets = cut_lineage(sets)
-    links = cut_lineage(verified(pairs, sets, similarity))
+    links = stored(verified(pairs, sets, similarity))
     labels = smallest_labels(links)
     # Buckets that hold more than one class are looked through again, across classes.
     labelled = cut_lineage(ranked.select("bucket", "doc").join(labels, "doc", "left").select("bucket", "doc", F.coalesce("label", "doc").alias("label")))
@@ -232,14 +237,13 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = 0.8, size: int =
     mixed = by_class.groupBy("bucket").agg(F.count("*").alias("classes"), F.max(F.struct("n", "label"))["label"].alias("main")).where("classes > 1")
     mixed = cut_lineage(mixed.select("bucket", "main"))
     members = cut_lineage(labelled.join(mixed, "bucket"))
-    able = cut_lineage(_able(members.select("doc").distinct(), sets, similarity))
-    members = cut_lineage(members.join(able, "doc"))
-    outside = members.where("label <> main").select("bucket", F.col("doc").alias("a"), F.col("label").alias("of_a"))
-    rest = members.select("bucket", F.col("doc").alias("b"), F.col("label").alias("of_b"), "main")
-    # a pair of two outside members meets once, a pair with the main class once
-    more = outside.join(rest, "bucket").where("of_a <> of_b and (of_b = main or a < b)").select("a", "b").distinct()
+    sizes = cut_lineage(_sizes(members.select("doc").distinct(), sets))
+    members = cut_lineage(members.join(sizes, "doc"))
+    shortest = cut_lineage(members.groupBy("bucket").agg(F.min("n").alias("shortest")))
+    members = cut_lineage(members.join(shortest, "bucket").where(_reachable(similarity)))
+    more = _across(stored(members.select("doc", "label", "main").distinct()), sets, similarity)
     more = more.join(links.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-    links = cut_lineage(links.unionByName(verified(cut_lineage(more), sets, similarity)))
+    links = stored(links.unionByName(verified(cut_lineage(more), sets, similarity)))
     labels = smallest_labels(links)
     ends = links.select(F.explode(F.array("a", "b")).alias("doc")).groupBy("doc").agg(F.count("*").alias("n_links"))
     classes = distinct.select("t1", "t2", "doc").join(labels.join(ends, "doc", "left"), "doc", "left")
@@ -248,14 +252,57 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = 0.8, size: int =
     return worded.select("doc_id", "t1", "t2").join(classes, ["t1", "t2"]).select("doc_id", "class_id", "n_links").unionByName(lonely)
 
 
-def _able(docs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Texts that can reach the similarity with another text of ``docs``.
-
-    With u shingles found in no other of these texts, a text of n shingles
-    shares at most n - u with any, and each union holds n at least.
-    """
+def _sizes(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(doc, n, most): shingles of each text, and those that another text of ``docs`` has as well."""
     own = cut_lineage(sets.join(docs, "doc", "left_semi"))
     alone = own.select("doc", F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n"), F.min("doc").alias("doc")).where("n = 1")
     alone = alone.groupBy("doc").agg(F.count("*").alias("alone"))
     joined = own.select("doc", F.size("grams").alias("n")).join(alone, "doc", "left")
-    return joined.where(F.col("n") - F.coalesce("alone", F.lit(0)) >= similarity * F.col("n")).select("doc").distinct()
+    return joined.groupBy("doc").agg(F.max("n").alias("n"), F.max(F.col("n") - F.coalesce("alone", F.lit(0))).alias("most"))
+
+
+def _across(group: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of different labels in one group (doc, label, main) that may reach the similarity.
+
+    The core of a group are the shingles of more than half of its texts.
+    With d core shingles missing in a text of n, two texts share
+    K - da - db shingles and as many more as their differences to the core
+    have in common; they need ya + yb - K of those, where y = f n + d and
+    f = similarity / (1 + similarity).  If the text of least y needs none of
+    another, that pair is a link.  Whoever is too far from it for that must
+    have enough differences in common with its partner, so they share one
+    among the first (size - need + 1) of their differences, rarest first.
+    """
+    f = similarity / (1 + similarity)
+    full = group.join(sets, "doc")
+    size = group.groupBy("main").agg(F.count("*").alias("texts"))
+    often = full.select("main", F.explode("grams").alias("gram")).groupBy("main", "gram").agg(F.count("*").alias("n"))
+    core = stored(often.join(size, "main").where("2 * n > texts").groupBy("main").agg(F.collect_list("gram").alias("core")))
+    beside = full.join(core, "main", "left").withColumn("core", F.coalesce("core", F.array().cast("array<long>")))
+    beside = stored(beside.select("main", "doc", "label", F.size("core").alias("k"), F.array_except("core", "grams").alias("less"),
+                                  F.array_except("grams", "core").alias("more"), (f * F.size("grams")).alias("fn")))
+    placed = beside.select("main", "doc", "label", "k", (F.col("fn") + F.size("less")).alias("y"), F.explode(F.concat("less", "more")).alias("gram"))
+    shared = placed.groupBy("main", "gram").agg(F.count("*").alias("df")).where("df > 1")
+    nearest = beside.groupBy("main").agg(F.min(F.struct((F.col("fn") + F.size("less")).alias("y"), "doc", "label")).alias("least"))
+    nearest = stored(nearest.select("main", F.col("least.y").alias("y0"), F.col("least.doc").alias("doc0"), F.col("least.label").alias("label0")))
+    star = beside.join(nearest, "main").where(f"doc <> doc0 and label <> label0 and fn + size(less) + y0 - k <= {_EPS}")
+    by_doc = W.partitionBy("main", "doc")
+    ranked = placed.join(stored(shared), ["main", "gram"]).join(nearest.select("main", "y0"), "main")
+    ranked = ranked.withColumn("rank", F.row_number().over(by_doc.orderBy("df", "gram"))).withColumn("size", F.count("*").over(by_doc))
+    ranked = stored(ranked.withColumn("far", F.expr(f"y + y0 - k > {_EPS}")))
+    far = ranked.where("far").select("main", "gram", "k", *[F.col(c).alias(f"{c}_a") for c in ("doc", "label", "y", "rank", "size")])
+    every = ranked.select(F.col("main").alias("main_b"), F.col("gram").alias("gram_b"), "far", *[F.col(c).alias(f"{c}_b") for c in ("doc", "label", "y", "rank", "size")])
+    need = f"(y_a + y_b - k - {_EPS})"
+    pairs = far.join(every, F.expr(f"""main = main_b and gram = gram_b and label_a <> label_b and (doc_a < doc_b or not far)
+        and rank_a <= size_a - {need} + 1 and rank_b <= size_b - {need} + 1"""))
+    return star.select(F.col("doc").alias("a"), F.col("doc0").alias("b")).union(pairs.select("doc_a", "doc_b")).distinct()
+
+
+def _reachable(similarity: float):
+    """Whether a text can reach the similarity with any text of its bucket.
+
+    It shares ``most`` shingles at best; the union with a text of m shingles
+    then holds n + m - most, and no m in the bucket is below ``shortest``.
+    """
+    union = F.when(F.col("shortest") >= F.col("most"), F.col("n") + F.col("shortest") - F.col("most")).otherwise(F.col("n"))
+    return F.col("most") >= similarity * union
