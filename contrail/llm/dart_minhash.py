@@ -1,14 +1,15 @@
 """Near-duplicate classes from dart MinHash signatures.
 
-A text is the weighted set of its five-word shingles (weight
-``1 + log2(count)``).  Hashed darts fall, as a unit Poisson process over
+A text is the set of its five-word shingles; how often it repeats one does
+not count, in the bands as in the verification.  ``signatures`` takes weighted
+sets, here of unit weights.  Hashed darts fall, as a unit Poisson process over
 (weight, rank), into the weighted regions of each shingle; the regions double
 in width.  A dart hits a text if its weight coordinate lies below the
 shingle's weight there.  Every dart carries one of ``bands * rows``
 coordinates, and a text keeps its earliest dart per coordinate, so the number
 of darts looked at depends on the number of coordinates and hardly on the
 length.  Two texts agree in a coordinate with the probability of their
-weighted Jaccard similarity.
+(weighted) Jaccard similarity.
 
 1. Texts with equal word sequences collapse to the smallest id.
 2. Texts that agree in all coordinates of a band meet in a bucket.  The
@@ -163,8 +164,8 @@ def _signature_partition(size: int, bands: int, band_rows: int):
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 w = split_words(part.column("text"))
-                rows, grams, counts = shingle_sets(w, size)
-                sig = signatures(rows, grams, 1 + np.log2(counts), part.num_rows, bands * band_rows)
+                rows, grams, _ = shingle_sets(w, size)
+                sig = signatures(rows, grams, np.ones(len(rows)), part.num_rows, bands * band_rows)
                 keys = np.zeros((part.num_rows, bands), dtype=U64)
                 for r in range(band_rows):
                     keys = mix((keys + sig[:, r::band_rows][:, :bands] * _REGION).reshape(-1)).reshape(keys.shape)

@@ -84,3 +84,15 @@ def test_empty(no_docs, spark):
     assert M.near_duplicate_classes(no_docs).count() == 0
     lonely = spark.createDataFrame([(1, None), (2, ""), (None, "a")], "doc_id long, text string")
     assert classes(lonely) == [(1, 1), (2, 2), (None, None)]
+
+
+def test_texts_pasted_several_times(spark):
+    """The similarity is that of sets: a text is a near copy of itself pasted in a row."""
+    rng = random.Random(12)
+    rows = []
+    for i, times in enumerate([2, 3, 4, 8] * 5):
+        text = prose(rng, 104)
+        rows += [(2 * i, text), (2 * i + 1, " ".join([text] * times))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = classes(docs)
+    assert got == brute(rows) and all(c == d - d % 2 for d, c in got)
