@@ -216,7 +216,8 @@ def smallest_labels(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicate_classes(docs: DataFrame, similarity: float = 0.8, size: int = 5, bands: int = 32, band_rows: int = 4) -> DataFrame:
-    """``doc_id, class_id, n_links`` for every row: the smallest id of its class and the links found for its text."""
+    """``doc_id, class_id, n_spanning_links`` for every row: the smallest id of its class and
+    the verified links of its text among those that span the class, not all its near copies."""
     texts = docs.select("doc_id", "text")
     sig = cut_lineage(texts.mapInArrow(_signature_partition(size, bands, band_rows), "doc_id long, t1 long, t2 long, n_words long, buckets array<long>"))
     worded = sig.where("n_words > 0 and doc_id is not null")
@@ -246,11 +247,11 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = 0.8, size: int =
     more = more.join(links.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
     links = stored(links.unionByName(verified(cut_lineage(more), sets, similarity)))
     labels = smallest_labels(links)
-    ends = links.select(F.explode(F.array("a", "b")).alias("doc")).groupBy("doc").agg(F.count("*").alias("n_links"))
+    ends = links.select(F.explode(F.array("a", "b")).alias("doc")).groupBy("doc").agg(F.count("*").alias("n_spanning_links"))
     classes = distinct.select("t1", "t2", "doc").join(labels.join(ends, "doc", "left"), "doc", "left")
-    classes = cut_lineage(classes.select("t1", "t2", F.coalesce("label", "doc").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
-    lonely = sig.where("n_words = 0 or doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return worded.select("doc_id", "t1", "t2").join(classes, ["t1", "t2"]).select("doc_id", "class_id", "n_links").unionByName(lonely)
+    classes = cut_lineage(classes.select("t1", "t2", F.coalesce("label", "doc").alias("class_id"), F.coalesce("n_spanning_links", F.lit(0)).alias("n_spanning_links")))
+    lonely = sig.where("n_words = 0 or doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_spanning_links"))
+    return worded.select("doc_id", "t1", "t2").join(classes, ["t1", "t2"]).select("doc_id", "class_id", "n_spanning_links").unionByName(lonely)
 
 
 def _sizes(docs: DataFrame, sets: DataFrame) -> DataFrame:

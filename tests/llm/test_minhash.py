@@ -96,3 +96,14 @@ def test_texts_pasted_several_times(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = classes(docs)
     assert got == brute(rows) and all(c == d - d % 2 for d, c in got)
+
+
+def test_spanning_links(spark):
+    """The links reported are those that held the class together: fewer than all near pairs, at least a tree."""
+    rng = random.Random(6)
+    base = prose(rng, 120).split()
+    rows = [(i, " ".join([*base[:60], f"new{i}", *base[61:]])) for i in range(20)]
+    got = M.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got.columns == ["doc_id", "class_id", "n_spanning_links"]
+    links = [r["n_spanning_links"] for r in got.collect()]
+    assert min(links) >= 1 and 2 * 19 <= sum(links) < 20 * 19
