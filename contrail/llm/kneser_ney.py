@@ -1,23 +1,33 @@
-"""Interpolated modified Kneser-Ney bigram model over sorted hash arrays.
+"""Interpolated modified Kneser-Ney models of order 2 or 3 over sorted hash arrays.
 
 Words are hashed; the top bits of a word's hash name its shard, so a shard
 holds all counts of its words as contexts.  Tasks count their bigrams in
-flushes sorted by (context, word) and send packed arrays, not rows.  Bigrams
-seen once are counted but not kept, as is usual: with T bigram tokens,
-``n1 = T - sum of kept counts``, and a word's number of left neighbours is its
-kept types plus its count less its kept counts, so all statistics stay exact.
-The mass of what is not kept goes to the back-off weight:
+flushes sorted by (context, word) and send packed arrays, not rows.  With
+``least`` 1 every bigram is kept.  With ``least`` 2 those seen once are counted
+but not kept: with T bigram tokens, ``n1 = T - sum of kept counts``, and a
+word's number of left neighbours is its kept types plus its count less its kept
+counts, so all statistics stay exact and the mass of what is not kept goes to
+the back-off weight:
 
     p(w|u) = (c(uw) - D) / c(u) [kept] + g(u) p1(w),   g(u) = 1 - sum of kept (c - D) / c(u)
 
 p1 is the interpolated continuation distribution over the known words and one
 unknown.  In logarithms a text's score is a sum over its tokens of
 ``log p1(w) + log g(w)`` and over its kept bigrams of what they add, so every
-lookup concerns one key.  Shards of the model are sorted arrays of hashes and
+lookup concerns one key.
+
+Order 3 keeps every n-gram.  A trigram xuw lies in the shard of its middle
+word u, where its context xu, its lower bigram uw and the number of its left
+neighbours are at home too.  Bigrams then count their left neighbours, those
+behind the start of a text their occurrences.  A token adds to the above
+``log g(xu)`` if xu is known and what a known trigram adds; the model's arrays
+are made where they are looked up and not stored.
+
+Shards of the model are sorted arrays of hashes and
 values; a scoring task spools its shard to an unlinked file, maps it into
 memory and looks up the tokens of all texts that were sent there.  Sums come
-back per flush of texts.  Texts leave out the bigrams that a bounded bitmap
-of the kept ones rules out.  No task and no driver holds the whole model.
+back per flush of texts.  At order 2 texts leave out the bigrams that a bounded
+bitmap of the kept ones rules out.  No task and no driver holds the whole model.
 
 Defined results: a null or empty text is one end token.  A null id is held
 out.  Repeated rows are learnt and scored as often as they stand there.
@@ -80,6 +90,23 @@ def bigram_keys(context: np.ndarray, word48: np.ndarray) -> np.ndarray:
     return mix(context * _C + word48)
 
 
+def befores(context: np.ndarray) -> np.ndarray:
+    """48 bits of the word before each context; 0 before the start of a text."""
+    out = np.zeros_like(context)
+    out[1:] = context[:-1]
+    out[context == BEGIN] = 0
+    return short(out)
+
+
+def trigram_keys(before48: np.ndarray, context: np.ndarray, word48: np.ndarray) -> np.ndarray:
+    return mix(bigram_keys(context, word48) * _C + before48)
+
+
+def pair_keys(before48: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """Keys of trigram contexts."""
+    return mix(bigram_keys(context, before48) ^ _C)
+
+
 def _pack48(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
@@ -132,55 +159,88 @@ def _flushes(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...] = ()) -
 
 # --- counting
 
-_COUNTS = "shard int, us binary, cu binary, nb binary, w binary, cw binary"
+_COUNTS = "shard int, us binary, cu binary, nb binary, w binary, cw binary, nx binary, x binary, cx binary"
 
 
 def _record(names: str, rows: list[tuple], kinds: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], [x.split()[0] for x in names.split(", ")])
 
 
-def _count_partition(bits: int):
+def _count_partition(bits: int, n: int):
+    """Counts of a flush; x, cx and nx are the words before each bigram, their counts and how many there are (order 3)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for u, w, _, _ in _flushes(batches):
-            order = np.lexsort((w, u))
-            u, w = u[order], short(w[order])
+            w, x = short(w), befores(u)
+            order = np.lexsort((x, w, u) if n == 3 else (w, u))
+            u, w, x = u[order], w[order], x[order]
+            cx = np.zeros(0, np.int64)
+            if n == 3:
+                at = _heads(u, w, x)
+                u, w, x, cx = u[at], w[at], x[at], np.diff(np.append(at, len(u)))
             at = _heads(u, w)
-            u, w, c = u[at], w[at], np.diff(np.append(at, len(u)))
+            nx = np.diff(np.append(at, len(u)))
+            c = _summed_runs(cx, at) if n == 3 else nx
+            x_at = np.append(at, len(u))
+            u, w = u[at], w[at]
             first = _heads(u)
             us, nb, cu = u[first], np.diff(np.append(first, len(u))), _summed_runs(c, first)
             rows = []
             for shard, a, b in _shards(us, bits):
                 lo, hi = first[a], first[b] if b < len(first) else len(u)
-                rows.append((shard, us[a:b].tobytes(), pack_small(cu[a:b]), pack_small(nb[a:b]), _pack48(w[lo:hi]), pack_small(c[lo:hi])))
-            yield _record(_COUNTS, rows, [pa.int32()] + [pa.binary()] * 5)
+                t = slice(x_at[lo], x_at[hi])
+                more = (b"", pack_small(nx[lo:hi]), _pack48(x[t]), pack_small(cx[t])) if n == 3 else (pack_small(c[lo:hi]), b"", b"", b"")
+                rows.append((shard, us[a:b].tobytes(), pack_small(cu[a:b]), pack_small(nb[a:b]), _pack48(w[lo:hi]), *more))
+            yield _record(_COUNTS, rows, [pa.int32()] + [pa.binary()] * 8)
 
     return run
 
 
-_MERGED = "shard int, us binary, cu binary, nb binary, w binary, cw binary, words long, tokens long, kept long, kept_tokens long, n2 long, n3 long, n4 long, texts long"
-
-
-def _merge_counts(frame: pd.DataFrame) -> pd.DataFrame:
-    """Counts of one shard: all contexts, and the bigrams seen twice or more."""
-    us, cu, u, w, c = [], [], [], [], []
-    for r in frame.itertuples():
-        x, n = np.frombuffer(r.us, dtype=U64), unpack_small(r.nb)
-        us.append(x), cu.append(unpack_small(r.cu)), u.append(np.repeat(x, n)), w.append(_unpack48(r.w)), c.append(unpack_small(r.cw))
-    us, cu, u, w, c = (np.concatenate(x) for x in (us, cu, u, w, c))
-    order = np.argsort(us, kind="stable")
-    at = _heads(us[order])
-    cu, us = _summed_runs(cu[order], at), us[order][at]
-    order = np.lexsort((w, u))
-    u, w, c = u[order], w[order], c[order]
-    at = _heads(u, w)
-    u, w, c = u[at], w[at], _summed_runs(c, at)
-    keep = c >= 2
-    u, w, c = u[keep], w[keep], c[keep]
-    nb = np.bincount(np.searchsorted(us, u), minlength=len(us))
-    word = us != BEGIN
-    return pd.DataFrame([(frame["shard"].iloc[0], us.tobytes(), cu.astype(np.int64).tobytes(), pack_small(nb), w.tobytes(), c.astype(np.int64).tobytes(),
-                          int(word.sum()), int(cu[word].sum()), len(c), int(c.sum()), int((c == 2).sum()), int((c == 3).sum()), int((c == 4).sum()), int(cu[~word].sum()))],
-                        columns=[x.split()[0] for x in _MERGED.split(", ")])
+_SUMS = ("words", "tokens", "kept", "kept_tokens", "n1", "n2", "n3", "n4", "texts", "m1", "m2", "m3", "m4")
+_ARRAYS = ("us", "cu", "nb", "w", "cw", "nx", "x", "cx")
+_MERGED = "shard int, " + ", ".join([f"{c} binary" for c in _ARRAYS] + [f"{c} long" for c in _SUMS])
+
+
+def _merge_counts(least: int, n: int):
+    """Counts of one shard: all contexts, the bigrams seen ``least`` times or more, and at order 3 all trigrams."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        us, cu, u, w, c, x = [], [], [], [], [], []
+        for r in frame.itertuples():
+            y, nb, nx = np.frombuffer(r.us, dtype=U64), unpack_small(r.nb), unpack_small(r.nx)
+            us.append(y), cu.append(unpack_small(r.cu))
+            y, z = np.repeat(y, nb), _unpack48(r.w)
+            u.append(np.repeat(y, nx) if n == 3 else y), w.append(np.repeat(z, nx) if n == 3 else z)
+            c.append(unpack_small(r.cx if n == 3 else r.cw)), x.append(_unpack48(r.x))
+        us, cu, u, w, c, x = (np.concatenate(a) for a in (us, cu, u, w, c, x))
+        order = np.argsort(us, kind="stable")
+        at = _heads(us[order])
+        cu, us = _summed_runs(cu[order], at), us[order][at]
+        order = np.lexsort((x, w, u) if n == 3 else (w, u))
+        u, w, c = u[order], w[order], c[order]
+        nx, cx = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if n == 3:
+            x = x[order]
+            at = _heads(u, w, x)
+            u, w, x, cx = u[at], w[at], x[at], _summed_runs(c, at)
+            at = _heads(u, w)
+            inner = u != BEGIN
+            m = [int((cx[inner] == k).sum()) for k in (1, 2, 3, 4)]
+            nx = np.diff(np.append(at, len(u)))
+            u, w = u[at], w[at]
+            c = np.where(u == BEGIN, _summed_runs(cx, at), nx)
+        else:
+            at = _heads(u, w)
+            u, w, c, m = u[at], w[at], _summed_runs(c, at), [0] * 4
+        keep = c >= least
+        u, w, c = u[keep], w[keep], c[keep]
+        nb = np.bincount(np.searchsorted(us, u), minlength=len(us))
+        word = us != BEGIN
+        return pd.DataFrame([(frame["shard"].iloc[0], us.tobytes(), cu.astype(np.int64).tobytes(), pack_small(nb), _pack48(w), pack_small(c),
+                              pack_small(nx), _pack48(x), pack_small(cx), int(word.sum()), int(cu[word].sum()), len(c), int(c.sum()),
+                              *(int((c == k).sum()) for k in (1, 2, 3, 4)), int(cu[~word].sum()), *m)], columns=["shard", *_ARRAYS, *_SUMS])
+
+    return run
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -201,6 +261,9 @@ class Totals:
     lower: tuple = ()    # discounts of continuation counts
     types: int = 0       # bigram types
     reserve: float = 1.0  # mass of the uniform distribution below
+    least: int = 2
+    order: int = 2
+    d3: tuple = ()       # discounts of trigrams
 
     def discounted(self, c: np.ndarray) -> np.ndarray:
         return c - np.array([0, *self.d])[np.minimum(c, 3)]
@@ -215,7 +278,7 @@ def _contexts(r, t: Totals) -> tuple:
     """Arrays of a merged shard: contexts, counts, and per kept bigram context rank, word, count."""
     us, cu = np.frombuffer(r.us, dtype=U64), np.frombuffer(r.cu, dtype=np.int64)
     nb = unpack_small(r.nb)
-    return us, cu, np.repeat(np.arange(len(us)), nb), np.frombuffer(r.w, dtype=U64), np.frombuffer(r.cw, dtype=np.int64)
+    return us, cu, np.repeat(np.arange(len(us)), nb), _unpack48(r.w), unpack_small(r.cw)
 
 
 def _by_word(w: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -261,19 +324,19 @@ def _own_words(merged: pd.DataFrame, t: Totals, shard: int) -> tuple[np.ndarray,
     return us, cu
 
 
-def _neighbours(sent: pd.DataFrame, us: np.ndarray, cu: np.ndarray) -> np.ndarray:
+def _neighbours(sent: pd.DataFrame, us: np.ndarray, cu: np.ndarray, t: Totals) -> np.ndarray:
     """Left neighbours of each word: kept types, and one for each of its other tokens."""
-    n = cu.astype(np.int64).copy()
+    n = np.zeros(len(us), np.int64) if t.least == 1 else cu.astype(np.int64).copy()
     w48 = short(us)
     for r in sent.itertuples():
         at = np.searchsorted(w48, _unpack48(r.w))
-        np.add.at(n, at, unpack_small(r.types) - unpack_small(r.tokens))
+        np.add.at(n, at, unpack_small(r.types) - (0 if t.least == 1 else unpack_small(r.tokens)))
     return n
 
 
 def _count_neighbours(t: Totals):
     def run(key, sent: pd.DataFrame, merged: pd.DataFrame) -> pd.DataFrame:
-        n = _neighbours(sent, *_own_words(merged, t, int(key[0])))
+        n = _neighbours(sent, *_own_words(merged, t, int(key[0])), t)
         return pd.DataFrame([(int(n.sum()), *(int((n == k).sum()) for k in (1, 2, 3, 4)))], columns=["types", "n1", "n2", "n3", "n4"])
 
     return run
@@ -284,7 +347,7 @@ def _replies(t: Totals):
 
     def run(key, sent: pd.DataFrame, merged: pd.DataFrame) -> pd.DataFrame:
         us, cu = _own_words(merged, t, int(key[0]))
-        p = t.p1(_neighbours(sent, us, cu))
+        p = t.p1(_neighbours(sent, us, cu, t))
         w48 = short(us)
         rows = [(r.origin, int(key[0]), p[np.searchsorted(w48, _unpack48(r.w))].tobytes()) for r in sent.itertuples()]
         rows.append((int(key[0]), -1, p.tobytes()))
@@ -296,35 +359,50 @@ def _replies(t: Totals):
 _MODEL = "shard int, us binary, cu binary, value binary, keys binary, adds binary"
 
 
+def _model_arrays(t: Totals, shard: int, merged: pd.DataFrame, replies: pd.DataFrame) -> tuple:
+    """Per word count and log p1 + log g; sorted keys of n-grams and what each adds."""
+    words, counts = _own_words(merged, t, shard)
+    got = {int(r.origin): np.frombuffer(r.p, dtype=np.float64) for r in replies.itertuples()}
+    value = np.log10(got.get(-1, np.zeros(0)))
+    keys, adds = np.zeros(0, U64), np.zeros(0)
+    for r in merged.itertuples():
+        us, cu, rank, w, c = _contexts(r, t)
+        total = np.bincount(rank, c, minlength=len(us)) if t.least == 1 else cu
+        own = t.discounted(c) / total[rank]
+        g = np.maximum(1 - np.bincount(rank, own, minlength=len(us)), 1e-12)
+        p = np.zeros(len(w))
+        for origin, distinct, order in _by_word(w, t.bits):
+            p[order] = got[origin][np.searchsorted(distinct, w[order])]
+        below = g[rank] * p
+        keys, adds = bigram_keys(us[rank], w), np.log10(own + below) - np.log10(below)
+        if t.order == 3:
+            of, x, cx = np.repeat(np.arange(len(w)), unpack_small(r.nx)), _unpack48(r.x), unpack_small(r.cx)
+            u = us[rank][of]
+            inner = u != BEGIN
+            of, x, cx, u = of[inner], x[inner], cx[inner], u[inner]
+            pairs, pair = np.unique(pair_keys(x, u), return_inverse=True)
+            own3 = (cx - np.array([0, *t.d3])[np.minimum(cx, 3)]) / np.bincount(pair, cx, minlength=len(pairs))[pair]
+            g3 = np.maximum(1 - np.bincount(pair, own3, minlength=len(pairs)), 1e-12)
+            below3 = g3[pair] * (own + below)[of]
+            keys = np.concatenate([keys, trigram_keys(x, u, w[of]), pairs])
+            adds = np.concatenate([adds, np.log10(own3 + below3) - np.log10(below3), np.log10(g3)])
+        if len(words):
+            known = np.searchsorted(words, us)
+            inside = us != BEGIN
+            value[known[inside]] += np.log10(g[inside])
+        start = us == BEGIN
+        if start.any():  # its weight stands under its own hash, without a count
+            at = int(np.searchsorted(words, BEGIN))
+            words, counts, value = np.insert(words, at, BEGIN), np.insert(counts, at, 0), np.insert(value, at, np.log10(g[start][0]))
+    order = np.argsort(keys)
+    return words, counts.astype(np.int64), value, keys[order], adds[order].astype(np.float32)
+
+
 def _valued(t: Totals):
-    """The model arrays of a shard: per word count and log p1 + log g, per kept bigram what it adds."""
+    """The model arrays of a shard."""
 
     def run(key, merged: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        shard = int(key[0])
-        words, counts = _own_words(merged, t, shard)
-        got = {int(r.origin): np.frombuffer(r.p, dtype=np.float64) for r in replies.itertuples()}
-        value = np.log10(got.get(-1, np.zeros(0)))
-        keys, adds = np.zeros(0, U64), np.zeros(0)
-        for r in merged.itertuples():
-            us, cu, rank, w, c = _contexts(r, t)
-            own = t.discounted(c) / cu[rank]
-            g = np.maximum(1 - np.bincount(rank, own, minlength=len(us)), 1e-12)
-            p = np.zeros(len(w))
-            for origin, distinct, order in _by_word(w, t.bits):
-                p[order] = got[origin][np.searchsorted(distinct, w[order])]
-            below = g[rank] * p
-            keys, adds = bigram_keys(us[rank], w), np.log10(own + below) - np.log10(below)
-            if len(words):
-                known = np.searchsorted(words, us)
-                inside = us != BEGIN
-                value[known[inside]] += np.log10(g[inside])
-            start = us == BEGIN
-            if start.any():  # its weight stands under its own hash, without a count
-                at = int(np.searchsorted(words, BEGIN))
-                words, counts, value = np.insert(words, at, BEGIN), np.insert(counts, at, 0), np.insert(value, at, np.log10(g[start][0]))
-        order = np.argsort(keys)
-        return pd.DataFrame([(shard, words.tobytes(), counts.astype(np.int64).tobytes(), value.tobytes(), keys[order].tobytes(), adds[order].astype(np.float32).tobytes())],
-                            columns=[x.split()[0] for x in _MODEL.split(", ")])
+        return pd.DataFrame([(int(key[0]), *(x.tobytes() for x in _model_arrays(t, int(key[0]), merged, replies)))], columns=[x.split()[0] for x in _MODEL.split(", ")])
 
     return run
 
@@ -429,6 +507,41 @@ def _ask_partition(bits: int, shared):
     return run
 
 
+_ASKED3 = "shard int, flush long, texts int, us binary, nb binary, w binary, nx binary, x binary, nd binary, docs binary, times binary, ids binary, held binary, size binary"
+
+
+def _ask_trigrams(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = TaskContext.get().partitionId() << 24
+        for number, (u, w, doc, (ids, held)) in enumerate(_flushes(batches, ("doc_id", "held_out"))):
+            n = len(ids)
+            size = np.bincount(doc, minlength=n).astype(np.int64)
+            w, x = short(w), befores(u)
+            order = np.lexsort((x, w, u))
+            u, w, x, doc = u[order], w[order], x[order], doc[order]
+            at = _heads(u, w, x)
+            nd, docs, times = _references(np.repeat(np.arange(len(at)), np.diff(np.append(at, len(u)))), doc)
+            gaps, r_at = _gaps(docs, nd), np.concatenate(([0], np.cumsum(nd)))
+            u, w, x = u[at], w[at], x[at]
+            at = _heads(u, w)
+            x_at, u, w = np.append(at, len(u)), u[at], w[at]
+            nx, first = np.diff(x_at), _heads(u)
+            us, b_at = u[first], np.append(first, len(u))
+            nb, rows = np.diff(b_at), []
+            for shard, a, b in _shards(us, bits):
+                e = slice(b_at[a], b_at[b])
+                d = slice(x_at[e.start], x_at[e.stop])
+                f = slice(r_at[d.start], r_at[d.stop])
+                rows.append((shard, base + number, n, us[a:b].tobytes(), pack_small(nb[a:b]), _pack48(w[e]), pack_small(nx[e]), _pack48(x[d]),
+                             pack_small(nd[d]), pack_small(gaps[f]), pack_small(times[f]), None, None, None))
+            known_ids = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            flags = held.to_numpy(zero_copy_only=False).astype(np.uint8) + 2 * np.asarray(ids.is_null().to_numpy(zero_copy_only=False), dtype=np.uint8)
+            rows.append((number % (1 << bits), base + number, n, *[None] * 8, known_ids.tobytes(), flags.tobytes(), size.tobytes()))
+            yield _record(_ASKED3, rows, [pa.int32(), pa.int64(), pa.int32()] + [pa.binary()] * 11)
+
+    return run
+
+
 def _mapped(*arrays: np.ndarray) -> list[np.ndarray]:
     """The arrays as read-only maps of one unlinked temporary file."""
     with tempfile.TemporaryFile() as f:
@@ -480,6 +593,45 @@ def _answer(t: Totals):
     return run
 
 
+def _answer_trigrams(t: Totals):
+    """As ``_answer``, with every token asked by its trigram; the shard's arrays are made of its counts and replies."""
+    unknown = np.log10(t.p1(np.zeros(1, np.int64)))[0]
+
+    def run(key, asked: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
+        reply = parts["p"].notna()
+        words, counts, value, keys, adds = _mapped(*_model_arrays(t, int(key[0]), parts[~reply], parts[reply]))
+
+        def found(table: np.ndarray, values: np.ndarray, x: np.ndarray, other) -> np.ndarray:
+            if not len(table):
+                return np.full(len(x), other, dtype=np.float64)
+            at = np.minimum(np.searchsorted(table, x), len(table) - 1)
+            return np.where(table[at] == x, values[at], other).astype(np.float64)
+
+        rows = []
+        for r in asked.itertuples():
+            if r.ids is not None:
+                rows.append((r.flush, r.texts, None, None, None, r.ids, r.held, r.size))
+                continue
+            us, w, x = np.frombuffer(r.us, dtype=U64), _unpack48(r.w), _unpack48(r.x)
+            nb, nx, nd = unpack_small(r.nb), unpack_small(r.nx), unpack_small(r.nd)
+            start = us == BEGIN
+            c = found(words, counts, us, 0)
+            v = np.where(start, found(words, value, us, 0.0), found(words, value, us, unknown))
+            plain = np.where(start, 0.0, np.log10((c + 1) / (t.tokens + t.words + 1)))
+            u, of = np.repeat(us, nb), np.repeat(np.repeat(np.arange(len(us)), nb), nx)
+            add = np.repeat(np.repeat(v, nb) + found(keys, adds, bigram_keys(u, w), 0.0), nx)
+            u3, w3 = us[of], np.repeat(w, nx)
+            add += np.where(start[of], 0.0, found(keys, adds, trigram_keys(x, u3, w3), 0.0) + found(keys, adds, pair_keys(x, u3), 0.0))
+            docs, times, of = _from_gaps(unpack_small(r.docs), nd), unpack_small(r.times), np.repeat(of, nd)
+            score = np.bincount(docs, times * np.repeat(add, nd), minlength=r.texts)
+            base = np.bincount(docs, times * plain[of], minlength=r.texts)
+            known = np.bincount(docs, times * ((c > 0) & ~start)[of], minlength=r.texts)
+            rows.append((r.flush, r.texts, score.tobytes(), base.tobytes(), known.astype(np.int32).tobytes(), None, None, None))
+        return pd.DataFrame(rows, columns=[x.split()[0] for x in _PARTS.split(", ")])
+
+    return run
+
+
 _SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -509,39 +661,50 @@ def _stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(f"{folder}/{name}")
 
 
-def fit(train: DataFrame, folder: str, bits: int) -> tuple[DataFrame, Totals]:
-    """The model's shards, stored in ``folder``, and its totals, learnt from the texts of ``train``."""
-    counted = train.select("text").mapInArrow(_count_partition(bits), _COUNTS)
-    merged = _stored(counted.groupBy("shard").applyInPandas(_merge_counts, _MERGED), folder, "counts")
-    s = merged.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("words", "tokens", "kept", "kept_tokens", "n2", "n3", "n4", "texts")]).first()
+def fit(train: DataFrame, folder: str, bits: int, order: int, least: int) -> tuple[DataFrame, DataFrame, Totals]:
+    """The counts of the model's shards, the continuation probabilities each needs, and the totals, learnt from the texts of ``train``."""
+    counted = train.select("text").mapInArrow(_count_partition(bits, order), _COUNTS)
+    merged = _stored(counted.groupBy("shard").applyInPandas(_merge_counts(least, order), _MERGED), folder, "counts")
+    s = merged.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _SUMS]).first()
     n = s["tokens"] + s["texts"]
-    t = Totals(bits, n, s["words"] + (s["texts"] > 0), s["texts"], discounts(n - s["kept_tokens"], s["n2"], s["n3"], s["n4"]), s["kept"])
+    t = Totals(bits, n, s["words"] + (s["texts"] > 0), s["texts"], discounts(s["n1"] if least == 1 else n - s["kept_tokens"], s["n2"], s["n3"], s["n4"]), s["kept"],
+               least=least, order=order, d3=discounts(s["m1"], s["m2"], s["m3"], s["m4"]))
     every = merged.sparkSession.range(1 << bits).select(F.col("id").cast("int").alias("shard"))
     heads = every.join(merged, "shard", "left").where("us is not null or shard = 0 or shard = " + str(int(END) >> (64 - bits) if bits else 0)).select(*merged.columns)
-    heads = heads.fillna(0).withColumns({c: F.coalesce(c, F.lit(b"")) for c in ("us", "cu", "nb", "w", "cw")})
+    heads = heads.fillna(0).withColumns({c: F.coalesce(c, F.lit(b"")) for c in _ARRAYS})
     sent = merged.mapInPandas(_sent_words(t), _SENT)
-    both = sent.groupBy("shard").cogroup(heads.groupBy("shard"))
+    both = sent.groupBy("shard").cogroup(heads.select("shard", "us", "cu").groupBy("shard"))
     m = both.applyInPandas(_count_neighbours(t), "types long, n1 long, n2 long, n3 long, n4 long").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("types", "n1", "n2", "n3", "n4")]).first()
     t.types = m["types"]
     t.lower = discounts(m["n1"], m["n2"], m["n3"], m["n4"])
     more = t.words - m["n1"] - m["n2"]
     t.reserve = (t.lower[0] * m["n1"] + t.lower[1] * m["n2"] + t.lower[2] * more) / t.types if t.types else 1.0
     replies = both.applyInPandas(_replies(t), "shard int, origin int, p binary")
-    model = heads.groupBy("shard").cogroup(replies.groupBy("shard")).applyInPandas(_valued(t), _MODEL)
-    return _stored(model, folder, "model"), t
+    return heads, replies, t
 
 
-def score_texts(docs: DataFrame, train: DataFrame, held_out, shard_tokens: int = 3_000_000) -> DataFrame:
+def score_texts(docs: DataFrame, train: DataFrame, held_out, shard_tokens: int = 3_000_000, order: int = 2, least: int = 2) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     The model learns the texts of ``train``; ``held_out`` is the column of docs handed on.
+    Order 2 keeps bigrams seen ``least`` times or more; order 3 keeps all and needs ``least`` 1.
     """
+    if order not in (2, 3) or least not in (1, 2) or (order, least) == (3, 2):
+        raise ValueError("order 2 with least 1 or 2, or order 3 with least 1")
     spark = docs.sparkSession
     folder = f"{ensure_checkpoint_dir(spark)}/kneser-ney-{uuid.uuid4().hex}"
     size = train.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bits = int(np.ceil(np.log2(max(1, partitions, size / 6 / shard_tokens))))
-    model, t = fit(train, folder, bits)
+    bits = int(np.ceil(np.log2(max(1, partitions, size / 6 / shard_tokens * (order - 1)))))
+    heads, replies, t = fit(train, folder, bits, order, least)
+    if order == 3:
+        replies = _stored(replies, folder, "replies")
+        asked = docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(_ask_trigrams(bits), _ASKED3)
+        model = heads.select("shard", *_ARRAYS).unionByName(replies, allowMissingColumns=True)
+        parts = asked.groupBy("shard").cogroup(model.groupBy("shard")).applyInPandas(_answer_trigrams(t), _PARTS)
+        scored = parts.groupBy("flush").applyInPandas(_texts_of_flush(t, _end_reply(heads, replies, t)), _SCORED)
+        return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(t.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    model = _stored(heads.groupBy("shard").cogroup(replies.groupBy("shard")).applyInPandas(_valued(t), _MODEL), folder, "model")
     shared = spark.sparkContext.broadcast(kept_bitmap(model, t.kept))
     end = _end_value(model, t)
     asked = docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(_ask_partition(bits, shared), _ASKED)
@@ -559,3 +722,13 @@ def _end_value(model: DataFrame, t: Totals) -> float:
         if at < len(us) and us[at] == END:
             return float(np.frombuffer(r["value"], dtype=np.float64)[at])
     return float(np.log10(t.p1(np.zeros(1, np.int64)))[0])
+
+
+def _end_reply(heads: DataFrame, replies: DataFrame, t: Totals) -> float:
+    """log10 p1 of the end mark, from the counts and the reply of its shard to itself."""
+    shard = int(END) >> (64 - t.bits) if t.bits else 0
+    if not t.texts:
+        return float(np.log10(t.p1(np.zeros(1, np.int64)))[0])
+    words, _ = _own_words(heads.where(F.col("shard") == shard).select("us", "cu").toPandas(), t, shard)
+    p = np.frombuffer(replies.where((F.col("shard") == shard) & (F.col("origin") == -1)).first()["p"], dtype=np.float64)
+    return float(np.log10(p[np.searchsorted(words, END)]))

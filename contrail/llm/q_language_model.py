@@ -9,7 +9,7 @@ from contrail.llm.queries import register, table
 
 @register("op8_lm_scoring")
 def op8(spark, sf_dir):
-    """Kneser-Ney and add-one scores of every document."""
+    """Kneser-Ney scores of order 3, no n-gram left out, and add-one scores of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held = F.coalesce(fold(F.col("doc_id"), 7) == 2, F.lit(True))
-    return score_texts(docs, docs.where(~held), held)
+    return score_texts(docs, docs.where(~held), held, order=3, least=1)

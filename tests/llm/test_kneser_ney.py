@@ -91,3 +91,69 @@ def test_nothing_to_learn_or_score(spark):
 
 def test_discounts_without_counts():
     assert K.discounts(0, 0, 0, 0) == (0.0, 0.0, 0.0) or K.discounts(0, 0, 0, 0)[0] >= 0
+
+
+def unpruned(train, order):
+    """p(w | x, u) of an interpolated modified Kneser-Ney model that keeps every n-gram; x is None behind the start."""
+    raw2, c3 = collections.Counter(), collections.Counter()
+    for t in train:
+        y = ["\t", *tokens(t)]
+        raw2.update(zip(y, y[1:]))
+        c3.update(zip(y, y[1:], y[2:]))
+    left2 = collections.Counter((u, w) for _, u, w in c3)
+    c2 = raw2 if order == 2 else {(u, w): c if u == "\t" else left2[u, w] for (u, w), c in raw2.items()}
+    c1 = collections.Counter(w for _, w in raw2)
+
+    def level(counts):
+        n = collections.Counter(counts.values())
+        d = K.discounts(n[1], n[2], n[3], n[4])
+        total, own = collections.Counter(), {}
+        for g, c in counts.items():
+            total[g[:-1]] += c
+        mass = collections.Counter()
+        for g, c in counts.items():
+            own[g] = (c - d[min(c, 3) - 1]) / total[g[:-1]]
+            mass[g[:-1]] += own[g]
+        return own, mass
+
+    (own1, mass1), (own2, mass2), (own3, mass3) = level({(w,): c for w, c in c1.items()}), level(c2), level(c3)
+    left = lambda mass, context: max(1 - mass[context], 1e-12) if context in mass else 1.0
+
+    def p(w, u, x=None):
+        low = own1.get((w,), 0.0) + (1 - mass1[()]) / (len(c1) + 1)
+        mid = own2.get((u, w), 0.0) + left(mass2, (u,)) * low
+        return mid if order == 2 or x is None else own3.get((x, u, w), 0.0) + left(mass3, (x, u)) * mid
+
+    return p, c1
+
+
+@pytest.mark.parametrize("order, flush", [(2, 2_000_000), (3, 2_000_000), (3, 100)])
+def test_matches_unpruned_model(spark, hard_docs, hard_rows, monkeypatch, order, flush):
+    monkeypatch.setattr(K, "FLUSH", flush)
+    docs, rows = hard_docs.select("doc_id", "text"), [r[:2] for r in hard_rows]
+    p, _ = unpruned([t for d, t in rows if d is not None and d % 3 != 2], order)
+    want = []
+    for d, t in rows:
+        y = ["\t", *tokens(t)]
+        want.append((repr(d), len(y) - 1, sum(math.log10(p(y[i], y[i - 1], y[i - 2] if i > 1 else None)) for i in range(1, len(y)))))
+    got = [(repr(r["doc_id"]), r["n_tokens"], r["score"]) for r in K.score_texts(docs, docs.where(~held()), held(), order=order, least=1).collect()]
+    assert len(got) == len(want)
+    for g, w in zip(sorted(got), sorted(want)):
+        assert g[:2] == w[:2] and abs(g[2] - w[2]) < 1e-5 * max(1, w[1])
+
+
+def test_unpruned_probabilities_sum_to_one():
+    p, known = unpruned(["a b a b c", "a b d", "b a c c", "a b"], 3)
+    for x, u in ((None, "\t"), ("\t", "a"), ("a", "b"), ("c", "a")):
+        assert abs(sum(p(w, u, x) for w in known) + p("unseen", u, x) - 1) < 1e-12
+
+
+def test_singletons_count(spark):
+    """N-grams seen once in training score better than the same words in an order never seen."""
+    rows = [(0, "a b c d"), (1, "d c b a"), (3, "x b y d"), (2, "a b c d"), (5, "b d a c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in K.score_texts(docs, docs.where(~held()), held(), order=3, least=1).collect()}
+    assert got[2] > got[5]
+    none = K.score_texts(docs, docs.limit(0), held(), order=3, least=1).collect()
+    assert len(none) == 5 and all(r["score"] == 0 for r in none)
+    assert K.score_texts(docs.limit(0), docs.limit(0), held(), order=3, least=1).count() == 0
