@@ -7,7 +7,8 @@ network in numpy reads the sequence of all blocks of the page in both
 directions and labels each block main text or not.
 
 Training needs no labels from outside: at most ``max_pages`` pages (smallest
-hashes of their ids) give texts and, where they mark up their article, blocks
+hashes of their ids) of at most ``max_train_chars`` characters, which bounds
+what the driver collects, give texts and, where they mark up their article, blocks
 with weak labels; layouts composed from those texts by ``layout`` add
 sequences whose labels are known by construction.
 
@@ -139,13 +140,12 @@ def vectors(blocks: list[Block]) -> np.ndarray:
     for i, b in enumerate(blocks):
         x[i, list(b.path)] = 1
         text, chars = b.text, len(b.text)
-        words = text.count(" ") + 1
-        edge = text.lower().split() if chars < 60 else text[:30].lower().split()[:3] + text[-30:].lower().split()[-3:]
-        for w in edge:  # the measures describe the rest
-            x[i, PATHS + _bucket(w, WORDS)] = 0.5
-        start = text[:40]
+        words = text.lower().encode().split(b" ")
+        # every word of the block; a long one's count less each, so that blocks of any length weigh alike
+        x[i, PATHS: PATHS + WORDS] = np.bincount([zlib.crc32(w) % WORDS for w in words], minlength=WORDS) * min(0.5, 3 / len(words))
+        words = len(words)
         x[i, PATHS + WORDS:] = (math.log1p(chars) / 5, math.log1p(words) / 4, min(1.0, b.linked / chars), text.count(",") / words, text[-1] in ".?!:;",
-                                len(_UPPER.findall(start)) / len(start), len(_DIGIT.findall(start)) / len(start), i / n, b.depth / 10, n / (n + 20))
+                                len(_UPPER.findall(text)) / chars, len(_DIGIT.findall(text)) / chars, i / n, b.depth / 10, n / (n + 20))
     return x
 
 

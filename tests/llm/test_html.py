@@ -85,3 +85,15 @@ def test_edges(spark):
     assert [r["text"] for r in got if r["page_id"] != 4] == [""] * 3 and len(got) == 5
     assert len({r["text"] for r in got if r["page_id"] == 4}) == 1 and got[0]["rest"] == "x"
     assert H.extract_text(pages.limit(0), layouts=50).count() == 0
+
+
+def test_every_word_is_read():
+    """Blocks of the same start and end that differ in the middle differ in words, capitals and digits."""
+    start, end = "the same words stand at the start of both ", " and the same words stand at the end of both"
+    plain, advert = (H.leaf_blocks(f"<div>{start}{x}{end}</div>") for x in ("quiet prose about old rivers", "BUY NOW offer 50 OFF coupon"))
+    a, b = H.vectors(plain)[0], H.vectors(advert)[0]
+    words = slice(H.PATHS, H.PATHS + H.WORDS)
+    assert (a[words] != b[words]).any()
+    assert b[H.PATHS + H.WORDS + 5] > a[H.PATHS + H.WORDS + 5] and b[H.PATHS + H.WORDS + 6] > a[H.PATHS + H.WORDS + 6] == 0
+    again = H.vectors(H.leaf_blocks(f"<div>{'word ' * 5000}</div>"))[0]
+    assert again[words].sum() == pytest.approx(3, rel=1e-4)
