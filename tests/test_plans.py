@@ -4,7 +4,7 @@ import re
 
 import __spark_entry__ as E
 
-from conftest import SMOKE
+from paths import SMOKE
 
 
 def executed_plan(df):

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as E
 from contrail.plans import load_all
 
-from conftest import SMOKE
+from paths import SMOKE
 
 OWN = load_all()[0]  # the training-data queries have their tests in tests/llm
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from contrail.streaming import stateful
 from contrail.streaming import windows as W
 
-from conftest import SMOKE
+from paths import SMOKE
 
 
 def _scratch():

@@ -10,7 +10,7 @@ from contrail.plans.training import run_training, score_with_feature_tables
 from contrail.plans.shipments import shipments
 from contrail.sources.tables import Tables
 
-from conftest import SMOKE
+from paths import SMOKE
 
 
 def test_run_training_end_to_end(spark):
