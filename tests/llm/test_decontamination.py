@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import prose, words
+from llm_texts import prose, words
 
 from contrail.llm import decontamination as D
 

@@ -2,7 +2,7 @@ import collections
 import math
 
 import pytest
-from conftest import words
+from llm_texts import words
 from pyspark.sql import functions as F
 
 from contrail.llm import kneser_ney as K

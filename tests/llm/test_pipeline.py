@@ -1,7 +1,7 @@
 import uuid
 
 import pytest
-from conftest import words
+from llm_texts import words
 
 import corpus_pipeline
 from contrail.session import ensure_checkpoint_dir

@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import prose, words
+from llm_texts import prose, words
 from pyspark.sql import functions as F
 
 from contrail.llm import quality_classifier as Q

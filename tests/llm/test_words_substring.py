@@ -3,7 +3,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import words
+from llm_texts import words
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
