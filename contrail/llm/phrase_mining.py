@@ -33,10 +33,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.llm.store import stored
-from contrail.llm.words import mix
+from contrail.llm.words import mix, slices
 
-SLICE_BYTES = 8 << 20
-SHARD_ROWS = 2_000_000
+SLICE_BYTES = 4 << 20
+SHARD_ROWS = 1_000_000
 _GAP, _BREAK = b" \t", b".,;:!?\n\x0b\x0c\r"
 _KIND = np.zeros(256, dtype=np.uint8)  # 0 in a word, 1 between words, 2 between pieces
 _KIND[list(_GAP)], _KIND[list(_BREAK)] = 1, 2
@@ -111,7 +111,7 @@ def _locate(slice_bytes: int):
             held[lang], size[lang] = [data[end:]], len(data) - end
             return data[:end]
 
-        for batch in batches:
+        for batch in (x for whole in batches for x in slices(whole, "text", slice_bytes)):
             langs = pc.fill_null(batch.column("lang"), "und")
             wide = pc.fill_null(batch.column("text").cast(pa.large_string()), "")
             texts = pc.binary_join_element_wise(wide, *pa.array(["", "\n"], pa.large_string()))  # a text ends its piece
