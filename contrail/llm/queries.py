@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-MODULES = ("q_substring", "q_mixture", "q_quality_rules", "q_minhash", "q_decontamination", "q_quality_classifier", "q_chat_format", "q_toxicity", "q_html", "q_language_model", "q_phrases", "q_exact")
+MODULES = ("q_substring", "q_mixture", "q_quality_rules", "q_minhash", "q_decontamination", "q_quality_classifier", "q_chat_format", "q_toxicity", "q_html", "q_language_model", "q_phrases", "q_exact", "q_trie")
 
 
 def register(name: str, sql: str | None = None):
