@@ -1,12 +1,13 @@
 """Prefix trie of conversations, built by peeling their last turns.
 
 Conversations may share their first turns.  Each is reduced to a chain of
-digests, one per turn, that stand for the whole prefix up to it.  The rounds
-descend from the greatest depth: the nodes that survived from below, cut by
-their last turn, and the conversations that end here are grouped by their
-chain, so a round discovers the nodes of its depth and adds up what their
-subtrees brought along, in one grouping with a map-side part.  A node never
-holds its members; their ids are hashed as a sorted stream.
+digests, one per turn, that stand for the whole prefix up to it, and equal
+conversations become one row.  The rounds descend from the greatest depth: the
+nodes that survived from below lose their last turns and are grouped with the
+conversations that end here, by their chains, so a round discovers the nodes of
+its depth and adds up what their subtrees brought along, in one grouping with a
+map-side part.  Turns that no two of them share are stripped in one round.  A
+node never holds its members; their ids are hashed as a sorted stream.
 
 Defined results: rows go by turn, a null turn first, then by role and text.  A
 null role or text is empty.  Rows with a null conversation id form one
@@ -19,13 +20,16 @@ root.  Other columns of the input are not read.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm.store import stored
+from contrail.session import ensure_checkpoint_dir
 
 DIGEST = 16
 CHUNK = 1 << 16
@@ -89,12 +93,13 @@ def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 chain += last
             chains.append(bytes(chain))
             depth.append(len(digests) // DIGEST)
-        yield pa.RecordBatch.from_arrays([batch.column("conv_id"), pa.array(depth, pa.int64()), pa.array(chains, pa.binary()), batch.column("words")], ["conv_id", "depth", "chain", "words"])
+        sums = [[0, *accumulate(w)] for w in batch.column("words").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("conv_id"), pa.array(depth, pa.int64()), pa.array(chains, pa.binary()), pa.array(sums, pa.list_(pa.int64()))], ["conv_id", "depth", "chain", "sums"])
 
 
 def prefix_chains(sequences: DataFrame) -> DataFrame:
-    """``conv_id, depth, chain, words``: a digest per prefix instead of one per turn."""
-    return sequences.mapInArrow(_chain, "conv_id long, depth long, chain binary, words array<long>")
+    """``conv_id, depth, chain, sums``: a digest and a running number of words per prefix instead of per turn."""
+    return sequences.mapInArrow(_chain, "conv_id long, depth long, chain binary, sums array<long>")
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,37 +160,80 @@ def _last(chain, back: int = 0):
     return F.substring(chain, F.greatest(size - (back + 1) * DIGEST + 1, F.lit(1)), F.when(size >= (back + 1) * DIGEST, DIGEST).otherwise(0))
 
 
-def peeled(chains: DataFrame) -> DataFrame:
+def _cut(chain, depth):
+    return F.substring(chain, F.lit(1), F.lit(depth) * DIGEST) if isinstance(depth, int) else F.substring(chain, F.lit(1), depth * DIGEST)
+
+
+def _path(rows: DataFrame, low: int) -> DataFrame:
+    """The nodes of each row's path at the depths above ``low``; no other row passes through them."""
+    rows = rows.withColumn("t", F.explode(F.sequence(F.lit(low + 1).cast("long"), F.col("depth"))))
+    top = F.col("t") == F.col("depth")
+    since = F.element_at("sums", (F.col("depth") + 1).cast("int")) - F.when(F.col("t") > 0, F.expr("sums[int(t - 1)]")).otherwise(0)
+    return rows.select(F.col("t").alias("depth"), _last(_cut(F.col("chain"), F.col("t"))).alias("node"), _last(_cut(F.col("chain"), F.col("t")), 1).alias("parent"), "conv_id", "n_convs",
+                       F.when(top, F.col("n_children")).otherwise(1).cast("long").alias("n_children"), F.greatest("below", F.lit(1)).cast("long").alias("n_leaves"),
+                       (F.col("saved") + (F.col("n_convs") - 1) * since).cast("long").alias("saved_tokens"))
+
+
+def _meeting_depth(rows: DataFrame, high: int) -> int:
+    """The greatest depth, ``high`` at most, at which two rows have one prefix; -1 for a single row."""
+    def meet(k: int) -> bool:
+        prefixes = rows.where(F.col("depth") >= k).groupBy(_cut(F.col("chain"), k).alias("p")).agg(F.count("*").alias("n"))
+        return (prefixes.agg(F.max("n")).first()[0] or 0) > 1
+
+    if high < 0 or not meet(0):
+        return -1
+    if meet(high):
+        return high
+    low = 0  # rows that meet at a depth meet at all smaller ones
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if meet(middle) else (low, middle)
+    return low
+
+
+def peeled(ended: DataFrame) -> DataFrame | None:
     """All nodes with the totals of their subtrees, from the deepest to the root.
 
-    ``depth, node, parent, conv_id, n_convs, n_children, n_leaves,
-    saved_tokens``; a round reads the conversations that end at its depth and
-    the table of the round before.
+    ``ended`` has a row per different conversation.  A round strips the turns
+    that no two nodes share, down to the next depth where some meet, and groups
+    there; a run of unshared turns is one round, however long it is.  Returns
+    ``depth, node, parent, conv_id, n_convs, n_children, n_leaves, saved_tokens``.
     """
-    deepest = chains.agg(F.max("depth")).first()[0]
-    totals = [F.min("conv_id").alias("conv_id"), *[F.sum(c).alias(c) for c in ("n_convs", "n_children", "below", "saved")]]
-    survivors, nodes = None, None
-    for depth in range(-1 if deepest is None else deepest, -1, -1):
-        none = F.lit(0).cast("long")
-        here = chains.where(F.col("depth") == depth).select("chain", "words", "conv_id", F.lit(1).cast("long").alias("n_convs"), none.alias("n_children"), none.alias("below"), none.alias("saved"))
+    spark = ended.sparkSession
+    deepest = ended.agg(F.max("depth")).first()[0]
+    if deepest is None:
+        return None
+    folder = f"{ensure_checkpoint_dir(spark)}/trie-{uuid.uuid4().hex}"
+    count = lambda c: F.sum(c).cast("long").alias(c)
+    survivors, above, low, paths = None, deepest + 1, deepest + 1, []
+    while low >= 0:
+        here = ended.where(F.col("depth") < above)
         if survivors is not None:
             here = here.unionByName(survivors)
-        found = here.groupBy("chain", "words").agg(*totals)
-        own = (F.col("n_convs") - 1) * F.col("words")[depth - 1] if depth else F.lit(0)
-        found = stored(found.select("chain", "words", "conv_id", "n_convs", "n_children", F.when(F.col("n_children") == 0, 1).otherwise(F.col("below")).cast("long").alias("n_leaves"),
-                                    (F.col("saved") + own).cast("long").alias("saved_tokens")))
-        level = found.select(F.lit(depth).cast("long").alias("depth"), _last(F.col("chain")).alias("node"), _last(F.col("chain"), 1).alias("parent"),
-                             "conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens")
-        nodes = level if nodes is None else nodes.unionByName(level)
-        survivors = found.select(F.expr(f"substring(chain, 1, {(depth - 1) * DIGEST})").alias("chain"), F.expr(f"slice(words, 1, {max(depth - 1, 0)})").alias("words"), "conv_id", "n_convs",
-                                 F.lit(1).cast("long").alias("n_children"), F.col("n_leaves").alias("below"), F.col("saved_tokens").alias("saved"))
-    return nodes
+        low = _meeting_depth(here, min(above - 1, deepest))
+        deeper = here.where(F.col("depth") > low)
+        nodes = _path(deeper, low)
+        paths.append(f"{folder}/{len(paths)}")
+        nodes.write.parquet(paths[-1])
+        if low < 0:
+            break
+        since = F.element_at("sums", (F.col("depth") + 1).cast("int")) - F.expr(f"sums[{low}]")
+        one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+        cut = deeper.select(_cut(F.col("chain"), low).alias("chain"), F.expr(f"slice(sums, 1, {low + 1})").alias("sums"), "conv_id", "n_convs", one.alias("n_children"),
+                            F.greatest("below", one).alias("below"), (F.col("saved") + (F.col("n_convs") - 1) * since).alias("saved"))
+        stay = here.where(F.col("depth") == low).select("chain", "sums", "conv_id", "n_convs", "n_children", "below", "saved")
+        survivors = stored(stay.unionByName(cut).groupBy("chain", "sums").agg(F.min("conv_id").alias("conv_id"), *map(count, ("n_convs", "n_children", "below", "saved"))).withColumn(
+            "depth", F.lit(low).cast("long")))
+        above = low
+    return spark.read.schema(nodes.schema).parquet(*paths)
 
 
 def prefix_trie(sequences: DataFrame) -> DataFrame:
     """The trie of turn sequences (``conv_id, digests, words``), a row per node."""
     chains = stored(prefix_chains(sequences))
-    nodes = peeled(chains)
+    none = F.lit(0).cast("long")
+    ended = chains.groupBy("chain", "sums", "depth").agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs"))
+    nodes = peeled(stored(ended.select("*", none.alias("n_children"), none.alias("below"), none.alias("saved"))))
     if nodes is None:
         return sequences.sparkSession.createDataFrame([], "conv_id long, depth long, parent_conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long, ends_sha256 string")
     parents = nodes.where("n_children > 0").select((F.col("depth") + 1).alias("depth"), F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
