@@ -319,7 +319,7 @@ def scored(phrases: DataFrame, scale: int = 1_000_000) -> DataFrame:
     both = cuts.join(part.withColumnRenamed("part", "head").withColumnRenamed("f", "l"), ["lang", "head"]).join(
         part.withColumnRenamed("part", "tail").withColumnRenamed("f", "r"), ["lang", "tail"])
     wide = lambda c: f"CAST({c} AS DECIMAL(19,0))"
-    both = both.withColumn("score", F.expr(f"CAST({scale} AS DECIMAL(7,0)) * {wide('a')} * CAST(a AS DECIMAL(12,0)) div ({wide('l')} * {wide('r')})"))
+    both = both.withColumn("score", F.expr(f"CAST({scale} AS DECIMAL(7,0)) * {wide('a')} * {wide('a')} div ({wide('l')} * {wide('r')})"))
     best = F.min(F.struct("score", "k", "l", "r")).alias("best")
     return both.groupBy("lang", "phrase", "n_words", "a").agg(best).select("lang", "phrase", "n_words", "a", "best.l", "best.r", "best.score")
 
