@@ -22,7 +22,7 @@ RETRAIN_MAE_MULTIPLIER = 1.20
 R2_DROP_TOLERANCE = 0.05
 
 
-def _metric_aggs(label: str, prediction: str):
+def metric_aggs(label: str, prediction: str):
     err = F.col(label) - F.col(prediction)
     sse = F.sum(err * err)
     sst = F.var_pop(label) * F.count(F.lit(1))
@@ -38,8 +38,8 @@ def regression_metrics(df: DataFrame, label: str, prediction: str,
     """H7: n, R^2, MAE, RMSE, MSE -- optionally per group (per model, H15)."""
     rows = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
     if by:
-        return rows.groupBy(*by).agg(*_metric_aggs(label, prediction))
-    return rows.agg(*_metric_aggs(label, prediction))
+        return rows.groupBy(*by).agg(*metric_aggs(label, prediction))
+    return rows.agg(*metric_aggs(label, prediction))
 
 
 def classification_metrics(df: DataFrame, label: str, prediction: str,

@@ -7,10 +7,14 @@ driver can compare them with SQL.  Latency role: value / 100 seconds.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from contrail.plans.catalog import query
-from contrail.plans.monitoring import prediction_log
+from contrail.plans.monitoring import FEEDBACK_SQL, label_log, prediction_log, r6
+from contrail.session import ensure_checkpoint_dir
+from contrail.streaming import feedback as L
 from contrail.streaming import windows as W
 
 ALERT_THRESHOLD = 4      # events of one type per hour
@@ -99,3 +103,44 @@ def alert_episodes(t):
     least 2 consecutive hours, and when the alert fires."""
     per = W.event_rate(t["events"], "ts", "event_type", "1 hour", 3600.0)
     return W.breach_episodes(per, ["event_type"], "window_start", "n", ALERT_THRESHOLD, 3600, ALERT_MIN_WINDOWS)
+
+
+FEEDBACK_GAP = 2 * 86400   # seconds without an event that end a request's session
+FOREVER = 400 * 86400
+
+
+def feedback_log(t):
+    return L.feedback_events(prediction_log(t), label_log(t), "event_id", "label_event_id")
+
+
+@query("feedback_stream", FEEDBACK_SQL + """
+SELECT CAST(request_id AS VARCHAR) AS request_id, ROUND(prediction, 6) AS prediction, features, model_version, timestamp, event_id AS seq,
+       ROUND(actual_delay, 6) AS actual_delay, user_feedback FROM fb""")
+def feedback_stream(t):
+    """The two logs as a stream through the keyed state machine, drained to the feedback table."""
+    L.use_rocksdb(t.spark)
+    folder = f"{ensure_checkpoint_dir(t.spark)}/feedback-{uuid.uuid4().hex}"
+    changes = L.feedback_changes(feedback_log({"events": t.stream("events")}), FOREVER)
+    run = changes.writeStream.outputMode("append").option("checkpointLocation", f"{folder}/state").format("parquet").option("path", f"{folder}/changes")
+    run.trigger(availableNow=True).start().awaitTermination()
+    out = L.latest_feedback(t.spark.read.schema(changes.schema).parquet(f"{folder}/changes"))
+    return out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+@query("feedback_accuracy_windows", f"""
+WITH log AS (SELECT user_id AS id, ts, event_id AS seq, event_type = 'purchase' AS is_label, value FROM events),
+gaps AS (SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY id ORDER BY ts, seq) > {FEEDBACK_GAP * 1_000_000} THEN 1 ELSE 0 END AS apart FROM log),
+ses AS (SELECT *, sum(apart) OVER (PARTITION BY id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS session FROM gaps),
+one AS (SELECT id, session, max(ts) + INTERVAL {FEEDBACK_GAP} SECOND AS closed_at,
+    arg_max(value, (ts, seq)) FILTER (NOT is_label) AS prediction, max(ts) FILTER (NOT is_label) AS p_ts,
+    arg_max(value, (ts, seq)) FILTER (is_label) AS actual, max(ts) FILTER (is_label) AS l_ts FROM ses GROUP BY id, session),
+lab AS (SELECT time_bucket(INTERVAL 1 DAY, closed_at) AS window_start, prediction, actual FROM one WHERE l_ts >= p_ts),
+m AS (SELECT window_start, CAST(count(*) AS BIGINT) AS n,
+    CASE WHEN var_pop(actual) = 0 THEN NULL ELSE 1 - sum((actual - prediction) * (actual - prediction)) / (var_pop(actual) * count(*)) END AS r2_score,
+    avg(abs(actual - prediction)) AS mae, sqrt(avg((actual - prediction) * (actual - prediction))) AS rmse, avg((actual - prediction) * (actual - prediction)) AS mse
+    FROM lab GROUP BY 1)
+SELECT window_start, n, {r6(['r2_score', 'mae', 'rmse', 'mse'])} FROM m""")
+def feedback_accuracy_windows(t):
+    """S2 behind I1 / I2: daily MAE and R2 of the requests whose sessions closed that day."""
+    out = L.accuracy_windows(L.feedback_sessions(feedback_log(t), FEEDBACK_GAP), "1 day")
+    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))

@@ -34,6 +34,11 @@ class Tables(dict):
         self[name] = df
         return df
 
+    def stream(self, name: str) -> DataFrame:
+        """The same table as a file stream, with the schema of the scan."""
+        path = f"{self.base.rstrip('/')}/{name}.parque[t]"  # a pattern, as a stream may not name a single file
+        return nan_to_null(self.spark.readStream.schema(self[name].schema).parquet(path))
+
     def derived(self, name: str, build) -> DataFrame:
         """A DataFrame derived from these tables, built once and reused."""
         key = f"__{name}"
