@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.operators.ordered import quantiles_long, running_totals, spread, unpivot_values
+from contrail.operators.ordered import quantiles_long, ranged, running_totals, unpivot_values
 from contrail.session import cut_lineage
 
 # The reference's drift thresholds.
@@ -56,31 +56,34 @@ def ks_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str],
 
     Returns (col_name, ks_statistic, p_value, drift_detected, threshold,
     n_ref, n_cur, reference_mean, current_mean, reference_std, current_std).
+    Both samples are read once; sizes, moments and CDFs come from the counts.
     """
     long = _two_sided_long(ref, cur, columns)
-    counts = cut_lineage(spread(long.groupBy("col_name", "v").agg(
-        F.count_if(F.col("side") == 0).alias("n1"), F.count_if(F.col("side") == 1).alias("n2")), ["col_name", "v"]))
-    sizes = counts.groupBy("col_name").agg(F.sum("n1").alias("tot1"), F.sum("n2").alias("tot2"))
-    cdf = running_totals(counts, ["col_name"], "v", ["n1", "n2"], max_groups=len(columns))
-    # sizes / moments hold one row per requested column: broadcast (a join
-    # on the column name alone would shuffle a whole column into one task)
-    stat = (cdf.join(F.broadcast(sizes), "col_name")
-            .groupBy("col_name", "tot1", "tot2")
-            .agg(F.max(F.abs(F.col("cum_n1") / F.col("tot1") - F.col("cum_n2") / F.col("tot2"))).alias("ks_statistic")))
-    moments = (long.groupBy("col_name").agg(
-        F.avg(F.when(F.col("side") == 0, F.col("v"))).alias("reference_mean"),
-        F.avg(F.when(F.col("side") == 1, F.col("v"))).alias("current_mean"),
-        F.stddev_samp(F.when(F.col("side") == 0, F.col("v"))).alias("reference_std"),
-        F.stddev_samp(F.when(F.col("side") == 1, F.col("v"))).alias("current_std")))
+    counts = ranged(long.groupBy("col_name", "v").agg(
+        F.count_if(F.col("side") == 0).alias("n1"), F.count_if(F.col("side") == 1).alias("n2")), ["col_name"], "v")
+    sizes = counts.groupBy("col_name").agg(
+        F.sum("n1").alias("tot1"), F.sum("n2").alias("tot2"),
+        F.try_divide(F.sum(F.col("v") * F.col("n1")), F.sum("n1")).alias("reference_mean"),
+        F.try_divide(F.sum(F.col("v") * F.col("n2")), F.sum("n2")).alias("current_mean"))
+    cdf = running_totals(counts, ["col_name"], "v", ["n1", "n2"])
+
+    def spread(n, mean):
+        return F.sum(F.col(n) * F.pow(F.col("v") - F.col(mean), 2))
+
+    # one row per requested column: a join on the column name alone would shuffle a whole column into one task
+    stat = (cdf.join(F.broadcast(sizes), "col_name").where((F.col("tot1") > 0) & (F.col("tot2") > 0))
+            .groupBy("col_name", "tot1", "tot2", "reference_mean", "current_mean")
+            .agg(F.max(F.abs(F.col("cum_n1") / F.col("tot1") - F.col("cum_n2") / F.col("tot2"))).alias("ks_statistic"),
+                 spread("n1", "reference_mean").alias("_m1"), spread("n2", "current_mean").alias("_m2")))
     p = kolmogorov_pvalue(F.col("ks_statistic"), F.col("tot1").cast("double"), F.col("tot2").cast("double"))
-    return (stat.where((F.col("tot1") > 0) & (F.col("tot2") > 0))
-            .withColumn("p_value", p)
-            .join(F.broadcast(moments), "col_name", "left")
+    return (stat.withColumn("p_value", p)
             .select("col_name", "ks_statistic", "p_value",
                     (F.col("p_value") < threshold).alias("drift_detected"),
                     F.lit(threshold).alias("threshold"),
                     F.col("tot1").cast("bigint").alias("n_ref"), F.col("tot2").cast("bigint").alias("n_cur"),
-                    "reference_mean", "current_mean", "reference_std", "current_std"))
+                    "reference_mean", "current_mean",
+                    F.sqrt(F.try_divide(F.col("_m1"), F.col("tot1") - 1)).alias("reference_std"),
+                    F.sqrt(F.try_divide(F.col("_m2"), F.col("tot2") - 1)).alias("current_std")))
 
 
 def _category_counts(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -3,22 +3,21 @@
 Exact quantiles, two-sample empirical CDFs (KS) and positional splits all
 need running totals in value order.  A plain ``Window.partitionBy(column)
 .orderBy(value)`` would put every distinct value of a column into one task,
-so the running totals are computed in two levels instead:
+so the work is split by range partitions:
 
 1. collapse to one row per (group, value) -- this removes hot values, a
    value holding a third of all rows becomes one row;
-2. cut each group's value range into ``n_buckets`` ranges from approximate
-   quantiles (a bounded sketch per group);
-3. running totals inside (group, bucket) with a window, bucket totals with
-   an aggregate, bucket offsets with a small window over the bucket totals;
-4. add the offsets back.
-
-The bucket bounds, offsets and quantile targets are tiny aggregates (groups
-x buckets rows) joined without hints inside one plan: AQE sees their real
-size when their shuffle stage finishes and turns the join into a broadcast
-join (its runtime size check), with no extra driver round trip.
-
-The result is exact; only the work split uses the approximation.
+2. ``ranged``: deal the rows out by ranges of (group, value) and keep the
+   number of the partition; a large group spans many partitions;
+3. totals per (group, partition) and their prefix sums: a table of about as
+   many rows as there are partitions and groups;
+4. running sums inside a (group, partition), plus its prefix.
+
+A quantile needs step 4 only in the partitions that hold its ranks, which the
+prefix table names.  A single rank (``value_at_rank``) needs no collapse of
+all rows: a quantile sketch brackets it, and only the bracket is selected from.
+
+Everything is exact; ranges and sketch only decide where the work is done.
 """
 
 from __future__ import annotations
@@ -27,27 +26,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contrail.session import cut_lineage
 
-LEAST_BUCKETS = 128
-ROWS_PER_BUCKET = 100_000
-
-
-def bucket_count(counts: DataFrame) -> int:
-    """Buckets per group: as many as keep one at about ``ROWS_PER_BUCKET``
-    collapsed rows, so a window's task does not grow with the data."""
-    return max(LEAST_BUCKETS, counts.count() // ROWS_PER_BUCKET)
+SKETCH_ACCURACY = 10_000   # percentile_approx: a rank is off by rows / accuracy at most
 
 
-def spread(counts: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Hash-spread collapsed (group, value) rows over the shuffle partitions
-    before they are checkpointed.  The collapse is an aggregate whose small
-    output AQE would coalesce into one partition, and everything read back
-    from the checkpoint (bucket assignment, windows) would then run in a
-    single task.  A repartition with an explicit count is not coalesced."""
+def ranged(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``counts`` (one row per keys and value) in range partitions, checkpointed
+    together with the partition number ``_part``."""
     n = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return counts.repartition(n, *cols)
+    return cut_lineage(counts.repartitionByRange(n, *keys, value).withColumn("_part", F.spark_partition_id()))
 
 
 def unpivot_values(df: DataFrame, columns: Sequence[str], name: str = "col_name",
@@ -59,43 +49,32 @@ def unpivot_values(df: DataFrame, columns: Sequence[str], name: str = "col_name"
 
 
 def small_side(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast a per-group side table.  Joins keyed only by a few group
-    keys (column names) must not shuffle: every row of the largest column
-    would hash to one task.  ``max_rows`` is the structural bound (groups x
-    rows per group, known from the caller's column list); without one
-    Catalyst and AQE choose the join."""
+    """Broadcast a table of at most ``max_rows`` rows, a bound the caller knows
+    from its column list.  A join on column names alone would send a whole
+    column to one task.  Without a bound Catalyst and AQE choose the join."""
     return F.broadcast(df) if max_rows is not None else df
 
 
-def running_totals(counts: DataFrame, keys: Sequence[str], value: str,
-                   weights: Sequence[str], n_buckets: int | None = None,
-                   max_groups: int | None = None) -> DataFrame:
-    """Add ``cum_<w>`` (inclusive running sum in ``value`` order within
-    ``keys``) for every weight column.  ``counts`` must hold one row per
-    (keys, value); ``max_groups`` bounds the number of distinct ``keys``."""
+def prefix_totals(rows: DataFrame, keys: Sequence[str], weights: Sequence[str]) -> DataFrame:
+    """(keys, _part) -> per weight its total ``_tot_`` and the sum ``_off_`` of the partitions before."""
     keys = list(keys)
-    n_buckets = n_buckets or bucket_count(counts)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = (counts.groupBy(*keys)
-              .agg(F.array_distinct(F.percentile_approx(F.col(value).cast("double"), probs, 10 * n_buckets))
-                   .alias("_bounds")))
-    bounds = small_side(bounds, max_groups)
-    tagged = (counts.join(bounds, keys, "left")
-              .withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b <= F.col(value).cast("double"))))
-              .drop("_bounds"))
-    w_in = (Window.partitionBy(*keys, "_bucket").orderBy(value)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = tagged.select("*", *[F.sum(w).over(w_in).alias(f"_loc_{w}") for w in weights])
-    # bucket totals = the last running sum of each bucket; taken from the
-    # window output so the bucket expression is evaluated once
-    totals = local.groupBy(*keys, "_bucket").agg(*[F.max(f"_loc_{w}").alias(f"_tot_{w}") for w in weights])
-    w_off = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "_bucket",
-                            *[F.coalesce(F.sum(f"_tot_{w}").over(w_off), F.lit(0)).alias(f"_off_{w}")
-                              for w in weights])
-    offsets = small_side(offsets, None if max_groups is None else max_groups * n_buckets)
-    out = local.join(offsets, keys + ["_bucket"], "left")
-    return out.select(*[c for c in counts.columns],
+    totals = rows.groupBy(*keys, "_part").agg(*[F.sum(w).alias(f"_tot_{w}") for w in weights])
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("*", *[F.coalesce(F.sum(f"_tot_{w}").over(before), F.lit(0)).alias(f"_off_{w}") for w in weights])
+
+
+def _local_sums(rows: DataFrame, keys: Sequence[str], value: str, weights: Sequence[str]) -> DataFrame:
+    inside = Window.partitionBy("_part", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.select("*", *[F.sum(w).over(inside).alias(f"_loc_{w}") for w in weights])
+
+
+def running_totals(rows: DataFrame, keys: Sequence[str], value: str, weights: Sequence[str]) -> DataFrame:
+    """Add ``cum_<w>`` (inclusive running sum in ``value`` order within ``keys``)
+    for every weight column of ``ranged`` rows.  The prefix join is on the
+    partitioning the running sums have anyway."""
+    keys = list(keys)
+    out = _local_sums(rows, keys, value, weights).join(prefix_totals(rows, keys, weights), ["_part", *keys])
+    return out.select(*[c for c in rows.columns if c != "_part"],
                       *[(F.col(f"_loc_{w}") + F.col(f"_off_{w}")).alias(f"cum_{w}") for w in weights])
 
 
@@ -107,37 +86,27 @@ def value_counts_long(long: DataFrame, keys: Sequence[str], value: str = "v",
     return long.groupBy(*keys, value).agg(n.alias("n"))
 
 
-def quantiles_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
-                   value: str = "v", n_buckets: int | None = None,
-                   weight: str | None = None, counted: bool = False,
-                   max_groups: int | None = None) -> DataFrame:
-    """Exact linear-interpolated quantiles (numpy / R type 7 / Spark
-    ``percentile`` / DuckDB ``quantile_cont``) per group of ``keys``.
+def quantiles_ranged(rows: DataFrame, keys: Sequence[str], probs: Sequence[float],
+                     value: str = "v", max_groups: int | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles of ``ranged`` counts with weight ``n``.
 
-    ``weight`` (integer) makes each row count as that many rows, which lets
-    a caller pre-aggregate.  Returns (keys..., p, q); groups with no values
-    produce no rows.
+    ``max_groups`` bounds the number of distinct ``keys``.  The prefix table
+    names the partition of each rank; running sums are made in those only.
     """
     keys = list(keys)
-    # The collapsed counts feed four jobs; checkpoint them once (shared
-    # checkpoint folder) instead of recomputing the input four times.
-    if counted:   # already one row per (keys, value) with weight ``n``, checkpointed
-        counts = long.select(*keys, value, F.col(weight).alias("n"))
-    else:
-        counts = cut_lineage(spread(value_counts_long(long, keys, value, weight), [*keys, value]))
-    cdf = running_totals(counts, keys, value, ["n"], n_buckets, max_groups) \
-        .withColumn("_prev", F.col("cum_n") - F.col("n"))
-    sizes = counts.groupBy(*keys).agg(F.sum("n").alias("_N"))
-    targets = (sizes
-               .withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-               .withColumn("_h", (F.col("_N") - 1) * F.col("p"))
-               .withColumn("_lo", F.floor("_h"))
-               .withColumn("_frac", F.col("_h") - F.col("_lo"))
-               .withColumn("_hi", F.ceil("_h"))
-               .withColumn("_side", F.explode(F.array(F.lit("lo"), F.lit("hi"))))
-               .withColumn("_r", F.when(F.col("_side") == "lo", F.col("_lo")).otherwise(F.col("_hi"))))
-    targets = small_side(targets, None if max_groups is None else max_groups * len(probs) * 2)
-    hit = cdf.join(targets, keys).where((F.col("_prev") <= F.col("_r")) & (F.col("_r") < F.col("cum_n")))
+    prefix = prefix_totals(rows, keys, ["n"])
+    whole = Window.partitionBy(*keys)
+    ranks = (prefix.withColumn("_N", F.sum("_tot_n").over(whole))
+             .withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+             .withColumn("_h", (F.col("_N") - 1) * F.col("p"))
+             .withColumn("_side", F.explode(F.array(F.lit("lo"), F.lit("hi"))))
+             .withColumn("_r", F.when(F.col("_side") == "lo", F.floor("_h")).otherwise(F.ceil("_h")) - F.col("_off_n"))
+             .where((F.col("_r") >= 0) & (F.col("_r") < F.col("_tot_n")))
+             .select(*keys, "_part", "p", "_side", "_r", (F.col("_h") - F.floor("_h")).alias("_frac")))
+    wanted = small_side(ranks, None if max_groups is None else 2 * max_groups * len(probs))
+    held = rows.join(wanted.select("_part", *keys).distinct(), ["_part", *keys], "left_semi")
+    hit = _local_sums(held, keys, value, ["n"]).join(wanted, ["_part", *keys])
+    hit = hit.where((F.col("_loc_n") - F.col("n") <= F.col("_r")) & (F.col("_r") < F.col("_loc_n")))
     return (hit.groupBy(*keys, "p")
             .agg(F.max(F.when(F.col("_side") == "lo", F.col(value))).alias("_vlo"),
                  F.max(F.when(F.col("_side") == "hi", F.col(value))).alias("_vhi"),
@@ -146,29 +115,38 @@ def quantiles_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
                     (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("q")))
 
 
+def quantiles_long(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
+                   value: str = "v", weight: str | None = None, max_groups: int | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles (numpy / R type 7 / Spark
+    ``percentile`` / DuckDB ``quantile_cont``) per group of ``keys``.
+
+    ``weight`` (integer) makes each row count as that many rows, which lets
+    a caller pre-aggregate.  Returns (keys..., p, q); groups with no values
+    produce no rows.
+    """
+    rows = ranged(value_counts_long(long, keys, value, weight), keys, value)
+    return quantiles_ranged(rows, keys, probs, value, max_groups)
+
+
 def column_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One pass over ``df``: (col_name, v, n) per distinct value of every
-    column, the null value included as its own row (NaN counts as null).
-    Checkpointed, so quantiles, moments, NA counts and fence counts can
+    column, the null value included as its own row (NaN counts as null), in
+    range partitions.  Quantiles, moments, NA counts and fence counts can
     all be derived from it without touching ``df`` again."""
     cast = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     long = cast.unpivot([], list(columns), "col_name", "v") \
                .withColumn("v", F.when(~F.isnan("v"), F.col("v")))
-    return cut_lineage(spread(long.groupBy("col_name", "v").agg(F.count(F.lit(1)).alias("n")), ["col_name", "v"]))
+    return ranged(long.groupBy("col_name", "v").agg(F.count(F.lit(1)).alias("n")), ["col_name"], "v")
 
 
-def quantiles_from_counts(counts: DataFrame, probs: Sequence[float], max_groups: int,
-                          n_buckets: int | None = None) -> DataFrame:
+def quantiles_from_counts(counts: DataFrame, probs: Sequence[float], max_groups: int) -> DataFrame:
     """Exact quantiles per col_name from ``column_value_counts`` output."""
-    return quantiles_long(counts.where(F.col("v").isNotNull()), ["col_name"], probs, "v", n_buckets,
-                          weight="n", counted=True, max_groups=max_groups)
+    return quantiles_ranged(counts.where(F.col("v").isNotNull()), ["col_name"], probs, "v", max_groups)
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    n_buckets: int | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Exact quantiles of several columns: (column, p, q)."""
-    return quantiles_long(unpivot_values(df, columns), ["col_name"], probs, "v", n_buckets,
-                          max_groups=len(columns))
+    return quantiles_long(unpivot_values(df, columns), ["col_name"], probs, "v", max_groups=len(columns))
 
 
 def quantile_array(quantiles: DataFrame, keys: Sequence[str], name: str = "qs") -> DataFrame:
@@ -185,22 +163,40 @@ def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     return {c: got.get(c) for c in columns}
 
 
-def rank_threshold(df: DataFrame, order_col: str, rank: int,
-                   n_buckets: int | None = None):
-    """Value of the row at 0-based position ``rank`` in ``order_col`` order
-    (``order_col`` should be unique).  None when rank is out of range."""
-    counts = df.select(F.col(order_col).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n")) \
-        .withColumn("_g", F.lit(0))
-    cdf = running_totals(counts, ["_g"], "v", ["n"], n_buckets, max_groups=1)
-    row = (cdf.where((F.col("cum_n") - F.col("n") <= rank) & (F.lit(rank) < F.col("cum_n")))
-           .select("v").limit(1).collect())
-    return row[0]["v"] if row else None
+def value_at_rank(df: DataFrame, column: str, share: float | None = None, rank: int | None = None,
+                  accuracy: int = SKETCH_ACCURACY):
+    """Value of the row at 0-based position ``rank``, or ``floor(share * rows)``,
+    in the order of ``column`` (not null); None when out of range.
+
+    One pass counts and sketches, a second one collapses the rows inside the
+    sketch's bracket and counts those below; if the bracket should miss the
+    rank, all rows are selected from.
+    """
+    if share is None:
+        n = df.count()
+        share = (rank + 0.5) / n if n else 0.0
+    slack = 2.0 / accuracy
+    ends = [min(max(x, 0.0), 1.0) for x in (share - slack, share + slack)]
+    n, got = df.agg(F.count(column), F.percentile_approx(column, ends, accuracy)).first()
+    rank = int(share * n) if rank is None else rank
+    if not 0 <= rank < n:
+        return None
+    for lo, hi in (got, (None, None)):
+        rows, inside = df, F.lit(True)
+        if lo is not None:
+            rows, inside = df.where(F.col(column) <= F.lit(hi)), F.col(column) >= F.lit(lo)
+        counts = rows.groupBy(F.when(inside, F.col(column)).alias("v")).agg(F.count(column).alias("n"))
+        held = ranged(counts.withColumn("_g", F.lit(0)), ["_g"], "v")  # the null group is what lies below; nulls sort first
+        cdf = running_totals(held, ["_g"], "v", ["n"])
+        hit = cdf.where((F.col("cum_n") - F.col("n") <= rank) & (F.lit(rank) < F.col("cum_n"))).select("v").first()
+        if hit is not None and hit["v"] is not None:
+            return hit["v"]
+    return None
 
 
 def _orderable(df: DataFrame, order_col: str):
-    """Numeric stand-in for an order column (dates and timestamps become
-    day / microsecond numbers) so approximate quantiles can bucket it."""
-    from pyspark.sql import types as T
+    """Numeric stand-in for an order column: dates and timestamps become day /
+    microsecond numbers, so the sketch keeps them exact."""
     dt = df.schema[order_col].dataType
     if isinstance(dt, T.DateType):
         return F.unix_date(F.col(order_col))
@@ -209,14 +205,12 @@ def _orderable(df: DataFrame, order_col: str):
     return F.col(order_col)
 
 
-def split_by_position(df: DataFrame, order_col: str, n_buckets: int | None = None):
+def split_by_position(df: DataFrame, order_col: str, accuracy: int = SKETCH_ACCURACY):
     """First half / second half by position in ``order_col`` order (G4):
     reference = the first ``n // 2`` rows, current = the rest.
     ``order_col`` must be unique (an event id, a date of a daily table)."""
-    n = df.count()
-    mid = n // 2
-    if mid == 0:
-        return df.limit(0), df
     key = _orderable(df, order_col)
-    cut = rank_threshold(df.select(key.alias("_ord")), "_ord", mid, n_buckets)
+    cut = value_at_rank(df.select(key.alias("_ord")), "_ord", share=0.5, accuracy=accuracy)
+    if cut is None:
+        return df.limit(0), df
     return df.filter(key < F.lit(cut)), df.filter(key >= F.lit(cut))

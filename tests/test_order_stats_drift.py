@@ -34,14 +34,17 @@ def psi_brute(expected, actual, bins=10):
     return float(np.sum((a - e) * np.log(a / e)))
 
 
-@pytest.mark.parametrize("buckets", [2, 16])
-def test_exact_quantiles_match_numpy(spark, buckets):
+@pytest.mark.parametrize("partitions", [1, 2, 16])
+def test_exact_quantiles_match_numpy(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     rng = np.random.default_rng(7)
     x = np.round(rng.normal(size=500), 1)          # heavy ties
     y = rng.exponential(size=500)
     df = frame(spark, x=list(x), y=list(y))
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 0.99, 1.0]
-    got = {(r["col_name"], r["p"]): r["q"] for r in ordered.exact_quantiles(df, ["x", "y"], probs, buckets).collect()}
+    got = {(r["col_name"], r["p"]): r["q"] for r in ordered.exact_quantiles(df, ["x", "y"], probs).collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", before)
     for c, arr in (("x", x), ("y", y)):
         for p in probs:
             assert got[(c, p)] == pytest.approx(float(np.percentile(arr, p * 100)), rel=1e-12, abs=1e-12)
@@ -55,7 +58,7 @@ def test_quantiles_skip_nulls_and_single_row(spark):
 
 def test_split_by_position(spark):
     df = spark.range(0, 101).withColumnRenamed("id", "k")
-    ref, cur = ordered.split_by_position(df, "k", n_buckets=8)
+    ref, cur = ordered.split_by_position(df, "k")
     assert ref.count() == 50 and cur.count() == 51
     assert ref.agg({"k": "max"}).first()[0] == 49
 
@@ -130,3 +133,49 @@ def test_drift_summary_only_drifting_columns(spark):
     s = drift.drift_summary(rows).first()
     assert s["overall_drift_score"] == pytest.approx(0.35)
     assert s["columns_with_drift"] == "a,c" and s["drift_threshold_exceeded"]
+
+
+@pytest.mark.parametrize("accuracy", [2, 10, 10_000])
+def test_value_at_rank_with_any_bracket(spark, accuracy):
+    """A coarse sketch may miss the rank; the result stays exact."""
+    rng = np.random.default_rng(5)
+    values = np.concatenate([rng.integers(0, 40, 300), np.full(200, 17)])
+    df = spark.createDataFrame([(int(v),) for v in values] + [(None,)] * 5, "k long").repartition(4)
+    order = np.sort(values)
+    rows = df.where("k IS NOT NULL")
+    for rank in (0, 1, 99, 250, 498, 499):
+        assert ordered.value_at_rank(rows, "k", rank=rank, accuracy=accuracy) == order[rank]
+    assert ordered.value_at_rank(rows, "k", rank=500, accuracy=accuracy) is None
+    assert ordered.value_at_rank(rows.limit(0), "k", share=0.5) is None
+
+
+def test_split_leaves_nulls_out_and_handles_small_tables(spark):
+    one = spark.createDataFrame([(4,)], "k long")
+    ref, cur = ordered.split_by_position(one, "k")
+    assert ref.count() == 0 and cur.count() == 1
+    three = spark.createDataFrame([(3,), (1,), (2,)], "k long")
+    ref, cur = ordered.split_by_position(three, "k")
+    assert [r.k for r in ref.collect()] == [1] and sorted(r.k for r in cur.collect()) == [2, 3]
+
+
+def test_running_totals_cross_partitions(spark):
+    df = spark.createDataFrame([("a", float(i), 1 + i % 3) for i in range(200)] + [("b", float(i), 2) for i in range(5)], "g string, v double, n long")
+    rows = ordered.ranged(df, ["g"], "v")
+    assert rows.select("_part").distinct().count() > 1
+    got = {(r.g, r.v): r.cum_n for r in ordered.running_totals(rows, ["g"], "v", ["n"]).collect()}
+    total = 0
+    for i in range(200):
+        total += 1 + i % 3
+        assert got["a", float(i)] == total
+    assert got["b", 4.0] == 10
+
+
+def test_order_statistics_have_no_bounds_array_and_no_growing_broadcast(spark):
+    """Ranges replace the array of bounds each value was held against; only tables of a row per column are broadcast."""
+    df = spark.range(2000).selectExpr("cast(id % 700 AS double) AS x", "cast(id AS double) AS y")
+    q = ordered.exact_quantiles(df, ["x", "y"], [0.25, 0.5])
+    k = drift.ks_drift(df, df, ["x", "y"])
+    for frame_ in (q, k):
+        plan = frame_._jdf.queryExecution().optimizedPlan().toString()
+        assert "percentile_approx" not in plan and "_bounds" not in plan
+    assert k._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast") == 1  # sizes: a row per column
