@@ -6,9 +6,8 @@
   in one task.  The p-value is the asymptotic Kolmogorov series evaluated
   JVM-side with a higher-order function.
 * TVD (G2): two relative-frequency tables matched by a full outer join.
-* PSI (G6/G7): bin edges are exact deciles of the baseline (distributed
-  order statistics); both samples are binned against the broadcast edges
-  and counted per (column, bin).
+* PSI (G6/G7): from a stored baseline profile (``baseline.py``: exact decile
+  edges, counts, moments) and the profile of a batch on the same edges.
 """
 
 from __future__ import annotations
@@ -19,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.operators.ordered import quantiles_long, ranged, running_totals, unpivot_values
+from contrail.operators import baseline as B
+from contrail.operators.ordered import ranged, running_totals, unpivot_values
 from contrail.session import cut_lineage
 
 # The reference's drift thresholds.
@@ -169,58 +169,39 @@ def baseline_stats(df: DataFrame, features: Sequence[str], bins: int = PSI_BINS)
     """Per feature n, mean, population std (numpy ``std``), min, max and
     the sorted unique decile edges used by PSI -- the whole baseline
     distribution is summarised instead of keeping its first 5,000 values."""
-    probs = tuple(i / bins for i in range(bins + 1))
-    long = unpivot_values(df, features)
-    edges = (quantiles_long(long, ["col_name"], probs, max_groups=len(features))
-             .groupBy("col_name").agg(F.array_distinct(F.transform(
-                 F.sort_array(F.collect_list(F.struct("p", "q"))), lambda s: s["q"])).alias("edges")))
-    moments = long.groupBy("col_name").agg(
-        F.count(F.lit(1)).cast("bigint").alias("n"), F.avg("v").alias("mean"),
-        F.stddev_pop("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
-    return moments.join(F.broadcast(edges), "col_name", "left")
-
-
-def _bin_index(v: Column, edges: Column) -> Column:
-    """np.histogram bin of ``v`` for sorted edges: [e_i, e_i+1), the last
-    bin closed; null when outside [e_0, e_last]."""
-    k = F.size(edges) - 1
-    i = F.size(F.filter(edges, lambda e: e <= v)) - 1
-    return (F.when((v < F.element_at(edges, 1)) | (v > F.element_at(edges, -1)), F.lit(None))
-            .when(i >= k, k - 1).otherwise(i))
+    return B.baseline_profile(df, features, bins).select(
+        "col_name", "n", "mean", F.sqrt(F.col("m2") / F.col("n")).alias("std"), "min", "max", "edges")
 
 
-def psi(baseline: DataFrame, production: DataFrame, features: Sequence[str],
-        bins: int = PSI_BINS, min_values: int = PSI_MIN_VALUES) -> DataFrame:
-    """Population stability index per feature.
+def psi_from_baseline(profile: DataFrame, measured: DataFrame, min_values: int = PSI_MIN_VALUES) -> DataFrame:
+    """G6 from a stored baseline and a measured batch; neither is read again.
 
-    Proportions are of the full non-null sample size, so production values
-    outside the baseline range lose mass; proportions are clipped at 1e-8.
-    Fewer than 2 unique edges -> 0.  Features with fewer than
-    ``min_values`` production values are skipped (G7).
+    Production values outside the baseline range lose mass; proportions are
+    clipped at 1e-8.  Features with fewer than ``min_values`` production
+    values are skipped (G7).
     """
-    stats = cut_lineage(baseline_stats(baseline, features, bins).select("col_name", "edges", "n"))
-    prod = unpivot_values(production, features)
-    base = unpivot_values(baseline, features)
-    both = (base.withColumn("side", F.lit(0)).unionByName(prod.withColumn("side", F.lit(1)))
-            .join(stats.select("col_name", "edges"), "col_name")
-            .withColumn("bin", _bin_index(F.col("v"), F.col("edges"))))
-    sizes = both.groupBy("col_name").agg(
-        F.count_if(F.col("side") == 0).alias("N_e"), F.count_if(F.col("side") == 1).alias("N_a"))
-    per_bin = (both.where(F.col("bin").isNotNull()).groupBy("col_name", "bin")
-               .agg(F.count_if(F.col("side") == 0).alias("c_e"), F.count_if(F.col("side") == 1).alias("c_a")))
-    spine = stats.select("col_name", F.explode(F.sequence(F.lit(0), F.greatest(F.size("edges") - 2, F.lit(0))))
-                         .alias("bin"), F.size("edges").alias("n_edges"))
-    filled = (spine.join(per_bin, ["col_name", "bin"], "left").join(F.broadcast(sizes), "col_name")
-              .withColumn("e", F.greatest(F.coalesce(F.col("c_e"), F.lit(0)) / F.col("N_e"), F.lit(PSI_EPS)))
-              .withColumn("a", F.greatest(F.coalesce(F.col("c_a"), F.lit(0)) / F.col("N_a"), F.lit(PSI_EPS))))
-    out = (filled.groupBy("col_name", "n_edges", "N_a")
-           .agg(F.sum((F.col("a") - F.col("e")) * F.log(F.col("a") / F.col("e"))).alias("_psi"))
-           .where(F.col("N_a") >= min_values)
-           .select("col_name", F.when(F.col("n_edges") < 2, F.lit(0.0)).otherwise(F.col("_psi")).alias("psi"),
-                   F.col("N_a").cast("bigint").alias("n_production")))
+    out = B.psi_of_profiles(profile, measured, PSI_EPS).where(F.col("n_production") >= min_values)
     level = (F.when(F.col("psi") > PSI_SIGNIFICANT, "significant")
              .when(F.col("psi") > PSI_MODERATE, "moderate").otherwise("none"))
-    return out.withColumn("level", level)
+    return out.select("col_name", "psi", "n_production").withColumn("level", level)
+
+
+def psi(baseline: DataFrame, production: DataFrame, features: Sequence[str],
+        bins: int = PSI_BINS, min_values: int = PSI_MIN_VALUES) -> DataFrame:
+    """Population stability index per feature of two samples."""
+    profile = cut_lineage(B.baseline_profile(baseline, features, bins))
+    return psi_from_baseline(profile, B.measure(production.select(*features), profile, features), min_values)
+
+
+def monitor_batch(profile: DataFrame, batch: DataFrame, features: Sequence[str], alert: float = PSI_ALERT) -> DataFrame:
+    """S8 / G7 + C7: one row (mean_psi, features_checked, alert, completeness, range_validity,
+    quality_score, n_rows) from one scan of the batch and the stored baseline."""
+    measured = cut_lineage(B.measure(batch, profile, features))   # a row per column
+    score = drift_score(psi_from_baseline(profile, measured), alert)
+    quality = B.quality_of(measured)
+    size = measured.agg(F.coalesce(F.max("n_rows"), F.lit(0)).alias("n_rows"))
+    both = score.unionByName(quality, allowMissingColumns=True).unionByName(size, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def drift_score(psi_rows: DataFrame, alert: float = PSI_ALERT) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from contrail.operators import baseline as B
+from contrail.session import cut_lineage
 
 # The reference's plausibility bounds for date parts.
 YEAR_BOUNDS = (2000, 2030)
@@ -129,37 +131,10 @@ def range_violations(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> D
 
 
 def quality_score(current: DataFrame, baseline: DataFrame, features: Sequence[str]) -> DataFrame:
-    """0.5 * completeness + 0.5 * range validity.
-
-    completeness = share of non-null cells over all columns of ``current``;
-    range validity = mean over features of the share of non-null values
-    within baseline mean +- 3 * population std (1.0 without features).
-    An empty ``current`` scores 0.  Baseline moments are driver scalars.
-    """
-    b = baseline.agg(*[F.avg(c).alias(f"m_{c}") for c in features],
-                     *[F.stddev_pop(c).alias(f"s_{c}") for c in features]).first() if features else {}
-    cols = current.columns
-    aggs = [F.count(F.lit(1)).alias("_N"),
-            F.try_divide(sum((F.count(c) for c in cols), F.lit(0)).cast("double"), F.count(F.lit(1)) * len(cols)).alias("_complete")]
-    used = []
-    for c in features:
-        m, s = b[f"m_{c}"], b[f"s_{c}"]
-        if m is None or s is None:
-            continue
-        lo, hi = m - 3 * s, m + 3 * s
-        aggs.append(F.avg(F.when(F.col(c).isNotNull(),
-                                 F.col(c).between(lo, hi).cast("double"))).alias(f"_in_{c}"))
-        used.append(c)
-    one = current.agg(*aggs)
-    scores = [F.col(f"_in_{c}") for c in used]
-    present = sum((F.when(s.isNotNull(), 1).otherwise(0) for s in scores), F.lit(0))
-    total = sum((F.coalesce(s, F.lit(0.0)) for s in scores), F.lit(0.0))
-    validity = F.when(present > 0, total / present).otherwise(F.lit(1.0))
-    return one.select(
-        F.when(F.col("_N") == 0, F.lit(0.0)).otherwise(F.col("_complete")).alias("completeness"),
-        F.when(F.col("_N") == 0, F.lit(None).cast("double")).otherwise(validity).alias("range_validity"),
-        F.when(F.col("_N") == 0, F.lit(0.0))
-         .otherwise(0.5 * F.col("_complete") + 0.5 * validity).alias("quality_score"))
+    """C7 of a batch against raw baseline rows; with a stored profile use
+    ``baseline.quality_of(baseline.measure(...))``, which this does."""
+    profile = cut_lineage(B.baseline_profile(baseline, features)) if features else baseline.sparkSession.createDataFrame([], B.PROFILE)
+    return B.quality_of(B.measure(current, profile, features))
 
 
 R_CLASS = {T.IntegerType: "integer", T.LongType: "integer", T.ShortType: "integer",
@@ -226,5 +201,6 @@ def validation_status(presence: DataFrame, nulls: DataFrame, fk: DataFrame,
                 .alias("s")).select("s.*"))
             .unionByName(ranges.select(F.concat(F.lit("range:"), "col_name").alias("check_name"),
                                        (F.col("invalid_count") == 0).alias("passed"))))
+    rows = cut_lineage(rows)   # a row per check; the checks must not run again for the overall row
     overall = rows.agg(F.lit("overall").alias("check_name"), F.bool_and("passed").alias("passed"))
     return rows.unionByName(overall)

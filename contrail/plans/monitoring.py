@@ -13,13 +13,16 @@ Roles on the driver's tables:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from contrail.functions.features import decode_json_map
-from contrail.operators import drift, explore, feedback, metrics
+from contrail.operators import baseline, drift, explore, feedback, metrics
 from contrail.operators.ordered import split_by_position
 from contrail.plans.catalog import query
 from contrail.plans.profile import DAILY_WIDE_SQL, FEED_COLS, daily_feed_wide
+from contrail.session import ensure_checkpoint_dir
 
 FEATURES = ("value", "user_id", "props_k")
 CATEGORICAL = ("event_type",)
@@ -185,6 +188,41 @@ def baseline_stats(t):
     return drift.baseline_stats(ref, FEATURES)
 
 
+def stored_baseline(t):
+    """G8 written to the shared folder and read back, and the second half measured against it."""
+    ref, cur = event_halves(t)
+    path = f"{ensure_checkpoint_dir(t.spark)}/baseline-{uuid.uuid4().hex}"
+    profile = baseline.save_profile(baseline.baseline_profile(ref, FEATURES), path)
+    return profile, baseline.measure(cur, profile, FEATURES)
+
+
+def _histogram_sql(src: str) -> str:
+    """Counts of ``src`` on the edges of the first half, and its moments."""
+    long = " UNION ALL ".join(f"SELECT '{c}' AS col_name, CAST({c} AS DOUBLE) AS v FROM {src}" for c in FEATURES)
+    return f"""
+, e AS {_edges_sql('ref', FEATURES)},
+v AS (SELECT l.*, e.edges FROM ({long}) l JOIN e ON e.col_name = l.col_name WHERE v IS NOT NULL AND NOT isnan(v)),
+h AS (SELECT col_name, edges, CAST(count(*) AS BIGINT) AS n, avg(v) AS mean, var_pop(v) * count(*) AS m2, min(v) AS min, max(v) AS max,
+  CAST(count(*) FILTER (v < edges[1]) AS BIGINT) AS below, CAST(count(*) FILTER (v > edges[-1]) AS BIGINT) AS above, list(v) AS vs FROM v GROUP BY ALL)
+SELECT col_name, n, {r6(['mean', 'm2', 'min', 'max'])}, list_transform(edges, lambda x: ROUND(x, 6)) AS edges,
+  list_transform(generate_series(1, len(edges) - 1), lambda i: CAST(len(list_filter(vs, lambda x: x >= edges[i] AND (x < edges[i + 1] OR (i = len(edges) - 1 AND x = edges[i + 1])))) AS BIGINT)) AS counts,
+  below, above FROM h"""
+
+
+@query("baseline_histogram", HALVES_SQL + _histogram_sql("ref"))
+def baseline_histogram(t):
+    """The baseline table of the first half: edges, counts per bin and moments, stored and read back."""
+    profile, _ = stored_baseline(t)
+    return profile
+
+
+@query("baseline_merged", HALVES_SQL + _histogram_sql("events_k").replace("\n, e AS", ",\nevents_k AS (SELECT * FROM ref UNION ALL SELECT * FROM cur)\n, e AS", 1))
+def baseline_merged(t):
+    """The stored baseline and the measured second half merged: the profile of all events."""
+    profile, measured = stored_baseline(t)
+    return baseline.merge_profiles(profile, measured)
+
+
 PSI_SQL = HALVES_SQL + f""",
 e AS {_edges_sql('ref', FEATURES)},
 eb AS (SELECT col_name, i - 1 AS bin, edges[i] AS lo, edges[i + 1] AS hi, i = len(edges) - 1 AS is_last
@@ -205,9 +243,9 @@ psl AS (SELECT *, CASE WHEN psi > 0.2 THEN 'significant' WHEN psi > 0.1 THEN 'mo
 
 @query("psi_by_feature", PSI_SQL + "\nSELECT col_name, ROUND(psi, 6) AS psi, n_production, level FROM psl")
 def psi_by_feature(t):
-    """PSI of each feature, second half against the first-half baseline."""
-    ref, cur = event_halves(t)
-    return drift.psi(ref, cur, FEATURES)
+    """PSI of each feature, second half against the stored first-half baseline."""
+    profile, measured = stored_baseline(t)
+    return drift.psi_from_baseline(profile, measured)
 
 
 @query("psi_drift_score", PSI_SQL + """
@@ -215,8 +253,8 @@ SELECT ROUND(COALESCE(avg(psi), 0.0), 6) AS mean_psi, CAST(count(*) AS BIGINT) A
        COALESCE(avg(psi), 0.0) > 0.5 AS alert FROM psl""")
 def psi_drift_score(t):
     """Mean PSI over checked features and the alert flag."""
-    ref, cur = event_halves(t)
-    return drift.drift_score(drift.psi(ref, cur, FEATURES))
+    profile, measured = stored_baseline(t)
+    return drift.drift_score(drift.psi_from_baseline(profile, measured))
 
 
 # --- feedback store -----------------------------------------------------------
@@ -336,11 +374,12 @@ SELECT ROUND(COALESCE((SELECT avg(psi) FROM psl), 0.0), 6) AS drift_score,
        COALESCE((SELECT avg(psi) FROM psl), 0.0) > 0.5 OR (SELECT accuracy_drop FROM acc) AS should_retrain""")
 def monitor_full_check(t):
     """Drift score (mean PSI), accuracy drop and the retrain decision."""
-    ref, cur = event_halves(t)
-    score = drift.drift_score(drift.psi(ref, cur, FEATURES)).first()["mean_psi"]
-    acc = metrics.accuracy_check(feedback_store(t), "actual_delay", "prediction", BASELINE_R2, BASELINE_MAE)
-    return acc.select(F.lit(score).cast("double").alias("drift_score"), "accuracy_drop",
-                      ((F.lit(score) > drift.PSI_ALERT) | F.col("accuracy_drop")).alias("should_retrain"))
+    profile, measured = stored_baseline(t)
+    score = drift.drift_score(drift.psi_from_baseline(profile, measured)).select(F.col("mean_psi").alias("drift_score"))
+    acc = metrics.accuracy_check(feedback_store(t), "actual_delay", "prediction", BASELINE_R2, BASELINE_MAE).select("accuracy_drop")
+    both = score.unionByName(acc, allowMissingColumns=True)   # two rows to one
+    both = both.agg(F.max("drift_score").alias("drift_score"), F.bool_or("accuracy_drop").alias("accuracy_drop"))
+    return both.withColumn("should_retrain", (F.col("drift_score") > drift.PSI_ALERT) | F.col("accuracy_drop"))
 
 
 @query("feedback_confusion", FEEDBACK_SQL + """

@@ -109,23 +109,18 @@ def breach_alerts(events: DataFrame, series: str, ts: str, threshold: float, win
         "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def monitor_batches(baseline: DataFrame, features, sink_path: str,
-                    ts: str | None = None) -> Callable[[DataFrame, int], None]:
+def monitor_batches(profile: DataFrame, features, sink_path: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function writing one monitoring row per
-    micro-batch (mean PSI against the baseline, data-quality score).
-    Rows are keyed by batch id and written with dynamic partition
-    overwrite, so a retried batch replaces its own row."""
-    from contrail.operators import drift, quality
+    micro-batch (mean PSI and data quality against a stored baseline profile).
+    A batch is read once and the raw baseline never.  Rows are keyed by batch
+    id and written with dynamic partition overwrite, so a retried batch
+    replaces its own row."""
+    from contrail.operators import drift
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        psi = drift.drift_score(drift.psi(baseline, batch, features)).first()
-        q = quality.quality_score(batch, baseline, features).first()
-        row = batch.sparkSession.createDataFrame(
-            [(int(batch_id), float(psi["mean_psi"]), int(psi["features_checked"]), bool(psi["alert"]),
-              float(q["quality_score"]))],
-            "batch_id long, mean_psi double, features_checked long, drift_alert boolean, quality_score double")
+        row = drift.monitor_batch(profile, batch, features).where("n_rows > 0").select(
+            F.lit(int(batch_id)).cast("long").alias("batch_id"), "mean_psi", "features_checked",
+            F.col("alert").alias("drift_alert"), "quality_score")
         (row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(sink_path))
     return run

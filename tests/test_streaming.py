@@ -101,15 +101,26 @@ def test_stateful_alerts_equal_batch_episodes(spark):
     assert want and got == want
 
 
-def test_foreach_batch_monitoring(spark):
-    ev = spark.read.parquet(f"{SMOKE}/events.parquet").select("value", "user_id")
+def test_foreach_batch_monitoring_from_a_stored_baseline(spark):
+    """Rows equal the raw computation per batch; the baseline rows are gone when the stream starts."""
+    from contrail.operators import baseline, drift, quality
+    ev = spark.read.parquet(f"{SMOKE}/events.parquet").select("value", "user_id", "event_type")
+    feats = ["value", "user_id"]
+    profile = baseline.save_profile(baseline.baseline_profile(ev.where("value < 60"), feats), _scratch() + "/baseline")
     src, sink = _scratch(), _scratch() + "/monitor"
-    ev.repartition(3).write.mode("overwrite").parquet(src)
+    parts = [ev.where("value < 50"), ev.where("value >= 50"), ev.where("event_type = 'click'").withColumn("value", F.lit(None).cast("double"))]
+    for x in parts:
+        x.coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    q = stream.writeStream.foreachBatch(stateful.monitor_batches(ev, ["value", "user_id"], sink)).start()
+    q = stream.writeStream.foreachBatch(stateful.monitor_batches(profile, feats, sink)).start()
     _drain(q)
-    rows = spark.read.parquet(sink).collect()
-    assert len(rows) == 3 and all(0.0 <= r["quality_score"] <= 1.0 for r in rows)
+    got = {r["batch_id"]: (round(r["mean_psi"], 9), round(r["quality_score"], 9), r["drift_alert"]) for r in spark.read.parquet(sink).collect()}
+    base = ev.where("value < 60")
+    want = {}
+    for i, x in enumerate(parts):
+        s = drift.drift_score(drift.psi(base, x, feats)).first()
+        want[i] = (round(s["mean_psi"], 9), round(quality.quality_score(x, base, feats).first()["quality_score"], 9), s["alert"])
+    assert got == want and want[2][1] < want[0][1]
 
 
 def test_score_stream_equals_batch(spark):
