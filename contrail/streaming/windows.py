@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail.functions.features import DELAY_THRESHOLD, delay_flag
+from contrail.operators.baseline import SIGMAS
+from contrail.operators.drift import PSI_EPS, PSI_MIN_VALUES
 
 # The latency histogram buckets (seconds) of the reference.
 LATENCY_BUCKETS = (0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0)
@@ -81,14 +83,51 @@ def latency_quantiles(df: DataFrame, ts: str, latency: str, window: str = "5 min
 
 
 def event_rate(df: DataFrame, ts: str, key: str, window: str = "5 minutes",
-               window_seconds: float = 300.0, watermark: str | None = None) -> DataFrame:
-    """Events per second per key over tumbling windows."""
-    return (_wm(df, ts, watermark).groupBy(F.window(ts, window).alias("w"), key)
+               window_seconds: float = 300.0, watermark: str | None = None, slide: str | None = None) -> DataFrame:
+    """Events per second per key over tumbling windows, or windows that advance by ``slide``."""
+    return (_wm(df, ts, watermark).groupBy(F.window(ts, window, slide or window).alias("w"), key)
             .agg(F.count(F.lit(1)).alias("n"))
             .select(F.col("w.start").alias("window_start"), key, "n",
                     (F.col("n") / F.lit(window_seconds)).alias("rate_per_s")))
 
 
+def profile_windows(df: DataFrame, ts: str, profile: DataFrame, features: Sequence[str], window: str = "1 day",
+                    watermark: str | None = None, min_values: int = PSI_MIN_VALUES) -> DataFrame:
+    """Mean PSI and data quality per window against a stored baseline profile (G7 and C7 over time).
+
+    The profile's rows (one per feature) become literals of one aggregate, so
+    the same plan runs on a stream: bin counts, non-null cells and values in
+    range of all features in a single stateful operator.
+    """
+    base = {r["col_name"]: r for r in profile.collect() if r["col_name"] in features}
+    cells = [c for c in df.columns if c != ts]
+    aggs = [F.count(F.lit(1)).alias("n_rows"), *[F.count(c).alias(f"_has_{i}") for i, c in enumerate(cells)]]
+    psi, valid = [], []
+    for i, c in enumerate(features):
+        if c not in base:
+            continue
+        b, v = base[c], F.col(c).cast("double")
+        edges, std = b["edges"], (b["m2"] / b["n"]) ** 0.5
+        aggs += [F.count(v).alias(f"_n_{i}"), F.count_if(v.between(b["mean"] - SIGMAS * std, b["mean"] + SIGMAS * std)).alias(f"_in_{i}")]
+        terms = []
+        for j, (lo, hi) in enumerate(zip(edges, edges[1:])):
+            inside = (v >= lo) & ((v <= hi) if j == len(edges) - 2 else (v < hi))
+            aggs.append(F.count_if(inside).alias(f"_c_{i}_{j}"))
+            e = max(b["counts"][j] / b["n"], PSI_EPS)
+            a = F.greatest(F.try_divide(F.col(f"_c_{i}_{j}"), F.col(f"_n_{i}")), F.lit(PSI_EPS))
+            terms.append((a - e) * F.log(a / e))
+        psi.append(F.when(F.col(f"_n_{i}") >= min_values, sum(terms, F.lit(0.0))))
+        valid.append(F.try_divide(F.col(f"_in_{i}"), F.col(f"_n_{i}")))
+
+    def mean(parts, otherwise):
+        known = sum((F.when(p.isNotNull(), 1).otherwise(0) for p in parts), F.lit(0))
+        return F.coalesce(F.try_divide(sum((F.coalesce(p, F.lit(0.0)) for p in parts), F.lit(0.0)), known), F.lit(otherwise))
+    one = _wm(df, ts, watermark).groupBy(F.window(ts, window).alias("w")).agg(*aggs)
+    complete = sum((F.col(f"_has_{i}") for i in range(len(cells))), F.lit(0)) / (F.col("n_rows") * len(cells))
+    return one.select(F.col("w.start").alias("window_start"), "n_rows", mean(psi, 0.0).alias("mean_psi"),
+                      (0.5 * complete + 0.5 * mean(valid, 1.0)).alias("quality_score"))
+
+
 def breach_episodes(per_window: DataFrame, series: Sequence[str], start: str, metric: str,
                     threshold: float, window_seconds: int, min_windows: int) -> DataFrame:
     """S7 (batch): an alert fires when ``metric > threshold`` holds for at
