@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions.features import DELAY_THRESHOLD, delay_flag
-from contrail.operators.metrics import regression_metrics
+from contrail.operators.imputing import ModeImputer, category_modes  # noqa: F401
+from contrail.operators.metrics import metric_aggs, regression_metrics
 from contrail.session import cut_lineage
 
 # The reference's gates.
@@ -61,21 +62,6 @@ def standardize(df: DataFrame, cols: Sequence[str], suffix: str = "_z") -> DataF
     return df.withColumns(out)
 
 
-def category_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """H4: most frequent non-null value per column, ties -> smallest value.
-
-    Counts per (column, value) are a distributed aggregate; the pick is a
-    ``min_by`` over (-count, value), so no column's values meet in one task
-    before they are reduced."""
-    long = (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
-            .unpivot([], list(cols), "col_name", "value").where(F.col("value").isNotNull()))
-    counts = long.groupBy("col_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    return counts.groupBy("col_name").agg(
-        F.min_by(F.struct((-F.col("n")).alias("neg_n"), F.col("value")), F.struct(-F.col("n"), F.col("value")))
-         .alias("_m")).select("col_name", F.col("_m.value").alias("mode_value"),
-                              (-F.col("_m.neg_n")).cast("bigint").alias("mode_count"))
-
-
 @dataclass
 class FeatureSpec:
     numeric: list[str]
@@ -84,9 +70,10 @@ class FeatureSpec:
 
 
 def preprocessing_stages(spec: FeatureSpec, scale: bool = True):
-    """H5 + H6: numeric block (median imputation, then scaling) and
-    categorical block (alphabetical index, unknown / null -> all-zero
-    one-hot), assembled into one sparse ``features`` vector.
+    """H4 - H6: numeric block (median imputation, then scaling) and
+    categorical block (nulls take the training mode, then an alphabetical
+    index; unknown -> all-zero one-hot), assembled into one sparse
+    ``features`` vector.
 
     The reference imputes numerics with 3-nearest-neighbours; an exact KNN
     needs every incomplete row compared with every donor (a cross product),
@@ -100,12 +87,14 @@ def preprocessing_stages(spec: FeatureSpec, scale: bool = True):
         if scale:
             stages.append(StandardScaler(inputCol="_num_vec", outputCol="_num_scaled", withMean=True, withStd=True))
     cat_vecs = []
+    if spec.categorical:
+        stages.append(ModeImputer(inputCols=list(spec.categorical), outputCols=[f"{c}__mode" for c in spec.categorical]))
     for c in spec.categorical:
-        stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx", stringOrderType="alphabetAsc",
+        stages.append(StringIndexer(inputCol=f"{c}__mode", outputCol=f"{c}__idx", stringOrderType="alphabetAsc",
                                     handleInvalid="keep"))
         cat_vecs.append(f"{c}__ohe")
     if spec.categorical:
-        # The indexer puts unknown / null at index numLabels, the last slot;
+        # The indexer puts unknown values at index numLabels, the last slot;
         # dropLast removes exactly that slot, so they encode as all zeros.
         stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in spec.categorical], outputCols=cat_vecs,
                                     dropLast=True))
@@ -118,9 +107,7 @@ def model_zoo(label: str, seed: int = SPLIT_SEED, n_rows: int | None = None, lab
     """The reference's regressors with its hyper-parameters.
 
     XGBoost / LightGBM are not available; one column-subsampled GBT stands
-    in for both (featureSubsetStrategy is per node in Spark).  Ridge alpha=1
-    maps to Spark's regParam = alpha * std(y) / n with standardization off
-    (Spark scales the label by its std internally)."""
+    in for both (featureSubsetStrategy is per node in Spark)."""
     zoo = {
         "random_forest": RandomForestRegressor(labelCol=label, numTrees=50, maxDepth=10,
                                                featureSubsetStrategy="sqrt", minInstancesPerNode=4, seed=seed),
@@ -131,19 +118,34 @@ def model_zoo(label: str, seed: int = SPLIT_SEED, n_rows: int | None = None, lab
         "linear_regression": LinearRegression(labelCol=label, regParam=0.0, solver="auto"),
     }
     if n_rows and label_std is not None:
-        zoo["ridge"] = LinearRegression(labelCol=label, regParam=1.0 * label_std / n_rows, elasticNetParam=0.0,
-                                        standardization=False, solver="l-bfgs", maxIter=1000, tol=1e-12)
+        zoo["ridge"] = ridge(label, n_rows, label_std)
     return zoo
 
 
+def ridge(label: str, n_rows: int, label_std: float, alpha: float = 1.0) -> LinearRegression:
+    """Ridge with penalty ``alpha``, intercept not penalised.  Spark scales the label by its
+    population std internally, so regParam = alpha * std / n with standardization off."""
+    return LinearRegression(labelCol=label, regParam=alpha * label_std / n_rows, elasticNetParam=0.0,
+                            standardization=False, solver="auto", maxIter=1000, tol=1e-12)
+
+
 def fit_pipeline(train: DataFrame, spec: FeatureSpec, estimator) -> PipelineModel:
     return Pipeline(stages=preprocessing_stages(spec) + [estimator]).fit(train)
 
 
 def evaluate(model: PipelineModel, df: DataFrame, label: str) -> dict:
-    pred = model.transform(df)
-    r = regression_metrics(pred, label, "prediction").first()
-    return {k: r[k] for k in ("n", "r2_score", "mae", "rmse", "mse")}
+    return evaluate_all({"model": model}, df, label)["model"]
+
+
+def evaluate_all(models: dict[str, PipelineModel], df: DataFrame, label: str) -> dict[str, dict]:
+    """H7 of several whole pipelines on the same rows: one pass scores a row with
+    every model, one aggregate gives all metrics."""
+    out, names = df, [f"_pred_{i}" for i in range(len(models))]
+    for c, model in zip(names, models.values()):
+        out = model.transform(out).select(*df.columns, *[x for x in names if x in out.columns], F.col("prediction").alias(c))
+    rows = out.where(F.col(label).isNotNull())
+    r = rows.agg(*[F.struct(*metric_aggs(label, c)).alias(c) for c in names]).first()
+    return {name: {k: r[c][k] for k in ("n", "r2_score", "mae", "rmse", "mse")} for name, c in zip(models, names)}
 
 
 def train_and_evaluate(train: DataFrame, test: DataFrame, spec: FeatureSpec,
@@ -158,20 +160,21 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, spec: FeatureSpec,
     re-running imputation, scaling and one-hot encoding each pass.  Each
     returned model is still one whole ``PipelineModel``."""
     train = cut_lineage(train.select(*spec.numeric, *spec.categorical, spec.label)).cache()
-    test = test.select(*spec.numeric, *spec.categorical, spec.label)
+    test = cut_lineage(test.select(*spec.numeric, *spec.categorical, spec.label))
     if models is None:
-        s = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(spec.label).alias("sd")).first()
+        s = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(spec.label).alias("sd")).first()
         models = model_zoo(spec.label, n_rows=s["n"], label_std=s["sd"])
     prep = Pipeline(stages=preprocessing_stages(spec)).fit(train)
     vectors = prep.transform(train).select("features", spec.label).cache()
-    rows, fitted, best, best_r2 = [], {}, None, None
+    rows, fitted, trained, best, best_r2 = [], {}, {}, None, None
     for name, est in models.items():
         reg = est.fit(vectors)
         m = PipelineModel(stages=list(prep.stages) + [reg])
-        tr_pred = reg.transform(vectors)
-        tr = regression_metrics(tr_pred, spec.label, "prediction").first()
-        te = evaluate(m, test, spec.label)
         fitted[name] = m
+        trained[name] = regression_metrics(reg.transform(vectors), spec.label, "prediction").first()
+    tested = evaluate_all({n: PipelineModel(stages=[m.stages[-1]]) for n, m in fitted.items()}, prep.transform(test).select("features", spec.label), spec.label)
+    for name in fitted:
+        tr, te = trained[name], tested[name]
         rows.append({"model": name, "train_r2": tr["r2_score"], "test_r2": te["r2_score"],
                      "test_mae": te["mae"], "test_rmse": te["rmse"], "test_mse": te["mse"],
                      "train_rows": tr["n"], "test_rows": te["n"]})
@@ -195,21 +198,25 @@ def accept(train_r2: float | None, test_r2: float | None,
     return {"accepted": bool(test_r2 >= min_r2 and gap <= max_gap), "gap": gap}
 
 
-def champion_challenger(test: DataFrame, label: str, challenger: PipelineModel,
-                        champion: PipelineModel | None, min_improvement: float = MIN_IMPROVEMENT) -> dict:
-    """Score the same raw test rows with both whole pipelines.
-    Accept iff R^2 improves by >= 0.02; without a champion the challenger is
+def decide(challenger_r2: float | None, champion_r2: float | None, has_champion: bool,
+           min_improvement: float = MIN_IMPROVEMENT) -> dict:
+    """Accept iff R^2 improves by >= 0.02; without a champion the challenger is
     accepted with improvement = its R^2 (champion fields null)."""
-    ch = evaluate(challenger, test, label)
-    if champion is None:
-        return {"challenger_r2": ch["r2_score"], "champion_r2": None,
-                "improvement": ch["r2_score"], "accepted": True}
-    cp = evaluate(champion, test, label)
-    imp = None if ch["r2_score"] is None or cp["r2_score"] is None else ch["r2_score"] - cp["r2_score"]
-    return {"challenger_r2": ch["r2_score"], "champion_r2": cp["r2_score"], "improvement": imp,
+    if not has_champion:
+        return {"challenger_r2": challenger_r2, "champion_r2": None, "improvement": challenger_r2, "accepted": True}
+    imp = None if challenger_r2 is None or champion_r2 is None else challenger_r2 - champion_r2
+    return {"challenger_r2": challenger_r2, "champion_r2": champion_r2, "improvement": imp,
             "accepted": bool(imp is not None and imp >= min_improvement)}
 
 
+def champion_challenger(test: DataFrame, label: str, challenger: PipelineModel,
+                        champion: PipelineModel | None, min_improvement: float = MIN_IMPROVEMENT) -> dict:
+    """Both whole pipelines score the same raw test rows, in one pass."""
+    models = {"challenger": challenger} | ({} if champion is None else {"champion": champion})
+    r2 = {k: m["r2_score"] for k, m in evaluate_all(models, test, label).items()}
+    return decide(r2["challenger"], r2.get("champion"), champion is not None, min_improvement)
+
+
 def score(model: PipelineModel, df: DataFrame, threshold: float = DELAY_THRESHOLD,
           keep: Sequence[str] | None = None) -> DataFrame:
     """Input columns + PREDICTED_DELAY + DELAY_CLASS (prediction > 15)."""

@@ -7,12 +7,15 @@ every acceptance gate.  Training reports are small DataFrames.
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.operators import feedback, ml
+from contrail.operators import feedback, imputing, ml
 from contrail.plans.catalog import query
 from contrail.plans.monitoring import FEEDBACK_SQL, feedback_store
 from contrail.plans.shipments import SHIPMENTS_SQL, shipments, with_ctes
@@ -72,7 +75,30 @@ SELECT col_name, value AS mode_value, n AS mode_count FROM (
     GROUP BY col_name, value)) WHERE rn = 1""", shipments=SHIPMENTS_SQL))
 def category_modes(t):
     """H4: most frequent value per categorical column, ties -> smallest."""
-    return ml.category_modes(shipments(t), ["priority", "return_flag", "carrier"])
+    return imputing.category_modes(shipments(t), ["priority", "return_flag", "carrier"])
+
+
+def with_gaps(df):
+    """The fact with its priority missing on every seventh order and its return flag on every fifth."""
+    return df.withColumns({"priority": F.when(F.col("order_key") % 7 != 0, F.col("priority")),
+                           "return_flag": F.when(F.col("order_key") % 5 != 0, F.col("return_flag"))})
+
+
+@query("mode_filled", with_ctes(f"""
+SELECT order_key, line_number, COALESCE(priority, (SELECT mode FROM modes WHERE col = 'priority')) AS priority_filled,
+       COALESCE(return_flag, (SELECT mode FROM modes WHERE col = 'return_flag')) AS return_flag_filled
+FROM gaps WHERE {BUCKET_SQL} >= 8000""", shipments=SHIPMENTS_SQL,
+    gaps="SELECT order_key, line_number, CASE WHEN order_key % 7 <> 0 THEN priority END AS priority, CASE WHEN order_key % 5 <> 0 THEN return_flag END AS return_flag FROM shipments",
+    modes=f"""SELECT col, v AS mode FROM (SELECT col, v, row_number() OVER (PARTITION BY col ORDER BY count(*) DESC, v) AS rn FROM (
+      SELECT 'priority' AS col, priority AS v FROM gaps WHERE {BUCKET_SQL} < 8000 UNION ALL SELECT 'return_flag', return_flag FROM gaps WHERE {BUCKET_SQL} < 8000)
+      WHERE v IS NOT NULL GROUP BY col, v) WHERE rn = 1"""))
+def mode_filled(t):
+    """H4 / H6: modes learnt on train by the pipeline stage, saved, loaded, filled in on test."""
+    tr, te = ml.hash_split(with_gaps(shipments(t)), SPLIT_KEYS)
+    stage = imputing.ModeImputer(inputCols=["priority", "return_flag"], outputCols=["priority_filled", "return_flag_filled"])
+    path = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/models/modes-{uuid.uuid4().hex}"
+    loaded = ml.load_model(ml.save_model(Pipeline(stages=[stage]).fit(tr), path))
+    return loaded.transform(te).select(*SPLIT_KEYS, "priority_filled", "return_flag_filled")
 
 
 @query("category_index", with_ctes(f"""
@@ -119,12 +145,8 @@ SELECT ROUND(b, 6) AS slope, ROUND(my - b * mx, 6) AS intercept,
 def ridge_fit(t):
     """Ridge (alpha = 1, intercept not penalised) of net amount on distance."""
     tr, _ = prepared_split(t)
-    # The normal-equation solver scales the label by its population std
-    # (l-bfgs by the sample std); either way regParam = alpha * std / n.
     s = tr.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("net_amount").alias("sd")).first()
-    reg = LinearRegression(labelCol="net_amount", regParam=1.0 * s["sd"] / s["n"], elasticNetParam=0.0,
-                           standardization=False, solver="normal")
-    return _single_feature_fit(t, reg)
+    return _single_feature_fit(t, ml.ridge("net_amount", s["n"], s["sd"]))
 
 
 LEADERBOARD_SCHEMA = T.StructType([
@@ -153,8 +175,9 @@ def champion_challenger(t):
     lr = ml.LinearRegression(labelCol=SPEC.label, regParam=0.0, solver="auto")
     champ = ml.fit_pipeline(tr, ml.FeatureSpec(SPEC.numeric, [], SPEC.label), lr)
     chall = ml.fit_pipeline(tr, SPEC, ml.LinearRegression(labelCol=SPEC.label, regParam=0.0, solver="auto"))
-    first = ml.champion_challenger(te, SPEC.label, chall, None)
-    vs = ml.champion_challenger(te, SPEC.label, chall, champ)
+    r2 = {k: m["r2_score"] for k, m in ml.evaluate_all({"challenger": chall, "champion": champ}, te, SPEC.label).items()}
+    first = ml.decide(r2["challenger"], None, False)
+    vs = ml.decide(r2["challenger"], r2["champion"], True)
     schema = "round string, challenger_r2 double, champion_r2 double, improvement double, accepted boolean"
     return t.spark.createDataFrame(
         [("first_model", first["challenger_r2"], first["champion_r2"], first["improvement"], first["accepted"]),
@@ -167,7 +190,7 @@ def batch_scoring(t):
     folder, load it back and score the test rows."""
     tr, te = prepared_split(t)
     model = ml.fit_pipeline(tr, SPEC, ml.LinearRegression(labelCol=SPEC.label, regParam=0.0, solver="auto"))
-    path = ensure_checkpoint_dir(t.spark).rstrip("/") + "/models/batch_scoring"
+    path = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/models/batch_scoring-{uuid.uuid4().hex}"
     loaded = ml.load_model(ml.save_model(model, path))
     return ml.score(loaded, te, keep=SPLIT_KEYS + [SPEC.label])
 
