@@ -52,6 +52,27 @@ def check_contract(df: DataFrame, contract: Contract) -> bool:
     return True
 
 
+def check_all(frames: dict[str, DataFrame], contracts: Sequence[Contract]) -> bool:
+    """Every contract at once, failing fast before any job runs.
+
+    All violations are named in one error: a missing table, its missing
+    required columns and its required-numeric columns of another type."""
+    problems = []
+    for contract in contracts:
+        df = frames.get(contract.name)
+        if df is None:
+            problems.append(f"{contract.name}: no such table")
+            continue
+        missing = [c for c in contract.required if c not in df.columns]
+        if missing:
+            problems.append(f"{contract.name}: missing required columns: {missing}")
+        problems += [f"{contract.name}: {c} must be numeric" for c in contract.numeric
+                     if c in df.columns and not isinstance(df.schema[c].dataType, T.NumericType)]
+    if problems:
+        raise ContractError("; ".join(problems))
+    return True
+
+
 PRESENCE_SCHEMA = T.StructType([
     T.StructField("dataset", T.StringType()),
     T.StructField("required_columns_count", T.LongType()),

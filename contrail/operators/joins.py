@@ -10,12 +10,58 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from contrail.functions.features import date_from_parts
 
 
+class RepeatedKeys(ValueError):
+    """A dimension with a key on several rows would multiply the fact's rows."""
+
+
+def repeated_keys(dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """D1-D3 precondition: (dim, key, n) of every non-null key on more than one row;
+    ``dims`` maps a name to the dimension and its key column.  One aggregate over the keys."""
+    rows = None
+    for name, (dim, key) in dims.items():
+        one = dim.select(F.lit(name).alias("dim"), F.col(key).cast("string").alias("key")).where(F.col("key").isNotNull())
+        rows = one if rows is None else rows.unionByName(one)
+    return rows.groupBy("dim", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
+def require_unique_keys(dims: dict[str, tuple[DataFrame, str]]) -> None:
+    """Raises ``RepeatedKeys`` with the number of repeated keys per dimension and one example."""
+    bad = repeated_keys(dims).groupBy("dim").agg(F.count(F.lit(1)).alias("keys"), F.min("key").alias("example")).orderBy("dim").collect()
+    if bad:
+        raise RepeatedKeys("; ".join(f"{r['dim']}: {r['keys']} repeated keys, one is {r['example']}" for r in bad))
+
+
+class RowInvariant:
+    """Row counts of a plan's input and output, gathered by the job that runs anyway.
+
+    ``before`` and ``after`` observe a DataFrame on its way; once an action
+    on the result has run, ``check`` compares the counts."""
+
+    def __init__(self, name: str = "rows"):
+        self._in, self._out = Observation(f"{name}-in"), Observation(f"{name}-out")
+
+    def before(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._in, F.count(F.lit(1)).alias("n"))
+
+    def after(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._out, F.count(F.lit(1)).alias("n"))
+
+    def counts(self) -> tuple[int, int]:
+        return self._in.get["n"], self._out.get["n"]
+
+    def check(self) -> int:
+        n_in, n_out = self.counts()
+        if n_in != n_out:
+            raise RepeatedKeys(f"{n_in} rows went into the joins, {n_out} came out")
+        return n_out
+
+
 def enrich(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
            prefix: str = "", keep: Sequence[str] | None = None) -> DataFrame:
     """Left join one dimension.

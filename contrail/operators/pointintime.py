@@ -47,13 +47,13 @@ def as_of_join(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str
     as_keys = [F.col(k).alias(n) for k, n in zip(keys, kept)]
     rows = left.select(*as_keys, _number(left, time).alias("_t"), F.struct(*left.columns).alias("_left"))
     facts = right.select(*as_keys, _number(right, right_time).alias("_t"), F.struct(*columns).alias("_right")).where(F.col("_t").isNotNull())
-    slot = F.floor(F.col("_t") / bucket).alias("_bucket")
+    slot = F.floor(F.col("_t") / bucket)
     whole = F.lit(True)
     for c in ("_t", *kept):
         whole = whole & F.col(c).isNotNull()
-    # Rows without a key or time stay out of the windows, however many they are.
-    lost = rows.where(~whole).select("_left.*").select(*left.columns, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in columns])
-    rows, facts = rows.where(whole).select("*", slot), facts.where(whole).select("*", slot)
+    facts = facts.where(whole).withColumn("_bucket", slot)
+    # Rows without a key or time find nothing and are spread by their content, however many they are.
+    rows = rows.withColumn("_whole", whole).withColumn("_bucket", F.when(whole, slot).otherwise(F.xxhash64("_left") % 4096))
     # Rights sort behind the rows of their own time if only earlier ones count.
     both = rows.withColumn("_side", F.lit(1)).unionByName(facts.withColumn("_side", F.lit(2 if strict else 0)), allowMissingColumns=True)
     inside = Window.partitionBy(*kept, "_bucket").orderBy("_t", "_side", "_right").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -63,8 +63,8 @@ def as_of_join(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str
     before = Window.partitionBy(*kept).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carry = slots.select(*kept, "_bucket", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
     out = seen.join(carry, [*kept, "_bucket"], "left")
-    out = out.select("_left.*", F.coalesce("_found", "_carried").alias("_r"))
-    return out.select(*left.columns, *[F.col("_r")[c].alias(c) for c in columns]).unionByName(lost)
+    found = F.when(F.col("_whole"), F.coalesce("_found", "_carried"))
+    return out.select(*[F.col("_left")[c].alias(c) for c in left.columns], *[found[c].alias(c) for c in columns])
 
 
 def cumulative_stats(df: DataFrame, keys: Sequence[str], date: str, target: str, prefix: str,

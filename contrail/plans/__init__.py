@@ -6,7 +6,7 @@ def load_all():
     ``(QUERIES, ORACLE)``."""
     import importlib
 
-    for mod in ("star", "profile", "monitoring", "derived", "learning", "streams", "features_in_time"):
+    for mod in ("star", "profile", "monitoring", "derived", "learning", "streams", "features_in_time", "guards"):
         importlib.import_module(f"contrail.plans.{mod}")
     from contrail.plans.catalog import ORACLE, QUERIES
     return QUERIES, ORACLE

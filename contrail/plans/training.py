@@ -14,12 +14,34 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.operators import drift, grouping, joins, ml, quality
+from contrail.functions.features import route_key
+from contrail.operators import baseline, contracts, drift, joins, ml, quality
+from contrail.operators import pointintime as P
+from contrail.operators.feature_set import engineer
+from contrail.operators.ordered import split_by_position
+from contrail.plans.derived import SHIP_ROLES, SHIP_THRESHOLDS
+from contrail.plans.features_in_time import attach_prior
 from contrail.plans.learning import SPEC, SPLIT_KEYS
+from contrail.plans.profile import FEED_COLS, daily_feed_wide
 from contrail.plans.shipments import calendar_years, carriers, locations, shipments_materialized as shipments
 from contrail.session import cut_lineage, path_exists
 from contrail.sources.calendar import holiday_calendar
-from contrail.sources.tables import Tables, report_sink, route_dataset, write_table
+from contrail.sources.tables import Tables, quarantine_rows, report_sink, write_clustered, write_table
+
+# What the run needs of its tables.
+CONTRACTS = (
+    contracts.Contract("shipments", ("order_key", "line_number", "carrier", "origin", "dest", "ship_date", "delay", "distance", "net_amount"), ("delay", "distance", "net_amount")),
+    contracts.Contract("locations", ("loc_key", "loc_name", "loc_region")),
+    contracts.Contract("carriers", ("carrier_key", "carrier_name")),
+    contracts.Contract("holidays", ("date", "holiday_name", "is_holiday")),
+    contracts.Contract("daily_feed", ("date", *FEED_COLS), tuple(FEED_COLS)),
+)
+PRIOR_KEYS = ("origin", "carrier", "route")
+# The point-in-time statistics, the daily feed and the derived features are model inputs.
+TRAIN_SPEC = ml.FeatureSpec(
+    numeric=[*SPEC.numeric, *FEED_COLS, "DURATION_RATIO", "TEMP_RANGE", "is_holiday", "IS_WEEKEND", *[c for k in PRIOR_KEYS for c in P.prior_columns(k)]],
+    categorical=[*SPEC.categorical, "DISTANCE_BIN"], label=SPEC.label)
+DRIFT_COLUMNS = ["order_key", "distance", "discount", "tax", "delay", "sched_time", "priority"]
 
 
 @dataclass
@@ -32,13 +54,20 @@ class RunResult:
     report_path: str
 
 
-def build_features(t: Tables) -> DataFrame:
-    """Fact + carrier and both location roles + holidays + leakage-safe
-    origin statistics (E4), the feature table of the run."""
-    s = joins.enrich_star(shipments(t), carriers(t), locations(t))
+def prior_tables(df: DataFrame) -> dict[str, DataFrame]:
+    """Per key the statistics up to each date, for joins as of any later date."""
+    df = df.withColumn("route", route_key("origin", "dest"))
+    return {k: P.cumulative_stats(df, [k], "ship_date", "delay", k) for k in PRIOR_KEYS}
+
+
+def build_features(t: Tables, rows: DataFrame, priors: dict[str, DataFrame]) -> DataFrame:
+    """D1-D6, E4 / H21 and F15 on fact rows: carrier and both location roles, holidays, the daily
+    feed with median fill, rows without a target dropped, point-in-time statistics, derived features."""
+    s = joins.enrich_star(rows, carriers(t), locations(t))
     s = joins.join_holidays(s, holiday_calendar(calendar_years(t)), date_col="ship_date")
-    prior = grouping.leakage_safe_stats(shipments(t), "origin", "ship_date", "delay", "origin")
-    return s.join(prior, ["origin", "ship_date"], "left")
+    s = joins.join_daily_and_fill(s, daily_feed_wide(t), "ship_date", "date", FEED_COLS)
+    s = attach_prior(s.withColumn("route", route_key("origin", "dest")), priors)
+    return engineer(s, SHIP_ROLES, SHIP_THRESHOLDS)
 
 
 class ModelRejected(RuntimeError):
@@ -51,32 +80,47 @@ def run_training(spark: SparkSession, sf_dir: str, out_dir: str,
     t = Tables(spark, sf_dir)
     out = out_dir.rstrip("/")
 
-    # validate (C6) -- the status is data; gating is optional
+    # All contracts before any job; D1-D3: keys that would repeat fact rows
     s = shipments(t)
-    checks = quality.validation_status(
-        presence=spark.createDataFrame([], "dataset string, all_required_present boolean"),
+    frames = {"shipments": s, "locations": locations(t), "carriers": carriers(t), "holidays": holiday_calendar(calendar_years(t)), "daily_feed": daily_feed_wide(t)}
+    contracts.check_all(frames, CONTRACTS)
+    joins.require_unique_keys({"locations": (frames["locations"], "loc_key"), "carriers": (frames["carriers"], "carrier_key"), "holidays": (frames["holidays"], "date")})
+
+    # validate (C6) -- the status is data; gating is optional
+    checks = cut_lineage(quality.validation_status(
+        presence=contracts.column_presence(spark, frames, {c.name: c.required for c in CONTRACTS}),
         nulls=quality.null_counts(s, columns=["delay", "net_amount"], only_missing=False),
         fk=quality.referential_check(s, ["origin", "dest"], t["nation"], "n_nationkey"),
         dates=quality.date_part_ranges(s),
-        ranges=quality.range_violations(t["customer"], {"c_acctbal": (-1000.0, 10000.0)}))
-    checks = cut_lineage(checks)
+        ranges=quality.range_violations(t["customer"], {"c_acctbal": (-1000.0, 10000.0)})))
     passed = bool(checks.where(F.col("check_name") == "overall").first()["passed"])
     report_sink(checks, f"{out}/reports/validation")
     if fail_on_invalid and not passed:
         raise ValueError("validation failed")
 
-    # features (A6: partitioned feature table; H21: group-stat tables for scoring)
-    feats = build_features(t)
-    write_table(feats, f"{out}/features", partition_by=["year", "month"])
-    for name, stats in (("origin", grouping.group_delay_stats(s, ["origin"], "delay", "origin")),
-                        ("carrier", grouping.group_delay_stats(s, ["carrier"], "delay", "carrier")),
-                        ("route", grouping.route_stats(s, "origin", "dest", "delay"))):
+    # drift of the second half against the first
+    ref, cur = split_by_position(s.select(*DRIFT_COLUMNS), "order_key")
+    per_column = cut_lineage(drift.table_drift(ref.drop("order_key"), cur.drop("order_key"), ["priority"]))
+    report_sink(per_column, f"{out}/reports/drift")
+    report_sink(drift.drift_summary(per_column), f"{out}/reports/drift_summary")
+
+    # A4: rows without a target or a date are set aside, counted by the job that writes them
+    counts = quarantine_rows(s, {"target": F.col("delay").isNotNull() & F.col(SPEC.label).isNotNull(), "date": F.col("ship_date").isNotNull()}, f"{out}/shipments")
+    report_sink(spark.createDataFrame(list(counts.items()), "rows string, n long"), f"{out}/reports/quarantine")
+    valid = spark.read.parquet(f"{out}/shipments").where("quality = 'validated'").drop("quality", "broken")
+
+    # features (A6: partitioned feature table; H21: statistic tables for scoring)
+    for name, stats in prior_tables(valid).items():
         write_table(stats, f"{out}/feature_stats/{name}")
+    same = joins.RowInvariant("features")
+    feats = build_features(t, same.before(valid), stored_priors(spark, f"{out}/feature_stats"))
+    write_clustered(feats, f"{out}/features", ["year", "month"], ["order_key"], same.after)
+    same.check()
     feats = spark.read.parquet(f"{out}/features")
 
     # train all, gate, champion / challenger
     tr, te = ml.hash_split(feats, SPLIT_KEYS)
-    rows, fitted, best = ml.train_and_evaluate(tr, te, SPEC, models)
+    rows, fitted, best = ml.train_and_evaluate(tr, te, TRAIN_SPEC, models)
     report = spark.createDataFrame([{k: (float(v) if isinstance(v, float) else v) for k, v in r.items()}
                                     for r in rows])
     report_sink(report, f"{out}/reports/training")
@@ -92,22 +136,18 @@ def run_training(spark: SparkSession, sf_dir: str, out_dir: str,
         if promoted:
             model_path = ml.save_model(fitted[best], f"{out}/final_model")
             # Drift baseline of the training rows with the model's scores
-            base = drift.baseline_stats(tr, SPEC.numeric).withColumns({
+            base = baseline.baseline_profile(tr, SPEC.numeric).withColumns({
                 "baseline_r2": F.lit(best_row["test_r2"]).cast("double"),
                 "baseline_mae": F.lit(best_row["test_mae"]).cast("double")})
             write_table(base, f"{out}/baseline")
-    # A4: route the validated fact
-    route_dataset(s.select(*SPLIT_KEYS, "delay"), passed, out, "shipments")
     return RunResult(passed, best, accepted, promoted, model_path, f"{out}/reports")
 
 
-def score_with_feature_tables(spark: SparkSession, model_path: str, raw: DataFrame, stats_dir: str) -> DataFrame:
-    """Score raw rows after joining the stored group-stat tables."""
-    o = spark.read.parquet(f"{stats_dir}/origin")
-    c = spark.read.parquet(f"{stats_dir}/carrier")
-    r = spark.read.parquet(f"{stats_dir}/route")
-    x = joins.attach_group_stats(raw, o, ["origin"])
-    x = joins.attach_group_stats(x, c, ["carrier"])
-    x = x.withColumn("route", F.concat(F.col("origin").cast("string"), F.lit("_"), F.col("dest").cast("string")))
-    x = joins.attach_group_stats(x, r, ["route"])
+def stored_priors(spark: SparkSession, stats_dir: str) -> dict[str, DataFrame]:
+    return {k: spark.read.parquet(f"{stats_dir}/{k}") for k in PRIOR_KEYS}
+
+
+def score_with_feature_tables(spark: SparkSession, sf_dir: str, model_path: str, raw: DataFrame, stats_dir: str) -> DataFrame:
+    """Score raw fact rows; each takes the stored statistics as of the day before its date."""
+    x = build_features(Tables(spark, sf_dir), raw, stored_priors(spark, stats_dir))
     return ml.score(ml.load_model(model_path), x)

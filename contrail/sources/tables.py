@@ -97,6 +97,43 @@ def route_rows(df: DataFrame, rule: Column) -> tuple[DataFrame, DataFrame]:
     return df.filter(ok), df.filter(~ok)
 
 
+def quarantine_rows(df: DataFrame, rules: dict[str, Column], path: str) -> dict[str, int]:
+    """Row quarantine in one pass (A4): all rows go to ``path``, partitioned by
+    ``quality`` (``validated`` / ``invalidated``), with the names of the broken
+    rules in ``broken``.  Returns the counts of both and per rule, observed by
+    the writing job itself.  A NULL rule result counts as broken.
+    """
+    from pyspark.sql import Observation
+    seen = Observation("quarantine")
+    broken = F.array_compact(F.array(*[F.when(~F.coalesce(r, F.lit(False)), F.lit(n)) for n, r in rules.items()]))
+    rows = df.withColumn("broken", F.array_join(broken, ","))
+    rows = rows.withColumn("quality", F.when(F.col("broken") == "", "validated").otherwise("invalidated"))
+    counts = [F.count_if(F.col("broken") == "").alias("validated"), F.count_if(F.col("broken") != "").alias("invalidated"),
+              *[F.count_if(~F.coalesce(r, F.lit(False))).alias(n) for n, r in rules.items()]]
+    rows.observe(seen, *counts).write.mode("overwrite").partitionBy("quality").parquet(path)
+    return {k: int(v) for k, v in seen.get.items()}
+
+
+def write_clustered(df: DataFrame, path: str, partition_by: Iterable[str], order_by: Iterable[str] = (), watched=lambda rows: rows) -> str:
+    """Partitioned table whose rows were dealt out by ranges of the partition
+    columns first (A3, A6): about one file per folder and task instead of one
+    per folder in every task, and a large folder is still written by many tasks.
+    ``watched`` may observe the rows as they are written (below the range
+    exchange they also pass its sampling job, and would count twice).
+    """
+    parts = list(partition_by)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    watched(df.repartitionByRange(n, *parts, *order_by)).write.mode("overwrite").partitionBy(*parts).parquet(path)
+    return path
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
+    """Table bucketed and sorted by ``key`` (A3): joins of two such tables on the key need no exchange."""
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+     .format("parquet").saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
 def route_dataset(df: DataFrame, is_valid: bool, base: str, name: str,
                   fmt: str = "parquet") -> str:
     """Whole-dataset routing to ``validated/`` or ``invalidated/`` (A4)."""
@@ -124,6 +161,6 @@ def export_ordered(df: DataFrame, path: str, order_by: str, fmt: str = "csv") ->
 
 
 def report_sink(report: DataFrame, path: str) -> str:
-    """Reports are DataFrames; persist them as JSON lines."""
-    report.coalesce(1).write.mode("overwrite").json(path)
+    """Reports are DataFrames; persist them as JSON lines (A8).  A report of any size keeps its partitions."""
+    report.write.mode("overwrite").json(path)
     return path
