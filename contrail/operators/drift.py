@@ -3,8 +3,8 @@
 * KS (G1): both samples are unpivoted, collapsed to (column, value) with a
   count per side, and the two empirical CDFs come from the distributed
   running totals of ``ordered.running_totals`` -- no column is ever sorted
-  in one task.  The p-value is the asymptotic Kolmogorov series evaluated
-  JVM-side with a higher-order function.
+  in one task.  The p-value is exact for small samples and the asymptotic
+  Kolmogorov series, JVM-side, for others.
 * TVD (G2): two relative-frequency tables matched by a full outer join.
 * PSI (G6/G7): from a stored baseline profile (``baseline.py``: exact decile
   edges, counts, moments) and the profile of a batch on the same edges.
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,6 +46,36 @@ def kolmogorov_pvalue(d: Column, n1: Column, n2: Column) -> Column:
     return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * series)))
 
 
+EXACT_PRODUCT = 100_000   # sample sizes up to this product get the exact distribution
+
+
+def exact_ks_p(d: float, n1: int, n2: int) -> float:
+    """P(D >= d) of the two-sample statistic under equal continuous distributions: the share of
+    lattice paths from (0, 0) to (n1, n2) that touch |i / n1 - j / n2| >= d.  Work n1 * n2."""
+    import math
+
+    import numpy as np
+    edge = round(d * n1 * n2)   # the statistic is a multiple of 1 / (n1 * n2)
+    if edge <= 0:
+        return 1.0
+    row = (np.arange(n2 + 1) * n1 < edge).astype(float)   # paths that stay inside, along i = 0
+    for i in range(1, n1 + 1):
+        inside = np.abs(i * n2 - np.arange(n2 + 1) * n1) < edge
+        row = np.cumsum(np.where(inside, row, 0.0)) * inside   # the inside of a row is one interval
+    return float(min(max(1.0 - row[-1] / math.comb(n1 + n2, n1), 0.0), 1.0))
+
+
+@F.pandas_udf(T.DoubleType())
+def _exact_p(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+    return pd.Series([exact_ks_p(x, int(a), int(b)) if 0 < a * b <= EXACT_PRODUCT else None for x, a, b in zip(d, n1, n2)], dtype="float64")
+
+
+def ks_pvalue(d: Column, n1: Column, n2: Column) -> Column:
+    """Exact for small samples, the asymptotic series beyond ``EXACT_PRODUCT``."""
+    series = kolmogorov_pvalue(d, n1.cast("double"), n2.cast("double"))
+    return F.when(n1 * n2 <= EXACT_PRODUCT, _exact_p(d, n1, n2)).otherwise(series)
+
+
 def _two_sided_long(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:
     return (unpivot_values(ref, columns).withColumn("side", F.lit(0))
             .unionByName(unpivot_values(cur, columns).withColumn("side", F.lit(1))))
@@ -75,7 +106,7 @@ def ks_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str],
             .groupBy("col_name", "tot1", "tot2", "reference_mean", "current_mean")
             .agg(F.max(F.abs(F.col("cum_n1") / F.col("tot1") - F.col("cum_n2") / F.col("tot2"))).alias("ks_statistic"),
                  spread("n1", "reference_mean").alias("_m1"), spread("n2", "current_mean").alias("_m2")))
-    p = kolmogorov_pvalue(F.col("ks_statistic"), F.col("tot1").cast("double"), F.col("tot2").cast("double"))
+    p = ks_pvalue(F.col("ks_statistic"), F.col("tot1"), F.col("tot2"))   # a row per column
     return (stat.withColumn("p_value", p)
             .select("col_name", "ks_statistic", "p_value",
                     (F.col("p_value") < threshold).alias("drift_detected"),

@@ -15,7 +15,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.operators import feedback, imputing, ml
+from contrail.operators import feedback, importance, imputing, ml
 from contrail.plans.catalog import query
 from contrail.plans.monitoring import FEEDBACK_SQL, feedback_store
 from contrail.plans.shipments import SHIPMENTS_SQL, shipments, with_ctes
@@ -184,6 +184,15 @@ def champion_challenger(t):
          ("against_champion", vs["challenger_r2"], vs["champion_r2"], vs["improvement"], vs["accepted"])], schema)
 
 
+@query("feature_importance")
+def feature_importance(t):
+    """Drop of the test R2 per input column when it is dealt out anew among the test rows."""
+    tr, te = prepared_split(t)
+    model = ml.fit_pipeline(tr, SPEC, ml.LinearRegression(labelCol=SPEC.label, regParam=0.0, solver="auto"))
+    keyed = te.withColumn("row_key", F.monotonically_increasing_id())   # order_key, line_number repeat; the rows are stored
+    return importance.permutation_importance(model, keyed, "row_key", SPEC)
+
+
 @query("batch_scoring")
 def batch_scoring(t):
     """H16 + H17: fit, save the whole pipeline to the shared checkpoint
