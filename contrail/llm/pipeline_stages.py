@@ -29,7 +29,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     judged = ("doc_id", "text", "lang", "source")
     key = F.xxhash64(*judged)
     verdict = judge(docs.select(*judged, key.alias("row_key")))
-    return _without(docs, verdict.where(~F.col("kept")), row_key=key)
+    return _without(docs, verdict.where(~F.col("kept")).select("rest.row_key"), row_key=key)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -127,8 +127,13 @@ def _group_keys(stats: DataFrame, min_rows: int) -> DataFrame:
 def judge(docs: DataFrame, h: float = 0.75, steps: int = 3, min_rows: int = 100, cutoff: float = 60.0) -> DataFrame:
     """Statistics, ``base_failed``, ``distance`` and ``kept`` of every row, its text left out.
 
-    Documents that fail a base rule take no part in the estimates.
+    Documents that fail a base rule take no part in the estimates.  Columns
+    besides ``doc_id, text, lang, source`` come back in a struct ``rest``, so
+    none can clash with a name used here.
     """
+    named = ("doc_id", "text", "lang", "source")
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in named]
+    docs = docs.select(*named, *([F.struct(*others).alias("rest")] if others else []))
     stats = cut_lineage(text_statistics(docs))
     rows = stats.withColumn("base_failed", base_failed()).select("*", *vector())
     rows = cut_lineage(_group_keys(rows, min_rows))

@@ -57,6 +57,15 @@ def test_rejects_outliers_as_brute_force(spark):
     assert {i for i, r in got.items() if not r["kept"]} == {i for i in range(0, 300, 25)}
 
 
+def test_other_columns_come_back_whatever_their_names(hard_docs):
+    """Every row of the table with clashing names gets the verdict it gets without them."""
+    plain = judge(hard_docs.select("doc_id", "text", "lang", "source"))
+    named = judge(hard_docs)
+    cols = ["doc_id", *STATS, "base_failed", "kept"]
+    assert sorted(map(repr, named.select(cols).collect())) == sorted(map(repr, plain.select(cols).collect()))
+    assert named.select("rest.*").columns == [c for c in hard_docs.columns if c not in ("doc_id", "text", "lang", "source")]
+
+
 def test_judge_empty(no_docs):
     assert judge(no_docs.select("doc_id", "text", "lang", "source")).count() == 0
 
