@@ -4,7 +4,10 @@ Every document draws an exponential key ``-ln(u) / w`` from a hash of its id
 and its quality weight ``w``; sorted by key within its source, the first
 documents whose sizes fill a budget are a weighted sample without
 replacement.  A source whose target exceeds its size is taken whole as often
-as it fits (complete epochs) before the rest is sampled.
+as it fits (complete epochs) before the rest is sampled.  A document that is
+longer than what is left of a budget is passed over, and those behind it that
+still fit follow in the order of their keys (``fills`` times), so a source
+comes near its target however long some documents are.
 
 The order within a source is cut into buckets of the key's logarithm, about
 evenly filled whatever the weights, so prefix sums run per (source, bucket)
@@ -65,32 +68,49 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], most: int) -> Dat
                     .otherwise(F.coalesce(level, F.lit(0.0)) * F.col("weight")).alias("target"))
 
 
+def _taken(rows: DataFrame, gaps: DataFrame) -> DataFrame:
+    """``rows`` (name, bucket, key, doc_id, size, done) with those done that fit, in key order, into the gap of their source.
+
+    Rows that are done or longer than the gap are passed over; of the others the
+    first are taken whose sizes fill it, by prefix sums per (source, bucket) and
+    over the bucket totals.
+    """
+    rows = rows.join(gaps, "name")
+    open_ = ~F.col("done") & (F.col("size") <= F.col("gap"))
+    rows = rows.withColumn("counts", F.when(open_, F.col("size")).otherwise(0))
+    totals = rows.groupBy("name", "bucket").agg(F.sum("counts").alias("words"))
+    ahead = W.partitionBy("name").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    totals = totals.select("name", "bucket", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("ahead"))
+    upto = W.partitionBy("name", "bucket").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = rows.join(totals, ["name", "bucket"]).withColumn("filled", F.col("ahead") + F.sum("counts").over(upto))
+    return rows.withColumn("done", F.col("done") | (open_ & (F.col("filled") <= F.col("gap")))).drop("gap", "counts", "ahead", "filled")
+
+
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: str = "mix",
-                quality: Column | None = None, rows_per_step: int = 100_000) -> DataFrame:
+                quality: Column | None = None, rows_per_step: int = 100_000, fills: int = 3) -> DataFrame:
     """``doc_id, source, size, source_size, target, taken`` for every row.
 
-    ``taken`` counts the words of the row in the mixture, repeats included.
-    The last document of a budget is taken if at least half of it fits.
+    ``taken`` counts the words of the row in the mixture, repeats included.  A
+    source takes its target at most; what is missing is less than the shortest
+    documents passed over.
     """
     text = F.col("text")
     sized = cut_lineage(docs.select(
         "doc_id", "source", word_count(text).alias("size"),
         (-F.log(uniform(F.col("doc_id"), seed)) / (quality_weight(text) if quality is None else quality)).alias("key")))
     steps = max(64, sized.count() // rows_per_step)  # buckets of an octave of the key; more rows, finer buckets
-    named = sized.select("*", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("name"),
-                         F.floor(F.log2("key") * steps).alias("bucket"))
-    totals = named.groupBy("name", "source", "bucket").agg(F.sum("size").alias("words"))
-    totals = cut_lineage(totals)
-    targets = source_targets(totals.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most)
-    targets = targets.select(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("name"), "source_size", "target")
-    ahead = W.partitionBy("name").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    buckets = totals.select("name", "bucket", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("ahead")).join(targets, "name")
-    inside = W.partitionBy("name", "bucket").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
-    rows = named.join(buckets, ["name", "bucket"])
-    before = F.col("ahead") + F.coalesce(F.sum("size").over(inside), F.lit(0))
+    name = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("name")
+    rows = sized.select("*", name, F.floor(F.log2("key") * steps).alias("bucket"), F.lit(False).alias("done"))
+    sizes = cut_lineage(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
+    targets = source_targets(sizes, weights, most)
     epochs = F.when(F.col("source_size") > 0, F.least(F.lit(most), F.floor(F.col("target") / F.col("source_size")))).otherwise(0)
-    rows = rows.withColumn("before", before).withColumn("epochs", epochs)
-    rest = F.col("target") - F.col("epochs") * F.col("source_size")
-    part = F.when(F.col("before") + F.col("size") / 2 <= rest, F.col("size")).otherwise(0)
+    targets = cut_lineage(targets.withColumn("epochs", epochs).select(name, "source_size", "target", "epochs", (F.col("target") - F.col("epochs") * F.col("source_size")).alias("rest")))
+    gaps = targets.select("name", F.col("rest").alias("gap"))
+    for _ in range(1 + fills):
+        rows = cut_lineage(_taken(rows, gaps))
+        used = rows.where("done").groupBy("name").agg(F.sum("size").alias("used"))
+        gaps = targets.join(used, "name", "left").select("name", (F.col("rest") - F.coalesce("used", F.lit(0))).alias("gap"))
+    rows = rows.join(targets, "name")
+    part = F.when(F.col("done"), F.col("size")).otherwise(0)
     return rows.select("doc_id", "source", "size", "source_size", "target",
                        (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"))

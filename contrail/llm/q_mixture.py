@@ -15,12 +15,23 @@ o AS (SELECT *, cap / weight::DOUBLE AS ratio FROM r),
 p AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER b, 0))::DOUBLE / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0))::DOUBLE AS lev
   FROM o WINDOW b AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 t AS (SELECT source, source_size, CASE WHEN lev > ratio THEN cap::DOUBLE ELSE coalesce(max(CASE WHEN lev <= ratio THEN lev END) OVER (), 0) * weight END AS target FROM p),
-k AS (SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
-    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY -ln(d.u) / d.w, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS bef,
-    CASE WHEN t.source_size > 0 THEN least(3, floor(t.target / t.source_size::DOUBLE)) ELSE 0 END AS epochs
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+e AS (SELECT *, CASE WHEN source_size > 0 THEN least(3, floor(target / source_size::DOUBLE)) ELSE 0 END AS epochs FROM t),
+g0 AS (SELECT d.doc_id, d.source, d.size, -ln(d.u) / d.w AS key, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS rest,
+    false AS done, e.target - e.epochs * e.source_size AS gap FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source),
+b0 AS (SELECT *, coalesce(sum(CASE WHEN NOT done AND size <= gap THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING), 0) AS filled FROM g0),
+g1 AS (SELECT * EXCLUDE (done, gap, filled, done2), done2 AS done, rest - coalesce(sum(CASE WHEN done2 THEN size ELSE 0 END) OVER (PARTITION BY source), 0) AS gap
+  FROM (SELECT *, done OR (size <= gap AND filled <= gap) AS done2 FROM b0) x),
+b1 AS (SELECT *, coalesce(sum(CASE WHEN NOT done AND size <= gap THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING), 0) AS filled FROM g1),
+g2 AS (SELECT * EXCLUDE (done, gap, filled, done2), done2 AS done, rest - coalesce(sum(CASE WHEN done2 THEN size ELSE 0 END) OVER (PARTITION BY source), 0) AS gap
+  FROM (SELECT *, done OR (size <= gap AND filled <= gap) AS done2 FROM b1) x),
+b2 AS (SELECT *, coalesce(sum(CASE WHEN NOT done AND size <= gap THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING), 0) AS filled FROM g2),
+g3 AS (SELECT * EXCLUDE (done, gap, filled, done2), done2 AS done, rest - coalesce(sum(CASE WHEN done2 THEN size ELSE 0 END) OVER (PARTITION BY source), 0) AS gap
+  FROM (SELECT *, done OR (size <= gap AND filled <= gap) AS done2 FROM b2) x),
+b3 AS (SELECT *, coalesce(sum(CASE WHEN NOT done AND size <= gap THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING), 0) AS filled FROM g3),
+g4 AS (SELECT * EXCLUDE (done, gap, filled, done2), done2 AS done, rest - coalesce(sum(CASE WHEN done2 THEN size ELSE 0 END) OVER (PARTITION BY source), 0) AS gap
+  FROM (SELECT *, done OR (size <= gap AND filled <= gap) AS done2 FROM b3) x)
 SELECT doc_id, source, size, source_size, round(target, 6) AS target,
-  CAST(epochs * size + CASE WHEN bef + size / 2.0::DOUBLE <= target - epochs * source_size THEN size ELSE 0 END AS BIGINT) AS taken FROM k
+  CAST(epochs * size + CASE WHEN done THEN size ELSE 0 END AS BIGINT) AS taken FROM g4
 """
 
 

@@ -39,10 +39,17 @@ def brute(rows):
                 u = (int(hashlib.md5(f"{'' if d is None else d}:mix".encode()).hexdigest()[:13], 16) + 0.5) / 2 ** 52
                 mine.append((-math.log(u) / w, d is not None, d or 0, n, d))
         epochs = min(3, int(goal[s] // sizes[s])) if sizes[s] else 0
-        before, rest = 0, goal[s] - epochs * sizes[s]
-        for *_, n, d in sorted(mine, key=lambda x: x[:4]):
-            out.append((d, s, n, sizes[s], round(goal[s], 4), epochs * n + (n if before + n / 2 <= rest else 0)))
-            before += n
+        rest = goal[s] - epochs * sizes[s]
+        mine.sort(key=lambda x: x[:4])
+        done = [False] * len(mine)
+        for _ in range(4):  # the sample, then three fills with what still fits
+            gap, filled = rest - sum(x[3] for x, d in zip(mine, done) if d), 0
+            for i, (*_, n, _d) in enumerate(mine):
+                if not done[i] and n <= gap:
+                    filled += n
+                    done[i] = filled <= gap
+        for (*_, n, d), taken in zip(mine, done):
+            out.append((d, s, n, sizes[s], round(goal[s], 4), epochs * n + (n if taken else 0)))
     return sorted(out, key=repr)
 
 
@@ -66,6 +73,15 @@ def test_many_documents(spark, rows_per_step):
     assert got.where("taken > 3 * size").count() == 0
 
 
+def test_near_its_target_with_very_long_documents(spark):
+    rows = [(i, " ".join(["w"] * (4000 if i % 40 == 0 else 20 + i * 31 % 60)), "en", f"s{i % 3}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = mix_sources(docs)
+    assert result(got) == brute(rows)
+    for r in got.groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).collect():
+        assert 0 <= r["target"] - r["taken"] <= max(0.002 * r["target"], 25)
+
+
 def test_empty(spark, no_docs):
     assert mix_sources(no_docs).count() == 0
     nothing = spark.createDataFrame([(1, None, "en", "a"), (2, "", "en", None)], "doc_id long, text string, lang string, source string")
