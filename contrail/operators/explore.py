@@ -34,9 +34,16 @@ def pivot_daily(long: DataFrame, ts: str, key: str, value: str,
     return wide.select("date", *[F.col(f"`{v}`").alias(safe_name(v, prefix)) for v in values])
 
 
-def pivot_values(df: DataFrame, key: str) -> list:
-    """Distinct non-null values of a column that becomes columns, in order."""
-    return [r[0] for r in df.select(key).where(F.col(key).isNotNull()).distinct().orderBy(key).collect()]
+MAX_PIVOT_COLUMNS = 10_000   # as Spark's own spark.sql.pivotMaxValues
+
+
+def pivot_values(df: DataFrame, key: str, most: int = MAX_PIVOT_COLUMNS) -> list:
+    """Distinct non-null values of a column that becomes columns, in order; an error beyond ``most``."""
+    values = df.select(key).where(F.col(key).isNotNull()).distinct()
+    got = sorted(r[0] for r in values.limit(most + 1).collect())
+    if len(got) > most:
+        raise ValueError(f"{key} has more than {most} distinct values to become columns")
+    return got
 
 
 def class_balance(df: DataFrame, target: str, threshold: float = DELAY_THRESHOLD,

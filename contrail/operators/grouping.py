@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.functions.features import DELAY_THRESHOLD, delay_flag, route_key
+from contrail.session import cut_lineage
 
 
 def group_delay_stats(df: DataFrame, keys: Sequence[str], target: str,
@@ -41,13 +42,21 @@ def with_group_stats(df: DataFrame, origin: str, carrier: str, dest: str,
                      target: str, threshold: float = DELAY_THRESHOLD) -> DataFrame:
     """E1-E3 joined back to every row (D7), the reference's three merges.
 
-    Uses aggregate-then-join.  The aggregates are tiny (one row per group)
-    and broadcast; the fact is scanned by each aggregate and once more for
-    the output -- Spark reuses the exchange of the common scan."""
+    The rows are aggregated once, by (origin, carrier, dest); the three tables
+    are rolled up from those sums, so ``df`` is read for the sums and for the
+    output only.  The sums are checkpointed: they feed three joins."""
     from contrail.operators.joins import attach_group_stats
-    o = group_delay_stats(df, [origin], target, "origin", threshold)
-    a = group_delay_stats(df, [carrier], target, "carrier", threshold, with_std=False)
-    r = route_stats(df, origin, dest, target).drop("route_flights")
+    x = F.col(target).cast("double")
+    sums = cut_lineage(df.groupBy(origin, carrier, dest).agg(
+        F.count(x).alias("_n"), F.sum(x).alias("_s"), F.sum(x * x).alias("_ss"),
+        F.sum(delay_flag(target, threshold)).alias("_late"), F.count(F.lit(1)).alias("_rows")))
+    n, s, ss = F.sum("_n"), F.sum("_s"), F.sum("_ss")
+    mean = F.try_divide(s, n)
+    std = F.when(n > 1, F.sqrt(F.greatest((ss - s * s / n) / (n - 1), F.lit(0.0))))
+    rate = F.sum("_late") / F.sum("_rows")
+    o = sums.groupBy(origin).agg(mean.alias("origin_avg_delay"), std.alias("origin_std_delay"), rate.alias("origin_delay_rate"))
+    a = sums.groupBy(carrier).agg(mean.alias("carrier_avg_delay"), rate.alias("carrier_delay_rate"))
+    r = sums.withColumn("route", route_key(origin, dest)).groupBy("route").agg(mean.alias("route_avg_delay"))
     out = attach_group_stats(df, o, [origin])
     out = attach_group_stats(out, a, [carrier])
     out = out.withColumn("route", route_key(origin, dest))
@@ -86,9 +95,8 @@ def leakage_safe_stats(df: DataFrame, key: str, date: str, target: str,
 def relative_frequency(df: DataFrame, col: str, name: str = "share") -> DataFrame:
     """Value -> share of non-null rows (``value_counts(normalize=True)``).
 
-    The denominator is one driver scalar, so no global window funnels the
-    (possibly many) categories through one task."""
-    kept = df.where(F.col(col).isNotNull())
-    total = kept.count()
-    counts = kept.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(col, "n", (F.col("n") / F.lit(float(max(total, 1)))).alias(name))
+    ``df`` is read once; the denominator is a scalar summed from the counts, so
+    no global window funnels the (possibly many) categories through one task."""
+    counts = cut_lineage(df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n")))
+    total = counts.agg(F.sum("n")).first()[0] or 1
+    return counts.select(col, "n", (F.col("n") / F.lit(float(total))).alias(name))

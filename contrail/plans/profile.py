@@ -8,7 +8,8 @@ from contrail.operators import contracts, explore, grouping, joins, quality
 from contrail.operators.ordered import split_by_position
 from contrail.plans.catalog import query
 from contrail.plans.shipments import (SHIPMENTS_SQL, calendar_years, daily_feed_long, locations,
-                                      LOCATIONS_SQL, shipments, shipments_materialized, with_ctes)
+                                      LOCATIONS_SQL, shipments, with_ctes)
+from contrail.session import cut_lineage
 from contrail.sources.calendar import holiday_calendar
 
 
@@ -303,7 +304,7 @@ WHERE holiday_name IS NOT NULL""", shipments=SHIPMENTS_SQL)
 @query("holiday_calendar", HOLIDAYS_SQL.replace("1 AS is_holiday", "CAST(1 AS INT) AS is_holiday"))
 def q_holiday_calendar(t):
     """A10: federal holiday calendar for every year present in the fact."""
-    return holiday_calendar(shipments(t).select("year"))
+    return holiday_calendar(calendar_years(t))
 
 
 @query("shipments_holidays", with_ctes(f"""
@@ -329,8 +330,7 @@ FROM j, m""")
 def weather_fill(t):
     """Fact LEFT JOIN daily feed, nulls filled with the median over the
     joined rows (before any target drop)."""
-    s = shipments_materialized(t).select("order_key", "line_number", "ship_date", "carrier", "origin", "dest",
-                                         "delay")
+    s = cut_lineage(shipments(t).select("order_key", "line_number", "ship_date", "carrier", "origin", "dest", "delay"))
     return joins.join_daily_and_fill(s, daily_feed_wide(t), "ship_date", "date", FEED_COLS)
 
 
