@@ -11,8 +11,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from contrail.operators import metrics
 from contrail.plans.catalog import query
-from contrail.plans.monitoring import FEATURES, FEEDBACK_SQL, HALVES_SQL, _edges_sql, event_features, label_log, prediction_log, r6, stored_baseline
+from contrail.plans.monitoring import BASELINE_MAE, BASELINE_R2, FEATURES, FEEDBACK_SQL, HALVES_SQL, _edges_sql, event_features, label_log, prediction_log, r6, stored_baseline
 from contrail.session import ensure_checkpoint_dir
 from contrail.streaming import alerts as A
 from contrail.streaming import feedback as L
@@ -229,3 +230,17 @@ def held_alerts(t):
         got = A.held_alerts(rows, HELD[name], metric)
         out = got if out is None else out.unionByName(got)
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("episode_start", "fires_at")})
+
+
+SHORT_GAP = 6 * 3600   # short sessions give enough labelled rows for the accuracy rules
+
+
+@query("accuracy_check_sessions", _ACCURACY_SQL.replace(f"> {FEEDBACK_GAP * 1_000_000} THEN", f"> {SHORT_GAP * 1_000_000} THEN").replace(f"INTERVAL {FEEDBACK_GAP} SECOND", f"INTERVAL {SHORT_GAP} SECOND") + f"""
+, a AS (SELECT CAST(count(*) AS BIGINT) AS n, 1 - sum((actual - prediction) * (actual - prediction)) / (var_pop(actual) * count(*)) AS r2, avg(abs(actual - prediction)) AS mae
+  FROM lab WHERE prediction IS NOT NULL AND actual IS NOT NULL)
+SELECT n, ROUND(r2, 6) AS r2_score, ROUND(mae, 6) AS mae, CAST({BASELINE_R2} AS DOUBLE) AS baseline_r2, CAST({BASELINE_MAE} AS DOUBLE) AS baseline_mae,
+  n >= 100 AND r2 < {BASELINE_R2} - 0.05 AS accuracy_drop, n >= 100 AND mae > {BASELINE_MAE} * 1.2 AS retrain_on_mae FROM a""")
+def accuracy_check_sessions(t):
+    """G9 + G10 over the labelled sessions of the feedback log, of which there are more than the 100 the rules ask for."""
+    sessions = L.feedback_sessions(feedback_log(t), SHORT_GAP)
+    return metrics.accuracy_check(sessions, "actual_delay", "prediction", BASELINE_R2, BASELINE_MAE)
