@@ -150,7 +150,9 @@ def label_coverage(feedback: DataFrame, label: str = "actual_delay") -> DataFram
                     F.round(F.col("labeled") * 100.0 / F.greatest(F.col("total"), F.lit(1)), 1))
 
 
-def flag_shares(df: DataFrame, flags: dict) -> DataFrame:
-    """Percentage of rows where each 0/1 flag column (or expression) is 1."""
-    return df.agg(*[F.round(F.avg(F.col(v) if isinstance(v, str) else v) * 100.0, 4).alias(k)
+def flag_shares(df: DataFrame, flags: dict, distinct: dict | None = None) -> DataFrame:
+    """Percentage of rows where each 0/1 flag column (or expression) is 1, and the
+    number of distinct non-null values of the columns in ``distinct`` (name -> column)."""
+    unique = [F.count_distinct(F.col(c)).alias(k) for k, c in (distinct or {}).items()]
+    return df.agg(*unique, *[F.round(F.avg(F.col(v) if isinstance(v, str) else v) * 100.0, 4).alias(k)
                     for k, v in flags.items()])

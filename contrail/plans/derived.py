@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from contrail.functions import features as fx
-from contrail.operators import contracts, joins, quality
+from contrail.operators import contracts, explore, joins, quality
 from contrail.operators.feature_set import Roles, Thresholds, engineer
 from contrail.plans.catalog import query
 from contrail.plans.profile import (CRITICAL, DAILY_WIDE_SQL, HOLIDAYS_SQL, PRESENCE_SQL, RANGE_BOUNDS,
@@ -64,6 +64,18 @@ def engineered_features(t):
     return engineer(s, SHIP_ROLES, SHIP_THRESHOLDS).select(*FEATURE_OUT)
 
 
+@query("extreme_weather_shares", f"""
+SELECT count(DISTINCT ROUTE) AS unique_routes, ROUND(avg(EXTREME_COLD) * 100.0, 4) AS extreme_cold_pct, ROUND(avg(EXTREME_HOT) * 100.0, 4) AS extreme_hot_pct,
+  ROUND(avg(HEAVY_RAIN) * 100.0, 4) AS heavy_rain_pct, ROUND(avg(HIGH_WIND) * 100.0, 4) AS high_wind_pct,
+  ROUND(avg(CASE WHEN EXTREME_COLD + EXTREME_HOT + HEAVY_RAIN + HIGH_WIND > 0 THEN 1 ELSE 0 END) * 100.0, 4) AS any_extreme_pct
+FROM ({ENGINEERED_SQL})""")
+def extreme_weather_shares(t):
+    """Shares of the extreme-weather flags, of rows with any of them, and the number of routes."""
+    flags = {"extreme_cold_pct": "EXTREME_COLD", "extreme_hot_pct": "EXTREME_HOT", "heavy_rain_pct": "HEAVY_RAIN", "high_wind_pct": "HIGH_WIND"}
+    any_of = F.when(sum((F.col(c) for c in flags.values()), F.lit(0)) > 0, 1).otherwise(0)
+    return explore.flag_shares(engineered_features(t), flags | {"any_extreme_pct": any_of}, {"unique_routes": "ROUTE"})
+
+
 @query("event_time_features", """
 SELECT event_id,
        CAST(hour(ts) * 100 + minute(ts) AS INT) AS hhmm,
