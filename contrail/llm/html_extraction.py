@@ -10,7 +10,11 @@ Training needs no labels from outside: at most ``max_pages`` pages (smallest
 hashes of their ids) of at most ``max_train_chars`` characters, which bounds
 what the driver collects, give texts and, where they mark up their article, blocks
 with weak labels; layouts composed from those texts by ``layout`` add
-sequences whose labels are known by construction.
+sequences whose labels are known by construction.  The ids are chosen first and
+only their pages fetched; equal rows count once.
+
+An open element knows the element above it and the path entries of both, so a
+tag costs the same however deep it lies.
 
 Defined results: null, empty and markup-only pages give an empty text.  Text
 outside any tag is a block.  Unclosed tags, comments and quotes reach to the
@@ -24,6 +28,7 @@ import html
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,6 +45,9 @@ BLOCKS = frozenset("""address article aside blockquote body center dd details di
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*+)(?:>|\Z)|<[!?][^>]*+(?:>|\Z)""", re.DOTALL)
 _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.IGNORECASE)
 _WORDS = re.compile(r"[a-z]+")
+_SKIP_ENDS = {t: re.compile(rf"</{t}\b[^>]*+(?:>|\Z)", re.IGNORECASE) for t in SKIPPED}
+# Elements that mark out main text or its surroundings.
+LANDMARKS = frozenset("article main nav aside footer form".split())
 _UPPER, _DIGIT = re.compile(r"[A-Z]"), re.compile(r"[0-9]")
 PATHS, WORDS, MEASURES = 256, 64, 10
 WIDTH = PATHS + WORDS + MEASURES
@@ -52,47 +60,74 @@ class Block:
     path: tuple[int, ...]   # hashed entries of the elements above
     depth: int
     linked: int             # characters inside links
-    tags: frozenset
+    tags: frozenset         # landmarks above
+
+
+class _Open:
+    """An open element: its tag, what is above it, and all entries and landmarks on the way, entries as bits."""
+
+    __slots__ = ("tag", "above", "bits", "depth", "tags", "_path")
+
+    def __init__(self, tag: str, bits: int, above: _Open | None):
+        self.tag, self.above, self._path = tag, above, None
+        self.bits = bits | (above.bits if above else 0)
+        self.depth = 1 + (above.depth if above else 0)
+        tags = above.tags if above else frozenset()
+        self.tags = tags | {tag} if tag in LANDMARKS else tags
+
+    def path(self) -> tuple[int, ...]:
+        if self._path is None:
+            bits, out = self.bits | 1 << _bucket("^" + self.tag, PATHS), []
+            while bits:
+                low = bits & -bits
+                out.append(low.bit_length() - 1)
+                bits ^= low
+            self._path = tuple(out)
+        return self._path
 
 
 def _bucket(name: str, n: int) -> int:
     return zlib.crc32(name.encode()) % n
 
 
-def _entries(tag: str, attrs: str) -> tuple[int, ...]:
-    out = [_bucket("<" + tag, PATHS)]
+def _entries(tag: str, attrs: str) -> int:
+    bits = 1 << _bucket("<" + tag, PATHS)
     for _, value in _ATTR.findall(attrs) if attrs else ():
-        out += [_bucket("." + w, PATHS) for w in _WORDS.findall(value.lower())]
-    return tuple(out)
+        for w in _WORDS.findall(value.lower()):
+            bits |= 1 << _bucket("." + w, PATHS)
+    return bits
 
 
 def leaf_blocks(page: str) -> list[Block]:
     """Leaf blocks of a page in order, texts with character references decoded and single spaces."""
-    stack: list[tuple[str, tuple[int, ...]]] = []
+    top: _Open | None = None
+    count: Counter = Counter()  # open elements by tag
     out: list[Block] = []
     pieces: list[str] = []
     linked, at, n = 0, 0, len(page)
-    known: dict[tuple[str, str], tuple[int, ...]] = {}
-    paths: dict[tuple, tuple] = {}
+    known: dict[tuple[str, str], int] = {}
+    endless: set[str] = set()   # tags without another end in the page
 
     def close() -> None:
         nonlocal pieces, linked
         raw = "".join(pieces)
         text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
         if text:
-            place = tuple(stack)
-            if place not in paths:
-                entries = {e for _, es in place for e in es} | ({_bucket("^" + place[-1][0], PATHS)} if place else set())
-                paths[place] = tuple(entries), frozenset(t for t, _ in place)
-            out.append(Block(text, paths[place][0], len(place), linked, paths[place][1]))
+            out.append(Block(text, top.path(), top.depth, linked, top.tags) if top else Block(text, (), 0, linked, frozenset()))
         pieces, linked = [], 0
 
+    def pop() -> str:
+        nonlocal top
+        tag, top = top.tag, top.above
+        count[tag] -= 1
+        return tag
+
     while at < n:
         m = _TAG.search(page, at)
         end = m.start() if m else n
         if end > at:
             pieces.append(page[at:end])
-            if any(t == "a" for t, _ in stack):
+            if count["a"]:
                 linked += end - at
         if not m:
             break
@@ -101,34 +136,38 @@ def leaf_blocks(page: str) -> list[Block]:
         if not tag:
             continue
         if m[1] or m[4]:
-            if any(t == tag for t, _ in stack):
+            if count[tag]:
                 if tag in BLOCKS:
                     close()
-                while stack[-1][0] != tag:
-                    stack.pop()
-                stack.pop()
+                while pop() != tag:
+                    pass
             continue
         attrs = m[3] or m[6] or ""
         if tag in SKIPPED and not attrs.rstrip().endswith("/"):
             if tag in BLOCKS:
                 close()
-            done = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(page, at)
-            at = done.end() if done else (n if tag in ("script", "style") else at)
+            done = None if tag in endless else _SKIP_ENDS[tag].search(page, at)
+            if done:
+                at = done.end()
+            else:
+                endless.add(tag)
+                at = n if tag in ("script", "style") else at
             continue
         if tag in BLOCKS:
             close()
-            if any(t == "p" for t, _ in stack):  # a block ends an open paragraph
-                while stack.pop()[0] != "p":
+            if count["p"]:  # a block ends an open paragraph
+                while pop() != "p":
                     pass
-            if tag in ("li", "tr", "td", "th", "dt", "dd") and stack and stack[-1][0] == tag:
-                stack.pop()
+            if tag in ("li", "tr", "td", "th", "dt", "dd") and top and top.tag == tag:
+                pop()
         elif tag == "br":
             pieces.append(" ")
         if tag not in VOID:
             key = (tag, attrs)
             if key not in known:
                 known[key] = _entries(tag, attrs)
-            stack.append((tag, known[key]))
+            top = _Open(tag, known[key], top)
+            count[tag] += 1
     close()
     return out
 
@@ -370,11 +409,22 @@ def fit_labeller(pages: list[str], layouts: int = 1200, seed: int = 11, epochs:
     return model
 
 
+def training_pages(pages: DataFrame, max_pages: int, max_train_chars: int) -> list[str]:
+    """The pages to learn from: at most ``max_pages`` distinct rows of at most ``max_train_chars`` characters, by the hash of their ids.
+
+    Tasks rank keys of two longs; then each sends those of the chosen pages that it has.
+    """
+    some = pages.where(F.length("html") <= max_train_chars).select(F.xxhash64("page_id").alias("k"), F.xxhash64("page_id", "html").alias("t"), "html")
+    keys = some.select("k", "t").distinct().orderBy("k", "t").limit(max_pages).collect()
+    chosen = pages.sparkSession.createDataFrame(keys, "k long, t long")  # max_pages rows at most
+    found = some.join(F.broadcast(chosen), ["k", "t"], "left_semi").groupBy("k", "t").agg(F.first("html").alias("html")).collect()
+    return [r["html"] for r in sorted(found, key=lambda r: (r["k"], r["t"]))]
+
+
 def extract_text(pages: DataFrame, max_pages: int = 200, max_train_chars: int = 20_000, **settings) -> DataFrame:
     """All columns of pages (page_id, html, ...) but ``html``, with ``text`` and ``n_chars``."""
     spark = pages.sparkSession
-    sample = pages.where(F.length("html") <= max_train_chars).select("page_id", "html").orderBy(F.xxhash64("page_id"), "page_id", "html").limit(max_pages)
-    model = spark.sparkContext.broadcast(fit_labeller([r["html"] for r in sample.collect()], **settings))
+    model = spark.sparkContext.broadcast(fit_labeller(training_pages(pages, max_pages, max_train_chars), **settings))
     others = [c for c in pages.columns if c != "html"]
     rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("rest"), "html")
     rest = rows.schema["rest"].dataType

@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 
@@ -97,3 +99,33 @@ def test_every_word_is_read():
     assert b[H.PATHS + H.WORDS + 5] > a[H.PATHS + H.WORDS + 5] and b[H.PATHS + H.WORDS + 6] > a[H.PATHS + H.WORDS + 6] == 0
     again = H.vectors(H.leaf_blocks(f"<div>{'word ' * 5000}</div>"))[0]
     assert again[words].sum() == pytest.approx(3, rel=1e-4)
+
+
+@pytest.mark.parametrize("piece", ["<div><b>x y", "<a href='#'><span class='c d'>x ", "<iframe>x ", "</div>x <p>", "<x-a><section>x"])
+def test_work_grows_with_the_page(piece):
+    """Unclosed and stray tags, however deep, cost the same each."""
+    def seconds(n):
+        page, best = piece * n, 1e9
+        for _ in range(3):
+            at = time.process_time()
+            blocks = H.leaf_blocks(page)
+            best = min(best, time.process_time() - at)
+        assert sum(len(b.text.replace(" ", "")) for b in blocks) >= n
+        return best
+    assert seconds(32_000) < 16 * max(seconds(4_000), 0.005)
+
+
+def test_unclosed_elements_keep_their_paths():
+    deep = H.leaf_blocks("<article><div class='entry'>" + "<b>" * 3_000 + "x<p>y</p></article><nav>z")
+    assert [(b.text, b.tags) for b in deep] == [("x", {"article"}), ("y", {"article"}), ("z", {"nav"})]
+    assert deep[0].depth == 3_002 and set(deep[0].path) >= {H._bucket(e, H.PATHS) for e in ("<article", "<div", ".entry", "<b", "^b")}
+    assert deep[2].path == tuple(sorted({H._bucket("<nav", H.PATHS), H._bucket("^nav", H.PATHS)}))
+
+
+def test_training_pages(spark):
+    rows = [(i % 50, f"<p>{i % 50}</p>") for i in range(500)] + [(None, "<p>none</p>"), (60, None), (61, "x" * 900)]
+    pages = spark.createDataFrame(rows, "page_id long, html string").repartition(5)
+    all_of_them = H.training_pages(pages, 100, 800)
+    assert sorted(all_of_them) == sorted({h for _, h in rows if h and len(h) <= 800})
+    assert H.training_pages(pages.repartition(3), 10, 800) == all_of_them[:10]
+    assert H.training_pages(pages.limit(0), 10, 800) == []
