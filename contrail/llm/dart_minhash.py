@@ -172,8 +172,8 @@ def _signature_partition(size: int, bands: int, band_rows: int):
                 keys = mix((keys + np.arange(bands, dtype=U64) * _STEP).reshape(-1)).astype(np.int64)
                 t1, t2 = text_keys(w)
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(0, len(keys) + 1, bands), pa.int32()), pa.array(keys))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(t1), pa.array(t2), pa.array(np.diff(w.first), pa.int64()), flat],
-                                                 ["doc_id", "t1", "t2", "n_words", "buckets"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_key"), pa.array(t1), pa.array(t2), pa.array(np.diff(w.first), pa.int64()), flat],
+                                                 ["doc_id", "text_key", "t1", "t2", "n_words", "buckets"])
 
     return run
 
@@ -215,11 +215,18 @@ def smallest_labels(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicate_classes(docs: DataFrame, similarity: float = 0.8, size: int = 5, bands: int = 32, band_rows: int = 4) -> DataFrame:
+def near_duplicate_classes(docs: DataFrame, **settings) -> DataFrame:
     """``doc_id, class_id, n_spanning_links`` for every row: the smallest id of its class and
     the verified links of its text among those that span the class, not all its near copies."""
+    return classes_by_text(docs, **settings).drop("text_key")
+
+
+def classes_by_text(docs: DataFrame, similarity: float = 0.8, size: int = 5, bands: int = 32, band_rows: int = 4) -> DataFrame:
+    """As ``near_duplicate_classes``, with ``text_key``, the ``xxhash64`` of the row's text, which
+    tells the texts of an id apart."""
     texts = docs.select("doc_id", "text")
-    sig = cut_lineage(texts.mapInArrow(_signature_partition(size, bands, band_rows), "doc_id long, t1 long, t2 long, n_words long, buckets array<long>"))
+    hashed = texts.select("*", F.xxhash64("text").alias("text_key"))
+    sig = cut_lineage(hashed.mapInArrow(_signature_partition(size, bands, band_rows), "doc_id long, text_key long, t1 long, t2 long, n_words long, buckets array<long>"))
     worded = sig.where("n_words > 0 and doc_id is not null")
     distinct = cut_lineage(worded.groupBy("t1", "t2").agg(F.min("doc_id").alias("doc"), F.first("buckets").alias("buckets")))
     placed = distinct.select("doc", F.explode("buckets").alias("bucket"))
@@ -250,8 +257,8 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = 0.8, size: int =
     ends = links.select(F.explode(F.array("a", "b")).alias("doc")).groupBy("doc").agg(F.count("*").alias("n_spanning_links"))
     classes = distinct.select("t1", "t2", "doc").join(labels.join(ends, "doc", "left"), "doc", "left")
     classes = cut_lineage(classes.select("t1", "t2", F.coalesce("label", "doc").alias("class_id"), F.coalesce("n_spanning_links", F.lit(0)).alias("n_spanning_links")))
-    lonely = sig.where("n_words = 0 or doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_spanning_links"))
-    return worded.select("doc_id", "t1", "t2").join(classes, ["t1", "t2"]).select("doc_id", "class_id", "n_spanning_links").unionByName(lonely)
+    lonely = sig.where("n_words = 0 or doc_id is null").select("doc_id", "text_key", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_spanning_links"))
+    return worded.select("doc_id", "text_key", "t1", "t2").join(classes, ["t1", "t2"]).select("doc_id", "text_key", "class_id", "n_spanning_links").unionByName(lonely)
 
 
 def _sizes(docs: DataFrame, sets: DataFrame) -> DataFrame:

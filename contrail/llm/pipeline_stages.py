@@ -1,7 +1,7 @@
 """Stages of the corpus pipeline over tables shaped like ``documents``.
 
-All stages but the last return the columns of their input.  Rows that repeat
-an id stay or go together.
+All stages but the last return the columns of their input.  Rows that agree in
+id and text stay or go together.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm.dart_minhash import near_duplicate_classes
+from contrail.llm.dart_minhash import classes_by_text
 from contrail.llm.decontamination import drop_leaks
 from contrail.llm.mixture import mix_sources
 from contrail.llm.quality_rules import judge
@@ -33,9 +33,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each class."""
-    classes = near_duplicate_classes(docs)
-    return _without(docs, classes.where("doc_id <> class_id"), doc_id=F.col("doc_id"))
+    """Keep the document with the smallest id of each class; of an id with several texts only those that are copies go."""
+    classes = classes_by_text(docs).where("doc_id <> class_id")
+    return _without(docs, classes, doc_id=F.col("doc_id"), text_key=F.xxhash64("text"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -74,3 +74,11 @@ def test_every_stage_takes_any_table(spark, hard_docs, no_docs, rows):
         assert out.count() <= docs.count(), name
         if name == "near_duplicates" and rows == "hard":
             assert sorted(r["doc_id"] for r in out.collect() if r["doc_id"] in (1, 2, 3)) == [1]
+
+
+def test_near_duplicates_spares_other_texts_of_an_id(spark):
+    """Of an id with two texts only the copy goes; a third text under a null id stays."""
+    t, u, v = (" ".join(f"{c}{i}" for i in range(40)) for c in "tuv")
+    docs = spark.createDataFrame([(1, t), (2, t), (2, u), (None, v), (3, v)], "doc_id long, text string")
+    out = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SF)
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted([(1, t), (2, u), (None, v), (3, v)], key=repr)
