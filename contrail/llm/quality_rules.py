@@ -5,14 +5,18 @@ words) are turned into rates shrunk towards a typical value, so a short text
 is not extreme by chance, then into logarithms and square roots.  For every
 (language, source) the minimum-covariance-determinant estimate of centre and
 covariance is found by concentration steps: keep the share ``h`` of documents
-with the smallest Mahalanobis distances, re-estimate, repeat.  A document is
-rejected if a base rule fails or if its distance to its group's estimate is
-over ``cutoff``.  Only DataFrame functions are used.
-
-Groups with fewer than ``min_rows`` documents take the estimate of their
-language, languages with fewer that of the whole table.  A floor under every
-variance (``FLOORS``) keeps groups of clean documents, whose rates hardly
-vary, from rejecting a text for one symbol or one repeated line.
+with the smallest Mahalanobis distances, re-estimate, repeat until no group's
+determinant moves.  A document is rejected if a base rule fails or if its
+distance to its group's estimate is over ``cutoff(tail)``, which a normal
+vector exceeds with the probability ``tail``: by default less than one clean
+document in 10^11.  Only DataFrame functions are used.
+
+Every (language, source) has an estimate of its own.  The documents kept of
+its language weigh in it like ``prior`` documents, and those of the whole table
+like ``prior`` documents in the language's: with few documents it is close to
+its language's, with many nearly its own, without a switch between.  A floor
+under every variance (``FLOORS``) keeps groups of clean documents, whose rates
+hardly vary, from rejecting a text for one symbol or one repeated line.
 
 Defined results: a null or empty text has no words and fails the base rules.
 Null languages and sources are groups of their own.  Rows with equal values
@@ -21,8 +25,9 @@ get equal verdicts.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from contrail.llm.mixture import SYMBOLS
@@ -80,13 +85,35 @@ def vector() -> list[Column]:
             F.sqrt(F.col("n_repeat_words") / words).alias("x4")]
 
 
-def _estimates(rows: DataFrame) -> DataFrame:
-    """Centre and lower Cholesky factor of the floored covariance of each group."""
-    pairs = [(i, j) for i in range(4) for j in range(i + 1)]
+PAIRS = [(i, j) for i in range(4) for j in range(i + 1)]
+MOMENTS = [f"m{i}" for i in range(4)] + [f"s{i}{j}" for i, j in PAIRS]
+
+
+def cutoff(tail: float) -> float:
+    """The squared distance that a 4-variate normal vector exceeds with the probability ``tail``."""
+    low, high = 0.0, 2000.0
+    for _ in range(100):
+        x = (low + high) / 2
+        low, high = (x, high) if math.exp(-x / 2) * (1 + x / 2) > tail else (low, x)
+    return high
+
+
+def _estimates(rows: DataFrame, groups: DataFrame, prior: float) -> DataFrame:
+    """Centre, lower Cholesky factor of the floored covariance and log determinant of each of ``groups`` (g, l).
+
+    ``rows`` are the documents kept.  Their moments are mixed by numbers of
+    documents: a group's with its language's, a language's with the table's.
+    """
     x = [F.col(c) for c in VECTOR]
-    moments = rows.groupBy("g").agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(x)],
-                                    *[F.avg(x[i] * x[j]).alias(f"s{i}{j}") for i, j in pairs])
-    for i, j in pairs:
+    sums = [F.sum(c).alias(f"m{i}") for i, c in enumerate(x)] + [F.sum(x[i] * x[j]).alias(f"s{i}{j}") for i, j in PAIRS]
+    own = cut_lineage(rows.groupBy("g").agg(F.count("*").alias("n"), *sums))
+    own = groups.join(own, "g", "left").fillna(0, ["n", *MOMENTS])
+    langs = own.groupBy("l").agg(*[F.sum(c).alias(c) for c in ("n", *MOMENTS)])
+    every = langs.agg(*[(F.sum(c) / F.nullif(F.sum("n"), F.lit(0))).alias(c) for c in MOMENTS]).first()
+    langs = langs.select("l", *[((F.col(c) + prior * F.lit(every[c]).cast("double")) / (F.col("n") + prior)).alias(f"{c}_l") for c in MOMENTS])
+    moments = own.join(langs, "l").select(
+        "g", *[((F.col(c) + prior * F.col(f"{c}_l")) / (F.col("n") + prior)).alias(c) for c in MOMENTS])
+    for i, j in PAIRS:
         cov = CONSISTENCY * (F.col(f"s{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}"))
         done = sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
         if i == j:
@@ -94,7 +121,8 @@ def _estimates(rows: DataFrame) -> DataFrame:
         else:
             new = (cov - done) / F.col(f"l{j}{j}")
         moments = moments.withColumn(f"l{i}{j}", new)
-    return moments.select("g", *[f"m{i}" for i in range(4)], *[f"l{i}{j}" for i, j in pairs])
+    det = sum((2 * F.log(f"l{i}{i}") for i in range(4)), F.lit(0.0))
+    return moments.select("g", *[f"m{i}" for i in range(4)], *[f"l{i}{j}" for i, j in PAIRS], det.alias("det"))
 
 
 def _with_distance(rows: DataFrame, est: DataFrame) -> DataFrame:
@@ -103,7 +131,7 @@ def _with_distance(rows: DataFrame, est: DataFrame) -> DataFrame:
     The few estimates are repeated per salt, so a group with a third of all
     rows meets them in many tasks.
     """
-    salted = est.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = est.drop("det").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     joined = rows.join(salted, ["g", "salt"])
     z: list[Column] = []
     for i, c in enumerate(VECTOR):
@@ -112,49 +140,39 @@ def _with_distance(rows: DataFrame, est: DataFrame) -> DataFrame:
     return joined.withColumn("distance", sum((v * v for v in z), F.lit(0.0))).select(*rows.columns, "distance")
 
 
-def _group_keys(stats: DataFrame, min_rows: int) -> DataFrame:
-    """Adds ``g``: the finest of (language, source), language, everything with ``min_rows`` rows."""
+def _group_keys(stats: DataFrame) -> DataFrame:
+    """Adds ``g``, the (language, source) of a row, ``l``, its language, and a salt."""
     name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("-"))
-    counts = stats.groupBy(name("lang").alias("l"), name("source").alias("s")).count()
-    counts = counts.withColumn("of_lang", F.sum("count").over(W.partitionBy("l")))
-    counts = counts.select("l", "s", F.when(F.col("count") >= min_rows, F.concat_ws("\n", "l", "s"))
-                           .when(F.col("of_lang") >= min_rows, F.concat_ws("\n", "l", F.lit("any"))).otherwise(F.lit("any")).alias("g"))
-    salted = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = stats.withColumn("salt", F.pmod(F.xxhash64(*STATS, "doc_id"), F.lit(SALTS)).cast("int")).withColumn("l", name("lang")).withColumn("s", name("source"))
-    return rows.join(salted, ["l", "s", "salt"]).drop("l", "s")
+    salt = F.pmod(F.xxhash64(*STATS, "doc_id"), F.lit(SALTS)).cast("int")
+    return stats.select("*", F.concat_ws("\n", F.length(name("lang")), name("lang"), name("source")).alias("g"), name("lang").alias("l"), salt.alias("salt"))
 
 
-def judge(docs: DataFrame, h: float = 0.75, steps: int = 3, min_rows: int = 100, cutoff: float = 60.0) -> DataFrame:
+def judge(docs: DataFrame, h: float = 0.75, tail: float = 1e-11, prior: float = 100.0, still: float = 0.02, max_steps: int = 12) -> DataFrame:
     """Statistics, ``base_failed``, ``distance`` and ``kept`` of every row, its text left out.
 
-    Documents that fail a base rule take no part in the estimates.  Columns
-    besides ``doc_id, text, lang, source`` come back in a struct ``rest``, so
-    none can clash with a name used here.
+    Documents that fail a base rule take no part in the estimates.  The steps
+    end when no group's log determinant moves by more than ``still``, or after
+    ``max_steps``.  Columns besides ``doc_id, text, lang, source`` come back in
+    a struct ``rest``, so none can clash with a name used here.
     """
     named = ("doc_id", "text", "lang", "source")
     others = [F.col(f"`{c}`") for c in docs.columns if c not in named]
     docs = docs.select(*named, *([F.struct(*others).alias("rest")] if others else []))
-    stats = cut_lineage(text_statistics(docs))
-    rows = stats.withColumn("base_failed", base_failed()).select("*", *vector())
-    rows = cut_lineage(_group_keys(rows, min_rows))
-    sound = rows.where(~F.col("base_failed"))
+    rows = text_statistics(docs).withColumn("base_failed", base_failed()).select("*", *vector())
+    rows = cut_lineage(_group_keys(rows))
+    groups = cut_lineage(rows.select("g", "l").distinct())
+    sound = rows.where(~F.col("base_failed")).select("g", "salt", *VECTOR)
     # The first subset lies closest to the medians.
     middle = sound.groupBy("g").agg(*[F.percentile_approx(c, 0.5, 1000).alias(f"m{i}") for i, c in enumerate(VECTOR)])
-    start = middle.select("g", *[f"m{i}" for i in range(4)], *[F.lit(FLOORS[i] if i == j else 0.0).alias(f"l{i}{j}") for i in range(4) for j in range(i + 1)])
-    est = start
-    for _ in range(steps):
-        est = cut_lineage(est)
+    est = cut_lineage(middle.select("*", *[F.lit(FLOORS[i] if i == j else 0.0).alias(f"l{i}{j}") for i, j in PAIRS], F.lit(None).cast("double").alias("det")))
+    for _ in range(max_steps):
         near = _with_distance(sound, est)
         limits = cut_lineage(near.groupBy("g").agg(F.percentile_approx("distance", h, 1000).alias("limit")))
         salted = limits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        est = _estimates(near.join(salted, ["g", "salt"]).where("distance <= limit"))
-    est = cut_lineage(est)
-    judged = _with_distance(rows, _every_group(rows, est))
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("distance") <= cutoff)).drop("g", "salt", *VECTOR)
-
-
-def _every_group(rows: DataFrame, est: DataFrame) -> DataFrame:
-    """Groups without a sound document get a standard estimate; their rows fail the base rules anyway."""
-    plain = [F.lit(0.0).alias(f"m{i}") for i in range(4)] + [F.lit(1.0 if i == j else 0.0).alias(f"l{i}{j}") for i in range(4) for j in range(i + 1)]
-    rest = rows.select("g").distinct().join(est.select("g"), "g", "left_anti").select("g", *plain)
-    return est.unionByName(rest)
+        new = cut_lineage(_estimates(near.join(salted, ["g", "salt"]).where("distance <= limit"), groups, prior))
+        moved = new.join(est.select("g", F.col("det").alias("before")), "g").agg(F.max(F.coalesce(F.abs(F.col("det") - F.col("before")), F.lit(1e9)))).first()[0]
+        est = new
+        if moved is None or moved <= still:
+            break
+    judged = _with_distance(rows, est)
+    return judged.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff(tail), F.lit(False))).drop("g", "l", "salt", *VECTOR)

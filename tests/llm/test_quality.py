@@ -7,7 +7,7 @@ from llm_texts import prose, words
 from pyspark.sql import functions as F
 
 from contrail.llm import quality_classifier as Q
-from contrail.llm.quality_rules import CONSISTENCY, FLOORS, STATS, judge
+from contrail.llm.quality_rules import STATS, cutoff, judge
 
 SF = "/root/testdata/sf0.01"
 
@@ -24,16 +24,29 @@ def statistics(t):
     return n, sum(map(len, w)), sum(c in "#*$%&|<>" for c in t or ""), len(lines) - len(set(lines)), len(covered)
 
 
-def mcd(x, h=0.75, steps=3):
-    """Concentration steps as the operator makes them, on one group, with exact order statistics."""
-    k = lambda v, p: np.sort(v)[max(0, int(np.ceil(p * len(v))) - 1)]
-    m, s = np.array([k(c, 0.5) for c in x.T]), np.diag(np.square(FLOORS))
-    for _ in range(steps):
-        d = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m)
-        near = x[d <= k(d, h)]
-        m = near.mean(0)
-        s = CONSISTENCY * np.cov(near.T, bias=True) + np.diag(np.square(FLOORS))
-    return np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m)
+def mcd(groups, h=0.75, prior=100):
+    """Squared distances of the rows of each (lang, source), with exact order statistics and many steps."""
+    floor = np.diag(np.square([0.06, 0.12, 0.12, 0.08]))
+    at = lambda v, p: np.sort(v)[max(0, int(np.ceil(p * len(v))) - 1)]
+    far = lambda x, m, s: np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m)
+    est = {g: (np.array([at(c, 0.5) for c in x.T]), floor) for g, x in groups.items()}
+    for _ in range(40):
+        near = {g: x[far(x, *est[g]) <= at(far(x, *est[g]), h)] for g, x in groups.items()}
+        total = lambda xs: (sum(len(x) for x in xs), sum(x.sum(0) for x in xs), sum(x.T @ x for x in xs))
+        n0, m0, s0 = total(list(near.values()))
+        est = {}
+        for g, x in near.items():
+            n, m, s = total([y for k, y in near.items() if k[0] == g[0]])
+            m, s = (m + prior * m0 / n0) / (n + prior), (s + prior * s0 / n0) / (n + prior)
+            m, s = (x.sum(0) + prior * m) / (len(x) + prior), (x.T @ x + prior * s) / (len(x) + prior)
+            est[g] = m, 1.49 * (s - np.outer(m, m)) + floor
+    return {g: far(x, *est[g]) for g, x in groups.items()}
+
+
+def vectors(part):
+    s = np.array([[r[c] for c in STATS] for r in part], dtype=float)
+    n = s[:, 0] + 100
+    return np.stack([np.log((s[:, 1] + 500) / n), np.log1p(20 * s[:, 2] / n), np.log1p(20 * s[:, 3] / n), np.sqrt(s[:, 4] / n)], axis=1)
 
 
 def test_statistics_and_rules(hard_docs, hard_rows):
@@ -46,17 +59,35 @@ def test_rejects_outliers_as_brute_force(spark):
     rows = [(i, prose(rng, rng.randint(30, 90)).replace(" ", "### " if i % 25 == 0 else " "), "en", "a") for i in range(300)]
     rows += [(1000 + i, "\n".join([prose(rng, 3)] * 1 + [prose(rng, 60)]), "de", None) for i in range(150)]
     got = {r["doc_id"]: r for r in judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
-    for lo, hi in ((0, 300), (1000, 1150)):
-        part = [got[i] for i in sorted(got) if lo <= i < hi]
-        s = np.array([[r[c] for c in STATS] for r in part], dtype=float)
-        n = s[:, 0] + 100
-        x = np.stack([np.log((s[:, 1] + 500) / n), np.log1p(20 * s[:, 2] / n), np.log1p(20 * s[:, 3] / n), np.sqrt(s[:, 4] / n)], axis=1)
-        sound = np.array([not r["base_failed"] for r in part])
-        assert sound.all()
-        assert np.allclose([r["distance"] for r in part], mcd(x), rtol=0.05, atol=0.05)
+    assert not any(r["base_failed"] for r in got.values())
+    parts = {("en", "a"): [got[i] for i in range(300)], ("de", None): [got[i] for i in range(1000, 1150)]}
+    want = mcd({g: vectors(part) for g, part in parts.items()})
+    for g, part in parts.items():
+        assert np.allclose([r["distance"] for r in part], want[g], rtol=0.05, atol=0.05)
     assert {i for i, r in got.items() if not r["kept"]} == {i for i in range(0, 300, 25)}
 
 
+def test_small_groups_have_estimates_of_their_own(spark):
+    """Each source of eight documents has symbols in most of its texts; a text with as many stands out elsewhere, and more so the more documents are plain."""
+    rng = random.Random(2)
+    symbols = lambda: prose(rng, 60).replace(" ", " # ", 12)
+    rows = [(i, symbols() if i < 8 else prose(rng, 60), "en", "few" if i < 8 else "many") for i in range(400)] + [(900, symbols(), "en", "many")]
+    rows += [(500 + i, prose(rng, 60), "de", None) for i in range(5)]
+    got = {r["doc_id"]: r["distance"] for r in judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert max(got[i] for i in range(8)) < got[900]
+    groups = {("en", "few"): range(8), ("en", "many"): [*range(8, 400), 900], ("de", None): range(500, 505)}
+    stats = {d: (statistics(t)) for d, t, *_ in rows}
+    want = mcd({g: vectors([dict(zip(STATS, stats[d])) for d in ids]) for g, ids in groups.items()})
+    for g, ids in groups.items():
+        assert np.allclose([got[d] for d in ids], want[g], rtol=0.08, atol=0.08)
+
+
+def test_cutoff_is_the_quantile():
+    x = (np.random.default_rng(1).normal(size=(400_000, 4)) ** 2).sum(1)
+    for tail in (0.2, 0.05, 0.01):
+        assert abs((x > cutoff(tail)).mean() - tail) < 0.05 * tail + 5e-4
+
+
 def test_other_columns_come_back_whatever_their_names(hard_docs):
     """Every row of the table with clashing names gets the verdict it gets without them."""
     plain = judge(hard_docs.select("doc_id", "text", "lang", "source"))
