@@ -1,20 +1,3 @@
 """Tables written to the shared checkpoint folder."""
 
-from __future__ import annotations
-
-import uuid
-
-from pyspark.sql import DataFrame
-
-from contrail.session import ensure_checkpoint_dir
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet into the shared folder and reread.
-
-    Unlike a checkpoint the result carries nothing of its plan along, not even
-    the constraints the optimizer derived; in a loop those double each round.
-    """
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from contrail.session import stored  # noqa: F401

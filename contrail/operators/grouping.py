@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.functions.features import DELAY_THRESHOLD, delay_flag, route_key
-from contrail.session import cut_lineage
+from contrail.session import cut_lineage, stored
 
 
 def group_delay_stats(df: DataFrame, keys: Sequence[str], target: str,
@@ -42,25 +42,30 @@ def with_group_stats(df: DataFrame, origin: str, carrier: str, dest: str,
                      target: str, threshold: float = DELAY_THRESHOLD) -> DataFrame:
     """E1-E3 joined back to every row (D7), the reference's three merges.
 
-    The rows are aggregated once, by (origin, carrier, dest); the three tables
-    are rolled up from those sums, so ``df`` is read for the sums and for the
-    output only.  The sums are checkpointed: they feed three joins."""
+    The rows are aggregated by carrier and by (origin, dest), from which the
+    origins and routes are rolled up; a carrier crossed with all its locations
+    would leave nearly as many groups as rows.  The three tables are stored, so
+    their sizes are known when the joins are planned: rows are shuffled only for
+    a table too large to broadcast."""
     from contrail.operators.joins import attach_group_stats
     x = F.col(target).cast("double")
-    sums = cut_lineage(df.groupBy(origin, carrier, dest).agg(
-        F.count(x).alias("_n"), F.sum(x).alias("_s"), F.sum(x * x).alias("_ss"),
-        F.sum(delay_flag(target, threshold)).alias("_late"), F.count(F.lit(1)).alias("_rows")))
+
+    def sums(*keys):
+        return df.groupBy(*keys).agg(F.count(x).alias("_n"), F.sum(x).alias("_s"), F.sum(x * x).alias("_ss"),
+                                     F.sum(delay_flag(target, threshold)).alias("_late"), F.count(F.lit(1)).alias("_rows"))
+
     n, s, ss = F.sum("_n"), F.sum("_s"), F.sum("_ss")
     mean = F.try_divide(s, n)
     std = F.when(n > 1, F.sqrt(F.greatest((ss - s * s / n) / (n - 1), F.lit(0.0))))
     rate = F.sum("_late") / F.sum("_rows")
-    o = sums.groupBy(origin).agg(mean.alias("origin_avg_delay"), std.alias("origin_std_delay"), rate.alias("origin_delay_rate"))
-    a = sums.groupBy(carrier).agg(mean.alias("carrier_avg_delay"), rate.alias("carrier_delay_rate"))
-    r = sums.withColumn("route", route_key(origin, dest)).groupBy("route").agg(mean.alias("route_avg_delay"))
-    out = attach_group_stats(df, o, [origin])
-    out = attach_group_stats(out, a, [carrier])
+    pairs = stored(sums(origin, dest))
+    o = pairs.groupBy(origin).agg(mean.alias("origin_avg_delay"), std.alias("origin_std_delay"), rate.alias("origin_delay_rate"))
+    a = sums(carrier).select(carrier, F.try_divide("_s", "_n").alias("carrier_avg_delay"), (F.col("_late") / F.col("_rows")).alias("carrier_delay_rate"))
+    r = pairs.withColumn("route", route_key(origin, dest)).groupBy("route").agg(mean.alias("route_avg_delay"))
+    out = attach_group_stats(df, stored(o), [origin])
+    out = attach_group_stats(out, stored(a), [carrier])
     out = out.withColumn("route", route_key(origin, dest))
-    return attach_group_stats(out, r, ["route"])
+    return attach_group_stats(out, stored(r), ["route"])
 
 
 def leakage_safe_stats(df: DataFrame, key: str, date: str, target: str,

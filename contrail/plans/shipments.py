@@ -37,15 +37,15 @@ def shipments(t) -> DataFrame:
 
 
 def shipments_materialized(t) -> DataFrame:
-    """The fact written once to the shared checkpoint folder, for plans that
+    """The fact stored once in the shared checkpoint folder, for plans that
     read it in several branches (an aggregate plus the rows it is joined
     back to, a calendar built from its years ...).  Column pruning makes
     every branch's exchanges different, so Spark would otherwise recompute
     the lineitem x orders join -- a full shuffle at scale -- per branch."""
-    from contrail.session import cut_lineage
+    from contrail.session import stored
     if hasattr(t, "derived"):
-        return t.derived("shipments_ckpt", lambda tt: cut_lineage(shipments(tt)))
-    return cut_lineage(shipments(t))
+        return t.derived("shipments_stored", lambda tt: stored(shipments(tt)))
+    return stored(shipments(t))
 
 
 def _build_shipments(t) -> DataFrame:
@@ -53,6 +53,8 @@ def _build_shipments(t) -> DataFrame:
 
     lineitem and orders are both fact-sized: that join shuffles both sides
     on the order key (bucket both tables by it to make it shuffle-free).
+    customer joins orders first: once it is too large to broadcast, orders is
+    shuffled for it and not the wider and longer fact.
     customer and supplier grow with the data, so they carry no broadcast
     hint: Catalyst broadcasts them only when their scan size is under
     ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks with the
@@ -64,8 +66,8 @@ def _build_shipments(t) -> DataFrame:
     o = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = t["customer"].select("c_custkey", "c_nationkey")
     s = t["supplier"].select("s_suppkey", "s_nationkey")
+    o = o.join(c, o.o_custkey == c.c_custkey, "left").select("o_orderkey", "o_orderdate", "o_orderpriority", "c_nationkey")
     fact = (li.join(o, li.l_orderkey == o.o_orderkey, "left")
-            .join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
             .join(s, F.col("l_suppkey") == F.col("s_suppkey"), "left"))
     ship_date = F.to_date("l_shipdate")
     return fact.select(

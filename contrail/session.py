@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,6 +82,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet into the shared checkpoint folder and reread.
+
+    Unlike a checkpoint, which holds whole rows uncompressed, the columns are
+    encoded, a reader takes only those it needs, and the planner knows the size.
+    The result carries nothing of its plan along, not even the constraints the
+    optimizer derived; in a loop those double each round.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, on whatever file system its scheme names."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
