@@ -9,7 +9,7 @@ from contrail.operators.ordered import split_by_position
 from contrail.plans.catalog import query
 from contrail.plans.shipments import (SHIPMENTS_SQL, calendar_years, daily_feed_long, locations,
                                       LOCATIONS_SQL, shipments, with_ctes)
-from contrail.session import cut_lineage
+from contrail.session import stored
 from contrail.sources.calendar import holiday_calendar
 
 
@@ -67,6 +67,11 @@ def daily_feed_wide(t):
     return explore.pivot_daily(daily_feed_long(t), "obs_ts", "datatype", "value", prefix="p_")
 
 
+def daily_feed_stored(t):
+    """The wide feed, one row per date, stored for joins to the fact: its size is known when they are planned."""
+    return t.derived("daily_feed_stored", lambda tt: stored(daily_feed_wide(tt)))
+
+
 DAILY_WIDE_SQL = "SELECT CAST(o_orderdate AS DATE) AS date, " + ", ".join(
     f"avg(o_totalprice) FILTER (WHERE o_orderpriority = '{p}') AS {c}" for p, c in zip(PRIORITIES, FEED_COLS)) + \
     " FROM orders GROUP BY 1"
@@ -90,7 +95,7 @@ def q_event_daily_wide(t):
 
 def shipments_weather(t, fact=None):
     s = (fact if fact is not None else shipments(t)).select("order_key", "line_number", "ship_date", "carrier", "origin", "dest", "delay")
-    w = daily_feed_wide(t).withColumnRenamed("date", "_d")
+    w = daily_feed_stored(t).withColumnRenamed("date", "_d")
     return s.join(w, s.ship_date == w._d, "left").drop("_d")
 
 
@@ -314,7 +319,7 @@ FROM shipments s LEFT JOIN ({HOLIDAYS_SQL}) h ON s.ship_date = h.date""", shipme
 def shipments_holidays(t):
     """Fact LEFT JOIN the holiday calendar on the service date."""
     s = shipments(t)
-    cal = holiday_calendar(calendar_years(t))
+    cal = stored(holiday_calendar(calendar_years(t)))
     return joins.join_holidays(s, cal, date_col="ship_date") \
         .select("order_key", "line_number", "ship_date", "holiday_name", "is_holiday")
 
@@ -330,8 +335,8 @@ FROM j, m""")
 def weather_fill(t):
     """Fact LEFT JOIN daily feed, nulls filled with the median over the
     joined rows (before any target drop)."""
-    s = cut_lineage(shipments(t).select("order_key", "line_number", "ship_date", "carrier", "origin", "dest", "delay"))
-    return joins.join_daily_and_fill(s, daily_feed_wide(t), "ship_date", "date", FEED_COLS)
+    s = stored(shipments(t).select("order_key", "line_number", "ship_date", "carrier", "origin", "dest", "delay"))
+    return joins.join_daily_and_fill(s, daily_feed_stored(t), "ship_date", "date", FEED_COLS)
 
 
 @query("cleaned_shipments", f"""
@@ -461,7 +466,7 @@ FROM shipments s LEFT JOIN ({HOLIDAYS_SQL}) h ON s.ship_date = h.date""", shipme
 def feature_shares(t):
     """Weekend, delayed and holiday shares of the fact in one aggregate."""
     s = shipments(t)
-    j = joins.join_holidays(s, holiday_calendar(calendar_years(t)), date_col="ship_date")
+    j = joins.join_holidays(s, stored(holiday_calendar(calendar_years(t))), date_col="ship_date")
     return explore.flag_shares(j, {"weekend_pct": is_weekend("day_of_week"),
                                    "delayed_pct": delay_flag("delay"),
                                    "holiday_pct": "is_holiday"})

@@ -24,3 +24,8 @@ def test_customer_joins_orders_not_the_fact(spark):
     joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
     depth = {k: next(line.index("Join") for line in joins if k in line) for k in ("o_custkey", "l_orderkey")}
     assert depth["o_custkey"] > depth["l_orderkey"]
+
+
+def test_daily_tables_are_made_before_the_fact_meets_them(spark):
+    plan = executed_plan(E.queries()["engineered_features"](spark, SMOKE))
+    assert "HashAggregate" not in plan
