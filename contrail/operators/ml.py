@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -17,8 +19,8 @@ from pyspark.sql import functions as F
 
 from contrail.functions.features import DELAY_THRESHOLD, delay_flag
 from contrail.operators.imputing import ModeImputer, category_modes  # noqa: F401
-from contrail.operators.metrics import metric_aggs, regression_metrics
-from contrail.session import cut_lineage
+from contrail.operators.metrics import metric_aggs
+from contrail.session import stored
 
 # The reference's gates.
 MIN_TEST_R2 = 0.6
@@ -69,36 +71,40 @@ class FeatureSpec:
     label: str = "label"
 
 
-def preprocessing_stages(spec: FeatureSpec, scale: bool = True):
+def numeric_stages(spec: FeatureSpec, scale: bool = True):
+    """Median imputation, then scaling, of the numeric columns."""
+    num_in = list(spec.numeric)
+    if not num_in:
+        return []
+    imputed = [f"{c}__imp" for c in num_in]
+    stages = [Imputer(inputCols=num_in, outputCols=imputed, strategy="median"),
+              VectorAssembler(inputCols=imputed, outputCol="_num_vec", handleInvalid="keep")]
+    if scale:
+        stages.append(StandardScaler(inputCol="_num_vec", outputCol="_num_scaled", withMean=True, withStd=True))
+    return stages
+
+
+def preprocessing_stages(spec: FeatureSpec, scale: bool = True, numeric: PipelineModel | None = None):
     """H4 - H6: numeric block (median imputation, then scaling) and
     categorical block (nulls take the training mode, then an alphabetical
     index; unknown -> all-zero one-hot), assembled into one sparse
-    ``features`` vector.
+    ``features`` vector.  A fitted ``numeric`` block takes the place of one
+    to fit; the indexes of all columns are learnt in one pass.
 
     The reference imputes numerics with 3-nearest-neighbours; an exact KNN
     needs every incomplete row compared with every donor (a cross product),
     so the large-scale median imputer is used instead."""
-    stages = []
-    num_in = list(spec.numeric)
-    if num_in:
-        imputed = [f"{c}__imp" for c in num_in]
-        stages.append(Imputer(inputCols=num_in, outputCols=imputed, strategy="median"))
-        stages.append(VectorAssembler(inputCols=imputed, outputCol="_num_vec", handleInvalid="keep"))
-        if scale:
-            stages.append(StandardScaler(inputCol="_num_vec", outputCol="_num_scaled", withMean=True, withStd=True))
-    cat_vecs = []
-    if spec.categorical:
-        stages.append(ModeImputer(inputCols=list(spec.categorical), outputCols=[f"{c}__mode" for c in spec.categorical]))
-    for c in spec.categorical:
-        stages.append(StringIndexer(inputCol=f"{c}__mode", outputCol=f"{c}__idx", stringOrderType="alphabetAsc",
-                                    handleInvalid="keep"))
-        cat_vecs.append(f"{c}__ohe")
-    if spec.categorical:
+    stages = list(numeric.stages) if numeric is not None else numeric_stages(spec, scale)
+    cats = list(spec.categorical)
+    cat_vecs = [f"{c}__ohe" for c in cats]
+    if cats:
+        stages.append(ModeImputer(inputCols=cats, outputCols=[f"{c}__mode" for c in cats]))
+        stages.append(StringIndexer(inputCols=[f"{c}__mode" for c in cats], outputCols=[f"{c}__idx" for c in cats],
+                                    stringOrderType="alphabetAsc", handleInvalid="keep"))
         # The indexer puts unknown values at index numLabels, the last slot;
         # dropLast removes exactly that slot, so they encode as all zeros.
-        stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in spec.categorical], outputCols=cat_vecs,
-                                    dropLast=True))
-    parts = (["_num_scaled" if scale else "_num_vec"] if num_in else []) + cat_vecs
+        stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in cats], outputCols=cat_vecs, dropLast=True))
+    parts = (["_num_scaled" if scale else "_num_vec"] if spec.numeric else []) + cat_vecs
     stages.append(VectorAssembler(inputCols=parts, outputCol="features"))
     return stages
 
@@ -129,8 +135,8 @@ def ridge(label: str, n_rows: int, label_std: float, alpha: float = 1.0) -> Line
                             standardization=False, solver="auto", maxIter=1000, tol=1e-12)
 
 
-def fit_pipeline(train: DataFrame, spec: FeatureSpec, estimator) -> PipelineModel:
-    return Pipeline(stages=preprocessing_stages(spec) + [estimator]).fit(train)
+def fit_pipeline(train: DataFrame, spec: FeatureSpec, estimator, numeric: PipelineModel | None = None) -> PipelineModel:
+    return Pipeline(stages=preprocessing_stages(spec, numeric=numeric) + [estimator]).fit(train)
 
 
 def evaluate(model: PipelineModel, df: DataFrame, label: str) -> dict:
@@ -157,22 +163,29 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, spec: FeatureSpec,
     The preprocessing is fitted once on the training rows (it does not
     depend on the regressor) and its output -- the sparse feature vectors
     -- is cached, so boosting / forest iterations read vectors instead of
-    re-running imputation, scaling and one-hot encoding each pass.  Each
+    re-running imputation, scaling and one-hot encoding each pass.  The models
+    are fitted side by side, each from a thread of its own: a boosted tree is
+    some hundred short jobs that would wait for each other.  Each
     returned model is still one whole ``PipelineModel``."""
-    train = cut_lineage(train.select(*spec.numeric, *spec.categorical, spec.label)).cache()
-    test = cut_lineage(test.select(*spec.numeric, *spec.categorical, spec.label))
+    train = stored(train.select(*spec.numeric, *spec.categorical, spec.label))
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    if train.rdd.getNumPartitions() < cores:   # small files are read together
+        train = train.repartition(cores)
+    test = stored(test.select(*spec.numeric, *spec.categorical, spec.label))
     if models is None:
         s = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(spec.label).alias("sd")).first()
         models = model_zoo(spec.label, n_rows=s["n"], label_std=s["sd"])
     prep = Pipeline(stages=preprocessing_stages(spec)).fit(train)
     vectors = prep.transform(train).select("features", spec.label).cache()
-    rows, fitted, trained, best, best_r2 = [], {}, {}, None, None
-    for name, est in models.items():
-        reg = est.fit(vectors)
-        m = PipelineModel(stages=list(prep.stages) + [reg])
-        fitted[name] = m
-        trained[name] = regression_metrics(reg.transform(vectors), spec.label, "prediction").first()
-    tested = evaluate_all({n: PipelineModel(stages=[m.stages[-1]]) for n, m in fitted.items()}, prep.transform(test).select("features", spec.label), spec.label)
+    vectors.count()   # held before several fits ask for it
+    rows, best, best_r2 = [], None, None
+    fit = inheritable_thread_target(train.sparkSession)(lambda est: est.fit(vectors))
+    with ThreadPool(len(models)) as pool:
+        regs = dict(zip(models, pool.map(fit, models.values(), chunksize=1)))
+    fitted = {name: PipelineModel(stages=[*prep.stages, reg]) for name, reg in regs.items()}
+    alone = {name: PipelineModel(stages=[reg]) for name, reg in regs.items()}
+    trained = evaluate_all(alone, vectors, spec.label)
+    tested = evaluate_all(alone, prep.transform(test).select("features", spec.label), spec.label)
     for name in fitted:
         tr, te = trained[name], tested[name]
         rows.append({"model": name, "train_r2": tr["r2_score"], "test_r2": te["r2_score"],
@@ -181,7 +194,6 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, spec: FeatureSpec,
         if te["r2_score"] is not None and (best_r2 is None or te["r2_score"] > best_r2):
             best, best_r2 = name, te["r2_score"]
     vectors.unpersist()
-    train.unpersist()
     for r in rows:
         r["is_best"] = r["model"] == best
         acc = accept(r["train_r2"], r["test_r2"])

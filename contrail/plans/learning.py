@@ -19,7 +19,7 @@ from contrail.operators import feedback, importance, imputing, ml
 from contrail.plans.catalog import query
 from contrail.plans.monitoring import FEEDBACK_SQL, feedback_store
 from contrail.plans.shipments import SHIPMENTS_SQL, shipments, with_ctes
-from contrail.session import cut_lineage, ensure_checkpoint_dir
+from contrail.session import ensure_checkpoint_dir, stored
 
 SPLIT_KEYS = ["order_key", "line_number"]
 SPEC = ml.FeatureSpec(numeric=["distance", "discount", "tax", "sched_time", "elapsed_time"],
@@ -33,12 +33,12 @@ def split(t):
 
 
 def prepared_split(t):
-    """Train / test with the columns the pipelines use, checkpointed to the
-    shared folder and cached: every pipeline stage is a pass over the
-    training rows, and without this each pass would recompute the fact join."""
+    """Train / test with the columns the pipelines use, stored in the shared
+    folder and cached: every pipeline stage is a pass over the training rows, and
+    without this each pass would recompute the fact join."""
     def build(tt):
         cols = SPLIT_KEYS + SPEC.numeric + SPEC.categorical + [SPEC.label]
-        return cut_lineage(shipments(tt).select(*cols, ml.hash_bucket(SPLIT_KEYS).alias("_b")))
+        return stored(shipments(tt).select(*cols, ml.hash_bucket(SPLIT_KEYS).alias("_b")))
     base = t.derived("train_test_base", build)
     cut = int(round(ml.TRAIN_FRACTION * 10000))
     return (base.where(F.col("_b") < cut).drop("_b").cache(),
@@ -161,7 +161,7 @@ LEADERBOARD_SCHEMA = T.StructType([
 @query("model_leaderboard")
 def model_leaderboard(t):
     """The five regressors, train / test metrics, best and gates."""
-    tr, te = split(t)
+    tr, te = prepared_split(t)
     rows, _, _ = ml.train_and_evaluate(tr, te, SPEC)
     return t.spark.createDataFrame([tuple(r[f.name] for f in LEADERBOARD_SCHEMA.fields) for r in rows],
                                    LEADERBOARD_SCHEMA)
@@ -173,8 +173,9 @@ def champion_challenger(t):
     champion (numeric-only linear model) on the same raw test rows."""
     tr, te = prepared_split(t)
     lr = ml.LinearRegression(labelCol=SPEC.label, regParam=0.0, solver="auto")
-    champ = ml.fit_pipeline(tr, ml.FeatureSpec(SPEC.numeric, [], SPEC.label), lr)
-    chall = ml.fit_pipeline(tr, SPEC, ml.LinearRegression(labelCol=SPEC.label, regParam=0.0, solver="auto"))
+    numeric = Pipeline(stages=ml.numeric_stages(SPEC)).fit(tr)   # the same in both models
+    champ = ml.fit_pipeline(tr, ml.FeatureSpec(SPEC.numeric, [], SPEC.label), lr, numeric)
+    chall = ml.fit_pipeline(tr, SPEC, ml.LinearRegression(labelCol=SPEC.label, regParam=0.0, solver="auto"), numeric)
     r2 = {k: m["r2_score"] for k, m in ml.evaluate_all({"challenger": chall, "champion": champ}, te, SPEC.label).items()}
     first = ml.decide(r2["challenger"], None, False)
     vs = ml.decide(r2["challenger"], r2["champion"], True)
