@@ -1,4 +1,5 @@
 import collections
+import pathlib
 import random
 
 import numpy as np
@@ -67,6 +68,26 @@ def test_rejects_outliers_as_brute_force(spark):
     assert {i for i, r in got.items() if not r["kept"]} == {i for i in range(0, 300, 25)}
 
 
+def test_group_tables_are_few_files(spark):
+    """A file is a process on a local file system: shuffle partitions and steps must not multiply them."""
+    rng = random.Random(8)
+    rows = [(i, prose(rng, 30 + i), "en" if i % 3 else "de", "ab"[i % 2]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(2)
+    folder = pathlib.Path(spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:"))
+    parts = lambda: {x for x in folder.rglob("part-*")}
+    old = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    before = parts()
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = judge(docs, max_steps=3).count()
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert got == 60
+    assert 0 < len(parts() - before) <= 2 + 2 + 3 * 3
+
+
 def test_small_groups_have_estimates_of_their_own(spark):
     """Each source of eight documents has symbols in most of its texts; a text with as many stands out elsewhere, and more so the more documents are plain."""
     rng = random.Random(2)
