@@ -12,8 +12,9 @@ stream and any split of it into micro-batches agree.
   time bucket) with map-side combine, so a request with a third of all events
   is spread over its buckets; sessions are then gaps between summaries.
 * ``feedback_changes`` -- stream: each partition summarises its rows the same
-  way, then a keyed state machine (``transformWithState``, list state and
-  event-time timers) merges them.  It emits a row per change and a final row
+  way, ``CHUNK`` at a time, then a keyed state machine (``transformWithState``
+  over rows, as a data frame per request costs more than the merge; list state
+  and event-time timers) merges them.  It emits a row per change and a final row
   when the watermark closes the session; the state is dropped then.
 * ``accuracy_windows`` -- MAE and R2 per window of closing time, chained
   behind either.
@@ -23,10 +24,12 @@ The state machine needs the RocksDB state store (``use_rocksdb``).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -45,7 +48,11 @@ _START, _END, _PU, _LU = (_FIELDS.index(c) for c in ("start_us", "end_us", "p_us
 # Stands for a missing time or sequence number: pandas would turn a long column with nulls into doubles.
 _NONE = -(1 << 62)
 _P_AT, _L_AT = slice(_PU, _PU + 2 + len(_P)), slice(_LU, _LU + 2 + len(_L))
+CHUNK = 100_000   # events that are summarised at once
+MERGED = 1_000    # summaries of a request that are merged at once
+_EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.UTC)
 CHANGES = f"request_id string, {PREDICTION}, timestamp timestamp, seq long, {LABEL}, closed_at timestamp, merged long, final boolean"
+_CHANGE = Row(*[c.split()[0] for c in CHANGES.split(", ")])
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -87,11 +94,20 @@ def feedback_sessions(events: DataFrame, gap_seconds: int) -> DataFrame:
 
 
 def _summarised(gap: int):
-    """Latest rows and time range per (request, bucket) of each Arrow batch."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Latest rows and time range per (request, bucket) of each ``CHUNK`` events."""
+    def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
         for rows in batches:
-            if not len(rows):
-                continue
+            if len(rows):
+                held.append(rows)
+            if sum(map(len, held)) >= CHUNK:
+                yield pd.concat(held, ignore_index=True)
+                held = []
+        if held:
+            yield pd.concat(held, ignore_index=True)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in chunks(batches):
             rows = rows.assign(bucket=rows["us"] // gap).sort_values(["us", "seq"])
             key = ["request_id", "bucket"]
             out = rows.groupby(key, dropna=False).agg(start_us=("us", "min"), end_us=("us", "max"))
@@ -119,9 +135,8 @@ def merge_summaries(rows: list[tuple], gap: int) -> list[tuple]:
     return out
 
 
-def _plain(x):
-    """A pandas cell as a state value."""
-    return None if x is None or x is pd.NA or x != x else x.item() if hasattr(x, "item") else x
+def _timestamp(us: int) -> dt.datetime:
+    return _EPOCH + dt.timedelta(microseconds=us)
 
 
 class FeedbackMachine(StatefulProcessor):
@@ -137,35 +152,31 @@ class FeedbackMachine(StatefulProcessor):
     def _closing_ms(self, row: tuple) -> int:
         return -(-(row[_END] + self.gap) // 1000)
 
-    def _out(self, key, rows: list[tuple], final: bool) -> pd.DataFrame:
-        out = []
+    def _out(self, key, rows: list[tuple], final: bool) -> Iterator[Row]:
         for r in rows:
             if r[_PU] == _NONE:
                 continue  # only labels: the id is unknown
             keep = r[_LU] >= r[_PU]
             label = r[_LU + 2: _LU + 2 + len(_L)] if keep else (None,) * len(_L)
-            out.append((key[0], *r[_PU + 2: _PU + 2 + len(_P)], pd.Timestamp(r[_PU], unit="us"), None if r[_PU + 1] == _NONE else r[_PU + 1], *label, pd.Timestamp(self._closing_ms(r), unit="ms"), r[-1], final))
-        names = [c.split()[0] for c in CHANGES.split(", ")]
-        frame = pd.DataFrame(out, columns=names)
-        return frame.astype({"timestamp": "datetime64[us]", "closed_at": "datetime64[us]", "seq": "Int64"})
+            yield _CHANGE(key[0], *r[_PU + 2: _PU + 2 + len(_P)], _timestamp(r[_PU]), None if r[_PU + 1] == _NONE else r[_PU + 1], *label, _timestamp(self._closing_ms(r) * 1000), r[-1], final)
 
     def handleInputRows(self, key, rows, timerValues):
-        held = [tuple(r) for r in self.sessions.get()] if self.sessions.exists() else []
+        held = [tuple(r) for r in self.sessions.get()]
         before = set(held)
-        for pdf in rows:
-            new = [tuple(_plain(x) for x in r) for r in pdf[_FIELDS].itertuples(index=False, name=None)]
-            held = merge_summaries(held + new, self.gap)
+        new = (tuple(r[c] for c in _FIELDS) for r in rows)
+        while part := list(islice(new, MERGED)):
+            held = merge_summaries(held + part, self.gap)
         self.sessions.put(held)
-        for r in held:
-            self.handle.registerTimer(self._closing_ms(r))
-        yield self._out(key, [r for r in held if r not in before], False)
+        for ms in {self._closing_ms(r) for r in held}:
+            self.handle.registerTimer(ms)
+        yield from self._out(key, [r for r in held if r not in before], False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        held = [tuple(r) for r in self.sessions.get()] if self.sessions.exists() else []
+        held = [tuple(r) for r in self.sessions.get()]
         closed = [r for r in held if self._closing_ms(r) <= expiredTimerInfo.getExpiryTimeInMs()]
         left = [r for r in held if r not in closed]
         self.sessions.put(left) if left else self.sessions.clear()
-        yield self._out(key, closed, True)
+        yield from self._out(key, closed, True)
 
     def close(self) -> None:
         pass
@@ -178,7 +189,7 @@ def feedback_changes(events: DataFrame, gap_seconds: int, watermark: str = "1 ho
     after its session closed finds no prediction and has no effect."""
     gap = gap_seconds * 1_000_000
     rows = events.mapInPandas(_summarised(gap), f"request_id string, ts timestamp, {_SUMMARY}")
-    return rows.withWatermark("ts", watermark).groupBy("request_id").transformWithStateInPandas(
+    return rows.withWatermark("ts", watermark).groupBy("request_id").transformWithState(
         FeedbackMachine(gap), CHANGES, "Append", "EventTime", eventTimeColumnName="closed_at")
 
 

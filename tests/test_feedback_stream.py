@@ -135,3 +135,19 @@ def test_drained_stream_equals_the_feedback_table(spark):
     got = S.latest_feedback(run(spark, [events[:third], events[third:2 * third], events[2 * third:]], 24 * 400))
     rows = lambda d, seq: sorted((str(r.request_id), r.prediction, r.actual_delay, r.user_feedback, r[seq]) for r in d.collect())
     assert repr(rows(got, "seq")) == repr(rows(want, "event_id"))
+
+
+def test_small_batches_are_summarised_together():
+    """A request costs the state machine a summary per bucket, not one per Arrow batch of a task."""
+    import pandas as pd
+    names = [c.split()[0] for c in EVENTS.split(", ")]
+    frames = [pd.DataFrame([pred(r, n, float(n), n) if n % 2 else label(r, n, float(n), n) for r in "abc"], columns=names) for n in range(10)]
+    got = pd.concat(S._summarised(24 * 3_600_000_000)(iter([*frames, frames[0].iloc[:0]])))
+    assert sorted(got["request_id"]) == ["a", "b", "c"]
+    assert (got["start_us"] == us(0)).all() and (got["end_us"] == us(9)).all() and (got["prediction"] == 9.0).all() and (got["actual_delay"] == 8.0).all()
+
+
+def test_state_machine_returns_rows():
+    """A request costs rows, not a data frame that becomes an Arrow batch of its own."""
+    out = list(S.FeedbackMachine(1)._out(("a",), [(0, 5, 0, 1, 1.0, "{}", "v", 5, 2, 2.0, "ok", 2), (0, 5, S._NONE, S._NONE, None, None, None, 5, 2, 2.0, "ok", 1)], True))
+    assert [(r.request_id, r.prediction, r.seq, r.actual_delay, r.merged, r.final) for r in out] == [("a", 1.0, 1, 2.0, 2, True)]
