@@ -148,13 +148,26 @@ def _flushes(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...] = ()) -
     for batch in batches:
         for part in slices(batch, "text", SLICE):
             u, w, r = tokens(part.column("text"))
-            held.append((u, w, r + rows)), more.append([part.column(c) for c in columns])
+            held.append((u, w, (r + rows).astype(np.int32))), more.append([part.column(c) for c in columns])
             size, rows = size + len(u), rows + part.num_rows
             if size >= FLUSH:
-                yield (*(np.concatenate(x) for x in zip(*held)), [pa.concat_arrays(c) for c in zip(*more)])
-                held, more, size, rows = [], [], 0, 0
+                yield _joined(held, more)
+                size, rows = 0, 0
     if rows:
-        yield (*(np.concatenate(x) for x in zip(*held)), [pa.concat_arrays(c) for c in zip(*more)])
+        yield _joined(held, more)
+
+
+def _joined(held: list, more: list) -> tuple:
+    """The parts of a flush in one; they are given up before the flush is worked on."""
+    u, w, r = ([x[i] for x in held] for i in range(3))
+    held.clear()
+    out = []
+    for parts in (u, w, r):
+        out.append(np.concatenate(parts))
+        parts.clear()
+    columns = [pa.concat_arrays(c) for c in zip(*more)]
+    more.clear()
+    return (*out, columns)
 
 
 # --- counting
@@ -513,18 +526,26 @@ _ASKED3 = "shard int, flush long, texts int, us binary, nb binary, w binary, nx
 def _ask_trigrams(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 24
-        for number, (u, w, doc, (ids, held)) in enumerate(_flushes(batches, ("doc_id", "held_out"))):
+        number = -1  # not enumerate(), which keeps its last item
+        for u, w, doc, (ids, held) in _flushes(batches, ("doc_id", "held_out")):
+            number += 1
             n = len(ids)
             size = np.bincount(doc, minlength=n).astype(np.int64)
             w, x = short(w), befores(u)
             order = np.lexsort((x, w, u))
             u, w, x, doc = u[order], w[order], x[order], doc[order]
+            del order
             at = _heads(u, w, x)
-            nd, docs, times = _references(np.repeat(np.arange(len(at)), np.diff(np.append(at, len(u)))), doc)
-            gaps, r_at = _gaps(docs, nd), np.concatenate(([0], np.cumsum(nd)))
+            run_no = np.repeat(np.arange(len(at), dtype=np.int32), np.diff(np.append(at, len(u))))
             u, w, x = u[at], w[at], x[at]
+            del at
+            nd, docs, times = _references(run_no, doc)
+            del run_no, doc
+            gaps, r_at = _gaps(docs, nd), np.concatenate(([0], np.cumsum(nd)))
+            del docs
             at = _heads(u, w)
             x_at, u, w = np.append(at, len(u)), u[at], w[at]
+            del at
             nx, first = np.diff(x_at), _heads(u)
             us, b_at = u[first], np.append(first, len(u))
             nb, rows = np.diff(b_at), []

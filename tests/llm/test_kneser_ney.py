@@ -157,3 +157,27 @@ def test_singletons_count(spark):
     none = K.score_texts(docs, docs.limit(0), held(), order=3, least=1).collect()
     assert len(none) == 5 and all(r["score"] == 0 for r in none)
     assert K.score_texts(docs.limit(0), docs.limit(0), held(), order=3, least=1).count() == 0
+
+
+def test_a_flush_gives_up_what_it_has_used(monkeypatch):
+    """Peak bytes a token while texts ask for their trigrams: parts and sorted arrays do not outlive their use."""
+    import random
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    rng = random.Random(5)
+    size = 300_000
+    monkeypatch.setattr(K, "FLUSH", size)
+    monkeypatch.setattr(K, "SLICE", 1 << 17)
+    monkeypatch.setattr(K, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    texts = [" ".join(str(int(rng.paretovariate(0.6)) % 50_000) for _ in range(999)) for _ in range(size // 1000)]
+    ids = list(range(len(texts)))
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([False] * len(ids)), pa.array(texts)], ["doc_id", "held_out", "text"])
+    asked = lambda: sum(r.num_rows for r in K._ask_trigrams(4)(iter([batch])))
+    assert asked() == 17
+    tracemalloc.start()
+    asked()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak / size < 90
