@@ -39,6 +39,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,12 +49,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contrail.llm.code_book import Book, pack, pack_names, pack_words, unpack, unpack_doubles
 from contrail.llm.words import U64, mix, pack_gaps, pack_small, ranges, slices, split_words, unpack_gaps, unpack_small
 from contrail.session import ensure_checkpoint_dir
 
 SLICE = 1 << 20
 FLUSH = 2_000_000    # tokens
 CHUNK_BITS = 22
+BOOK = 1 << 18       # words of the code book; their number changes sizes, not results
 # Hashes of the two marks; the first only stands before a text, the other is a token.
 BEGIN, END = U64(0x0123456789ABCDEF), U64(0xFEDCBA9876543210)
 _C = U64(0x9E3779B97F4A7C15)
@@ -98,6 +101,33 @@ def befores(context: np.ndarray) -> np.ndarray:
     return short(out)
 
 
+def _ranked(context: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct words, and the places there of each token's context, of it and of the word before the context.
+
+    The place behind the last stands for the 0 before the start of a text.
+    """
+    start = context == BEGIN
+    names, w = np.unique(np.append(token, BEGIN), return_inverse=True)
+    begin, w = w[-1], w[:-1].astype(np.int32)
+    u, x = np.empty_like(w), np.empty_like(w)
+    u[1:] = w[:-1]
+    u[start] = begin
+    x[1:] = u[:-1]
+    x[start] = len(names)
+    return names, u, w, x
+
+
+def _order(u: np.ndarray, w: np.ndarray, x: np.ndarray | None, n: int) -> np.ndarray:
+    """Stable order by (u, w, x), all of them below n."""
+    if n ** (2 if x is None else 3) < 1 << 64:
+        key = u.astype(U64) * U64(n) + w.astype(U64)
+        if x is not None:
+            key *= U64(n)
+            key += x.astype(U64)
+        return np.argsort(key, kind="stable")
+    return np.lexsort((w, u) if x is None else (x, w, u))
+
+
 def trigram_keys(before48: np.ndarray, context: np.ndarray, word48: np.ndarray) -> np.ndarray:
     return mix(bigram_keys(context, word48) * _C + before48)
 
@@ -170,6 +200,50 @@ def _joined(held: list, more: list) -> tuple:
     return (*out, columns)
 
 
+# --- code book
+
+_WORDS = "shard int, us binary, n binary"
+
+
+def _distinct_words(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, w, _, _ in _flushes(batches):
+            names, n = np.unique(w[w != END], return_counts=True)
+            if len(names):
+                yield _record(_WORDS, [(shard, names[a:b].tobytes(), pack(n[a:b])) for shard, a, b in _shards(names, bits)], [pa.int32(), pa.binary(), pa.binary()])
+
+    return run
+
+
+def _most_frequent(most: int):
+    """The ``most`` most frequent words of one shard and how often they occur."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        us, n = np.concatenate([np.frombuffer(x, dtype=U64) for x in frame["us"]]), np.concatenate([unpack(x) for x in frame["n"]])
+        order = np.argsort(us, kind="stable")
+        at = _heads(us[order])
+        us, n = us[order][at], _summed_runs(n[order], at)
+        top = np.argsort(-n, kind="stable")[:most]
+        return pd.DataFrame([(frame["shard"].iloc[0], us[top].tobytes(), pack(n[top]))], columns=["shard", "us", "n"])
+
+    return run
+
+
+def code_book(train: DataFrame, bits: int) -> Book:
+    """About the BOOK most frequent words of ``train``, an equal number from every shard, with their exact counts."""
+    words = train.select("text").mapInArrow(_distinct_words(bits), _WORDS).groupBy("shard").applyInPandas(_most_frequent(max(1, BOOK >> bits)), _WORDS)
+    rows = words.collect()
+    us = np.concatenate([np.zeros(0, U64)] + [np.frombuffer(r["us"], dtype=U64) for r in rows])
+    n = np.concatenate([np.zeros(0, np.int64)] + [unpack(r["n"]) for r in rows])
+    order = np.lexsort((us, -n))
+    return _book(us[order], n[order])
+
+
+def _book(words: np.ndarray | tuple = (), counts: np.ndarray | tuple = ()) -> Book:
+    """A book of the marks and of words; the marks have no counts."""
+    return Book(np.concatenate([np.array([0, BEGIN, END], U64), np.asarray(words, U64)]), np.concatenate([np.zeros(3, np.int64), np.asarray(counts, np.int64)]))
+
+
 # --- counting
 
 _COUNTS = "shard int, us binary, cu binary, nb binary, w binary, cw binary, nx binary, x binary, cx binary"
@@ -179,14 +253,16 @@ def _record(names: str, rows: list[tuple], kinds: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], [x.split()[0] for x in names.split(", ")])
 
 
-def _count_partition(bits: int, n: int):
+def _count_partition(bits: int, n: int, shared):
     """Counts of a flush; x, cx and nx are the words before each bigram, their counts and how many there are (order 3)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        book = shared.value
         for u, w, _, _ in _flushes(batches):
-            w, x = short(w), befores(u)
-            order = np.lexsort((x, w, u) if n == 3 else (w, u))
+            names, u, w, x = _ranked(u, w)
+            order = _order(u, w, x if n == 3 else None, len(names) + 1)
             u, w, x = u[order], w[order], x[order]
+            del order
             cx = np.zeros(0, np.int64)
             if n == 3:
                 at = _heads(u, w, x)
@@ -197,13 +273,15 @@ def _count_partition(bits: int, n: int):
             x_at = np.append(at, len(u))
             u, w = u[at], w[at]
             first = _heads(u)
-            us, nb, cu = u[first], np.diff(np.append(first, len(u))), _summed_runs(c, first)
+            us, nb, cu = names[u[first]], np.diff(np.append(first, len(u))), _summed_runs(c, first)
+            codes, named = book.word_codes(us), np.append(short(names), U64(0))
+            coded = book.codes(named)
             rows = []
             for shard, a, b in _shards(us, bits):
                 lo, hi = first[a], first[b] if b < len(first) else len(u)
                 t = slice(x_at[lo], x_at[hi])
-                more = (b"", pack_small(nx[lo:hi]), _pack48(x[t]), pack_small(cx[t])) if n == 3 else (pack_small(c[lo:hi]), b"", b"", b"")
-                rows.append((shard, us[a:b].tobytes(), pack_small(cu[a:b]), pack_small(nb[a:b]), _pack48(w[lo:hi]), *more))
+                more = (b"", pack(nx[lo:hi]), pack_names(coded[x[t]], named[x[t]]), pack(cx[t])) if n == 3 else (pack(c[lo:hi]), b"", b"", b"")
+                rows.append((shard, pack_words(codes[a:b], us[a:b]), pack(cu[a:b]), pack(nb[a:b]), pack_names(coded[w[lo:hi]], named[w[lo:hi]]), *more))
             yield _record(_COUNTS, rows, [pa.int32()] + [pa.binary()] * 8)
 
     return run
@@ -214,22 +292,29 @@ _ARRAYS = ("us", "cu", "nb", "w", "cw", "nx", "x", "cx")
 _MERGED = "shard int, " + ", ".join([f"{c} binary" for c in _ARRAYS] + [f"{c} long" for c in _SUMS])
 
 
-def _merge_counts(least: int, n: int):
+def _merge_counts(least: int, n: int, shared):
     """Counts of one shard: all contexts, the bigrams seen ``least`` times or more, and at order 3 all trigrams."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        us, cu, u, w, c, x = [], [], [], [], [], []
-        for r in frame.itertuples():
-            y, nb, nx = np.frombuffer(r.us, dtype=U64), unpack_small(r.nb), unpack_small(r.nx)
-            us.append(y), cu.append(unpack_small(r.cu))
-            y, z = np.repeat(y, nb), _unpack48(r.w)
+        book = shared.value
+        us, cu = [book.unpack_words(b) for b in frame["us"]], np.concatenate([unpack(b) for b in frame["cu"]])
+        each, flat = us, np.concatenate(us)
+        order = np.argsort(flat, kind="stable")
+        at = _heads(flat[order])
+        cu, us = _summed_runs(cu[order], at), flat[order][at]
+        del flat, order
+        u, w, c, x = [], [], [], []
+        for y, r in zip(each, frame.itertuples()):
+            y, nx = np.repeat(np.searchsorted(us, y).astype(np.int32), unpack(r.nb)), unpack(r.nx)
+            z = book.unpack_names(r.w)
             u.append(np.repeat(y, nx) if n == 3 else y), w.append(np.repeat(z, nx) if n == 3 else z)
-            c.append(unpack_small(r.cx if n == 3 else r.cw)), x.append(_unpack48(r.x))
-        us, cu, u, w, c, x = (np.concatenate(a) for a in (us, cu, u, w, c, x))
-        order = np.argsort(us, kind="stable")
-        at = _heads(us[order])
-        cu, us = _summed_runs(cu[order], at), us[order][at]
-        order = np.lexsort((x, w, u) if n == 3 else (w, u))
+            c.append(unpack(r.cx if n == 3 else r.cw)), x.append(book.unpack_names(r.x))
+        del each
+        u, w, c, x = (np.concatenate(a) for a in (u, w, c, x))
+        named, place = np.unique(np.concatenate([w, x]), return_inverse=True)
+        w, x = place[:len(w)].astype(np.int32), place[len(w):].astype(np.int32)
+        del place
+        order = _order(u, w, x if n == 3 else None, max(len(us), len(named)) + 1)
         u, w, c = u[order], w[order], c[order]
         nx, cx = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if n == 3:
@@ -237,20 +322,20 @@ def _merge_counts(least: int, n: int):
             at = _heads(u, w, x)
             u, w, x, cx = u[at], w[at], x[at], _summed_runs(c, at)
             at = _heads(u, w)
-            inner = u != BEGIN
-            m = [int((cx[inner] == k).sum()) for k in (1, 2, 3, 4)]
+            begin = (us == BEGIN)[u]
+            m = [int((cx[~begin] == k).sum()) for k in (1, 2, 3, 4)]
             nx = np.diff(np.append(at, len(u)))
-            u, w = u[at], w[at]
-            c = np.where(u == BEGIN, _summed_runs(cx, at), nx)
+            u, w, begin = u[at], w[at], begin[at]
+            c = np.where(begin, _summed_runs(cx, at), nx)
         else:
             at = _heads(u, w)
             u, w, c, m = u[at], w[at], _summed_runs(c, at), [0] * 4
         keep = c >= least
         u, w, c = u[keep], w[keep], c[keep]
-        nb = np.bincount(np.searchsorted(us, u), minlength=len(us))
-        word = us != BEGIN
-        return pd.DataFrame([(frame["shard"].iloc[0], us.tobytes(), cu.astype(np.int64).tobytes(), pack_small(nb), _pack48(w), pack_small(c),
-                              pack_small(nx), _pack48(x), pack_small(cx), int(word.sum()), int(cu[word].sum()), len(c), int(c.sum()),
+        nb = np.bincount(u, minlength=len(us))
+        word, coded = us != BEGIN, book.codes(named)
+        return pd.DataFrame([(frame["shard"].iloc[0], pack_words(book.word_codes(us), us), pack(cu), pack(nb), pack_names(coded[w], named[w]), pack(c),
+                              pack(nx), pack_names(coded[x], named[x]), pack(cx), int(word.sum()), int(cu[word].sum()), len(c), int(c.sum()),
                               *(int((c == k).sum()) for k in (1, 2, 3, 4)), int(cu[~word].sum()), *m)], columns=["shard", *_ARRAYS, *_SUMS])
 
     return run
@@ -287,11 +372,10 @@ class Totals:
         return less / max(1, self.types) + self.reserve / (self.words + 1)
 
 
-def _contexts(r, t: Totals) -> tuple:
+def _contexts(r, book: Book) -> tuple:
     """Arrays of a merged shard: contexts, counts, and per kept bigram context rank, word, count."""
-    us, cu = np.frombuffer(r.us, dtype=U64), np.frombuffer(r.cu, dtype=np.int64)
-    nb = unpack_small(r.nb)
-    return us, cu, np.repeat(np.arange(len(us)), nb), _unpack48(r.w), unpack_small(r.cw)
+    us = book.unpack_words(r.us)
+    return us, unpack(r.cu), np.repeat(np.arange(len(us)), unpack(r.nb)), book.unpack_names(r.w), unpack(r.cw)
 
 
 def _by_word(w: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -305,17 +389,19 @@ def _by_word(w: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray, np.nda
         yield shard, distinct[a:b], order[where]
 
 
-def _sent_words(t: Totals):
-    """Per kept bigram list: to each word's shard its words, types and tokens."""
+def _sent_words(t: Totals, shared):
+    """Per kept bigram list: to each word's shard its words, types and, if some bigrams are not kept, tokens."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        book = shared.value
         for frame in frames:
             for r in frame.itertuples():
-                _, _, _, w, c = _contexts(r, t)
+                w, c = book.unpack_names(r.w), unpack(r.cw)
                 rows = []
                 for shard, words, order in _by_word(w, t.bits):
                     at = _heads(w[order])
-                    rows.append((shard, r.shard, _pack48(words), pack_small(np.diff(np.append(at, len(order)))), pack_small(_summed_runs(c[order], at))))
+                    tokens = b"" if t.least == 1 else pack(_summed_runs(c[order], at))
+                    rows.append((shard, r.shard, pack_names(book.codes(words), words), pack(np.diff(np.append(at, len(order)))), tokens))
                 yield pd.DataFrame(rows, columns=["shard", "origin", "w", "types", "tokens"])
 
     return run
@@ -324,47 +410,48 @@ def _sent_words(t: Totals):
 _SENT = "shard int, origin int, w binary, types binary, tokens binary"
 
 
-def _own_words(merged: pd.DataFrame, t: Totals, shard: int) -> tuple[np.ndarray, np.ndarray]:
+def _own_words(merged: pd.DataFrame, t: Totals, shard: int, book: Book) -> tuple[np.ndarray, np.ndarray]:
     """Sorted word hashes of a shard as tokens, and their counts: the end mark included, the other not."""
     us, cu = np.zeros(0, U64), np.zeros(0, np.int64)
     for r in merged.itertuples():
-        us, cu = np.frombuffer(r.us, dtype=U64), np.frombuffer(r.cu, dtype=np.int64)
+        us, cu = book.unpack_words(r.us), unpack(r.cu)
     keep = us != BEGIN
     us, cu = us[keep], cu[keep]
-    if t.texts and shard == (int(END) >> (64 - t.bits) if t.bits else 0):
+    if t.texts and shard == _end_shard(t.bits):
         at = int(np.searchsorted(us, END))
         us, cu = np.insert(us, at, END), np.insert(cu, at, t.texts)
     return us, cu
 
 
-def _neighbours(sent: pd.DataFrame, us: np.ndarray, cu: np.ndarray, t: Totals) -> np.ndarray:
+def _neighbours(sent: pd.DataFrame, us: np.ndarray, cu: np.ndarray, t: Totals, book: Book) -> np.ndarray:
     """Left neighbours of each word: kept types, and one for each of its other tokens."""
     n = np.zeros(len(us), np.int64) if t.least == 1 else cu.astype(np.int64).copy()
     w48 = short(us)
     for r in sent.itertuples():
-        at = np.searchsorted(w48, _unpack48(r.w))
-        np.add.at(n, at, unpack_small(r.types) - (0 if t.least == 1 else unpack_small(r.tokens)))
+        at = np.searchsorted(w48, book.unpack_names(r.w))
+        np.add.at(n, at, unpack(r.types) - (0 if t.least == 1 else unpack(r.tokens)))
     return n
 
 
-def _count_neighbours(t: Totals):
+def _count_neighbours(t: Totals, shared):
     def run(key, sent: pd.DataFrame, merged: pd.DataFrame) -> pd.DataFrame:
-        n = _neighbours(sent, *_own_words(merged, t, int(key[0])), t)
+        n = _neighbours(sent, *_own_words(merged, t, int(key[0]), shared.value), t, shared.value)
         return pd.DataFrame([(int(n.sum()), *(int((n == k).sum()) for k in (1, 2, 3, 4)))], columns=["types", "n1", "n2", "n3", "n4"])
 
     return run
 
 
-def _replies(t: Totals):
-    """Continuation probabilities back to the shards that sent words, and to the own one (origin -1)."""
+def _replies(t: Totals, shared):
+    """Numbers of left neighbours back to the shards that sent words, and to the own one (origin -1)."""
 
     def run(key, sent: pd.DataFrame, merged: pd.DataFrame) -> pd.DataFrame:
-        us, cu = _own_words(merged, t, int(key[0]))
-        p = t.p1(_neighbours(sent, us, cu, t))
+        book = shared.value
+        us, cu = _own_words(merged, t, int(key[0]), book)
+        n = _neighbours(sent, us, cu, t, book)
         w48 = short(us)
-        rows = [(r.origin, int(key[0]), p[np.searchsorted(w48, _unpack48(r.w))].tobytes()) for r in sent.itertuples()]
-        rows.append((int(key[0]), -1, p.tobytes()))
-        return pd.DataFrame(rows, columns=["shard", "origin", "p"])
+        rows = [(r.origin, int(key[0]), pack(n[np.searchsorted(w48, book.unpack_names(r.w))])) for r in sent.itertuples()]
+        rows.append((int(key[0]), -1, pack(n)))
+        return pd.DataFrame(rows, columns=["shard", "origin", "n"])
 
     return run
 
@@ -372,14 +459,14 @@ def _replies(t: Totals):
 _MODEL = "shard int, us binary, cu binary, value binary, keys binary, adds binary"
 
 
-def _model_arrays(t: Totals, shard: int, merged: pd.DataFrame, replies: pd.DataFrame) -> tuple:
+def _model_arrays(t: Totals, shard: int, merged: pd.DataFrame, replies: pd.DataFrame, book: Book) -> tuple:
     """Per word count and log p1 + log g; sorted keys of n-grams and what each adds."""
-    words, counts = _own_words(merged, t, shard)
-    got = {int(r.origin): np.frombuffer(r.p, dtype=np.float64) for r in replies.itertuples()}
+    words, counts = _own_words(merged, t, shard, book)
+    got = {int(r.origin): t.p1(unpack(r.n)) for r in replies.itertuples()}
     value = np.log10(got.get(-1, np.zeros(0)))
     keys, adds = np.zeros(0, U64), np.zeros(0)
     for r in merged.itertuples():
-        us, cu, rank, w, c = _contexts(r, t)
+        us, cu, rank, w, c = _contexts(r, book)
         total = np.bincount(rank, c, minlength=len(us)) if t.least == 1 else cu
         own = t.discounted(c) / total[rank]
         g = np.maximum(1 - np.bincount(rank, own, minlength=len(us)), 1e-12)
@@ -389,7 +476,7 @@ def _model_arrays(t: Totals, shard: int, merged: pd.DataFrame, replies: pd.DataF
         below = g[rank] * p
         keys, adds = bigram_keys(us[rank], w), np.log10(own + below) - np.log10(below)
         if t.order == 3:
-            of, x, cx = np.repeat(np.arange(len(w)), unpack_small(r.nx)), _unpack48(r.x), unpack_small(r.cx)
+            of, x, cx = np.repeat(np.arange(len(w)), unpack(r.nx)), book.unpack_names(r.x), unpack(r.cx)
             u = us[rank][of]
             inner = u != BEGIN
             of, x, cx, u = of[inner], x[inner], cx[inner], u[inner]
@@ -411,11 +498,11 @@ def _model_arrays(t: Totals, shard: int, merged: pd.DataFrame, replies: pd.DataF
     return words, counts.astype(np.int64), value, keys[order], adds[order].astype(np.float32)
 
 
-def _valued(t: Totals):
+def _valued(t: Totals, shared):
     """The model arrays of a shard."""
 
     def run(key, merged: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([(int(key[0]), *(x.tobytes() for x in _model_arrays(t, int(key[0]), merged, replies)))], columns=[x.split()[0] for x in _MODEL.split(", ")])
+        return pd.DataFrame([(int(key[0]), *(x.tobytes() for x in _model_arrays(t, int(key[0]), merged, replies, shared.value)))], columns=[x.split()[0] for x in _MODEL.split(", ")])
 
     return run
 
@@ -520,19 +607,30 @@ def _ask_partition(bits: int, shared):
     return run
 
 
-_ASKED3 = "shard int, flush long, texts int, us binary, nb binary, w binary, nx binary, x binary, nd binary, docs binary, times binary, ids binary, held binary, size binary"
+_ASKED3 = "shard int, flush long, texts int, us binary, nb binary, w binary, nx binary, x binary, nd binary, docs binary, times binary, ids binary, held binary, size binary, base binary, known binary"
 
 
-def _ask_trigrams(bits: int):
+def _ask_trigrams(bits: int, shared=None, mass: int = 1):
+    """Per flush and shard the distinct trigrams and the texts that have them.
+
+    Words of the book have their counts there; their add-one parts (``mass``:
+    what counts are divided by) are summed here, per text of the flush.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        book = shared.value if shared else _book()
         base = TaskContext.get().partitionId() << 24
         number = -1  # not enumerate(), which keeps its last item
         for u, w, doc, (ids, held) in _flushes(batches, ("doc_id", "held_out")):
             number += 1
             n = len(ids)
             size = np.bincount(doc, minlength=n).astype(np.int64)
-            w, x = short(w), befores(u)
-            order = np.lexsort((x, w, u))
+            names, u, w, x = _ranked(u, w)
+            codes, named = book.word_codes(names), np.append(short(names), U64(0))
+            coded, c = book.codes(named), book.counts[codes]
+            plain = np.bincount(doc, np.where(c > 0, np.log10((c + 1) / mass), 0.0)[w], minlength=n)
+            known = np.bincount(doc, (c > 0)[w], minlength=n).astype(np.int64)
+            order = _order(u, w, x, len(names) + 1)
             u, w, x, doc = u[order], w[order], x[order], doc[order]
             del order
             at = _heads(u, w, x)
@@ -547,18 +645,18 @@ def _ask_trigrams(bits: int):
             x_at, u, w = np.append(at, len(u)), u[at], w[at]
             del at
             nx, first = np.diff(x_at), _heads(u)
-            us, b_at = u[first], np.append(first, len(u))
+            us, codes, b_at = names[u[first]], codes[u[first]], np.append(first, len(u))
             nb, rows = np.diff(b_at), []
             for shard, a, b in _shards(us, bits):
                 e = slice(b_at[a], b_at[b])
                 d = slice(x_at[e.start], x_at[e.stop])
                 f = slice(r_at[d.start], r_at[d.stop])
-                rows.append((shard, base + number, n, us[a:b].tobytes(), pack_small(nb[a:b]), _pack48(w[e]), pack_small(nx[e]), _pack48(x[d]),
-                             pack_small(nd[d]), pack_small(gaps[f]), pack_small(times[f]), None, None, None))
+                rows.append((shard, base + number, n, pack_words(codes[a:b], us[a:b]), pack(nb[a:b]), pack_names(coded[w[e]], named[w[e]]), pack(nx[e]),
+                             pack_names(coded[x[d]], named[x[d]]), pack(nd[d]), pack(gaps[f]), pack(times[f]), None, None, None, None, None))
             known_ids = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             flags = held.to_numpy(zero_copy_only=False).astype(np.uint8) + 2 * np.asarray(ids.is_null().to_numpy(zero_copy_only=False), dtype=np.uint8)
-            rows.append((number % (1 << bits), base + number, n, *[None] * 8, known_ids.tobytes(), flags.tobytes(), size.tobytes()))
-            yield _record(_ASKED3, rows, [pa.int32(), pa.int64(), pa.int32()] + [pa.binary()] * 11)
+            rows.append((number % (1 << bits), base + number, n, *[None] * 8, known_ids.tobytes(), flags.tobytes(), size.tobytes(), pack(plain), pack(known)))
+            yield _record(_ASKED3, rows, [pa.int32(), pa.int64(), pa.int32()] + [pa.binary()] * 13)
 
     return run
 
@@ -608,19 +706,19 @@ def _answer(t: Totals):
                 at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
                 add = np.where(keys[at] == k, adds[at], 0.0).astype(np.float64)
                 score += np.bincount(_from_gaps(unpack_small(r.bdocs), bd), unpack_small(r.btimes) * np.repeat(add, bd), minlength=r.texts)
-            rows.append((r.flush, r.texts, score.tobytes(), base.tobytes(), known.astype(np.int32).tobytes(), None, None, None))
+            rows.append((r.flush, r.texts, pack(score), pack(base), pack(known.astype(np.int64)), None, None, None))
         return pd.DataFrame(rows, columns=[x.split()[0] for x in _PARTS.split(", ")])
 
     return run
 
 
-def _answer_trigrams(t: Totals):
-    """As ``_answer``, with every token asked by its trigram; the shard's arrays are made of its counts and replies."""
+def _answer_trigrams(t: Totals, shared):
+    """As ``_answer``, with every token asked by its trigram; the shard's arrays are made of its counts and of the replies, which come among the asked."""
     unknown = np.log10(t.p1(np.zeros(1, np.int64)))[0]
 
-    def run(key, asked: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
-        reply = parts["p"].notna()
-        words, counts, value, keys, adds = _mapped(*_model_arrays(t, int(key[0]), parts[~reply], parts[reply]))
+    def run(key, asked: pd.DataFrame, merged: pd.DataFrame) -> pd.DataFrame:
+        book, reply = shared.value, asked["n"].notna()
+        words, counts, value, keys, adds = _mapped(*_model_arrays(t, int(key[0]), merged, asked[reply], book))
 
         def found(table: np.ndarray, values: np.ndarray, x: np.ndarray, other) -> np.ndarray:
             if not len(table):
@@ -629,25 +727,27 @@ def _answer_trigrams(t: Totals):
             return np.where(table[at] == x, values[at], other).astype(np.float64)
 
         rows = []
-        for r in asked.itertuples():
+        for r in asked[~reply].astype({"flush": "int64", "texts": "int64"}).itertuples():  # nulls beside them made them doubles
             if r.ids is not None:
-                rows.append((r.flush, r.texts, None, None, None, r.ids, r.held, r.size))
+                rows.append((r.flush, r.texts, None, r.base, r.known, r.ids, r.held, r.size))
                 continue
-            us, w, x = np.frombuffer(r.us, dtype=U64), _unpack48(r.w), _unpack48(r.x)
-            nb, nx, nd = unpack_small(r.nb), unpack_small(r.nx), unpack_small(r.nd)
+            us, w, x = book.unpack_words(r.us), book.unpack_names(r.w), book.unpack_names(r.x)
+            nb, nx, nd = unpack(r.nb), unpack(r.nx), unpack(r.nd)
             start = us == BEGIN
-            c = found(words, counts, us, 0)
             v = np.where(start, found(words, value, us, 0.0), found(words, value, us, unknown))
-            plain = np.where(start, 0.0, np.log10((c + 1) / (t.tokens + t.words + 1)))
             u, of = np.repeat(us, nb), np.repeat(np.repeat(np.arange(len(us)), nb), nx)
             add = np.repeat(np.repeat(v, nb) + found(keys, adds, bigram_keys(u, w), 0.0), nx)
             u3, w3 = us[of], np.repeat(w, nx)
             add += np.where(start[of], 0.0, found(keys, adds, trigram_keys(x, u3, w3), 0.0) + found(keys, adds, pair_keys(x, u3), 0.0))
-            docs, times, of = _from_gaps(unpack_small(r.docs), nd), unpack_small(r.times), np.repeat(of, nd)
+            docs, times = _from_gaps(unpack(r.docs), nd), unpack(r.times)
             score = np.bincount(docs, times * np.repeat(add, nd), minlength=r.texts)
-            base = np.bincount(docs, times * plain[of], minlength=r.texts)
-            known = np.bincount(docs, times * ((c > 0) & ~start)[of], minlength=r.texts)
-            rows.append((r.flush, r.texts, score.tobytes(), base.tobytes(), known.astype(np.int32).tobytes(), None, None, None))
+            rare = ~start & (book.counts[book.word_codes(us)] == 0)  # the others are summed where they are asked
+            c = np.where(rare, found(words, counts, us, 0), 0)
+            at = np.repeat(rare[of], nd)
+            of, docs, times = np.repeat(of, nd)[at], docs[at], times[at]
+            base = np.bincount(docs, times * np.log10((c + 1) / (t.tokens + t.words + 1))[of], minlength=r.texts)
+            known = np.bincount(docs, times * (c > 0)[of], minlength=r.texts).astype(np.int64)
+            rows.append((r.flush, r.texts, pack(score), pack(base), pack(known), None, None, None))
         return pd.DataFrame(rows, columns=[x.split()[0] for x in _PARTS.split(", ")])
 
     return run
@@ -665,10 +765,11 @@ def _texts_of_flush(t: Totals, end_value: float):
         for r in frame.itertuples():
             if r.ids is not None:
                 ids, flags, size = np.frombuffer(r.ids, dtype=np.int64), np.frombuffer(r.held, dtype=np.uint8), np.frombuffer(r.size, dtype=np.int64)
-            else:
-                score += np.frombuffer(r.score, dtype=np.float64)
-                base += np.frombuffer(r.base, dtype=np.float64)
-                known += np.frombuffer(r.known, dtype=np.int32)
+            if r.score is not None:
+                score += unpack_doubles(r.score)
+            if r.base is not None:
+                base += unpack_doubles(r.base)
+                known += unpack(r.known)
         doc_id = pd.array(ids, dtype="Int64")
         doc_id[flags >= 2] = pd.NA
         return pd.DataFrame({"doc_id": doc_id, "held_out": flags % 2 == 1, "n_tokens": size, "n_known": known + (t.texts > 0),
@@ -682,26 +783,48 @@ def _stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(f"{folder}/{name}")
 
 
-def fit(train: DataFrame, folder: str, bits: int, order: int, least: int) -> tuple[DataFrame, DataFrame, Totals]:
-    """The counts of the model's shards, the continuation probabilities each needs, and the totals, learnt from the texts of ``train``."""
-    counted = train.select("text").mapInArrow(_count_partition(bits, order), _COUNTS)
-    merged = _stored(counted.groupBy("shard").applyInPandas(_merge_counts(least, order), _MERGED), folder, "counts")
+def _by_shard(df: DataFrame, folder: str, name: str, bits: int) -> DataFrame:
+    """As ``_stored``, in buckets of shards, so that what is grouped by shard later is not shuffled again."""
+    table = f"kneser_ney_{uuid.uuid4().hex}"
+    df.write.bucketBy(min(1 << bits, 1 << 16), "shard").option("path", f"{folder}/{name}").saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+@contextmanager
+def _shuffles_given_up(spark):
+    """Jobs started inside remove the files of their shuffles when they end; what they return is stored or small."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def _end_shard(bits: int) -> int:
+    return int(END) >> (64 - bits) if bits else 0
+
+
+def fit(train: DataFrame, folder: str, bits: int, order: int, least: int, shared) -> tuple[DataFrame, DataFrame, Totals]:
+    """The counts of the model's shards, the numbers of left neighbours each needs, and the totals, learnt from the texts of ``train``."""
+    counted = train.select("text").mapInArrow(_count_partition(bits, order, shared), _COUNTS)
+    # the shards of the end mark and of nothing have a row of counts in any case
+    least_rows = train.sparkSession.range(1 << bits).where(F.col("id").isin(0, _end_shard(bits)))
+    counted = counted.unionByName(least_rows.select(F.col("id").cast("int").alias("shard"), *[F.lit(b"").alias(c) for c in _ARRAYS]))
+    merged = _by_shard(counted.groupBy("shard").applyInPandas(_merge_counts(least, order, shared), _MERGED), folder, "counts", bits)
     s = merged.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _SUMS]).first()
     n = s["tokens"] + s["texts"]
     t = Totals(bits, n, s["words"] + (s["texts"] > 0), s["texts"], discounts(s["n1"] if least == 1 else n - s["kept_tokens"], s["n2"], s["n3"], s["n4"]), s["kept"],
                least=least, order=order, d3=discounts(s["m1"], s["m2"], s["m3"], s["m4"]))
-    every = merged.sparkSession.range(1 << bits).select(F.col("id").cast("int").alias("shard"))
-    heads = every.join(merged, "shard", "left").where("us is not null or shard = 0 or shard = " + str(int(END) >> (64 - bits) if bits else 0)).select(*merged.columns)
-    heads = heads.fillna(0).withColumns({c: F.coalesce(c, F.lit(b"")) for c in _ARRAYS})
-    sent = merged.mapInPandas(_sent_words(t), _SENT)
-    both = sent.groupBy("shard").cogroup(heads.select("shard", "us", "cu").groupBy("shard"))
-    m = both.applyInPandas(_count_neighbours(t), "types long, n1 long, n2 long, n3 long, n4 long").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("types", "n1", "n2", "n3", "n4")]).first()
+    sent = merged.select("shard", "w", "cw").mapInPandas(_sent_words(t, shared), _SENT)
+    both = sent.groupBy("shard").cogroup(merged.select("shard", "us", "cu").groupBy("shard"))
+    m = both.applyInPandas(_count_neighbours(t, shared), "types long, n1 long, n2 long, n3 long, n4 long").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("types", "n1", "n2", "n3", "n4")]).first()
     t.types = m["types"]
     t.lower = discounts(m["n1"], m["n2"], m["n3"], m["n4"])
     more = t.words - m["n1"] - m["n2"]
     t.reserve = (t.lower[0] * m["n1"] + t.lower[1] * m["n2"] + t.lower[2] * more) / t.types if t.types else 1.0
-    replies = both.applyInPandas(_replies(t), "shard int, origin int, p binary")
-    return heads, replies, t
+    return merged, _stored(both.applyInPandas(_replies(t, shared), "shard int, origin int, n binary"), folder, "replies"), t
 
 
 def score_texts(docs: DataFrame, train: DataFrame, held_out, shard_tokens: int = 3_000_000, order: int = 2, least: int = 2) -> DataFrame:
@@ -717,26 +840,27 @@ def score_texts(docs: DataFrame, train: DataFrame, held_out, shard_tokens: int =
     size = train.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bits = int(np.ceil(np.log2(max(1, partitions, size / 6 / shard_tokens * (order - 1)))))
-    heads, replies, t = fit(train, folder, bits, order, least)
+    with _shuffles_given_up(spark):
+        shared = spark.sparkContext.broadcast(code_book(train, bits))
+        merged, replies, t = fit(train, folder, bits, order, least, shared)
+        if order == 2:
+            model = _stored(merged.groupBy("shard").cogroup(replies.groupBy("shard")).applyInPandas(_valued(t, shared), _MODEL), folder, "model")
+            bitmap, end = spark.sparkContext.broadcast(kept_bitmap(model, t.kept)), _end_value(model, t)
+        else:
+            end = _end_reply(merged, replies, t, shared.value)
+    texts = docs.select("doc_id", held_out.alias("held_out"), "text")
     if order == 3:
-        replies = _stored(replies, folder, "replies")
-        asked = docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(_ask_trigrams(bits), _ASKED3)
-        model = heads.select("shard", *_ARRAYS).unionByName(replies, allowMissingColumns=True)
-        parts = asked.groupBy("shard").cogroup(model.groupBy("shard")).applyInPandas(_answer_trigrams(t), _PARTS)
-        scored = parts.groupBy("flush").applyInPandas(_texts_of_flush(t, _end_reply(heads, replies, t)), _SCORED)
-        return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(t.tokens).cast("long").alias("train_tokens"), "base_score", "score")
-    model = _stored(heads.groupBy("shard").cogroup(replies.groupBy("shard")).applyInPandas(_valued(t), _MODEL), folder, "model")
-    shared = spark.sparkContext.broadcast(kept_bitmap(model, t.kept))
-    end = _end_value(model, t)
-    asked = docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(_ask_partition(bits, shared), _ASKED)
-    parts = asked.groupBy("shard").cogroup(model.groupBy("shard")).applyInPandas(_answer(t), _PARTS)
+        asked = texts.mapInArrow(_ask_trigrams(bits, shared, t.tokens + t.words + 1), _ASKED3).unionByName(replies, allowMissingColumns=True)
+        parts = asked.groupBy("shard").cogroup(merged.select("shard", *_ARRAYS).groupBy("shard")).applyInPandas(_answer_trigrams(t, shared), _PARTS)
+    else:
+        parts = texts.mapInArrow(_ask_partition(bits, bitmap), _ASKED).groupBy("shard").cogroup(model.groupBy("shard")).applyInPandas(_answer(t), _PARTS)
     scored = parts.groupBy("flush").applyInPandas(_texts_of_flush(t, end), _SCORED)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(t.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def _end_value(model: DataFrame, t: Totals) -> float:
     """log10 p1 of the end mark, from its shard."""
-    r = model.where(F.col("shard") == (int(END) >> (64 - t.bits) if t.bits else 0)).first()
+    r = model.where(F.col("shard") == _end_shard(t.bits)).first()
     if r is not None:
         us = np.frombuffer(r["us"], dtype=U64)
         at = int(np.searchsorted(us, END))
@@ -745,11 +869,11 @@ def _end_value(model: DataFrame, t: Totals) -> float:
     return float(np.log10(t.p1(np.zeros(1, np.int64)))[0])
 
 
-def _end_reply(heads: DataFrame, replies: DataFrame, t: Totals) -> float:
+def _end_reply(merged: DataFrame, replies: DataFrame, t: Totals, book: Book) -> float:
     """log10 p1 of the end mark, from the counts and the reply of its shard to itself."""
-    shard = int(END) >> (64 - t.bits) if t.bits else 0
+    shard = _end_shard(t.bits)
     if not t.texts:
         return float(np.log10(t.p1(np.zeros(1, np.int64)))[0])
-    words, _ = _own_words(heads.where(F.col("shard") == shard).select("us", "cu").toPandas(), t, shard)
-    p = np.frombuffer(replies.where((F.col("shard") == shard) & (F.col("origin") == -1)).first()["p"], dtype=np.float64)
+    words, _ = _own_words(merged.where(F.col("shard") == shard).select("us", "cu").toPandas(), t, shard, book)
+    p = t.p1(unpack(replies.where((F.col("shard") == shard) & (F.col("origin") == -1)).first()["n"]))
     return float(np.log10(p[np.searchsorted(words, END)]))

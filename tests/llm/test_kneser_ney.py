@@ -181,3 +181,53 @@ def test_a_flush_gives_up_what_it_has_used(monkeypatch):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak / size < 90
+
+
+def test_a_book_changes_sizes_not_words():
+    import numpy as np
+
+    from contrail.llm import code_book as B
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 1 << 63, 500, dtype=np.uint64)
+    for book in (K._book(), K._book(words[:200], np.arange(200)), K._book(words, np.arange(500))):
+        some = words[rng.integers(0, 500, 2000)]
+        assert (book.unpack_words(B.pack_words(book.word_codes(some), some)) == some).all()
+        names = np.append(K.short(some), np.uint64(0))
+        assert (book.unpack_names(B.pack_names(book.codes(names), names)) == names).all()
+    for x in (np.zeros(0, np.int64), np.zeros(9, np.int64), np.array([0, 255, 256, 1 << 40]), rng.integers(0, 9, 5000)):
+        assert (B.unpack(B.pack(x)) == x).all()
+    doubles = np.append(rng.normal(size=100), [0.0, -0.0, -1e300])
+    assert (B.unpack_doubles(B.pack(doubles)) == doubles).all()
+
+
+def test_orders_that_fit_no_key():
+    import numpy as np
+    u, w, x = np.random.default_rng(4).integers(0, 4, (3, 300)).astype(np.int32)
+    assert (K._order(u, w, x, 5) == K._order(u, w, x, 1 << 30)).all() and (K._order(u, w, None, 5) == K._order(u, w, None, 1 << 40)).all()
+
+
+def test_asked_trigrams_are_small(monkeypatch):
+    """Bytes a token that a flush sends: frequent words have codes, and all numbers are packed."""
+    import random
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pyarrow as pa
+    rng = random.Random(5)
+    monkeypatch.setattr(K, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    texts = [" ".join(str(int(rng.paretovariate(0.6)) % 50_000) for _ in range(999)) for _ in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array([False] * 300), pa.array(texts)], ["doc_id", "held_out", "text"])
+    words, counts = np.unique(K.tokens(pa.array(texts))[1], return_counts=True)
+    book = K._book(words[counts > 1], counts[counts > 1])
+    size = sum(r.nbytes for r in K._ask_trigrams(4, SimpleNamespace(value=book), 10)(iter([batch])))
+    assert size / 300_000 < 8
+
+
+def test_the_model_is_not_shuffled_again(spark, hard_docs):
+    """Only what the texts ask is sent to the shards of the model; jobs before remove the files of their shuffles."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    docs = hard_docs.select("doc_id", "text")
+    plan = K.score_texts(docs, docs.where(~held()), held(), order=3, least=1)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(shard") == 1 and plan.count("Exchange hashpartitioning(flush") == 1
+    assert spark.conf.get(key, None) == before
