@@ -672,6 +672,29 @@ def _mapped(*arrays: np.ndarray) -> list[np.ndarray]:
         return [np.memmap(f, dtype=a.dtype, mode="r", offset=at, shape=a.shape) if len(a) else a for a, at in zip(arrays, places)]
 
 
+def _bucket_starts(keys: np.ndarray) -> tuple[np.ndarray, int]:
+    """Where sorted mixed keys with the same top bits begin, about one key to a value of these bits, and how many other bits there are."""
+    bits = max(1, len(keys).bit_length())
+    sizes = np.bincount((keys >> U64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.cumsum(sizes) - sizes, 64 - bits
+
+
+def _looked_up(keys: np.ndarray, values: np.ndarray, starts: tuple[np.ndarray, int], x: np.ndarray) -> np.ndarray:
+    """The values of keys, 0 for one that is not there; mixed keys lie evenly, so few steps lead from a start to the key."""
+    if not len(keys):
+        return np.zeros(len(x))
+    first, shift = starts
+    last = len(keys) - 1
+    at = np.minimum(first[(x >> U64(shift)).astype(np.int64)], last)
+    left = np.flatnonzero(keys[at] < x)
+    while len(left):
+        at[left] += 1
+        left = left[at[left] <= last]
+        left = left[keys[at[left]] < x[left]]
+    at = np.minimum(at, last)
+    return np.where(keys[at] == x, values[at], 0.0).astype(np.float64)
+
+
 _PARTS = "flush long, texts int, score binary, base binary, known binary, ids binary, held binary, size binary"
 
 
@@ -719,6 +742,7 @@ def _answer_trigrams(t: Totals, shared):
     def run(key, asked: pd.DataFrame, merged: pd.DataFrame) -> pd.DataFrame:
         book, reply = shared.value, asked["n"].notna()
         words, counts, value, keys, adds = _mapped(*_model_arrays(t, int(key[0]), merged, asked[reply], book))
+        starts = _bucket_starts(keys)
 
         def found(table: np.ndarray, values: np.ndarray, x: np.ndarray, other) -> np.ndarray:
             if not len(table):
@@ -736,9 +760,9 @@ def _answer_trigrams(t: Totals, shared):
             start = us == BEGIN
             v = np.where(start, found(words, value, us, 0.0), found(words, value, us, unknown))
             u, of = np.repeat(us, nb), np.repeat(np.repeat(np.arange(len(us)), nb), nx)
-            add = np.repeat(np.repeat(v, nb) + found(keys, adds, bigram_keys(u, w), 0.0), nx)
+            add = np.repeat(np.repeat(v, nb) + _looked_up(keys, adds, starts, bigram_keys(u, w)), nx)
             u3, w3 = us[of], np.repeat(w, nx)
-            add += np.where(start[of], 0.0, found(keys, adds, trigram_keys(x, u3, w3), 0.0) + found(keys, adds, pair_keys(x, u3), 0.0))
+            add += np.where(start[of], 0.0, _looked_up(keys, adds, starts, trigram_keys(x, u3, w3)) + _looked_up(keys, adds, starts, pair_keys(x, u3)))
             docs, times = _from_gaps(unpack(r.docs), nd), unpack(r.times)
             score = np.bincount(docs, times * np.repeat(add, nd), minlength=r.texts)
             rare = ~start & (book.counts[book.word_codes(us)] == 0)  # the others are summed where they are asked

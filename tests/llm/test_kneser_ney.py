@@ -231,3 +231,14 @@ def test_the_model_is_not_shuffled_again(spark, hard_docs):
     plan = K.score_texts(docs, docs.where(~held()), held(), order=3, least=1)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(shard") == 1 and plan.count("Exchange hashpartitioning(flush") == 1
     assert spark.conf.get(key, None) == before
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 5000])
+def test_keys_are_looked_up_by_their_top_bits(n):
+    import numpy as np
+    rng = np.random.default_rng(n)
+    keys = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+    values = rng.random(len(keys)).astype(np.float32)
+    x = np.concatenate([keys, rng.integers(0, 1 << 64, 3000, dtype=np.uint64), np.array([0, (1 << 64) - 1], np.uint64)])
+    have = dict(zip(keys.tolist(), values.tolist()))
+    assert K._looked_up(keys, values, K._bucket_starts(keys), x).tolist() == [have.get(k, 0.0) for k in x.tolist()]
