@@ -20,10 +20,9 @@ _HEAD = struct.Struct("<BQ")   # bytes a value, values
 
 def pack(values: np.ndarray) -> bytes:
     """Integers from 0, or the bits of doubles."""
-    v = np.ascontiguousarray(values)
-    v = v.view("<u8") if v.dtype == np.float64 else v.astype("<u8")
+    v = values.view("<u8") if values.dtype == np.float64 else values
     width = (int(v.max()).bit_length() + 7) // 8 if len(v) else 0
-    planes = v.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    planes = b"".join((v >> 8 * k if k else v).astype(np.uint8).tobytes() for k in range(width))
     small = pa.compress(planes, codec="zstd", asbytes=True) if len(planes) > 64 else planes
     return _HEAD.pack(width, len(v)) + (small if len(small) < len(planes) else planes)
 
@@ -43,9 +42,11 @@ def _unpack(blob: bytes) -> np.ndarray:
     body = memoryview(blob)[_HEAD.size:]
     if len(body) < width * n:
         body = pa.decompress(body, decompressed_size=width * n, codec="zstd")
-    out = np.zeros((n, 8), dtype=np.uint8)
-    out[:, :width] = np.frombuffer(body, dtype=np.uint8).reshape(width, n).T
-    return out.reshape(-1).view("<u8").astype(U64, copy=False)
+    planes = np.frombuffer(body, dtype=np.uint8, count=width * n).reshape(width, n)
+    out = planes[0].astype(U64) if width else np.zeros(n, U64)
+    for k in range(1, width):
+        out |= planes[k].astype(U64) << U64(8 * k)
+    return out
 
 
 class Book:
@@ -74,22 +75,69 @@ class Book:
         return codes
 
     def unpack_words(self, blob: bytes) -> np.ndarray:
-        return self._read(blob, self.words, 8)
+        return self._filled(*_read(blob, 8), self.words)
 
     def unpack_names(self, blob: bytes) -> np.ndarray:
-        return self._read(blob, self.names, 6)
+        return self._filled(*_read(blob, 6), self.names)
 
     @staticmethod
-    def _read(blob: bytes, listed: np.ndarray, size: int) -> np.ndarray:
-        if not blob:
-            return np.zeros(0, U64)
-        end = 8 + int.from_bytes(blob[:8], "little")
-        codes = unpack(blob[8:end])
+    def _filled(codes: np.ndarray, others: np.ndarray, listed: np.ndarray) -> np.ndarray:
         out = listed[codes]
-        other = codes == 0
-        raw = np.zeros((int(other.sum()), 8), dtype=np.uint8)
-        raw[:, :size] = np.frombuffer(blob, dtype=np.uint8, offset=end).reshape(-1, size)
-        out[other] = raw.reshape(-1).view("<u8")
+        out[codes == 0] = others
+        return out
+
+
+def read_words(blobs) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all words of packed arrays, 0 for one without, and the 64 bits of those without."""
+    return _read_all(blobs, 8)
+
+
+def read_names(blobs) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all words of packed arrays, 0 for one without, and the names of those without."""
+    return _read_all(blobs, 6)
+
+
+def _read_all(blobs, size: int) -> tuple[np.ndarray, np.ndarray]:
+    read = [_read(b, size) for b in blobs]
+    return np.concatenate([np.zeros(0, np.int64), *[c for c, _ in read]]), np.concatenate([np.zeros(0, U64), *[o for _, o in read]])
+
+
+def _read(blob: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
+    if not blob:
+        return np.zeros(0, np.int64), np.zeros(0, U64)
+    end = 8 + int.from_bytes(blob[:8], "little")
+    others = np.frombuffer(blob, dtype=np.uint8, offset=end).reshape(-1, size)
+    raw = np.zeros((len(others), 8), dtype=np.uint8)
+    raw[:, :size] = others
+    return unpack(blob[8:end]), raw.reshape(-1).view("<u8")
+
+
+class Names:
+    """The distinct words of some packed arrays in the order of their names; a word's place there, their number for any other."""
+
+    def __init__(self, book: Book, *parts: tuple[np.ndarray, np.ndarray]):
+        listed = np.zeros(len(book.names), dtype=bool)
+        for codes, _ in parts:
+            listed[codes] = True
+        listed[0] = False
+        codes, others = np.flatnonzero(listed), np.sort(np.concatenate([o for _, o in parts]))
+        others = others[np.diff(others, prepend=~others[:1]) != 0]
+        names = np.concatenate([book.names[codes], others])
+        order = np.argsort(names)
+        self.names = names[order]
+        self.codes = np.concatenate([codes, np.zeros(len(others), np.int64)])[order]
+        self._of_code = np.full(len(listed), len(names), np.int32)
+        self._of_code[self.codes] = np.arange(len(names))
+        self._of_code[0] = len(names)
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    def places(self, codes: np.ndarray, others: np.ndarray) -> np.ndarray:
+        out = self._of_code[codes]
+        if len(self.names):
+            at = np.minimum(np.searchsorted(self.names, others), len(self.names) - 1)
+            out[codes == 0] = np.where(self.names[at] == others, at, len(self.names))
         return out
 
 
@@ -103,7 +151,16 @@ def pack_names(codes: np.ndarray, names: np.ndarray) -> bytes:
     return _written(codes, names, 6)
 
 
+def pack_places(at: np.ndarray, codes: np.ndarray, names: np.ndarray) -> bytes:
+    """As ``pack_names``, of codes[at] and names[at]."""
+    codes = codes[at]
+    return _packed(codes, names[at[codes == 0]], 6)
+
+
 def _written(codes: np.ndarray, values: np.ndarray, size: int) -> bytes:
+    return _packed(codes, values[codes == 0], size)
+
+
+def _packed(codes: np.ndarray, others: np.ndarray, size: int) -> bytes:
     listed = pack(codes)
-    rest = np.ascontiguousarray(values[codes == 0].astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
-    return len(listed).to_bytes(8, "little") + listed + rest
+    return len(listed).to_bytes(8, "little") + listed + np.ascontiguousarray(others.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :size].tobytes()

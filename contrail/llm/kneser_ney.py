@@ -21,12 +21,14 @@ word u, where its context xu, its lower bigram uw and the number of its left
 neighbours are at home too.  Bigrams then count their left neighbours, those
 behind the start of a text their occurrences.  A token adds to the above
 ``log g(xu)`` if xu is known and what a known trigram adds; the model's arrays
-are made where they are looked up and not stored.
+are made where they are looked up and not stored.  Its n-grams stand in the
+order of the hashes of their words and name each word by its place in the
+shard's sorted array of hashes, as the counts do.
 
 Shards of the model are sorted arrays of hashes and
 values; a scoring task spools its shard to an unlinked file, maps it into
-memory and looks up the tokens of all texts that were sent there.  Sums come
-back per flush of texts.  At order 2 texts leave out the bigrams that a bounded
+memory and looks up the tokens of all texts that were sent there, those of many
+flushes at once.  Sums come back per flush, for the texts that asked there.  At order 2 texts leave out the bigrams that a bounded
 bitmap of the kept ones rules out.  No task and no driver holds the whole model.
 
 Defined results: a null or empty text is one end token.  A null id is held
@@ -49,13 +51,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.code_book import Book, pack, pack_names, pack_words, unpack, unpack_doubles
+from contrail.llm.code_book import Book, Names, pack, pack_names, pack_places, pack_words, read_names, read_words, unpack, unpack_doubles
 from contrail.llm.words import U64, mix, pack_gaps, pack_small, ranges, slices, split_words, unpack_gaps, unpack_small
 from contrail.session import ensure_checkpoint_dir
 
 SLICE = 1 << 20
 FLUSH = 2_000_000    # tokens
 CHUNK_BITS = 22
+ANSWERED = 1 << 22   # bytes of asked trigrams looked up at once
 BOOK = 1 << 18       # words of the code book; their number changes sizes, not results
 # Hashes of the two marks; the first only stands before a text, the other is a token.
 BEGIN, END = U64(0x0123456789ABCDEF), U64(0xFEDCBA9876543210)
@@ -63,7 +66,7 @@ _C = U64(0x9E3779B97F4A7C15)
 
 
 def _lower(data: np.ndarray) -> np.ndarray:
-    return np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+    return data + ((data - np.uint8(65) < 26) * np.uint8(32))
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -107,8 +110,12 @@ def _ranked(context: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndar
     The place behind the last stands for the 0 before the start of a text.
     """
     start = context == BEGIN
-    names, w = np.unique(np.append(token, BEGIN), return_inverse=True)
-    begin, w = w[-1], w[:-1].astype(np.int32)
+    w, names = pd.factorize(np.append(token, BEGIN))
+    order = np.argsort(names)
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    names, w = names[order], rank[w]
+    begin, w = w[-1], w[:-1]
     u, x = np.empty_like(w), np.empty_like(w)
     u[1:] = w[:-1]
     u[start] = begin
@@ -117,15 +124,96 @@ def _ranked(context: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndar
     return names, u, w, x
 
 
+def _key(bits: list[int], *columns: np.ndarray) -> np.ndarray | None:
+    """The columns in one number each row, the first one highest, if their bits allow it."""
+    if sum(bits) > 63:
+        return None
+    key = columns[0].astype(np.int64)
+    for n, c in zip(bits[1:], columns[1:], strict=True):
+        key <<= n
+        key |= c
+    return key
+
+
 def _order(u: np.ndarray, w: np.ndarray, x: np.ndarray | None, n: int) -> np.ndarray:
-    """Stable order by (u, w, x), all of them below n."""
-    if n ** (2 if x is None else 3) < 1 << 64:
-        key = u.astype(U64) * U64(n) + w.astype(U64)
-        if x is not None:
-            key *= U64(n)
-            key += x.astype(U64)
-        return np.argsort(key, kind="stable")
-    return np.lexsort((w, u) if x is None else (x, w, u))
+    """Stable order by (u, w, x), all of them below n; keys that end in places are sorted, which is faster than to sort the places."""
+    b, p, at = (n - 1).bit_length(), len(u).bit_length(), np.arange(len(u), dtype=np.int32)
+    key = _key([b, b, p], u, w, at) if x is None else _key([b, b, b, p], u, w, x, at)
+    if key is None and x is not None and (key := _key([b, b, p], u, w, at)) is not None:
+        key.sort()
+        order, key = (key & ((1 << p) - 1)).astype(np.int32), key >> p
+        pair = np.zeros(len(key), np.int32)
+        np.cumsum(key[1:] != key[:-1], out=pair[1:])
+        del key
+        if (key := _key([p, b, p], pair, x[order], at)) is not None:
+            key.sort()
+            return order[key & ((1 << p) - 1)]
+    if key is None:
+        return np.lexsort((w, u) if x is None else (x, w, u))
+    key.sort()
+    key &= (1 << p) - 1
+    return key
+
+
+def _summed(u: np.ndarray, w: np.ndarray, x: np.ndarray | None, c: np.ndarray | None, most: tuple[int, int]) -> tuple:
+    """The distinct (u, w, x) in order and the sums of their c, or how often they occur; u is below most[0], w and x are below most[1]."""
+    b, d = ((m - 1).bit_length() for m in most)
+    columns, bits = ((u, w), [b, d]) if x is None else ((u, w, x), [b, d, d])
+    e = 0 if c is None else int(c.max(initial=0)).bit_length()
+    if c is not None and (key := _key([*bits, e], *columns, c)) is not None:  # counts ride in the lowest bits
+        key.sort()
+        c, key = key & ((1 << e) - 1), key >> e
+    elif (key := _key(bits, *columns)) is not None:
+        if c is None:
+            key.sort()
+        else:
+            order = np.argsort(key)
+            key, c = key[order], c[order]
+    else:
+        order = np.lexsort(columns[::-1])
+        columns, c = [v[order] for v in columns], None if c is None else c[order]
+    at = _heads(*columns) if key is None else _heads(key)
+    c = np.diff(np.append(at, len(u))) if c is None else _summed_runs(c, at)
+    if key is None:
+        return *(v[at] for v in columns), c
+    key, out = key[at], []
+    for n in bits[:0:-1]:
+        out.append((key & ((1 << n) - 1)).astype(np.int32))
+        key >>= n
+    return key.astype(np.int32), *out[::-1], c
+
+
+def _texts_by_trigram(u: np.ndarray, w: np.ndarray, x: np.ndarray, doc: np.ndarray, n: int, texts: int) -> tuple:
+    """The distinct (u, w), how many x each has, these, how many texts each has, these, and how often; u, w and x are below n."""
+    b, d, p = (n - 1).bit_length(), texts.bit_length(), len(u).bit_length()
+    key = _key([b, b, p], u, w, np.arange(len(u), dtype=np.int32)) if p + b + d <= 63 else None
+    if key is None:
+        order = _order(u, w, x, n)
+        u, w, x, doc = u[order], w[order], x[order], doc[order]
+        at = _heads(u, w, x, doc)
+        times, docs = np.diff(np.append(at, len(u))), doc[at]
+        u, w, x = u[at], w[at], x[at]
+        at = _heads(u, w, x)
+        nd, u, w, x = np.diff(np.append(at, len(docs))), u[at], w[at], x[at]
+        at = _heads(u, w)
+        return u[at], w[at], np.diff(np.append(at, len(x))), x, nd, docs, times
+    key.sort()
+    order = (key & ((1 << p) - 1)).astype(np.int32)
+    key >>= p
+    new = np.zeros(len(key), dtype=bool)
+    new[1:] = key[1:] != key[:-1]
+    key = key[_heads(key)]
+    u, w = (key >> b).astype(np.int32), (key & ((1 << b) - 1)).astype(np.int32)
+    key = _key([p, b, d], np.cumsum(new, dtype=np.int32), x[order], doc[order])
+    del new, order
+    key.sort()
+    at = _heads(key)
+    times, key = np.diff(np.append(at, len(key))).astype(np.int32), key[at]
+    docs = (key & ((1 << d) - 1)).astype(np.int32)
+    key >>= d
+    at = _heads(key)
+    nd, key = np.diff(np.append(at, len(key))), key[at]
+    return u, w, np.bincount(key >> b, minlength=len(u)), (key & ((1 << b) - 1)).astype(np.int32), nd, docs, times
 
 
 def trigram_keys(before48: np.ndarray, context: np.ndarray, word48: np.ndarray) -> np.ndarray:
@@ -260,18 +348,15 @@ def _count_partition(bits: int, n: int, shared):
         book = shared.value
         for u, w, _, _ in _flushes(batches):
             names, u, w, x = _ranked(u, w)
-            order = _order(u, w, x if n == 3 else None, len(names) + 1)
-            u, w, x = u[order], w[order], x[order]
-            del order
             cx = np.zeros(0, np.int64)
             if n == 3:
-                at = _heads(u, w, x)
-                u, w, x, cx = u[at], w[at], x[at], np.diff(np.append(at, len(u)))
-            at = _heads(u, w)
-            nx = np.diff(np.append(at, len(u)))
-            c = _summed_runs(cx, at) if n == 3 else nx
-            x_at = np.append(at, len(u))
-            u, w = u[at], w[at]
+                u, w, x, cx = _summed(u, w, x, None, (len(names) + 1,) * 2)
+                at = _heads(u, w)
+                u, w, c, x_at = u[at], w[at], _summed_runs(cx, at), np.append(at, len(u))
+            else:
+                u, w, c = _summed(u, w, None, None, (len(names) + 1,) * 2)
+                x_at = np.zeros(len(u) + 1, np.int64)
+            nx = np.diff(x_at)
             first = _heads(u)
             us, nb, cu = names[u[first]], np.diff(np.append(first, len(u))), _summed_runs(c, first)
             codes, named = book.word_codes(us), np.append(short(names), U64(0))
@@ -280,8 +365,8 @@ def _count_partition(bits: int, n: int, shared):
             for shard, a, b in _shards(us, bits):
                 lo, hi = first[a], first[b] if b < len(first) else len(u)
                 t = slice(x_at[lo], x_at[hi])
-                more = (b"", pack(nx[lo:hi]), pack_names(coded[x[t]], named[x[t]]), pack(cx[t])) if n == 3 else (pack(c[lo:hi]), b"", b"", b"")
-                rows.append((shard, pack_words(codes[a:b], us[a:b]), pack(cu[a:b]), pack(nb[a:b]), pack_names(coded[w[lo:hi]], named[w[lo:hi]]), *more))
+                more = (b"", pack(nx[lo:hi]), pack_places(x[t], coded, named), pack(cx[t])) if n == 3 else (pack(c[lo:hi]), b"", b"", b"")
+                rows.append((shard, pack_words(codes[a:b], us[a:b]), pack(cu[a:b]), pack(nb[a:b]), pack_places(w[lo:hi], coded, named), *more))
             yield _record(_COUNTS, rows, [pa.int32()] + [pa.binary()] * 8)
 
     return run
@@ -297,30 +382,21 @@ def _merge_counts(least: int, n: int, shared):
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         book = shared.value
-        us, cu = [book.unpack_words(b) for b in frame["us"]], np.concatenate([unpack(b) for b in frame["cu"]])
-        each, flat = us, np.concatenate(us)
-        order = np.argsort(flat, kind="stable")
-        at = _heads(flat[order])
-        cu, us = _summed_runs(cu[order], at), flat[order][at]
-        del flat, order
-        u, w, c, x = [], [], [], []
-        for y, r in zip(each, frame.itertuples()):
-            y, nx = np.repeat(np.searchsorted(us, y).astype(np.int32), unpack(r.nb)), unpack(r.nx)
-            z = book.unpack_names(r.w)
-            u.append(np.repeat(y, nx) if n == 3 else y), w.append(np.repeat(z, nx) if n == 3 else z)
-            c.append(unpack(r.cx if n == 3 else r.cw)), x.append(book.unpack_names(r.x))
-        del each
-        u, w, c, x = (np.concatenate(a) for a in (u, w, c, x))
-        named, place = np.unique(np.concatenate([w, x]), return_inverse=True)
-        w, x = place[:len(w)].astype(np.int32), place[len(w):].astype(np.int32)
-        del place
-        order = _order(u, w, x if n == 3 else None, max(len(us), len(named)) + 1)
-        u, w, c = u[order], w[order], c[order]
-        nx, cx = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        us = np.concatenate([book.unpack_words(b) for b in frame["us"]])
+        read = lambda column: np.concatenate([unpack(b) for b in frame[column]])
+        cu, nb, nx = read("cu"), read("nb"), read("nx")
+        order = np.argsort(us, kind="stable")
+        at = _heads(us[order])
+        u = np.empty(len(us), np.int32)
+        u[order] = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(us))))
+        cu, us, u = _summed_runs(cu[order], at), us[order][at], np.repeat(u, nb)
+        del order, nb
+        w, x = read_names(frame["w"]), read_names(frame["x"])
+        named = Names(book, w, x)
+        w, x = named.places(*w), named.places(*x)
+        most = len(us), len(named)
         if n == 3:
-            x = x[order]
-            at = _heads(u, w, x)
-            u, w, x, cx = u[at], w[at], x[at], _summed_runs(c, at)
+            u, w, x, cx = _summed(np.repeat(u, nx), np.repeat(w, nx), x, read("cx"), most)
             at = _heads(u, w)
             begin = (us == BEGIN)[u]
             m = [int((cx[~begin] == k).sum()) for k in (1, 2, 3, 4)]
@@ -328,14 +404,14 @@ def _merge_counts(least: int, n: int, shared):
             u, w, begin = u[at], w[at], begin[at]
             c = np.where(begin, _summed_runs(cx, at), nx)
         else:
-            at = _heads(u, w)
-            u, w, c, m = u[at], w[at], _summed_runs(c, at), [0] * 4
+            u, w, c = _summed(u, w, None, read("cw"), most)
+            cx, m = nx, [0] * 4
         keep = c >= least
         u, w, c = u[keep], w[keep], c[keep]
         nb = np.bincount(u, minlength=len(us))
-        word, coded = us != BEGIN, book.codes(named)
-        return pd.DataFrame([(frame["shard"].iloc[0], pack_words(book.word_codes(us), us), pack(cu), pack(nb), pack_names(coded[w], named[w]), pack(c),
-                              pack(nx), pack_names(coded[x], named[x]), pack(cx), int(word.sum()), int(cu[word].sum()), len(c), int(c.sum()),
+        word = us != BEGIN
+        return pd.DataFrame([(frame["shard"].iloc[0], pack_words(book.word_codes(us), us), pack(cu), pack(nb), pack_places(w, named.codes, named.names), pack(c),
+                              pack(nx), pack_places(x, named.codes, named.names), pack(cx), int(word.sum()), int(cu[word].sum()), len(c), int(c.sum()),
                               *(int((c == k).sum()) for k in (1, 2, 3, 4)), int(cu[~word].sum()), *m)], columns=["shard", *_ARRAYS, *_SUMS])
 
     return run
@@ -372,23 +448,6 @@ class Totals:
         return less / max(1, self.types) + self.reserve / (self.words + 1)
 
 
-def _contexts(r, book: Book) -> tuple:
-    """Arrays of a merged shard: contexts, counts, and per kept bigram context rank, word, count."""
-    us = book.unpack_words(r.us)
-    return us, unpack(r.cu), np.repeat(np.arange(len(us)), unpack(r.nb)), book.unpack_names(r.w), unpack(r.cw)
-
-
-def _by_word(w: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(shard of the word, its distinct words, order of the entries) for kept bigrams' words."""
-    order = np.argsort(w, kind="stable")
-    at = _heads(w[order])
-    distinct = w[order][at]
-    run = np.diff(np.append(at, len(w)))
-    for shard, a, b in _shards(distinct << U64(16), bits):
-        where, _ = ranges(at[a:b], run[a:b])
-        yield shard, distinct[a:b], order[where]
-
-
 def _sent_words(t: Totals, shared):
     """Per kept bigram list: to each word's shard its words, types and, if some bigrams are not kept, tokens."""
 
@@ -396,12 +455,12 @@ def _sent_words(t: Totals, shared):
         book = shared.value
         for frame in frames:
             for r in frame.itertuples():
-                w, c = book.unpack_names(r.w), unpack(r.cw)
-                rows = []
-                for shard, words, order in _by_word(w, t.bits):
-                    at = _heads(w[order])
-                    tokens = b"" if t.least == 1 else pack(_summed_runs(c[order], at))
-                    rows.append((shard, r.shard, pack_names(book.codes(words), words), pack(np.diff(np.append(at, len(order)))), tokens))
+                w, rows = read_names([r.w]), []
+                named = Names(book, w)
+                w = named.places(*w)
+                types, tokens = np.bincount(w, minlength=len(named)), None if t.least == 1 else np.bincount(w, unpack(r.cw), len(named)).astype(np.int64)
+                for shard, a, b in _shards(named.names << U64(16), t.bits):
+                    rows.append((shard, r.shard, pack_names(named.codes[a:b], named.names[a:b]), pack(types[a:b]), b"" if tokens is None else pack(tokens[a:b])))
                 yield pd.DataFrame(rows, columns=["shard", "origin", "w", "types", "tokens"])
 
     return run
@@ -429,73 +488,138 @@ def _neighbours(sent: pd.DataFrame, us: np.ndarray, cu: np.ndarray, t: Totals, b
     w48 = short(us)
     for r in sent.itertuples():
         at = np.searchsorted(w48, book.unpack_names(r.w))
-        np.add.at(n, at, unpack(r.types) - (0 if t.least == 1 else unpack(r.tokens)))
+        n[at] += unpack(r.types) - (0 if t.least == 1 else unpack(r.tokens))  # a row has a word once
     return n
 
 
-def _count_neighbours(t: Totals, shared):
-    def run(key, sent: pd.DataFrame, merged: pd.DataFrame) -> pd.DataFrame:
-        n = _neighbours(sent, *_own_words(merged, t, int(key[0]), shared.value), t, shared.value)
-        return pd.DataFrame([(int(n.sum()), *(int((n == k).sum()) for k in (1, 2, 3, 4)))], columns=["types", "n1", "n2", "n3", "n4"])
-
-    return run
-
-
 def _replies(t: Totals, shared):
-    """Numbers of left neighbours back to the shards that sent words, and to the own one (origin -1)."""
+    """Numbers of left neighbours back to the shards that sent words, and to the own one (origin -1) with their statistics."""
 
     def run(key, sent: pd.DataFrame, merged: pd.DataFrame) -> pd.DataFrame:
         book = shared.value
         us, cu = _own_words(merged, t, int(key[0]), book)
         n = _neighbours(sent, us, cu, t, book)
         w48 = short(us)
-        rows = [(r.origin, int(key[0]), pack(n[np.searchsorted(w48, book.unpack_names(r.w))])) for r in sent.itertuples()]
-        rows.append((int(key[0]), -1, pack(n)))
-        return pd.DataFrame(rows, columns=["shard", "origin", "n"])
+        rows = [(r.origin, int(key[0]), pack(n[np.searchsorted(w48, book.unpack_names(r.w))]), *[0] * 5) for r in sent.itertuples()]
+        rows.append((int(key[0]), -1, pack(n), int(n.sum()), *(int((n == k).sum()) for k in (1, 2, 3, 4))))
+        return pd.DataFrame(rows, columns=[x.split()[0] for x in _REPLIES.split(", ")])
 
     return run
 
 
+_REPLIES = "shard int, origin int, n binary, types long, n1 long, n2 long, n3 long, n4 long"
 _MODEL = "shard int, us binary, cu binary, value binary, keys binary, adds binary"
 
 
-def _model_arrays(t: Totals, shard: int, merged: pd.DataFrame, replies: pd.DataFrame, book: Book) -> tuple:
-    """Per word count and log p1 + log g; sorted keys of n-grams and what each adds."""
+@dataclass
+class Bigrams:
+    """What a shard of the model knows of words and of the bigrams behind them."""
+    words: np.ndarray    # sorted hashes
+    counts: np.ndarray
+    value: np.ndarray    # log p1 + log g
+    us: np.ndarray       # sorted hashes of the contexts
+    names: Names         # of the words behind them and, at order 3, before them
+    rank: np.ndarray     # of a bigram's context
+    w: np.ndarray        # place of its word
+    p: np.ndarray        # its probability
+    below: np.ndarray    # what of it comes from its word alone
+
+
+def _bigrams(t: Totals, shard: int, merged: pd.DataFrame, replies: pd.DataFrame, book: Book) -> Bigrams:
     words, counts = _own_words(merged, t, shard, book)
     got = {int(r.origin): t.p1(unpack(r.n)) for r in replies.itertuples()}
     value = np.log10(got.get(-1, np.zeros(0)))
-    keys, adds = np.zeros(0, U64), np.zeros(0)
-    for r in merged.itertuples():
-        us, cu, rank, w, c = _contexts(r, book)
-        total = np.bincount(rank, c, minlength=len(us)) if t.least == 1 else cu
-        own = t.discounted(c) / total[rank]
-        g = np.maximum(1 - np.bincount(rank, own, minlength=len(us)), 1e-12)
-        p = np.zeros(len(w))
-        for origin, distinct, order in _by_word(w, t.bits):
-            p[order] = got[origin][np.searchsorted(distinct, w[order])]
-        below = g[rank] * p
-        keys, adds = bigram_keys(us[rank], w), np.log10(own + below) - np.log10(below)
-        if t.order == 3:
-            of, x, cx = np.repeat(np.arange(len(w)), unpack(r.nx)), book.unpack_names(r.x), unpack(r.cx)
-            u = us[rank][of]
-            inner = u != BEGIN
-            of, x, cx, u = of[inner], x[inner], cx[inner], u[inner]
-            pairs, pair = np.unique(pair_keys(x, u), return_inverse=True)
-            own3 = (cx - np.array([0, *t.d3])[np.minimum(cx, 3)]) / np.bincount(pair, cx, minlength=len(pairs))[pair]
-            g3 = np.maximum(1 - np.bincount(pair, own3, minlength=len(pairs)), 1e-12)
-            below3 = g3[pair] * (own + below)[of]
-            keys = np.concatenate([keys, trigram_keys(x, u, w[of]), pairs])
-            adds = np.concatenate([adds, np.log10(own3 + below3) - np.log10(below3), np.log10(g3)])
-        if len(words):
-            known = np.searchsorted(words, us)
-            inside = us != BEGIN
-            value[known[inside]] += np.log10(g[inside])
-        start = us == BEGIN
-        if start.any():  # its weight stands under its own hash, without a count
-            at = int(np.searchsorted(words, BEGIN))
-            words, counts, value = np.insert(words, at, BEGIN), np.insert(counts, at, 0), np.insert(value, at, np.log10(g[start][0]))
+    column = lambda c: merged[c].iloc[0] if len(merged) else b""
+    us, cu, c, w, x = book.unpack_words(column("us")), unpack(column("cu")), unpack(column("cw")), read_names([column("w")]), read_names([column("x")])
+    names = Names(book, w, x)
+    rank, w = np.repeat(np.arange(len(us), dtype=np.int32), unpack(column("nb"))), names.places(*w)
+    total = np.bincount(rank, c, minlength=len(us)) if t.least == 1 else cu
+    own = t.discounted(c) / total[rank]
+    g = np.maximum(1 - np.bincount(rank, own, minlength=len(us)), 1e-12)
+    there = np.bincount(w, minlength=len(names)) > 0  # words in the order of their names are asked of one shard after the other
+    p = np.concatenate([np.zeros(0), *[got[o] for o in sorted(got) if o >= 0]])
+    below = g[rank] * p[(np.cumsum(there) - 1)[w]]
+    if len(words):
+        inside = us != BEGIN
+        value[np.searchsorted(words, us)[inside]] += np.log10(g[inside])
+    if (start := us == BEGIN).any():  # its weight stands under its own hash, without a count
+        at = int(np.searchsorted(words, BEGIN))
+        words, counts, value = np.insert(words, at, BEGIN), np.insert(counts, at, 0), np.insert(value, at, np.log10(g[start][0]))
+    return Bigrams(words, counts.astype(np.int64), value, us, names, rank, w, own + below, below)
+
+
+def _gain(p: np.ndarray, below: np.ndarray) -> np.ndarray:
+    return np.log10(p / below).astype(np.float32)
+
+
+def _model_arrays(t: Totals, shard: int, merged: pd.DataFrame, replies: pd.DataFrame, book: Book) -> tuple:
+    """Per word count and log p1 + log g; sorted keys of bigrams and what each adds."""
+    b = _bigrams(t, shard, merged, replies, book)
+    keys = bigram_keys(b.us[b.rank], b.names.names[b.w])
     order = np.argsort(keys)
-    return words, counts.astype(np.int64), value, keys[order], adds[order].astype(np.float32)
+    return b.words, b.counts, b.value, keys[order], _gain(b.p, b.below)[order]
+
+
+class Trigrams:
+    """A shard of a model of order 3: n-grams in the order of the hashes of their words, found by the places of these in their sorted arrays."""
+
+    def __init__(self, t: Totals, shard: int, merged: pd.DataFrame, replies: pd.DataFrame, book: Book):
+        b = _bigrams(t, shard, merged, replies, book)
+        self.unknown, self.names = np.log10(t.p1(np.zeros(1, np.int64)))[0], b.names
+        column = lambda c: merged[c].iloc[0] if len(merged) else b""
+        of, x, cx = np.repeat(np.arange(len(b.w)), unpack(column("nx"))), b.names.places(*read_names([column("x")])), unpack(column("cx"))
+        inner = (b.us != BEGIN)[b.rank[of]]
+        of, x, cx = of[inner], x[inner], cx[inner]
+        u, self.n = b.rank[of], len(b.names) + 1  # one more for all unknown words
+        order = _order(u, x, None, max(self.n, len(b.us)))
+        at = _heads(u[order], x[order])
+        pair = np.empty(len(order), np.int32)
+        pair[order] = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(order))))
+        pairs = u[order][at].astype(np.int64) * self.n + x[order][at]
+        own = (cx - np.array([0, *t.d3])[np.minimum(cx, 3)]) / np.bincount(pair, cx, minlength=len(pairs))[pair]
+        g = np.maximum(1 - np.bincount(pair, own, minlength=len(pairs)), 1e-12)
+        below = g[pair] * b.p[of]
+        arrays = (b.words, b.counts, b.value, b.us, b.rank.astype(np.int64) * self.n + b.w, _gain(b.p, b.below),
+                  of * self.n + x, _gain(own + below, below), pairs, np.log10(g).astype(np.float32))
+        self.words, self.counts, self.value, self.us, self.bigrams, self.adds2, self.trigrams, self.adds3, self.pairs, self.weights = _mapped(*arrays)
+
+    def word_values(self, us: np.ndarray) -> np.ndarray:
+        at, there = _place(self.words, us)
+        return np.where(there, self.value[at], np.where(us == BEGIN, 0.0, self.unknown)) if len(self.words) else np.where(us == BEGIN, 0.0, self.unknown)
+
+    def word_counts(self, us: np.ndarray) -> np.ndarray:
+        at, there = _place(self.words, us)
+        return np.where(there, self.counts[at], 0) if len(self.words) else np.zeros(len(us), np.int64)
+
+    def added(self, us: np.ndarray, nb: np.ndarray, w: np.ndarray, nx: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """log p of each asked trigram: nb words w behind each context, nx words x before each bigram, w and x by their places."""
+        at, there = _place(self.us, us)
+        u = np.repeat(np.where(there, at, len(self.us)), nb)
+        at, there = _place(self.bigrams, u * self.n + w)
+        out = np.repeat(self.word_values(us), nb)
+        out[there] += self.adds2[at[there]]
+        out, of = np.repeat(out, nx), np.repeat(np.where(there, at, -1), nx)
+        for table, values, first in ((self.trigrams, self.adds3, of), (self.pairs, self.weights, np.repeat(u, nx))):
+            asked = np.flatnonzero((first >= 0) & (x < self.n - 1))
+            at, there = _place(table, first[asked] * self.n + x[asked])
+            out[asked[there]] += values[at[there]]
+        return out
+
+
+def _place(table: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where x stand in a sorted table, and whether they do."""
+    if not len(table):
+        return np.zeros(len(x), np.int64), np.zeros(len(x), dtype=bool)
+    p = len(x).bit_length()
+    key = _key([int(x.max(initial=0)).bit_length(), p], x, np.arange(len(x), dtype=np.int32)) if x.dtype == np.int64 else None
+    if key is None:
+        at = np.searchsorted(table, x)
+    else:  # looked up in their order, steps lead through memory that is at hand
+        key.sort()
+        at = np.empty(len(x), np.int64)
+        at[key & ((1 << p) - 1)] = np.searchsorted(table, key >> p)
+    at = np.minimum(at, len(table) - 1)
+    return at, table[at] == x
 
 
 def _valued(t: Totals, shared):
@@ -628,31 +752,22 @@ def _ask_trigrams(bits: int, shared=None, mass: int = 1):
             names, u, w, x = _ranked(u, w)
             codes, named = book.word_codes(names), np.append(short(names), U64(0))
             coded, c = book.codes(named), book.counts[codes]
-            plain = np.bincount(doc, np.where(c > 0, np.log10((c + 1) / mass), 0.0)[w], minlength=n)
-            known = np.bincount(doc, (c > 0)[w], minlength=n).astype(np.int64)
-            order = _order(u, w, x, len(names) + 1)
-            u, w, x, doc = u[order], w[order], x[order], doc[order]
-            del order
-            at = _heads(u, w, x)
-            run_no = np.repeat(np.arange(len(at), dtype=np.int32), np.diff(np.append(at, len(u))))
-            u, w, x = u[at], w[at], x[at]
-            del at
-            nd, docs, times = _references(run_no, doc)
-            del run_no, doc
+            starts = np.cumsum(size) - size  # every text has a token, its end
+            plain = _summed_runs(np.where(c > 0, np.log10((c + 1) / mass), 0.0)[w], starts)
+            known = _summed_runs((c > 0).astype(np.int64)[w], starts)
+            u, w, nx, x, nd, docs, times = _texts_by_trigram(u, w, x, doc, len(names) + 1, n)
+            del doc
             gaps, r_at = _gaps(docs, nd), np.concatenate(([0], np.cumsum(nd)))
             del docs
-            at = _heads(u, w)
-            x_at, u, w = np.append(at, len(u)), u[at], w[at]
-            del at
-            nx, first = np.diff(x_at), _heads(u)
+            x_at, first = np.concatenate(([0], np.cumsum(nx))), _heads(u)
             us, codes, b_at = names[u[first]], codes[u[first]], np.append(first, len(u))
             nb, rows = np.diff(b_at), []
             for shard, a, b in _shards(us, bits):
                 e = slice(b_at[a], b_at[b])
                 d = slice(x_at[e.start], x_at[e.stop])
                 f = slice(r_at[d.start], r_at[d.stop])
-                rows.append((shard, base + number, n, pack_words(codes[a:b], us[a:b]), pack(nb[a:b]), pack_names(coded[w[e]], named[w[e]]), pack(nx[e]),
-                             pack_names(coded[x[d]], named[x[d]]), pack(nd[d]), pack(gaps[f]), pack(times[f]), None, None, None, None, None))
+                rows.append((shard, base + number, n, pack_words(codes[a:b], us[a:b]), pack(nb[a:b]), pack_places(w[e], coded, named), pack(nx[e]),
+                             pack_places(x[d], coded, named), pack(nd[d]), pack(gaps[f]), pack(times[f]), None, None, None, None, None))
             known_ids = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             flags = held.to_numpy(zero_copy_only=False).astype(np.uint8) + 2 * np.asarray(ids.is_null().to_numpy(zero_copy_only=False), dtype=np.uint8)
             rows.append((number % (1 << bits), base + number, n, *[None] * 8, known_ids.tobytes(), flags.tobytes(), size.tobytes(), pack(plain), pack(known)))
@@ -669,7 +784,7 @@ def _mapped(*arrays: np.ndarray) -> list[np.ndarray]:
             places.append(f.tell())
             f.write(a.tobytes())
         f.flush()
-        return [np.memmap(f, dtype=a.dtype, mode="r", offset=at, shape=a.shape) if len(a) else a for a, at in zip(arrays, places)]
+        return [np.asarray(np.memmap(f, dtype=a.dtype, mode="r", offset=at, shape=a.shape)) if len(a) else a for a, at in zip(arrays, places)]
 
 
 def _bucket_starts(keys: np.ndarray) -> tuple[np.ndarray, int]:
@@ -695,7 +810,8 @@ def _looked_up(keys: np.ndarray, values: np.ndarray, starts: tuple[np.ndarray, i
     return np.where(keys[at] == x, values[at], 0.0).astype(np.float64)
 
 
-_PARTS = "flush long, texts int, score binary, base binary, known binary, ids binary, held binary, size binary"
+# docs and rare are the texts that score, base and known are of; none: all texts of the flush.
+_PARTS = "flush long, texts int, docs binary, score binary, rare binary, base binary, known binary, ids binary, held binary, size binary"
 
 
 def _answer(t: Totals):
@@ -707,10 +823,10 @@ def _answer(t: Totals):
         for r in model.itertuples():
             parts = [np.frombuffer(x, dtype=k) for x, k in ((r.us, U64), (r.cu, np.int64), (r.value, np.float64), (r.keys, U64), (r.adds, np.float32))]
         words, counts, value, keys, adds = _mapped(*parts)
-        rows = []
+        starts, rows = _bucket_starts(keys), []
         for r in asked.itertuples():
             if r.ids is not None:
-                rows.append((r.flush, r.texts, None, None, None, r.ids, r.held, r.size))
+                rows.append((r.flush, r.texts, *[None] * 5, r.ids, r.held, r.size))
                 continue
             us, nd = np.frombuffer(r.us, dtype=U64), unpack_small(r.nd)
             docs, times = _from_gaps(unpack_small(r.docs), nd), unpack_small(r.times)
@@ -726,10 +842,9 @@ def _answer(t: Totals):
             if len(keys):
                 k = bigram_keys(np.repeat(us, unpack_small(r.nb)), _unpack48(r.w))
                 bd = unpack_small(r.bd)
-                at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
-                add = np.where(keys[at] == k, adds[at], 0.0).astype(np.float64)
+                add = _looked_up(keys, adds, starts, k)
                 score += np.bincount(_from_gaps(unpack_small(r.bdocs), bd), unpack_small(r.btimes) * np.repeat(add, bd), minlength=r.texts)
-            rows.append((r.flush, r.texts, pack(score), pack(base), pack(known.astype(np.int64)), None, None, None))
+            rows.append((r.flush, r.texts, None, pack(score), None, pack(base), pack(known.astype(np.int64)), None, None, None))
         return pd.DataFrame(rows, columns=[x.split()[0] for x in _PARTS.split(", ")])
 
     return run
@@ -737,46 +852,54 @@ def _answer(t: Totals):
 
 def _answer_trigrams(t: Totals, shared):
     """As ``_answer``, with every token asked by its trigram; the shard's arrays are made of its counts and of the replies, which come among the asked."""
-    unknown = np.log10(t.p1(np.zeros(1, np.int64)))[0]
 
     def run(key, asked: pd.DataFrame, merged: pd.DataFrame) -> pd.DataFrame:
         book, reply = shared.value, asked["n"].notna()
-        words, counts, value, keys, adds = _mapped(*_model_arrays(t, int(key[0]), merged, asked[reply], book))
-        starts = _bucket_starts(keys)
-
-        def found(table: np.ndarray, values: np.ndarray, x: np.ndarray, other) -> np.ndarray:
-            if not len(table):
-                return np.full(len(x), other, dtype=np.float64)
-            at = np.minimum(np.searchsorted(table, x), len(table) - 1)
-            return np.where(table[at] == x, values[at], other).astype(np.float64)
-
-        rows = []
-        for r in asked[~reply].astype({"flush": "int64", "texts": "int64"}).itertuples():  # nulls beside them made them doubles
-            if r.ids is not None:
-                rows.append((r.flush, r.texts, None, r.base, r.known, r.ids, r.held, r.size))
-                continue
-            us, w, x = book.unpack_words(r.us), book.unpack_names(r.w), book.unpack_names(r.x)
-            nb, nx, nd = unpack(r.nb), unpack(r.nx), unpack(r.nd)
-            start = us == BEGIN
-            v = np.where(start, found(words, value, us, 0.0), found(words, value, us, unknown))
-            u, of = np.repeat(us, nb), np.repeat(np.repeat(np.arange(len(us)), nb), nx)
-            add = np.repeat(np.repeat(v, nb) + _looked_up(keys, adds, starts, bigram_keys(u, w)), nx)
-            u3, w3 = us[of], np.repeat(w, nx)
-            add += np.where(start[of], 0.0, _looked_up(keys, adds, starts, trigram_keys(x, u3, w3)) + _looked_up(keys, adds, starts, pair_keys(x, u3)))
-            docs, times = _from_gaps(unpack(r.docs), nd), unpack(r.times)
-            score = np.bincount(docs, times * np.repeat(add, nd), minlength=r.texts)
-            rare = ~start & (book.counts[book.word_codes(us)] == 0)  # the others are summed where they are asked
-            c = np.where(rare, found(words, counts, us, 0), 0)
-            at = np.repeat(rare[of], nd)
-            of, docs, times = np.repeat(of, nd)[at], docs[at], times[at]
-            base = np.bincount(docs, times * np.log10((c + 1) / (t.tokens + t.words + 1))[of], minlength=r.texts)
-            known = np.bincount(docs, times * (c > 0)[of], minlength=r.texts).astype(np.int64)
-            rows.append((r.flush, r.texts, pack(score), pack(base), pack(known), None, None, None))
+        model, rows = Trigrams(t, int(key[0]), merged, asked[reply], book), []
+        asked = asked[~reply].astype({"flush": "int64", "texts": "int64"})  # nulls beside them made them doubles
+        whole = asked["ids"].notna()
+        for r in asked[whole].itertuples():
+            rows.append((r.flush, r.texts, None, None, None, r.base, r.known, r.ids, r.held, r.size))
+        asked = asked[~whole]
+        size = np.array([len(a) + len(b) for a, b in zip(asked["x"], asked["docs"])], np.int64) + 8 * asked["texts"].to_numpy()
+        for _, some in asked.groupby(np.cumsum(size) // ANSWERED, sort=False):
+            rows += _answered(some, model, t, book)
         return pd.DataFrame(rows, columns=[x.split()[0] for x in _PARTS.split(", ")])
 
     return run
 
 
+def _answered(asked: pd.DataFrame, model: Trigrams, t: Totals, book: Book) -> list[tuple]:
+    """Sums per text of some rows, looked up at once: what a row costs besides does not grow with the number of shards."""
+    read = lambda column: np.concatenate([unpack(b) for b in asked[column]])
+    nb, nx, nd, times = read("nb"), read("nx"), read("nd"), read("times")
+    contexts = [read_words([b]) for b in asked["us"]]
+    codes, others = (np.concatenate(x) for x in zip(*contexts))
+    us = book.words[codes]
+    us[codes == 0] = others
+    first = np.cumsum([0, *asked["texts"]])  # the texts of all flushes in a row
+    add = model.added(us, nb, model.names.places(*read_names(asked["w"])), nx, model.names.places(*read_names(asked["x"])))
+    end = np.concatenate(([0], np.cumsum(nd)))[np.concatenate(([0], np.cumsum(nx)))[np.concatenate(([0], np.cumsum(nb)))]]
+    start, count = end[:-1], np.diff(end)  # of each context's texts
+    docs = _from_gaps(read("docs"), nd) + np.repeat(np.repeat(first[:-1], [len(c) for c, _ in contexts]), count)
+    rare = np.flatnonzero((book.counts[codes] == 0) & (us != BEGIN))  # the others are summed where they are asked
+    c = model.word_counts(us[rare])
+    at, of = ranges(start[rare], count[rare])
+    scores = _per_text(docs, first, times * np.repeat(add, nd))
+    bases = _per_text(docs[at], first, times[at] * np.log10((c + 1) / (t.tokens + t.words + 1))[of], times[at] * (c > 0)[of])
+    return [(flush, texts, *a, *b, None, None, None) for flush, texts, a, b in zip(asked["flush"], asked["texts"], scores, bases)]
+
+
+def _per_text(docs: np.ndarray, first: np.ndarray, values: np.ndarray, counts: np.ndarray | None = None) -> Iterator[tuple]:
+    """Per flush the texts that occur in docs, packed by their gaps, and their sums of values and of counts."""
+    n = int(first[-1])
+    there = np.flatnonzero(np.bincount(docs, minlength=n))
+    values, counts = np.bincount(docs, values, n)[there], None if counts is None else np.bincount(docs, counts, n)[there].astype(np.int64)
+    edges = np.searchsorted(there, first)
+    for a, b, start in zip(edges[:-1].tolist(), edges[1:].tolist(), first.tolist()):
+        yield pack(np.diff(there[a:b] - start, prepend=0)), pack(values[a:b]), *(() if counts is None else (pack(counts[a:b]),))
+
+
 _SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -790,10 +913,10 @@ def _texts_of_flush(t: Totals, end_value: float):
             if r.ids is not None:
                 ids, flags, size = np.frombuffer(r.ids, dtype=np.int64), np.frombuffer(r.held, dtype=np.uint8), np.frombuffer(r.size, dtype=np.int64)
             if r.score is not None:
-                score += unpack_doubles(r.score)
+                score[_texts(r.docs)] += unpack_doubles(r.score)
             if r.base is not None:
-                base += unpack_doubles(r.base)
-                known += unpack(r.known)
+                base[_texts(r.rare)] += unpack_doubles(r.base)
+                known[_texts(r.rare)] += unpack(r.known)
         doc_id = pd.array(ids, dtype="Int64")
         doc_id[flags >= 2] = pd.NA
         return pd.DataFrame({"doc_id": doc_id, "held_out": flags % 2 == 1, "n_tokens": size, "n_known": known + (t.texts > 0),
@@ -802,6 +925,10 @@ def _texts_of_flush(t: Totals, end_value: float):
     return run
 
 
+def _texts(gaps: bytes | None) -> np.ndarray | slice:
+    return slice(None) if gaps is None else np.cumsum(unpack(gaps))
+
+
 def _stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     df.write.parquet(f"{folder}/{name}")
     return df.sparkSession.read.parquet(f"{folder}/{name}")
@@ -843,12 +970,13 @@ def fit(train: DataFrame, folder: str, bits: int, order: int, least: int, shared
                least=least, order=order, d3=discounts(s["m1"], s["m2"], s["m3"], s["m4"]))
     sent = merged.select("shard", "w", "cw").mapInPandas(_sent_words(t, shared), _SENT)
     both = sent.groupBy("shard").cogroup(merged.select("shard", "us", "cu").groupBy("shard"))
-    m = both.applyInPandas(_count_neighbours(t, shared), "types long, n1 long, n2 long, n3 long, n4 long").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("types", "n1", "n2", "n3", "n4")]).first()
+    replies = _stored(both.applyInPandas(_replies(t, shared), _REPLIES), folder, "replies")
+    m = replies.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("types", "n1", "n2", "n3", "n4")]).first()
     t.types = m["types"]
     t.lower = discounts(m["n1"], m["n2"], m["n3"], m["n4"])
     more = t.words - m["n1"] - m["n2"]
     t.reserve = (t.lower[0] * m["n1"] + t.lower[1] * m["n2"] + t.lower[2] * more) / t.types if t.types else 1.0
-    return merged, _stored(both.applyInPandas(_replies(t, shared), "shard int, origin int, n binary"), folder, "replies"), t
+    return merged, replies.select("shard", "origin", "n"), t
 
 
 def score_texts(docs: DataFrame, train: DataFrame, held_out, shard_tokens: int = 3_000_000, order: int = 2, least: int = 2) -> DataFrame:

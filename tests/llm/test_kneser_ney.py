@@ -242,3 +242,74 @@ def test_keys_are_looked_up_by_their_top_bits(n):
     x = np.concatenate([keys, rng.integers(0, 1 << 64, 3000, dtype=np.uint64), np.array([0, (1 << 64) - 1], np.uint64)])
     have = dict(zip(keys.tolist(), values.tolist()))
     assert K._looked_up(keys, values, K._bucket_starts(keys), x).tolist() == [have.get(k, 0.0) for k in x.tolist()]
+
+
+def small_texts(n):
+    import pyarrow as pa
+    texts = [f"w{i} v{i % 7}" for i in range(n)]
+    return pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([False] * n), pa.array(texts)], ["doc_id", "held_out", "text"])
+
+
+@pytest.mark.parametrize("bits", [2, 9])
+def test_shards_return_only_texts_they_know_of(monkeypatch, bits):
+    """Sums that all shards return for a flush: one for each text that asks there, not one for each text and shard."""
+    from types import SimpleNamespace
+
+    import pandas as pd
+    monkeypatch.setattr(K, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    asked = pd.concat([b.to_pandas() for b in K._ask_trigrams(bits)(iter([small_texts(500)]))]).assign(n=None)
+    run = K._answer_trigrams(K.Totals(bits, 10, 3, 0, (0.5, 1.0, 1.5), 0, least=1, order=3), SimpleNamespace(value=K._book()))
+    parts = pd.concat([run((shard,), rows, pd.DataFrame(columns=[*K._ARRAYS])) for shard, rows in asked.groupby("shard")])
+    returned = sum(len(K.unpack_doubles(x)) for x in parts["score"] if x is not None)
+    assert 500 <= returned <= 500 * 3  # at most one for each token
+    whole = K._texts_of_flush(K.Totals(bits, 10, 3, 2, (), 0), 0.0)(parts)
+    assert whole["doc_id"].tolist() == list(range(500)) and (whole["n_tokens"] == 3).all() and (whole["score"] < 0).all()
+
+
+@pytest.mark.parametrize("n", [6, 1 << 20, 1 << 30])
+def test_sums_and_texts_of_trigrams(n):
+    """The same whether a row fits one key (small n) or not."""
+    import numpy as np
+    rng = np.random.default_rng(6)
+    for size in (0, 1, 400):
+        u, w, x = rng.integers(0, 6, (3, size)).astype(np.int32)
+        doc, c = np.sort(rng.integers(0, 20, size)).astype(np.int32), rng.integers(1, 1 << 20, size)
+        summed, often, texts = collections.Counter(), collections.Counter(), collections.Counter(zip(u.tolist(), w.tolist(), x.tolist(), doc.tolist()))
+        for k, v in zip(zip(u.tolist(), w.tolist(), x.tolist()), c.tolist()):
+            summed[k] += v
+            often[k] += 1
+        for got, want in ((K._summed(u, w, x, c, (n, n)), summed), (K._summed(u, w, x, None, (n, n)), often)):
+            assert list(zip(*(a.tolist() for a in got))) == [(*k, v) for k, v in sorted(want.items())]
+        pu, pw, nx, px, nd, docs, times = K._texts_by_trigram(u, w, x, doc, n, 20)
+        of = np.repeat(np.repeat(np.arange(len(pu)), nx), nd)
+        got = list(zip(pu[of].tolist(), pw[of].tolist(), np.repeat(px, nd).tolist(), docs.tolist(), times.tolist()))
+        assert got == [(*k, v) for k, v in sorted(texts.items())]
+
+
+def test_answers_do_not_depend_on_how_many_rows_are_looked_up_at_once(spark, hard_docs, monkeypatch):
+    docs, got = hard_docs.select("doc_id", "text"), []
+    for most in (1, 1 << 22):
+        monkeypatch.setattr(K, "FLUSH", 300)
+        monkeypatch.setattr(K, "ANSWERED", most)
+        rows = K.score_texts(docs, docs.where(~held()), held(), order=3, least=1).collect()
+        got.append(sorted((repr(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 8), round(r["score"], 8)) for r in rows))
+    assert got[0] == got[1]
+
+
+def test_places_of_names():
+    import numpy as np
+
+    from contrail.llm import code_book as B
+    rng = np.random.default_rng(7)
+    words = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+    for book in (K._book(), K._book(words[:100], np.arange(100))):
+        names = K.short(words[:200])[rng.integers(0, 200, 900)]
+        held = B.Names(book, B.read_names([B.pack_names(book.codes(names[a:a + 300]), names[a:a + 300]) for a in (0, 300, 600)]))
+        assert (held.names == np.unique(names)).all() and (book.names[held.codes[held.codes > 0]] == held.names[held.codes > 0]).all()
+        asked = K.short(words)
+        at = held.places(book.codes(asked), asked[book.codes(asked) == 0])
+        assert at.tolist() == [int(np.searchsorted(held.names, v)) if v in names else len(held) for v in asked]
+        again = B.pack_places(at[at < len(held)], held.codes, held.names)
+        assert (book.unpack_names(again) == asked[at < len(held)]).all()
+    empty = B.Names(K._book(), B.read_names([]), B.read_names([b""]))
+    assert len(empty) == 0 and empty.places(np.array([0, 2]), np.array([7], np.uint64)).tolist() == [0, 0]
