@@ -12,12 +12,14 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions.features import DELAY_THRESHOLD, delay_flag
+from contrail.operators import trees
 from contrail.operators.imputing import ModeImputer, category_modes  # noqa: F401
 from contrail.operators.metrics import metric_aggs
 from contrail.session import stored
@@ -154,37 +156,52 @@ def evaluate_all(models: dict[str, PipelineModel], df: DataFrame, label: str) ->
     return {name: {k: r[c][k] for k in ("n", "r2_score", "mae", "rmse", "mse")} for name, c in zip(models, names)}
 
 
+def barriers(df: DataFrame) -> bool:
+    """Whether all tasks of a job can run at once: not where executors come and go."""
+    return df.sparkSession.sparkContext.getConf().get("spark.dynamicAllocation.enabled", "false").lower() != "true"
+
+
 def train_and_evaluate(train: DataFrame, test: DataFrame, spec: FeatureSpec,
-                       models: dict | None = None):
-    """Fit every model on the (checkpointed, cached) training set,
+                       models: dict | None = None, keep=stored):
+    """Fit every model on the stored training set,
     metrics on train and test; best = highest test R^2, first wins ties.
     Returns (report rows as dicts, fitted models by name, best name).
+    ``keep`` stores the rows of both; rows that are stored already need none.
 
     The preprocessing is fitted once on the training rows (it does not
-    depend on the regressor) and its output -- the sparse feature vectors
-    -- is cached, so boosting / forest iterations read vectors instead of
-    re-running imputation, scaling and one-hot encoding each pass.  The models
-    are fitted side by side, each from a thread of its own: a boosted tree is
-    some hundred short jobs that would wait for each other.  Each
+    depend on the regressor) and its output is stored, so no fit re-runs imputation, scaling and one-hot encoding.
+    Forests and boosted trees learn together from packed rows (``trees``), and
+    least squares with them; the other models are fitted side by side, each from
+    a thread of its own.  Each
     returned model is still one whole ``PipelineModel``."""
-    train = stored(train.select(*spec.numeric, *spec.categorical, spec.label))
+    train, test = (keep(x.select(*spec.numeric, *spec.categorical, spec.label)) for x in (train, test))
     cores = train.sparkSession.sparkContext.defaultParallelism
     if train.rdd.getNumPartitions() < cores:   # small files are read together
         train = train.repartition(cores)
-    test = stored(test.select(*spec.numeric, *spec.categorical, spec.label))
     if models is None:
         s = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(spec.label).alias("sd")).first()
         models = model_zoo(spec.label, n_rows=s["n"], label_std=s["sd"])
     prep = Pipeline(stages=preprocessing_stages(spec)).fit(train)
-    vectors = prep.transform(train).select("features", spec.label).cache()
-    vectors.count()   # held before several fits ask for it
+    labels = [len(x) for st in prep.stages if isinstance(st, StringIndexerModel) for x in st.labelsArray]
+    grown = {name: est for name, est in models.items() if barriers(train) and trees.can_learn(est)}
+    if grown:
+        grown |= {name: est for name, est in models.items() if trees.can_solve(est, len(spec.numeric) + sum(labels))}
+    others = {name: est for name, est in models.items() if name not in grown}
+    num = vector_to_array("_num_scaled") if spec.numeric else F.array().cast("array<double>")
+    vectors = stored(prep.transform(train).select(*["features"] * bool(others), spec.label, num.alias("_num"),
+                                                  F.array(*[F.col(f"{c}__idx").cast("int") for c in spec.categorical]).cast("array<int>").alias("_cat")))
     rows, best, best_r2 = [], None, None
-    fit = inheritable_thread_target(train.sparkSession)(lambda est: est.fit(vectors))
-    with ThreadPool(len(models)) as pool:
-        regs = dict(zip(models, pool.map(fit, models.values(), chunksize=1)))
-    fitted = {name: PipelineModel(stages=[*prep.stages, reg]) for name, reg in regs.items()}
-    alone = {name: PipelineModel(stages=[reg]) for name, reg in regs.items()}
-    trained = evaluate_all(alone, vectors, spec.label)
+    regs, trained = {}, {}
+    if others:
+        fit = inheritable_thread_target(train.sparkSession)(lambda est: est.fit(vectors))
+        with ThreadPool(len(others)) as pool:
+            regs |= zip(others, pool.map(fit, others.values(), chunksize=1))
+        trained |= evaluate_all({name: PipelineModel(stages=[reg]) for name, reg in regs.items()}, vectors.select("features", spec.label), spec.label)
+    if grown:
+        for name, (reg, metrics) in trees.fit_all(grown, vectors, len(spec.numeric), labels, spec.label).items():
+            regs[name], trained[name] = reg, metrics
+    fitted = {name: PipelineModel(stages=[*prep.stages, regs[name]]) for name in models}
+    alone = {name: PipelineModel(stages=[regs[name]]) for name in models}
     tested = evaluate_all(alone, prep.transform(test).select("features", spec.label), spec.label)
     for name in fitted:
         tr, te = trained[name], tested[name]
@@ -193,7 +210,6 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, spec: FeatureSpec,
                      "train_rows": tr["n"], "test_rows": te["n"]})
         if te["r2_score"] is not None and (best_r2 is None or te["r2_score"] > best_r2):
             best, best_r2 = name, te["r2_score"]
-    vectors.unpersist()
     for r in rows:
         r["is_best"] = r["model"] == best
         acc = accept(r["train_r2"], r["test_r2"])

@@ -32,17 +32,22 @@ def split(t):
     return ml.hash_split(shipments(t), SPLIT_KEYS)
 
 
-def prepared_split(t):
+def stored_split(t):
     """Train / test with the columns the pipelines use, stored in the shared
-    folder and cached: every pipeline stage is a pass over the training rows, and
+    folder: every pipeline stage is a pass over the training rows, and
     without this each pass would recompute the fact join."""
     def build(tt):
         cols = SPLIT_KEYS + SPEC.numeric + SPEC.categorical + [SPEC.label]
         return stored(shipments(tt).select(*cols, ml.hash_bucket(SPLIT_KEYS).alias("_b")))
     base = t.derived("train_test_base", build)
     cut = int(round(ml.TRAIN_FRACTION * 10000))
-    return (base.where(F.col("_b") < cut).drop("_b").cache(),
-            base.where(F.col("_b") >= cut).drop("_b").cache())
+    return base.where(F.col("_b") < cut).drop("_b"), base.where(F.col("_b") >= cut).drop("_b")
+
+
+def prepared_split(t):
+    """The stored split, cached."""
+    tr, te = stored_split(t)
+    return tr.cache(), te.cache()
 
 
 @query("train_test_split_counts", with_ctes(f"""
@@ -161,8 +166,8 @@ LEADERBOARD_SCHEMA = T.StructType([
 @query("model_leaderboard")
 def model_leaderboard(t):
     """The five regressors, train / test metrics, best and gates."""
-    tr, te = prepared_split(t)
-    rows, _, _ = ml.train_and_evaluate(tr, te, SPEC)
+    tr, te = stored_split(t)
+    rows, _, _ = ml.train_and_evaluate(tr, te, SPEC, keep=lambda df: df)
     return t.spark.createDataFrame([tuple(r[f.name] for f in LEADERBOARD_SCHEMA.fields) for r in rows],
                                    LEADERBOARD_SCHEMA)
 
